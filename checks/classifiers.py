@@ -2,19 +2,27 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
 from pyspark.ml.feature import StringIndexer
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml import Pipeline
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
-from incidentry import accuracy, confusion, count_by, load_model, save_model, weighted_f1
+from incidentry import (
+    accuracy,
+    confusion,
+    count_by,
+    load_model,
+    save_model,
+    train_and_score,
+    weighted_f1,
+)
 from incidentry.operators.sampling import split
 from incidentry.plans import prediction
-from incidentry.plans.clean import clean_incidents
-from incidentry.sources.workspace import fresh_path, stage
+from incidentry.sources.workspace import fresh_path
 
 from .common import SQL_PRIORITY, as_long, priority, rounded, sql_hash, sql_round, table
-from .incidents import SQL_INCIDENTS, raw_incidents
+from .incidents import SQL_INCIDENTS, incidents
 
 CUTOFF = 2000
 _NUMBERS = [
@@ -23,7 +31,7 @@ _NUMBERS = [
 
 
 def features(spark, sf):
-    return prediction.severity_features(clean_incidents(raw_incidents(spark, sf)), CUTOFF)
+    return prediction.severity_features(incidents(spark, sf), CUTOFF)
 
 
 def ml_feature_table(spark, sf):
@@ -35,7 +43,7 @@ def ml_feature_table(spark, sf):
 
 def ml_feature_table_monday(spark, sf):
     """The rebalanced model's features: other year rule, Monday first, no visibility."""
-    rows = prediction.rebalanced_features(clean_incidents(raw_incidents(spark, sf)), CUTOFF)
+    rows = prediction.rebalanced_features(incidents(spark, sf), CUTOFF)
     wide = as_long(rows, "Severity", "Year", "Month", "Weekday", "Hour", "Junction", "Traffic_Signal")
     return rounded(wide, 6, *_NUMBERS[:-1])
 
@@ -51,45 +59,36 @@ def feature_vector(spark, sf):
     """The sum of every position of the encoded vector, zeros included."""
     rows = features(spark, sf)
     encoder = Pipeline(stages=prediction.severity_model().getStages()[:-1])
-    vectors = encoder.fit(rows).transform(rows).select(vector_to_array("features").alias("v"))
-    cells = vectors.select(F.posexplode("v").alias("position", "value"))
-    sums = cells.groupBy("position").agg(F.sum("value").alias("total"))
+    total = encoder.fit(rows).transform(rows).select(Summarizer.sum(F.col("features")).alias("v"))
+    sums = total.select(F.posexplode(vector_to_array("v")).alias("position", "total"))
     return rounded(as_long(sums, "position"), 3, "total")
 
 
 def model_predictions(spark, sf):
     """Scored test rows of the undersampled model."""
-    _, reports = prediction.severity_reports(
-        clean_incidents(raw_incidents(spark, sf)), CUTOFF, stage=stage
-    )
+    _, reports = prediction.severity_reports(incidents(spark, sf), CUTOFF)
     return reports["dtPrediction"]
 
 
 def model_predictions_rebalanced(spark, sf):
     """Scored test rows of the rebalanced model, with its test accuracy."""
-    _, reports = prediction.rebalanced_reports(
-        clean_incidents(raw_incidents(spark, sf)), CUTOFF, stage=stage
-    )
+    _, reports = prediction.rebalanced_reports(incidents(spark, sf), CUTOFF)
     return reports["PredResults_overunder"]
 
 
 def model_metrics(spark, sf):
     """Accuracy and F1 of the model on raw classes, on both splits."""
-    _, reports = prediction.severity_reports(
-        clean_incidents(raw_incidents(spark, sf)), CUTOFF, sampled=False, stage=stage
-    )
+    _, reports = prediction.severity_reports(incidents(spark, sf), CUTOFF, sampled=False)
     return reports["dtMetrics"]
 
 
 def model_save_load(spark, sf):
     """A model read back predicts every test row as before: rows and differences."""
-    train, test = (stage(part, "part") for part in split(features(spark, sf), 0.8, "ID", 11))
-    model = prediction.severity_model(max_depth=5).fit(train)
+    train, test = split(features(spark, sf), 0.8, "ID", 11)
+    model, scored, _ = train_and_score(train, test, prediction.severity_model(max_depth=5))
     path = fresh_path(spark, "model")
     save_model(model, path)
-    both = load_model(path).transform(
-        model.transform(test).select(test.columns + [F.col("prediction").alias("before")])
-    )
+    both = load_model(path).transform(scored.withColumnRenamed("prediction", "before"))
     return both.agg(
         F.count("*").alias("n_rows"), F.count_if(F.col("before") != F.col("prediction")).alias("n_different")
     )

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from incidentry.contract import INCIDENT_SCHEMA, POI_FLAGS
 
+from incidentry.plans.clean import clean_incidents, write_by_year
+from incidentry.sources.workspace import fresh_path
+
 from .common import table
 
 SKIES = [
@@ -76,6 +79,23 @@ def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select(*columns)
 
 
+_PREPARED: dict[tuple[str, str], str] = {}
+
+
+def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned table, stored by year as the cleaning job stores it.
+
+    It is written once per session and set of tables; reports then read it, as
+    they would read the output of the cleaning job.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _PREPARED:
+        path = fresh_path(spark, "incidents")
+        write_by_year(clean_incidents(raw_incidents(spark, sf_dir)), path)
+        _PREPARED[key] = path
+    return spark.read.parquet(_PREPARED[key])
+
+
 def population(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers per nation, as the population of a state."""
     state = F.concat(F.lit("S"), F.col("c_nationkey").cast("string"))

@@ -55,8 +55,8 @@ def distribution_summary(spark, sf):
 
 
 def distribution_summary_large(spark, sf):
-    """The same result by the way taken when a group is too large for one task."""
-    return _summary(spark, sf, group_rows=0)
+    """The same result by the way taken when the table is too large for task memory."""
+    return _summary(spark, sf, small_rows=0)
 
 
 def distribution_histogram(spark, sf):

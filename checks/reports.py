@@ -16,16 +16,19 @@ from incidentry.operators.profile import flags_long, geo_grid, series, share
 from incidentry.plans import address, clean, roadside, time, weather
 
 from .common import as_long, rounded, sql_round
-from .incidents import SQL_DIMENSIONS, SQL_INCIDENTS, election, population, raw_incidents
+from .incidents import (
+    SQL_DIMENSIONS,
+    SQL_INCIDENTS,
+    election,
+    incidents,
+    population,
+    raw_incidents,
+)
 
 YEARS = (1996, 1997, 1998)
 CUTOFF = 2000
 
 
-def incidents(spark, sf):
-    return clean.clean_incidents(raw_incidents(spark, sf))
-
-
 # --- cleaning ---------------------------------------------------------------
 
 _MISSING = ["City", "Temperature(F)", "Humidity(%)", "Visibility(mi)", "Wind_Direction", "Weather_Condition"]

@@ -97,6 +97,9 @@ POPULATION_SCHEMA = StructType(
     [StructField("state", StringType()), StructField("pop", IntegerType())]
 )
 
+# Added by the storage layout, not part of the contract.
+YEAR_PARTITION = "start_year"
+
 # What the cleaner writes in place of a missing value.
 MISSING_NUMBER = -999.0
 MISSING_TIME = "0001-01-01 00:00:00"

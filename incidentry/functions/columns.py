@@ -62,8 +62,12 @@ def cell(value: str, lo: float, width: float) -> Column:
     return F.floor((F.col(value) - F.lit(lo)) / F.lit(width)).cast("bigint")
 
 
-def is_missing(df: DataFrame, column: str) -> Column:
-    """Null, or NaN in a floating point column."""
-    kind = df.select(F.col(column)).schema[0].dataType
-    gone = F.col(column).isNull()
-    return gone | F.isnan(column) if isinstance(kind, (FloatType, DoubleType)) else gone
+def is_floating(df: DataFrame, column: str) -> bool:
+    return isinstance(df.select(F.col(column)).schema[0].dataType, (FloatType, DoubleType))
+
+
+def real_value(df: DataFrame, column: str) -> Column:
+    """The column with NaN turned into null. Mentions the column once, so that
+    nested uses do not multiply the work of computing it."""
+    value = F.col(column)
+    return F.nanvl(value, F.lit(None)) if is_floating(df, column) else value

@@ -10,29 +10,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import before_year, outside_year, within_years
-from ..functions.columns import is_missing
+from ..functions.columns import is_floating, real_value
 
 
 def baseline(
-    df: DataFrame, ts: str, ordinal: str, year: int, shift: int = 1
+    df: DataFrame, ts: str, ordinal: str, year: int, shift: int = 1, partition: str | None = None
 ) -> DataFrame:
     """The shared row filter: before ``year``, with the ordinal moved down by ``shift``."""
-    return df.filter(before_year(df, ts, year)).withColumn(ordinal, F.col(ordinal) - F.lit(shift))
+    kept = df.filter(before_year(df, ts, year))
+    if partition is not None:
+        kept = kept.filter(F.col(partition) < F.lit(year))
+    return kept.withColumn(ordinal, F.col(ordinal) - F.lit(shift))
 
 
 def in_years(
     df: DataFrame, ts: str, years: Iterable[int], partition: str | None = None
 ) -> DataFrame:
-    """Rows of the given years. Name the table's year partition column, if it
-    has one, and files of other years are not even listed."""
+    """Rows of the given years.
+
+    ``partition`` names the table's year partition column, if it has one;
+    folders of other years are then never opened.
+    """
     years = sorted(set(years))
     kept = df.filter(within_years(df, ts, years))
     return kept if partition is None else kept.filter(F.col(partition).isin(years))
 
 
-def not_year(df: DataFrame, ts: str, year: int) -> DataFrame:
+def not_year(df: DataFrame, ts: str, year: int, partition: str | None = None) -> DataFrame:
     """Rows of every other year; rows without a timestamp are dropped too."""
-    return df.filter(outside_year(df, ts, year))
+    kept = df.filter(outside_year(df, ts, year))
+    return kept if partition is None else kept.filter(F.col(partition) != F.lit(year))
 
 
 def keep_above(df: DataFrame, thresholds: Mapping[str, float]) -> DataFrame:
@@ -42,9 +49,10 @@ def keep_above(df: DataFrame, thresholds: Mapping[str, float]) -> DataFrame:
 
 def drop_sentinels(df: DataFrame, sentinels: Mapping[str, object]) -> DataFrame:
     """Rows with a real value (no null, NaN or sentinel) in every listed column."""
-    return df.filter(
-        reduce(and_, [~is_missing(df, c) & (F.col(c) != F.lit(s)) for c, s in sentinels.items()])
-    )
+    # A null fails the comparison; only NaN passes it and needs its own test.
+    known = [F.col(c) != F.lit(s) for c, s in sentinels.items()]
+    known += [~F.isnan(c) for c in sentinels if is_floating(df, c)]
+    return df.filter(reduce(and_, known))
 
 
 def fill_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
@@ -53,7 +61,7 @@ def fill_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
     if unknown:
         raise ValueError(f"no such columns: {sorted(unknown)}")
     filled = {
-        c: F.when(is_missing(df, c), F.lit(v).cast(df.schema[c].dataType)).otherwise(F.col(c))
+        c: F.coalesce(real_value(df, c), F.lit(v).cast(df.schema[c].dataType))
         for c, v in defaults.items()
     }
     return df.withColumns(filled)
@@ -69,7 +77,7 @@ def null_report(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     columns = list(columns or df.columns)
     # Positional names, so that a column called "id" or "Distance(mi)" is no trouble.
     totals = df.agg(
-        *[F.count_if(is_missing(df, c)).alias(f"c{i}") for i, c in enumerate(columns)]
+        *[F.count_if(real_value(df, c).isNull()).alias(f"c{i}") for i, c in enumerate(columns)]
     )
     pairs = [
         F.struct(F.lit(c).alias("column_name"), F.col(f"c{i}").alias("null_count"))

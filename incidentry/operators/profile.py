@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import add, and_, or_
+from operator import add, and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.columns import cell, is_missing, ratio
+from ..functions.columns import cell, ratio, real_value
 from ..sources.workspace import stage
 
 
@@ -67,7 +67,7 @@ def histogram(
     bin_column: str = "bin", out: str = "count",
 ) -> DataFrame:
     """Rows per key and fixed-width bin: the outline of a violin plot."""
-    known = df.filter(~is_missing(df, measure))
+    known = df.filter(real_value(df, measure).isNotNull())
     return known.groupBy(*keys, cell(measure, lo, width).alias(bin_column)).agg(
         F.count("*").alias(out)
     )
@@ -86,7 +86,8 @@ def geo_grid(
 # --- distribution summary -------------------------------------------------
 
 _ACCURACY = 10_000  # rank error of the sketch is at most n / _ACCURACY
-_GROUP_ROWS = 2_000_000  # largest group whose values may sit in one task
+_SMALL_ROWS = 2_000_000  # tables up to this size may keep their values in task memory
+_QUARTILES = {0.25: "p25", 0.5: "p50", 0.75: "p75"}
 
 
 def distribution(
@@ -94,181 +95,125 @@ def distribution(
     key: str,
     measures: Sequence[str],
     quantiles: Mapping[float, str] | None = None,
-    group_rows: int = _GROUP_ROWS,
+    small_rows: int = _SMALL_ROWS,
 ) -> DataFrame:
     """Count, minimum, exact quantiles, maximum, mean and deviation of each
     measure per key, as ``(key, measure, n, min, p25, p50, p75, max, mean, stddev)``.
 
-    One pass computes everything but the quantiles, together with a sketch. If
-    no group holds more than ``group_rows`` values, a second pass takes Spark's
-    exact percentile. Beyond that, holding a group's values in one task is ruled
-    out, and ``_exact_quantiles`` narrows the data down by the sketch first.
+    Spark's exact ``percentile`` keeps all values of a group in one task, so it
+    is used only on a table counted to have at most ``small_rows`` rows. Beyond
+    that, ``_large_quantiles`` finds the same values without such a task.
     """
-    quantiles = dict(quantiles or {0.25: "p25", 0.5: "p50", 0.75: "p75"})
-    real = df.select(
-        key,
-        *[F.when(~is_missing(df, m), F.col(m).cast("double")).alias(f"m{i}")
-          for i, m in enumerate(measures)],
-    )
-    slots = [f"m{i}" for i in range(len(measures))]
-    base = stage(real.groupBy(key).agg(*[_moments(s, quantiles) for s in slots]), "moments")
-
-    largest = base.agg(F.max(F.greatest(F.lit(0), *[F.col(f"{s}.n") for s in slots]))).first()[0]
-    if (largest or 0) <= group_rows:
-        exact = real.groupBy(key).agg(
-            *[F.percentile(s, [float(q) for q in quantiles]).alias(s) for s in slots]
-        )
-        exact = exact.select(
-            F.col(key).alias("_key"),
-            F.inline(F.array(*[
-                F.struct(F.lit(i).alias("_slot"),
-                         *[F.col(s)[j].alias(name) for j, name in enumerate(quantiles.values())])
-                for i, s in enumerate(slots)
-            ])),
+    quantiles = dict(quantiles or _QUARTILES)
+    values = df.select(F.col(key).alias("_key"), F.inline(F.array(*[
+        F.struct(F.lit(m).alias("measure"), real_value(df, m).cast("double").alias("_value"))
+        for m in measures
+    ]))).filter(F.col("_value").isNotNull())
+    moments = [
+        F.count("_value").alias("n"),
+        F.min("_value").alias("min"),
+        F.max("_value").alias("max"),
+        F.avg("_value").alias("mean"),
+        F.stddev("_value").alias("stddev"),
+    ]
+    if df.count() <= small_rows:
+        exact = F.percentile("_value", [float(q) for q in quantiles]).alias("_q")
+        rows = values.groupBy("_key", "measure").agg(*moments, exact).select(
+            "*", *[F.col("_q")[i].alias(name) for i, name in enumerate(quantiles.values())]
         )
     else:
-        exact = _exact_quantiles(real, key, slots, base, quantiles)
-
-    rows = base.select(
-        F.col(key),
-        F.inline(F.array(*[
-            F.struct(F.lit(i).alias("_slot"), F.lit(m).alias("measure"),
-                     *[F.col(f"{s}.{part}").alias(part)
-                       for part in ("n", "min", "max", "mean", "stddev")])
-            for i, (s, m) in enumerate(zip(slots, measures))
-        ])),
-    ).withColumnRenamed("_slot", "_s")
-    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_s") == F.col("_slot"))
-    return rows.join(exact, same, "left").select(
-        key, "measure", "n", "min", *quantiles.values(), "max", "mean", "stddev"
+        rows = _large_quantiles(values, moments, quantiles)
+    return rows.select(
+        F.col("_key").alias(key), "measure", "n", "min", *quantiles.values(), "max", "mean", "stddev"
     )
 
 
-def _moments(slot: str, quantiles: Mapping[float, str]) -> Column:
-    margin = 2.0 / _ACCURACY
-    cuts = sorted({min(1.0, max(0.0, q + d)) for q in quantiles for d in (-margin, margin)})
-    return F.struct(
-        F.count(slot).alias("n"),
-        F.min(slot).alias("min"),
-        F.max(slot).alias("max"),
-        F.avg(slot).alias("mean"),
-        F.stddev(slot).alias("stddev"),
-        F.percentile_approx(slot, cuts, _ACCURACY).alias("cuts"),
-    ).alias(slot)
-
-
-def _exact_quantiles(
-    real: DataFrame, key: str, slots: Sequence[str], base: DataFrame,
-    quantiles: Mapping[float, str],
+def _same(left: str, right: str, *columns: str) -> Column:
+    """Equality of the group columns of two aliased frames; a null key is a key."""
+    return reduce(
+        and_, [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns]
+    )
+
+
+def _large_quantiles(
+    values: DataFrame, moments: Sequence[Column], quantiles: Mapping[float, str]
 ) -> DataFrame:
-    """Exact quantiles of groups too large for one task.
+    """Moments and exact quantiles of ``(_key, measure, _value)`` rows, no group
+    ever held in one task.
 
-    The sketch's cut points split each group into a handful of bins, two close
-    cuts around every quantile. Counting the bins tells exactly which bin holds
-    each wanted rank; only rows of those bins, about 0.04 % per quantile, are
-    then counted by value and ranked. A bad sketch makes the bins wider, never
-    the result wrong.
-    """
-    n_cuts = len({min(1.0, max(0.0, q + s * 2.0 / _ACCURACY)) for q in quantiles for s in (-1, 1)})
-    lookup = base.select(
-        F.col(key).alias("_key"),
-        *[F.col(f"{s}.cuts").alias(f"{s}_cuts") for s in slots],
-    )
-    same = F.col(key).eqNullSafe(F.col("_key"))
-    binned = real.join(lookup, same).select(
-        "_key",
-        *slots,
-        *[
-            reduce(add, [(F.col(s) >= F.col(f"{s}_cuts")[i]).cast("int") for i in range(n_cuts)])
-            .alias(f"{s}_bin")
-            for s in slots
-        ],
-    )
+    Three scans, none of which shuffles the table:
+
+    1. per group, the moments and a mergeable sketch's cut points, two close
+       ones around every quantile;
+    2. per group, how many values lie between neighbouring cuts, which tells
+       exactly in which bin each wanted rank is;
+    3. of those bins only, about 0.04 % of the rows per quantile, how often each
+       value occurs, ranked within its bin.
 
-    # Bin sizes: one narrow row per key and slot, whatever the table's size.
-    sizes = binned.groupBy("_key").agg(
-        *[
-            F.count_if(F.col(f"{s}_bin") == b).alias(f"{s}_{b}")
-            for s in slots for b in range(n_cuts + 1)
-        ]
+    The cuts only steer the work: poor ones make the bins wider, never the
+    result wrong. The small tables between the scans are staged, so their size
+    on disk decides whether Spark broadcasts them.
+    """
+    group = ("_key", "measure")
+    margin = 2.0 / _ACCURACY
+    cuts = sorted({min(1.0, max(0.0, q + d)) for q in quantiles for d in (-margin, margin)})
+    base = stage(
+        values.groupBy(*group).agg(
+            *moments, F.percentile_approx("_value", cuts, _ACCURACY).alias("_cuts")
+        ),
+        "moments",
     )
-    sizes = sizes.select(
-        "_key",
-        F.inline(F.array(*[
-            F.struct(F.lit(i).alias("_slot"), F.lit(b).alias("_bin"),
-                     F.col(f"{s}_{b}").alias("_rows"))
-            for i, s in enumerate(slots) for b in range(n_cuts + 1)
-        ])),
-    )
-    bins_of = Window.partitionBy("_key", "_slot")
-    in_order = bins_of.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.select(
-        "*",
-        F.coalesce(F.sum("_rows").over(in_order), F.lit(0)).alias("_before"),
-        F.sum("_rows").over(bins_of).alias("_n"),
+    passed = [(F.col("_value") >= F.col("_cuts")[i]).cast("int") for i in range(len(cuts))]
+    binned = (
+        values.alias("v")
+        .join(base.select(*group, "_cuts").alias("b"), _same("v", "b", *group))
+        .select("v.*", reduce(add, passed).alias("_bin"))
     )
+    ranks = stage(_wanted_ranks(binned.groupBy(*group, "_bin").count(), quantiles), "ranks")
+    bins = stage(ranks.select(*group, "_bin").distinct(), "bins")
 
-    # The two ranks a linear quantile interpolates between, in their bins.
-    position = [F.lit(float(q)) * (F.col("_n") - F.lit(1)) for q in quantiles]
-    wanted = sizes.select(
-        "_key", "_slot", "_bin", "_before", "_rows",
-        F.inline(F.array(*[
-            F.struct(F.lit(name).alias("_q"), F.lit(side).alias("_side"),
-                     edge(p).cast("bigint").alias("_rank"),
-                     (p - F.floor(p)).alias("_part"))
-            for p, name in zip(position, quantiles.values())
-            for side, edge in (("lo", F.floor), ("hi", F.ceil))
-        ])),
-    ).filter("_rank >= _before AND _rank < _before + _rows")
-    wanted = stage(wanted, "ranks")
-
-    needed = wanted.groupBy("_key").agg(
-        *[
-            F.collect_set(F.when(F.col("_slot") == i, F.col("_bin"))).alias(f"{s}_need")
-            for i, s in enumerate(slots)
-        ]
-    ).withColumnRenamed("_key", "_need_key")
-    needed = stage(needed, "bins")
-    hit = [F.array_contains(f"{s}_need", F.col(f"{s}_bin")) for s in slots]
-    near = (
-        binned.join(needed, F.col("_key").eqNullSafe(F.col("_need_key")))
-        .filter(reduce(or_, [F.coalesce(h, F.lit(False)) for h in hit]))
-        .select(
-            "_key",
-            F.inline(F.filter(
-                F.array(*[
-                    F.struct(F.lit(i).alias("_slot"), F.col(f"{s}_bin").alias("_bin"),
-                             F.when(h, F.col(s)).alias("_value"))
-                    for i, (s, h) in enumerate(zip(slots, hit))
-                ]),
-                lambda item: item["_value"].isNotNull(),
-            )),
-        )
-        .groupBy("_key", "_slot", "_bin", "_value")
+    counted = (
+        binned.alias("v")
+        .join(bins.alias("b"), _same("v", "b", *group, "_bin"), "left_semi")
+        .groupBy(*group, "_bin", "_value")
         .agg(F.count("*").alias("_times"))
     )
-    by_value = Window.partitionBy("_key", "_slot", "_bin").orderBy("_value")
-    near = near.withColumn("_upto", F.sum("_times").over(by_value))
-
-    w, v = wanted.alias("w"), near.alias("v")
-    found = w.join(
-        v,
-        F.col("w._key").eqNullSafe(F.col("v._key"))
-        & (F.col("w._slot") == F.col("v._slot"))
-        & (F.col("w._bin") == F.col("v._bin"))
-        & (F.col("w._rank") - F.col("w._before") < F.col("v._upto"))
-        & (F.col("w._rank") - F.col("w._before") >= F.col("v._upto") - F.col("v._times")),
+    upto = F.sum("_times").over(Window.partitionBy(*group, "_bin").orderBy("_value"))
+    offset = F.col("r._rank") - F.col("r._before")
+    found = ranks.alias("r").join(
+        counted.withColumn("_upto", upto).alias("v"),
+        _same("r", "v", *group, "_bin")
+        & (offset < F.col("v._upto"))
+        & (offset >= F.col("v._upto") - F.col("v._times")),
     )
 
-    def at(name: str, side: str) -> Column:
-        return F.max(F.when((F.col("w._q") == name) & (F.col("w._side") == side), F.col("v._value")))
+    def quantile(name: str) -> Column:
+        wanted = F.col("_name") == F.lit(name)
+        low = F.max(F.when(wanted & F.col("_low"), F.col("_value")))
+        high = F.max(F.when(wanted & ~F.col("_low"), F.col("_value")))
+        return (low + (high - low) * F.max(F.when(wanted, F.col("_part")))).alias(name)
 
-    def part(name: str) -> Column:
-        return F.max(F.when(F.col("w._q") == name, F.col("w._part")))
+    exact = found.groupBy("r._key", "r.measure").agg(*map(quantile, quantiles.values()))
+    return base.alias("b").join(exact.alias("e"), _same("b", "e", *group)).select(
+        "b.*", *quantiles.values()
+    )
 
-    return found.groupBy("w._key", "w._slot").agg(
-        *[
-            (at(n, "lo") + (at(n, "hi") - at(n, "lo")) * part(n)).alias(n)
-            for n in quantiles.values()
-        ]
+
+def _wanted_ranks(bin_counts: DataFrame, quantiles: Mapping[float, str]) -> DataFrame:
+    """The two ranks each linear quantile lies between, and the bin holding them."""
+    bins = Window.partitionBy("_key", "measure")  # a handful of bins per group
+    earlier = bins.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    sized = bin_counts.select(
+        "*",
+        F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("_before"),
+        F.sum("count").over(bins).alias("_n"),
     )
+    position = {name: F.lit(float(q)) * (F.col("_n") - F.lit(1)) for q, name in quantiles.items()}
+    ranks = sized.select("_key", "measure", "_bin", "_before", "count", F.inline(F.array(*[
+        F.struct(F.lit(name).alias("_name"), F.lit(low).alias("_low"),
+                 (F.floor(p) if low else F.ceil(p)).cast("bigint").alias("_rank"),
+                 (p - F.floor(p)).alias("_part"))
+        for name, p in position.items()
+        for low in (True, False)
+    ])))
+    return ranks.filter("_rank >= _before AND _rank < _before + count")

@@ -41,9 +41,9 @@ def top_group_peaks(
     """The busiest ``(day, group)`` pairs among the ``k_groups`` largest groups.
 
     Both rankings come from the same daily counts, so the fact table is read
-    and shuffled once.
+    and shuffled once. Rows without a group belong to none.
     """
-    daily = count_by(df, [day, group], weight=weight)
+    daily = count_by(df.filter(F.col(group).isNotNull()), [day, group], weight=weight)
     leaders = top_k(count_by(daily, [group], weight="count"), "count", k_groups, [group])
     leaders = _ranked_side(leaders.select(F.col(group).alias("_leader")), k_groups)
     among = daily.join(leaders, F.col(group) == F.col("_leader")).drop("_leader")

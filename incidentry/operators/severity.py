@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import ratio
+from ..sources.workspace import stage
 from .cleaning import drop_sentinels
 from .sampling import union_all
 
@@ -130,13 +131,15 @@ def train_and_score(
 ) -> tuple[PipelineModel, DataFrame, DataFrame]:
     """Fit on one frame and score both.
 
-    Returns the model, the scored test rows and a ``(split, metric, value)``
-    frame of accuracy and weighted F1. Each split is scored once, into its
-    confusion matrix; both metrics follow from that.
+    Returns the model, the test rows with their ``prediction``, and a
+    ``(split, metric, value)`` frame of accuracy and weighted F1. Fitting reads
+    the training rows many times and the scored rows feed several reports, so
+    both are staged.
     """
     label = pipeline.getStages()[-1].getLabelCol()
+    train = _spread(stage(train, "train"))
     model = pipeline.fit(train)
-    scored = model.transform(test)
+    scored = stage(model.transform(test).select(*test.columns, "prediction"), "scored")
     metrics = union_all([
         _metrics(confusion(model.transform(train), "prediction", label), "train"),
         _metrics(confusion(scored, "prediction", label), "test"),
@@ -144,6 +147,15 @@ def train_and_score(
     return model, scored, metrics
 
 
+def _spread(table: DataFrame) -> DataFrame:
+    """Use every core: a stored table of fewer pieces than that is redistributed.
+
+    Large tables have more pieces than cores and are left alone.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores)
+
+
 def _metrics(matrix: DataFrame, split: str) -> DataFrame:
     wide = scores(matrix).select(F.lit(split).alias("split"), "accuracy", "weighted_f1")
     return wide.unpivot(["split"], ["accuracy", "weighted_f1"], "metric", "value")

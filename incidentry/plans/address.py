@@ -9,12 +9,15 @@ from ..operators.aggregate import count_by, summarise
 from ..operators.cleaning import baseline
 from ..operators.ranking import top_k
 from ..operators.rates import rate_by_dimension
+from .clean import year_partition
 
 
 def address_rollup(incidents: DataFrame, before_year: int = 2020) -> DataFrame:
     """Accidents per severity, side, city, state and timezone; all reports below
     are sums over this table."""
-    rows = baseline(incidents, "Start_Time", "Severity", before_year)
+    rows = baseline(
+        incidents, "Start_Time", "Severity", before_year, partition=year_partition(incidents)
+    )
     return count_by(rows, ["Severity", "Side", "City", "State", "Timezone"], out="n")
 
 

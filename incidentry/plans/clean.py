@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..contract import MISSING_DEFAULTS
+from ..contract import MISSING_DEFAULTS, YEAR_PARTITION
 from ..operators.cleaning import fill_defaults, null_report, strip_chars
 
 
@@ -20,12 +20,20 @@ def cleaning_reports(raw: DataFrame, cleaned: DataFrame) -> dict[str, DataFrame]
 
 
 def write_by_year(cleaned: DataFrame, path: str, ts: str = "Start_Time") -> None:
-    """Store the cleaned table as Parquet with one folder per year, so that
-    reports on a few years list only those folders."""
+    """Store the cleaned table as Parquet with one folder per year.
+
+    Reports on a few years then open only those folders. Rebalancing keeps a
+    year in few files and splits a year that is too large for one task.
+    """
     (
-        cleaned.withColumn("year", F.year(ts))
-        .hint("rebalance", "year")
+        cleaned.withColumn(YEAR_PARTITION, F.year(ts))
+        .hint("rebalance", YEAR_PARTITION)
         .write.mode("overwrite")
-        .partitionBy("year")
+        .partitionBy(YEAR_PARTITION)
         .parquet(path)
     )
+
+
+def year_partition(incidents: DataFrame) -> str | None:
+    """The partition column of a table stored by ``write_by_year``."""
+    return YEAR_PARTITION if YEAR_PARTITION in incidents.columns else None

@@ -9,6 +9,7 @@ from ..contract import POI_FLAGS
 from ..functions.columns import any_flag, ratio
 from ..operators.aggregate import count_by, flag_totals
 from ..operators.cleaning import baseline
+from .clean import year_partition
 
 _VISIBILITY = "Visibility(mi)"
 
@@ -19,7 +20,9 @@ def roadside_rollup(incidents: DataFrame, before_year: int = 2020) -> DataFrame:
     Thirteen flags and a few severities bound this table whatever the number of
     accidents, and every report below is a sum over it.
     """
-    rows = baseline(incidents, "Start_Time", "Severity", before_year)
+    rows = baseline(
+        incidents, "Start_Time", "Severity", before_year, partition=year_partition(incidents)
+    )
     clear = F.when(F.col(_VISIBILITY) >= F.lit(0.0), F.col(_VISIBILITY))
     rollup = rows.groupBy("Severity", *POI_FLAGS).agg(
         F.count("*").alias("n"),

@@ -84,6 +84,6 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> None:
         reports = weather_reports(incidents, args.cutoff_year, stage)
     else:
         build = severity_reports if args.job == "severity" else rebalanced_reports
-        model, reports = build(incidents, args.cutoff_year, stage=stage)
+        model, reports = build(incidents, args.cutoff_year)
         save_model(model, f"{args.output}/{args.job}_model")
     write_reports(reports, args.output, args.output_format)

@@ -13,6 +13,7 @@ from ..operators.aggregate import cohort_compare, count_by
 from ..operators.cleaning import in_years
 from ..operators.ranking import attach_attribute, top_group_peaks, top_k
 from ..operators.rates import two_level_rate
+from .clean import year_partition
 
 YEARS = (2017, 2018, 2019)
 EASTERN = "US/Eastern"
@@ -29,7 +30,7 @@ def calendar_rollup(
     """
     lat = F.col("Start_Lat")
     band = F.when(lat > F.lit(north), "north").when(lat < F.lit(south), "south").otherwise("middle")
-    days = in_years(incidents, "Start_Time", years).select(
+    days = in_years(incidents, "Start_Time", years, year_partition(incidents)).select(
         F.to_date("Start_Time").alias("date"), "State", "Timezone", band.alias("band")
     )
     return count_by(days, ["date", "State", "Timezone", "band"], out="n")
@@ -67,7 +68,7 @@ def band_months(rollup: DataFrame, band: str, timezone: str = EASTERN) -> DataFr
 
 def city_days(incidents: DataFrame, years: Sequence[int] = YEARS) -> DataFrame:
     """Date, city and weather of the accidents in the given years."""
-    return in_years(incidents, "Start_Time", years).select(
+    return in_years(incidents, "Start_Time", years, year_partition(incidents)).select(
         F.to_date("Start_Time").alias("date"), F.col("City").alias("city"), "Weather_Condition"
     )
 
@@ -108,7 +109,8 @@ def red_blue(rollup: DataFrame, population: DataFrame, election: DataFrame) -> D
 def dangerous_roads(
     incidents: DataFrame, years: Sequence[int] = YEARS, k: int = 10
 ) -> DataFrame:
-    roads = in_years(incidents, "Start_Time", years).select(F.col("Street").alias("street"))
+    rows = in_years(incidents, "Start_Time", years, year_partition(incidents))
+    roads = rows.select(F.col("Street").alias("street"))
     return top_k(count_by(roads, ["street"]), "count", k, ["street"])
 
 

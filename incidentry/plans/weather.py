@@ -10,12 +10,14 @@ from ..functions.binning import regex_bin, value_map
 from ..operators.aggregate import count_by
 from ..operators.cleaning import drop_sentinels, not_year
 from ..operators.profile import distribution, histogram, share
+from .clean import year_partition
 
 
 def weather_rows(incidents: DataFrame, other_than: int = 2020) -> DataFrame:
     """Severity, five measures, sky and wind of the rows that have them all."""
     columns = [*WEATHER_MEASURES, "Weather_Condition", "Wind_Direction"]
-    rows = not_year(incidents, "Start_Time", other_than).select(
+    other_years = not_year(incidents, "Start_Time", other_than, year_partition(incidents))
+    rows = other_years.select(
         (F.col("Severity") - F.lit(1)).alias("Severity"), *columns
     )
     return drop_sentinels(rows, {c: MISSING_DEFAULTS[c] for c in columns})
