@@ -21,7 +21,10 @@ def read_csv(
     header: bool = True,
     **options,
 ) -> DataFrame:
-    """Scan CSV. Columns bind to ``schema`` by position; without one all are text."""
+    """Scan CSV. Columns bind to ``schema`` by position; without one all are text.
+
+    CSV cannot tell empty text from missing text: both are read as null.
+    """
     reader = spark.read.options(**{**_CSV_STYLE, "header": header, **options})
     return (reader.schema(schema) if schema is not None else reader).csv(path)
 
