@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import add, and_
@@ -85,8 +86,10 @@ def geo_grid(
 
 # --- distribution summary -------------------------------------------------
 
-_ACCURACY = 10_000  # rank error of the sketch is at most n / _ACCURACY
 _SMALL_ROWS = 2_000_000  # tables up to this size may keep their values in task memory
+_SAMPLE_ROWS = 4_000_000  # rows the cut points of larger tables are estimated from,
+_SAMPLE_PART = 1 / 250  # or this part of the table if that is more
+_ACCURACY = 10_000  # rank error of the sketch is at most n / _ACCURACY
 _QUARTILES = {0.25: "p25", 0.5: "p50", 0.75: "p75"}
 
 
@@ -105,10 +108,12 @@ def distribution(
     that, ``_large_quantiles`` finds the same values without such a task.
     """
     quantiles = dict(quantiles or _QUARTILES)
-    values = df.select(F.col(key).alias("_key"), F.inline(F.array(*[
-        F.struct(F.lit(m).alias("measure"), real_value(df, m).cast("double").alias("_value"))
-        for m in measures
-    ]))).filter(F.col("_value").isNotNull())
+    # One row per value; an unpivot stays inside generated code.
+    values = (
+        df.select(F.col(key).alias("_key"), *[real_value(df, m).cast("double").alias(m) for m in measures])
+        .unpivot(["_key"], list(measures), "measure", "_value")
+        .filter(F.col("_value").isNotNull())
+    )
     moments = [
         F.count("_value").alias("n"),
         F.min("_value").alias("min"),
@@ -116,87 +121,102 @@ def distribution(
         F.avg("_value").alias("mean"),
         F.stddev("_value").alias("stddev"),
     ]
-    if df.count() <= small_rows:
+    n_rows = df.count()
+    if n_rows <= small_rows:
         exact = F.percentile("_value", [float(q) for q in quantiles]).alias("_q")
         rows = values.groupBy("_key", "measure").agg(*moments, exact).select(
             "*", *[F.col("_q")[i].alias(name) for i, name in enumerate(quantiles.values())]
         )
     else:
-        rows = _large_quantiles(values, moments, quantiles)
+        found = _large_quantiles(values, n_rows, quantiles)
+        base = values.groupBy("_key", "measure").agg(*moments)
+        rows = base.alias("b").join(found.alias("f"), _same_group("b", "f")).select(
+            "b.*", *quantiles.values()
+        )
     return rows.select(
         F.col("_key").alias(key), "measure", "n", "min", *quantiles.values(), "max", "mean", "stddev"
     )
 
 
-def _same(left: str, right: str, *columns: str) -> Column:
-    """Equality of the group columns of two aliased frames; a null key is a key."""
-    return reduce(
-        and_, [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns]
+def _same_group(left: str, right: str) -> Column:
+    """Equality of key and measure of two aliased frames; a null key is a key."""
+    return F.col(f"{left}._key").eqNullSafe(F.col(f"{right}._key")) & (
+        F.col(f"{left}.measure") == F.col(f"{right}.measure")
     )
 
 
 def _large_quantiles(
-    values: DataFrame, moments: Sequence[Column], quantiles: Mapping[float, str]
+    values: DataFrame, n_rows: int, quantiles: Mapping[float, str]
 ) -> DataFrame:
-    """Moments and exact quantiles of ``(_key, measure, _value)`` rows, no group
-    ever held in one task.
+    """Exact quantiles of ``(_key, measure, _value)`` rows, no group ever held in
+    one task.
 
     Three scans, none of which shuffles the table:
 
-    1. per group, the moments and a mergeable sketch's cut points, two close
-       ones around every quantile;
-    2. per group, how many values lie between neighbouring cuts, which tells
-       exactly in which bin each wanted rank is;
-    3. of those bins only, about 0.04 % of the rows per quantile, how often each
-       value occurs, ranked within its bin.
+    1. a sample gives, per group, two close cut points around every quantile;
+    2. counting the values between neighbouring cuts tells exactly in which bin
+       each wanted rank is;
+    3. of those bins only, a small part of the rows, each value is counted and
+       ranked within its bin.
 
     The cuts only steer the work: poor ones make the bins wider, never the
     result wrong. The small tables between the scans are staged, so their size
     on disk decides whether Spark broadcasts them.
     """
     group = ("_key", "measure")
-    margin = 2.0 / _ACCURACY
-    cuts = sorted({min(1.0, max(0.0, q + d)) for q in quantiles for d in (-margin, margin)})
-    base = stage(
-        values.groupBy(*group).agg(
-            *moments, F.percentile_approx("_value", cuts, _ACCURACY).alias("_cuts")
+    part = min(1.0, max(_SAMPLE_PART, _SAMPLE_ROWS / max(n_rows, 1)))
+    # Three standard errors of a rank in a group holding a tenth of the sample.
+    margin = min(0.05, max(2.0 / _ACCURACY, 1.5 / math.sqrt(max(1.0, part * n_rows / 10))))
+    probs = sorted({min(1.0, max(0.0, q + d)) for q in quantiles for d in (-margin, margin)})
+    cuts = [f"_cut{i}" for i in range(len(probs))]
+    sketch = F.percentile_approx("_value", probs, _ACCURACY).alias("_cuts")
+    edges = stage(
+        values.sample(part, seed=7).groupBy(*group).agg(sketch).select(
+            *group, *[F.col("_cuts")[i].alias(c) for i, c in enumerate(cuts)]
         ),
-        "moments",
+        "cuts",
     )
-    passed = [(F.col("_value") >= F.col("_cuts")[i]).cast("int") for i in range(len(cuts))]
+    # A group the sample missed has no cuts: all its values are in bin 0.
+    bin_number = reduce(
+        add, [F.coalesce((F.col("_value") >= F.col(c)).cast("int"), F.lit(0)) for c in cuts]
+    ).alias("_bin")
+
     binned = (
-        values.alias("v")
-        .join(base.select(*group, "_cuts").alias("b"), _same("v", "b", *group))
-        .select("v.*", reduce(add, passed).alias("_bin"))
+        values.alias("v").join(edges.alias("e"), _same_group("v", "e"), "left")
+        .select("v.*", bin_number)
     )
     ranks = stage(_wanted_ranks(binned.groupBy(*group, "_bin").count(), quantiles), "ranks")
-    bins = stage(ranks.select(*group, "_bin").distinct(), "bins")
 
-    counted = (
-        binned.alias("v")
-        .join(bins.alias("b"), _same("v", "b", *group, "_bin"), "left_semi")
+    needed = ranks.groupBy(*group).agg(F.collect_set("_bin").alias("_needed"))
+    steer = stage(
+        needed.alias("n").join(edges.alias("e"), _same_group("n", "e"), "left")
+        .select("n.*", *cuts),
+        "bins",
+    )
+    times = (
+        values.alias("v").join(steer.alias("s"), _same_group("v", "s"))
+        .select("v.*", bin_number, "_needed")
+        .filter(F.array_contains("_needed", F.col("_bin")))
         .groupBy(*group, "_bin", "_value")
         .agg(F.count("*").alias("_times"))
     )
     upto = F.sum("_times").over(Window.partitionBy(*group, "_bin").orderBy("_value"))
     offset = F.col("r._rank") - F.col("r._before")
     found = ranks.alias("r").join(
-        counted.withColumn("_upto", upto).alias("v"),
-        _same("r", "v", *group, "_bin")
+        times.withColumn("_upto", upto).alias("v"),
+        _same_group("r", "v")
+        & (F.col("r._bin") == F.col("v._bin"))
         & (offset < F.col("v._upto"))
         & (offset >= F.col("v._upto") - F.col("v._times")),
     )
 
     def quantile(name: str) -> Column:
-        wanted = F.col("_name") == F.lit(name)
-        low = F.max(F.when(wanted & F.col("_low"), F.col("_value")))
-        high = F.max(F.when(wanted & ~F.col("_low"), F.col("_value")))
-        return (low + (high - low) * F.max(F.when(wanted, F.col("_part")))).alias(name)
-
-    exact = found.groupBy("r._key", "r.measure").agg(*map(quantile, quantiles.values()))
-    return base.alias("b").join(exact.alias("e"), _same("b", "e", *group)).select(
-        "b.*", *quantiles.values()
-    )
+        here = F.col("_name") == F.lit(name)
+        low = F.max(F.when(here & F.col("_low"), F.col("_value")))
+        high = F.max(F.when(here & ~F.col("_low"), F.col("_value")))
+        return (low + (high - low) * F.max(F.when(here, F.col("_part")))).alias(name)
+
+    return found.groupBy("r._key", "r.measure").agg(*map(quantile, quantiles.values()))
 
 
 def _wanted_ranks(bin_counts: DataFrame, quantiles: Mapping[float, str]) -> DataFrame:

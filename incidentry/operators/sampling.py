@@ -17,6 +17,9 @@ from ..sources.workspace import stage
 from .aggregate import count_by
 
 
+_COPIES_AT_ONCE = 10_000
+
+
 def unit_hash(key: str, seed: int = 0) -> Column:
     """A repeatable number in [0, 1) for each key."""
     text = F.concat(F.lit(f"{seed}|"), F.col(key).cast("string"))
@@ -54,17 +57,27 @@ def oversample(df: DataFrame, label: str, key: str, seed: int = 10) -> DataFrame
     joins them without shuffling the table, however uneven the classes.
     """
     sizes = stage(class_counts(df.filter(F.col(label).isNotNull()), label), "classes")
-    largest = sizes.agg(F.max("count")).scalar()
+    largest, smallest = sizes.agg(F.max("count"), F.min("count")).first()
     ratios = sizes.select(
-        F.col(label).alias("_label"), (largest / F.col("count")).alias("_ratio")
-    )
-    whole = F.floor("_ratio")
-    copies = whole + (unit_hash(key, seed) < F.col("_ratio") - whole).cast("int")
-    return (
-        df.join(ratios, F.col(label) == F.col("_label"))
-        .withColumn("_copy", F.explode(F.array_repeat(F.lit(True), copies.cast("int"))))
-        .select(*df.columns)
+        F.col(label).alias("_label"), (F.lit(largest) / F.col("count")).alias("_ratio")
     )
+    extra = unit_hash(key, seed) < F.col("_ratio") - F.floor("_ratio")
+    copies = F.floor("_ratio") + extra.cast("int")
+    counted = df.join(ratios, F.col(label) == F.col("_label")).withColumn("_copies", copies)
+    if largest is not None and largest > smallest * _COPIES_AT_ONCE:
+        # A row needed very often is cut into portions and these are spread out,
+        # so that no single task writes all its copies. The number of partitions
+        # is given, or they would be merged again for being small by now.
+        pieces = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        portions = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_copies") - 1) / _COPIES_AT_ONCE))
+        rest = F.col("_copies") - F.col("_portion") * _COPIES_AT_ONCE
+        counted = (
+            counted.withColumn("_portion", F.explode(portions))
+            .withColumn("_copies", F.least(rest, F.lit(_COPIES_AT_ONCE)))
+            .repartition(pieces, F.col(key), F.col("_portion"))
+        )
+    repeated = F.explode(F.array_repeat(F.lit(True), F.col("_copies").cast("int")))
+    return counted.withColumn("_copy", repeated).select(*df.columns)
 
 
 def oversample_random(

@@ -19,19 +19,19 @@ def cleaning_reports(raw: DataFrame, cleaned: DataFrame) -> dict[str, DataFrame]
     return {"missingBefore": null_report(raw), "missingAfter": null_report(cleaned)}
 
 
-def write_by_year(cleaned: DataFrame, path: str, ts: str = "Start_Time") -> None:
+def write_by_year(
+    cleaned: DataFrame, path: str, ts: str = "Start_Time", compact: bool = False
+) -> None:
     """Store the cleaned table as Parquet with one folder per year.
 
-    Reports on a few years then open only those folders. Rebalancing keeps a
-    year in few files and splits a year that is too large for one task.
+    Reports on a few years then open only those folders. Every task writes its
+    own rows, without a shuffle; ``compact`` shuffles once to merge small files
+    and to split a year that is too large for one task.
     """
-    (
-        cleaned.withColumn(YEAR_PARTITION, F.year(ts))
-        .hint("rebalance", YEAR_PARTITION)
-        .write.mode("overwrite")
-        .partitionBy(YEAR_PARTITION)
-        .parquet(path)
-    )
+    dated = cleaned.withColumn(YEAR_PARTITION, F.year(ts))
+    if compact:
+        dated = dated.hint("rebalance", YEAR_PARTITION)
+    dated.write.mode("overwrite").partitionBy(YEAR_PARTITION).parquet(path)
 
 
 def year_partition(incidents: DataFrame) -> str | None:

@@ -68,6 +68,18 @@ def test_oversampling_by_a_broken_ratio(spark):
     assert got[1] == 900 and 840 < got[2] < 960  # 2.25 copies each
 
 
+def test_oversampling_a_very_rare_class_spreads_its_copies(spark, monkeypatch):
+    from incidentry.operators import sampling
+
+    monkeypatch.setattr(sampling, "_COPIES_AT_ONCE", 50)
+    data = [(f"a{i}", 1) for i in range(1010)] + [("b", 2)] + [(f"c{i}", 3) for i in range(3)]
+    more = oversample(spark.createDataFrame(data, "id string, label int"), "label", "id")
+    got = sizes_of(more)
+    assert got[1] == 1010 and got[2] == 1010 and got[3] in (1008, 1009, 1010, 1011)
+    pieces = more.filter("label = 2").select(F.spark_partition_id().alias("p")).distinct()
+    assert pieces.count() > 1
+
+
 def test_random_oversampling(classes):
     got = sizes_of(oversample_random(classes, "label", [1, 2, 3], 10))
     assert set(got) == {1, 2, 3} and got[1] == 1000
