@@ -37,11 +37,9 @@ def flag_presence_counts(spark, sf):
 
 def flag_severity_counts(spark, sf):
     lines = any_flag(flagged_lines(spark, sf), FLAGS, "has_any")
-    parts = [
-        constant(count_by(lines.filter(condition), ["severity"], "n"), "flagged", label)
-        for condition, label in ((F.col("has_any"), "yes"), (~F.col("has_any"), "no"))
-    ]
-    return as_long(parts[0].unionByName(parts[1]), "severity")
+    counts = constant(count_by(lines, ["severity", "has_any"], "n"), "source", "lineitem")
+    flagged = F.when(F.col("has_any"), "yes").when(~F.col("has_any"), "no").alias("flagged")
+    return as_long(counts.select("source", "severity", flagged, "n"), "severity")
 
 
 def flag_sums(spark, sf):
@@ -120,8 +118,9 @@ ORACLE = {
     "flag_presence_counts": f"WITH {_FLAGGED} SELECT has_any, count(*) AS n FROM marked GROUP BY 1",
     "flag_severity_counts": f"""
         WITH {_FLAGGED}
-        SELECT severity, CASE WHEN has_any THEN 'yes' ELSE 'no' END AS flagged, count(*) AS n
-        FROM marked GROUP BY 1, 2""",
+        SELECT 'lineitem' AS source, severity, CASE WHEN has_any THEN 'yes' ELSE 'no' END AS flagged,
+               count(*) AS n
+        FROM marked GROUP BY 1, 2, 3""",
     "flag_totals": f"WITH {_FLAGGED} SELECT {_SUMS} FROM flagged",
     "flag_totals_by_severity": f"WITH {_FLAGGED} SELECT severity, {_SUMS} FROM flagged GROUP BY 1",
     "flag_totals_long": f"WITH {_FLAGGED} " + " UNION ALL ".join(
