@@ -82,18 +82,19 @@ def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
 _PREPARED: dict[tuple[str, str], str] = {}
 
 
+def store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean the table, store it by year as the cleaning job does, and read it back."""
+    path = fresh_path(spark, "incidents")
+    write_by_year(clean_incidents(raw_incidents(spark, sf_dir)), path)
+    _PREPARED[spark.sparkContext.applicationId, sf_dir] = path
+    return spark.read.parquet(path)
+
+
 def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The cleaned table, stored by year as the cleaning job stores it.
-
-    It is written once per session and set of tables; reports then read it, as
-    they would read the output of the cleaning job.
-    """
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _PREPARED:
-        path = fresh_path(spark, "incidents")
-        write_by_year(clean_incidents(raw_incidents(spark, sf_dir)), path)
-        _PREPARED[key] = path
-    return spark.read.parquet(_PREPARED[key])
+    """The stored table, written on first use in a session; reports read it as
+    they would read the output of the cleaning job."""
+    path = _PREPARED.get((spark.sparkContext.applicationId, sf_dir))
+    return spark.read.parquet(path) if path else store(spark, sf_dir)
 
 
 def population(spark: SparkSession, sf_dir: str) -> DataFrame:

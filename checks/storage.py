@@ -15,9 +15,11 @@ from incidentry import (
     save_result,
     union_all,
 )
+from incidentry.contract import YEAR_PARTITION
 from incidentry.sources.workspace import fresh_path
 
 from .common import table
+from .incidents import SQL_INCIDENTS, store
 
 _CSV_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 
@@ -88,6 +90,14 @@ def multi_output_job(spark, sf):
     ])
 
 
+def store_by_year(spark, sf):
+    """The cleaned incidents written by year; rows, years and stripped text read back."""
+    stored = store(spark, sf).select(F.col(YEAR_PARTITION).cast("bigint").alias("year"), "Description")
+    return stored.groupBy("year").agg(
+        F.count("*").alias("n"), F.count_if(F.col("Description").contains("\\")).alias("n_slashed")
+    )
+
+
 def project_columns(spark, sf):
     columns = ["l_orderkey", "l_quantity", "l_shipdate"]
     lines = table(spark, sf, "lineitem").select(*columns)
@@ -100,6 +110,7 @@ def drop_columns(spark, sf):
 
 
 QUERIES = {
+    "store_by_year": store_by_year,
     "csv_roundtrip": csv_roundtrip,
     "csv_headerless_scan": csv_headerless_scan,
     "csv_string_scan": csv_string_scan,
@@ -117,6 +128,10 @@ _ORDERS = """
     FROM orders"""
 
 ORACLE = {
+    "store_by_year": f"""
+        WITH {SQL_INCIDENTS}
+        SELECT year(Start_Time) AS year, count(*) AS n, CAST(0 AS BIGINT) AS n_slashed
+        FROM incidents GROUP BY 1""",
     "csv_roundtrip": _ORDERS,
     "csv_headerless_scan": _ORDERS,
     "csv_string_scan": """
