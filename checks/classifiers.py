@@ -82,6 +82,26 @@ def model_metrics(spark, sf):
     return reports["dtMetrics"]
 
 
+def model_test_rows(spark, sf):
+    """Scored test rows per actual severity of a shallow undersampled model, and
+    how many of them got a severity that occurs."""
+    _, out = prediction.fit_and_report(
+        features(spark, sf), prediction.severity_model(max_depth=3), prediction.UNDERSAMPLED
+    )
+    known = F.when(F.col("predicted").isin(1, 2, 3), F.col("count")).otherwise(0)
+    scored = out["confusion"].groupBy("actual").agg(F.sum("count").alias("n"), F.sum(known).alias("n_known"))
+    return as_long(scored, "actual")
+
+
+def rebalanced_training_rows(spark, sf):
+    """Class sizes and distinct rows of the rebalanced training part."""
+    rows = prediction.rebalanced_features(incidents(spark, sf), CUTOFF)
+    train, _ = prediction.training_parts(rows, prediction.REBALANCED, rebalance=True)
+    copies = count_by(train.select("Severity", "ID"), ["Severity", "ID"], "copies")
+    sizes = copies.groupBy("Severity").agg(F.sum("copies").alias("n"), F.count("*").alias("n_ids"))
+    return as_long(sizes, "Severity")
+
+
 def model_save_load(spark, sf):
     """A model read back predicts every test row as before: rows and differences."""
     train, test = split(features(spark, sf), 0.8, "ID", 11)
@@ -122,6 +142,8 @@ QUERIES = {
     "model_predictions": model_predictions,
     "model_predictions_rebalanced": model_predictions_rebalanced,
     "model_metrics": model_metrics,
+    "model_test_rows": model_test_rows,
+    "rebalanced_training_rows": rebalanced_training_rows,
     "model_save_load": model_save_load,
     "accuracy_metric": accuracy_metric,
     "f1_metric": f1_metric,
@@ -164,6 +186,13 @@ def _vector() -> str:
     )
 
 
+def _picked(fractions: dict[int, float]) -> str:
+    cases = " ".join(f"WHEN {level} THEN {part}" for level, part in fractions.items())
+    return f"""
+    picked AS (
+        SELECT * FROM features WHERE {sql_hash('ID', 10)} < CASE Severity {cases} ELSE 0 END)"""
+
+
 _RULE = f"""
     rule AS (
         SELECT least(5, 1 + CAST(floor(o_totalprice / 100000) AS BIGINT)) AS predicted,
@@ -178,6 +207,20 @@ ORACLE = {
                CAST(row_number() OVER (ORDER BY n DESC, o_orderpriority) - 1 AS DOUBLE) AS position
         FROM (SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY 1)""",
     "feature_vector": f"WITH {SQL_INCIDENTS}, {_SUNDAY} {_vector()}",
+    "model_test_rows": f"""
+        WITH {SQL_INCIDENTS}, {_SUNDAY}, {_picked(prediction.UNDERSAMPLED)}
+        SELECT Severity AS actual, count(*) AS n, count(*) AS n_known
+        FROM picked WHERE {sql_hash('ID', 11)} >= 0.8 GROUP BY 1""",
+    "rebalanced_training_rows": f"""
+        WITH {SQL_INCIDENTS}, {_MONDAY}, {_picked(prediction.REBALANCED)},
+        train AS (SELECT * FROM picked WHERE {sql_hash('ID', 11)} < 0.8),
+        sizes AS (SELECT Severity, count(*) AS n FROM train GROUP BY 1),
+        ratios AS (SELECT Severity, CAST(max(n) OVER () AS DOUBLE) / n AS ratio FROM sizes),
+        copies AS (
+            SELECT Severity, ID, CAST(floor(ratio) AS BIGINT)
+                   + CASE WHEN {sql_hash('ID', 12)} < ratio - floor(ratio) THEN 1 ELSE 0 END AS n
+            FROM train JOIN ratios USING (Severity))
+        SELECT Severity, CAST(sum(n) AS BIGINT) AS n, count(DISTINCT ID) AS n_ids FROM copies GROUP BY 1""",
     "model_save_load": f"""
         WITH {SQL_INCIDENTS}, {_SUNDAY}
         SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_different

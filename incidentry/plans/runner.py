@@ -44,7 +44,10 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="run_reports")
     parser.add_argument(
         "job",
-        choices=["clean", "time", "address", "roadside", "weather", "severity", "rebalanced"],
+        choices=[
+            "clean", "time", "address", "roadside", "weather",
+            "severity-raw", "severity", "rebalanced",
+        ],
     )
     parser.add_argument("--input", required=True)
     parser.add_argument("--output", required=True)
@@ -83,7 +86,10 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> None:
     elif args.job == "weather":
         reports = weather_reports(incidents, args.cutoff_year, stage)
     else:
-        build = severity_reports if args.job == "severity" else rebalanced_reports
-        model, reports = build(incidents, args.cutoff_year)
+        if args.job == "rebalanced":
+            model, reports = rebalanced_reports(incidents, args.cutoff_year)
+        else:
+            sampled = args.job == "severity"
+            model, reports = severity_reports(incidents, args.cutoff_year, sampled=sampled)
         save_model(model, f"{args.output}/{args.job}_model")
     write_reports(reports, args.output, args.output_format)

@@ -160,6 +160,7 @@ def test_clean_job(spark, raw_csv, cleaned):
     ("roadside", ["AvgVisi", "numPOI", "SevHasPOI", "SevNoPOI", "countPOI", "countSev"]),
     ("weather", ["WeatherDensity", "WeatherDensitySummary", "WeatherCondition", "WeatherWind",
                  "WeatherConditionMix", "WeatherWindMix"]),
+    ("severity-raw", ["dtPrediction", "dtMetrics", "Sev1Prediction"]),
     ("severity", ["dtPrediction", "dtMetrics", "Sev1Prediction", "Sev2Prediction", "Sev3Prediction"]),
     ("rebalanced", ["PredResults_overunder", "PredMetrics_overunder", "PredS1_overunder",
                     "PredS2_overunder", "PredS3_overunder"]),
