@@ -63,7 +63,10 @@ def cell(value: str, lo: float, width: float) -> Column:
 
 
 def is_floating(df: DataFrame, column: str) -> bool:
-    return isinstance(df.select(F.col(column)).schema[0].dataType, (FloatType, DoubleType))
+    # The exact name is looked up at once; another spelling is left to Spark.
+    known = [f.dataType for f in df.schema if f.name == column]
+    kind = known[0] if len(known) == 1 else df.select(F.col(column)).schema[0].dataType
+    return isinstance(kind, (FloatType, DoubleType))
 
 
 def real_value(df: DataFrame, column: str) -> Column:
