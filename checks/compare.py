@@ -32,10 +32,10 @@ def _bag(frame) -> tuple[list, list]:
     return kinds, sorted(rows, key=repr)
 
 
-def differences(df: DataFrame, con, name: str) -> str | None:
+def differences(df: DataFrame, con, sql: str) -> str | None:
     """What differs between a query's result and its SQL, or None."""
     got_kinds, got = _bag(df.toArrow())
-    want_kinds, want = _bag(con.sql(all_oracles()[name]).to_arrow_table())
+    want_kinds, want = _bag(con.sql(sql).to_arrow_table())
     if got_kinds != want_kinds:
         return f"columns {got_kinds} but SQL {want_kinds}"
     if len(got) != len(want):
@@ -64,7 +64,7 @@ def main() -> None:
         start = time.time()
         try:
             if name in all_oracles():
-                problem = differences(all_queries()[name](spark, sf_dir), con, name)
+                problem = differences(all_queries()[name](spark, sf_dir), con, all_oracles()[name])
             else:
                 problem = None if all_queries()[name](spark, sf_dir).count() else "no rows"
         except Exception as error:
