@@ -22,10 +22,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import list_array
+from .common import list_array, pieces
 
 SCAN_BYTES = 64
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 300_000
+PIECE_BYTES = 1 << 20  # text encoded at once
 _NO_MERGE = (1 << 31) - 1
 _TOGETHER = 20_000  # words merged in step
 
@@ -262,7 +263,7 @@ def bpe_encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = vocabulary(path)
-        for batch in batches:
+        for batch in pieces(batches, "text", PIECE_BYTES):
             found = known.encode([t or "" for t in batch.column("text").to_pylist()])
             bounds = np.concatenate([[0], np.cumsum([len(f) for f in found], dtype=np.int64)])
             flat = np.concatenate(found) if found else np.zeros(0, np.int32)
@@ -279,7 +280,7 @@ def bpe_decode(encoded: DataFrame, path: str, id_col: str = "id", ids_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = vocabulary(path)
         for batch in batches:
-            texts = [known.decode(i or ()) for i in batch.column("ids").to_pylist()]
+            texts = [known.decode(i.as_py() or ()) for i in batch.column("ids")]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("ids"), pa.array(texts, pa.string())],
                 ["id", "ids", "text"],
