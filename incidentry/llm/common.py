@@ -111,12 +111,13 @@ def gram_hashes(data: np.ndarray, width: int) -> np.ndarray:
     return span_hashes(data, starts, starts + width)
 
 
-def words(
+def word_places(
     data: np.ndarray, bounds: np.ndarray, member: np.ndarray
-) -> tuple[np.ndarray, np.ndarray]:
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words of all rows: maximal runs of member bytes, A-Z lower-cased first.
 
-    Returns the hash of each word and the n + 1 bounds of each row's words.
+    Returns the hash, start and end byte of each word, and the n + 1 bounds of
+    each row's words.
     """
     data = _LOWER[data]
     inside = member[data]
@@ -128,7 +129,32 @@ def words(
     after = np.zeros(len(data) + 1, bool)
     after[:-1] = inside
     ends = np.flatnonzero(inside & (first[1:] | ~after[1:])) + 1
-    return span_hashes(data, starts, ends), np.searchsorted(starts, bounds)
+    return span_hashes(data, starts, ends), starts, ends, np.searchsorted(starts, bounds)
+
+
+def words(data: np.ndarray, bounds: np.ndarray, member: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of each word, and the n + 1 bounds of each row's words."""
+    hashes, _, _, of = word_places(data, bounds, member)
+    return hashes, of
+
+
+class HashIndex:
+    """Place of a 64-bit hash in a sorted array of distinct hashes, through slots by its leading bits."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.shift = np.uint64(64 - max(4, (4 * len(hashes)).bit_length()))
+        at = (hashes >> self.shift).astype(np.int64)
+        column = np.arange(len(at)) - np.searchsorted(at, at)
+        shape = (int(column.max(initial=0)) + 1, 1 << (64 - int(self.shift)))
+        self.hashes, self.places = np.zeros(shape, np.uint64), np.full(shape, -1, np.int32)
+        self.hashes[column, at], self.places[column, at] = hashes, np.arange(len(hashes))
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The places, -1 for hashes that are not there."""
+        slot, out = (hashes >> self.shift).astype(np.int64), np.full(len(hashes), -1, np.int32)
+        for known, places in zip(self.hashes, self.places, strict=True):
+            np.copyto(out, places[slot], where=known[slot] == hashes)
+        return out
 
 
 def of_rows(bounds: np.ndarray) -> np.ndarray:

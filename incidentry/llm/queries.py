@@ -14,6 +14,7 @@ from incidentry.sources.workspace import fresh_path, stage
 from .bpe import bpe_decode, bpe_encode
 from .chat import format_chats, read_window
 from .common import table
+from .decontaminate import find_contamination, is_contaminated
 from .language_id import fit_language_id, held_out, predict_language
 from .url_filter import url_verdicts
 from .warc import read_warc, write_warc
@@ -27,6 +28,41 @@ RULES = [
 ]
 
 
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    names = F.array_join(F.array_sort(F.col("items").cast("array<string>")), ",")
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(names, 256).alias("items_sha256"), is_contaminated().alias("contaminated"),
+    )
+
+
+_SQL_ITEM_WORDS = """regexp_extract_all(translate(coalesce(text, ''),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"""
+SQL_DECONTAMINATION = f"""
+WITH item AS (SELECT item_id, {_SQL_ITEM_WORDS} AS w FROM benchmark),
+phrase AS (
+  SELECT DISTINCT item_id, least(len(w), 13) AS k,
+    array_to_string(w[i:i + least(len(w), 13) - 1], ' ') AS words
+  FROM item, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS t(i) WHERE len(w) > 0),
+doc AS (SELECT doc_id, {_SQL_ITEM_WORDS} AS w FROM documents),
+hits AS (
+  SELECT doc_id, i, phrase.k AS k, item_id
+  FROM (SELECT doc_id, i, k, array_to_string(w[i:i + k - 1], ' ') AS words
+        FROM doc, (SELECT DISTINCT k FROM phrase), unnest(range(1, len(w) - k + 2)) AS t(i)) AS d
+  JOIN phrase ON phrase.k = d.k AND phrase.words = d.words),
+counted AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM hits, unnest(range(i, i + k)) AS t(p) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS name FROM hits) GROUP BY doc_id)
+SELECT doc.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+  coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM doc LEFT JOIN counted ON doc.doc_id = counted.doc_id LEFT JOIN items ON doc.doc_id = items.doc_id
+"""
+
+
 def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
     judged = url_verdicts(table(spark, sf_dir, "pages"), rules)
@@ -145,6 +181,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_url_filters": op3_url_filters,
     "op6_language_id": op6_language_id,
     "op7_chat_formatting": op7_chat_formatting,
@@ -153,6 +190,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op2_benchmark_decontamination": SQL_DECONTAMINATION,
     "op3_url_filters": SQL_URL_FILTERS,
     "op8_warc": SQL_WARC,
 }
