@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -83,7 +84,7 @@ class Vocabulary:
         )) if special else None
         self._words = _Words(self.merge_long)
         self._plain = regex.compile(_pattern(""))
-        self._new, self._exact = _newer_characters()
+        self._newer: tuple | None = None  # found when the first text beyond ASCII comes
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Ranks of adjacent parts; those of a missing part (-1) or without a merge are _NO_MERGE."""
@@ -174,8 +175,10 @@ class Vocabulary:
     def _find(self, text: str) -> list[str]:
         if text.isascii():
             return _ASCII.findall(text)
-        newer = not self._new.isdisjoint(set(text))
-        return (self._exact if newer else self._plain).findall(text)
+        if self._newer is None:
+            self._newer = _newer_characters()
+        newer, exact = self._newer
+        return (self._plain if newer.isdisjoint(set(text)) else exact).findall(text)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text; added tokens found in a text are those tokens."""
@@ -280,7 +283,9 @@ def bpe_decode(encoded: DataFrame, path: str, id_col: str = "id", ids_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = vocabulary(path)
         for batch in batches:
-            texts = [known.decode(i.as_py() or ()) for i in batch.column("ids")]
+            lists = pc.fill_null(batch.column("ids"), pa.scalar([], pa.list_(pa.int32())))
+            flat, bounds = lists.values.to_numpy(), lists.offsets.to_numpy()
+            texts = [known.decode(flat[a:b].tolist()) for a, b in zip(bounds, bounds[1:], strict=False)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("ids"), pa.array(texts, pa.string())],
                 ["id", "ids", "text"],
