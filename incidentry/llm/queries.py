@@ -15,6 +15,7 @@ from .bpe import bpe_decode, bpe_encode
 from .chat import format_chats, read_window
 from .common import table
 from .decontaminate import find_contamination, is_contaminated
+from .embedding_dedup import near_duplicate_embeddings
 from .language_id import fit_language_id, held_out, predict_language
 from .url_filter import url_verdicts
 from .warc import read_warc, write_warc
@@ -90,6 +91,10 @@ FROM page LEFT JOIN best ON page.host = best.host AND page.path = best.path
 """
 
 
+def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_embeddings(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     predicted = predict_language(docs.select("doc_id", "text"), fit_language_id(docs))
@@ -183,6 +188,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_url_filters": op3_url_filters,
+    "op5_embedding_near_dedup": op5_embedding_near_dedup,
     "op6_language_id": op6_language_id,
     "op7_chat_formatting": op7_chat_formatting,
     "op8_warc": op8_warc,
