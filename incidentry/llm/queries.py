@@ -17,6 +17,7 @@ from .common import table
 from .decontaminate import find_contamination, is_contaminated
 from .embedding_dedup import near_duplicate_embeddings
 from .language_id import fit_language_id, held_out, predict_language
+from .license_scan import STATEMENTS, scan_licenses, statements
 from .url_filter import url_verdicts
 from .warc import read_warc, write_warc
 
@@ -173,6 +174,35 @@ FROM page LEFT JOIN holder ON page.payload_digest = holder.payload_digest
 """
 
 
+def op9_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_licenses(table(spark, sf_dir, "documents"), statements(spark))
+    return found.withColumnRenamed("id", "doc_id")
+
+
+_SQL_STATEMENTS = ", ".join(f"('{name}', '{text}')" for name, text in sorted(STATEMENTS.items()))
+_SQL_RUNS = """list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))"""
+SQL_LICENSES = f"""
+WITH statement(license, text) AS (VALUES {_SQL_STATEMENTS}),
+template AS (
+  SELECT license, len(s) AS m, unnest(s) AS shingle
+  FROM (SELECT license, list_distinct({_SQL_RUNS}) AS s
+        FROM (SELECT license, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM statement))),
+hits AS (
+  SELECT doc_id, license, m, shingle, i - 1 AS place
+  FROM (SELECT doc_id, i, s[i] AS shingle
+        FROM (SELECT doc_id, {_SQL_RUNS} AS s
+              FROM (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM documents)) AS d,
+          unnest(range(1, len(s) + 1)) AS t(i)) AS runs
+  JOIN template USING (shingle)),
+windows AS (
+  SELECT doc_id, license, m, place // m - back AS w, count(DISTINCT shingle) AS n_shared
+  FROM hits, (VALUES (0), (1)) AS b(back) WHERE place // m - back >= 0 GROUP BY ALL)
+SELECT doc_id, license, max(n_shared) AS n_shared, CAST(max(m) AS BIGINT) AS n_shingles,
+  CAST(min(w * m) AS BIGINT) AS first_word
+FROM windows WHERE 100 * n_shared >= 80 * m GROUP BY doc_id, license
+"""
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     decoded = bpe_decode(bpe_encode(table(spark, sf_dir, "documents"), path), path)
@@ -192,6 +222,7 @@ QUERIES = {
     "op6_language_id": op6_language_id,
     "op7_chat_formatting": op7_chat_formatting,
     "op8_warc": op8_warc,
+    "op9_license_scans": op9_license_scans,
     "op10_bpe": op10_bpe,
 }
 
@@ -199,4 +230,5 @@ ORACLE = {
     "op2_benchmark_decontamination": SQL_DECONTAMINATION,
     "op3_url_filters": SQL_URL_FILTERS,
     "op8_warc": SQL_WARC,
+    "op9_license_scans": SQL_LICENSES,
 }
