@@ -17,6 +17,7 @@ from .common import table
 from .decontaminate import find_contamination, is_contaminated
 from .embedding_dedup import near_duplicate_embeddings
 from .language_id import fit_language_id, held_out, predict_language
+from .jaccard_join import jaccard_components
 from .license_scan import STATEMENTS, scan_licenses, statements
 from .url_filter import url_verdicts
 from .warc import read_warc, write_warc
@@ -30,6 +31,10 @@ RULES = [
 ]
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     names = F.array_join(F.array_sort(F.col("items").cast("array<string>")), ",")
@@ -216,6 +221,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_url_filters": op3_url_filters,
     "op5_embedding_near_dedup": op5_embedding_near_dedup,
