@@ -19,6 +19,7 @@ from .embedding_dedup import near_duplicate_embeddings
 from .language_id import fit_language_id, held_out, predict_language
 from .jaccard_join import jaccard_components
 from .license_scan import STATEMENTS, scan_licenses, statements
+from .suffix_dedup import remove_repeats
 from .url_filter import url_verdicts
 from .warc import read_warc, write_warc
 
@@ -97,6 +98,14 @@ FROM page LEFT JOIN best ON page.host = best.host AND page.path = best.path
 """
 
 
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select(
+        F.col("id").alias("doc_id"), "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_embeddings(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
 
@@ -224,6 +233,7 @@ QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_url_filters": op3_url_filters,
+    "op4_suffix_array_dedup": op4_suffix_array_dedup,
     "op5_embedding_near_dedup": op5_embedding_near_dedup,
     "op6_language_id": op6_language_id,
     "op7_chat_formatting": op7_chat_formatting,
