@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 WORDS = 5
 BANDS = 32
 PERCENT = 80
+SMALL_SHINGLES = 50_000  # of all templates; up to these the templates are broadcast, beyond Spark decides
 
 # Short statements by which texts name their license.
 STATEMENTS = {
@@ -121,9 +122,12 @@ def scan_licenses(
             .alias("content"),
         )
     )
-    signed = known.select(
-        "license", "template", "m", F.explode(_bands(F.col("template"))).alias("b")
-    ).select("m", "b.band", "b.least", "license", "template")
+    signed = known.select("license", "template", "m", F.inline(_bands(F.col("template")))).collect()
+    signed = docs.sparkSession.createDataFrame(
+        signed, "license string, template array<bigint>, m int, band int, least bigint"
+    )
+    if sum(row["m"] for row in listed) <= SMALL_SHINGLES:  # some 16 MB with the bands
+        signed = F.broadcast(signed)
     found = windows.withColumn("b", F.explode(_bands(F.col("content")))).select(
         "row", "id", "m", "window", "content", "b.band", "b.least"
     ).join(signed, ["m", "band", "least"])
