@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from incidentry.sources.workspace import stage
 
@@ -434,11 +435,12 @@ def repeated_runs(keyed: DataFrame, firsts: DataFrame, buckets: int) -> DataFram
 def remove_repeats(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()
 ) -> DataFrame:
-    """One row (id, kept, n_bytes, spans) per document, repeated rows included.
+    """One row (id, kept, n_bytes, spans, kept_text) per document, repeated rows included.
 
     ``kept`` are the UTF-8 bytes that no string of ``LENGTH`` bytes covers which
     stands earlier too: in a document with a smaller id, or before it in the
-    same one. ``spans`` are the removed runs as (start, end). Ids are integers;
+    same one. ``spans`` are the removed runs as (start, end), ``kept_text`` is
+    what is left without the rest of characters that a cut splits. Ids are integers;
     rows with a null id come after all others. Rows that share an id are one
     document: at the same start neither is the earlier. Null texts are empty.
     ``keep`` names columns to carry; they come back under their own names.
@@ -463,8 +465,12 @@ def remove_repeats(
 
 
 def _without(own: DataFrame, known: DataFrame, keep: tuple[str, ...]) -> DataFrame:
-    kind = own.schema["__id"].dataType.simpleString()
-    carried = "".join(f", `{n}` {own.schema[n].dataType.simpleString()}" for n in keep)
+    kind = own.schema["__id"].dataType
+    span_type = T.StructType().add("start", "long").add("end", "long")
+    out_schema = T.StructType().add("id", kind).add("kept", "binary").add("n_bytes", "long")
+    out_schema = out_schema.add("spans", T.ArrayType(span_type)).add("kept_text", "string")
+    for name in keep:
+        out_schema = out_schema.add(own.schema[name])
 
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "__text"):
@@ -473,8 +479,7 @@ def _without(own: DataFrame, known: DataFrame, keep: tuple[str, ...]) -> DataFra
                 [*batch.columns, pa.array(node)], [*batch.schema.names, "__node"]
             )
 
-    schema = f"__id {kind}, __text string{carried}, __node bigint"
-    joined = own.mapInArrow(key, schema).join(
+    joined = own.mapInArrow(key, T.StructType(own.schema.fields).add("__node", "long")).join(
         known.select(F.col("node").alias("__node"), F.col("first").alias("__first"), F.col("runs").alias("__runs")),
         "__node", "left",
     ).select("__id", "__text", *keep, "__first", "__runs")
@@ -483,7 +488,7 @@ def _without(own: DataFrame, known: DataFrame, keep: tuple[str, ...]) -> DataFra
         for batch in pieces(batches, "__text"):
             data, bounds = text_of(batch.column("__text"))
             raw = data.tobytes()
-            out: list[list] = [[], [], []]
+            out: list[list] = [[], [], [], []]
             ids, firsts, runs = (batch.column(c).to_pylist() for c in ("__id", "__first", "__runs"))
             for i, (key_, first, spans) in enumerate(zip(ids, firsts, runs, strict=True)):
                 text = raw[bounds[i] : bounds[i + 1]]
@@ -496,22 +501,20 @@ def _without(own: DataFrame, known: DataFrame, keep: tuple[str, ...]) -> DataFra
                     kept.append(text[last:a])
                     last = b
                 kept.append(text[last:])
-                for column, value in zip(
-                    out, (b"".join(kept), len(text), [{"start": a, "end": b} for a, b in merged]), strict=True
-                ):
+                left = b"".join(kept)
+                ends = [{"start": a, "end": b} for a, b in merged]
+                for column, value in zip(out, (left, len(text), ends, left.decode("utf-8", "ignore")), strict=True):
                     column.append(value)
             span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("__id"), pa.array(out[0], pa.binary()), pa.array(out[1], pa.int64()),
-                    pa.array(out[2], pa.list_(span)), *[batch.column(n) for n in keep],
+                    pa.array(out[2], pa.list_(span)), pa.array(out[3], pa.string()), *[batch.column(n) for n in keep],
                 ],
-                ["id", "kept", "n_bytes", "spans", *keep],
+                ["id", "kept", "n_bytes", "spans", "kept_text", *keep],
             )
 
-    return joined.mapInArrow(
-        cut, f"id {kind}, kept binary, n_bytes bigint, spans array<struct<start:bigint,end:bigint>>{carried}"
-    )
+    return joined.mapInArrow(cut, out_schema)
 
 
 def merge_spans(spans: list[dict]) -> list[tuple[int, int]]:
