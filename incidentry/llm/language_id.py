@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import pieces, text_of
 
@@ -195,13 +196,12 @@ def predict_language(
     """
     kept = docs.drop("lang_pred", "score")
     rows = kept.withColumn("__text", F.when(_has_letter(text_col), F.col(text_col).cast("string")))
-    schema = kept.schema.simpleString().removeprefix("struct<")
     names = [f.name for f in kept.schema]
     if model is None:
         return kept.withColumns(
             {"lang_pred": F.lit(UNKNOWN), "score": F.when(_has_letter(text_col), 0.0).otherwise(1.0)}
         )
-    out_schema = kept.schema.add("lang_pred", "string").add("score", "double") if schema else kept.schema
+    out_schema = T.StructType([*kept.schema]).add("lang_pred", "string").add("score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predict = model.predictor()

@@ -479,7 +479,7 @@ def _without(own: DataFrame, known: DataFrame, keep: tuple[str, ...]) -> DataFra
                 [*batch.columns, pa.array(node)], [*batch.schema.names, "__node"]
             )
 
-    joined = own.mapInArrow(key, T.StructType(own.schema.fields).add("__node", "long")).join(
+    joined = own.mapInArrow(key, T.StructType([*own.schema, T.StructField("__node", T.LongType())])).join(
         known.select(F.col("node").alias("__node"), F.col("first").alias("__first"), F.col("runs").alias("__runs")),
         "__node", "left",
     ).select("__id", "__text", *keep, "__first", "__runs")
