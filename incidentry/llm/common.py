@@ -26,6 +26,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def check_carried(keep: tuple[str, ...], own: tuple[str, ...]) -> None:
+    """Carried columns must not have the name, in any case, of a column that an operator makes."""
+    if clash := {k.lower() for k in keep} & {o.lower() for o in own}:
+        raise ValueError(f"rename {sorted(clash)} before carrying them")
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, lengthened until no column of the frame has it in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def byte_class(*ranges: tuple[int, int]) -> np.ndarray:
     """Membership table of the bytes in the given inclusive ranges."""
     member = np.zeros(256, bool)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import HashIndex, byte_class, of_rows, pieces, text_of, word_places, words
+from .common import HashIndex, byte_class, check_carried, of_rows, pieces, text_of, word_places, words
 
 WORD_BYTES = byte_class((0x30, 0x39), (0x61, 0x7A), (0x80, 0xFF))
 WINDOW = 13
@@ -191,8 +191,10 @@ def find_contamination(
     shorter one; items without words have none. n_hit counts the words inside
     any occurrence, ``spans`` are the merged occurrences as (start, end) bytes
     of the text, ``items`` the distinct item ids that occur, in order, a null id
-    last. Null and empty texts have no words. ``keep`` names columns to carry.
+    last. Null and empty texts have no words. ``keep`` names columns to carry,
+    a ValueError where they clash with these.
     """
+    check_carried(keep, ("id", "n_words", "n_hit", "spans", "items", "__id", "__text"))
     blocks = phrase_blocks(benchmark, window, item_col, item_text_col)
     rows = docs.select(
         F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"), *keep

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import pieces, text_of
+from .common import free_name, pieces, text_of
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -195,7 +195,8 @@ def predict_language(
     ``und`` with score 0 without a model. Windows cover the whole text.
     """
     kept = docs.drop("lang_pred", "score")
-    rows = kept.withColumn("__text", F.when(_has_letter(text_col), F.col(text_col).cast("string")))
+    own = free_name(kept, "__text")
+    rows = kept.withColumn(own, F.when(_has_letter(text_col), F.col(text_col).cast("string")))
     names = [f.name for f in kept.schema]
     if model is None:
         return kept.withColumns(
@@ -206,8 +207,8 @@ def predict_language(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predict = model.predictor()
         languages = np.array(model.languages, object)
-        for batch in pieces(batches, "__text", 1 << 20):
-            data, bounds = text_of(batch.column("__text"))
+        for batch in pieces(batches, own, 1 << 20):
+            data, bounds = text_of(batch.column(own))
             windows, row, size = cut_windows(data, bounds)
             likely = np.zeros((batch.num_rows, len(languages)))
             np.add.at(likely, row, predict(windows) * size[:, None])

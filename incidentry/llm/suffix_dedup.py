@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from incidentry.sources.workspace import stage
 
-from .common import gram_hashes, mixed, of_rows, pieces, powers, text_of
+from .common import check_carried, gram_hashes, mixed, of_rows, pieces, powers, text_of
 
 LENGTH = 100
 GRAM = 32
@@ -443,9 +443,10 @@ def remove_repeats(
     what is left without the rest of characters that a cut splits. Ids are integers;
     rows with a null id come after all others. Rows that share an id are one
     document: at the same start neither is the earlier. Null texts are empty.
-    ``keep`` names columns to carry; they come back under their own names.
+    ``keep`` names columns to carry, a ValueError where they clash with these.
     Texts are told apart by a 64-bit hash.
     """
+    check_carried(keep, ("id", "kept", "n_bytes", "spans", "kept_text", "__id", "__text", "__node", "__first", "__runs"))
     rows = docs.select(
         F.coalesce(F.col(id_col).cast("bigint"), F.lit(_LAST)).alias("id"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),

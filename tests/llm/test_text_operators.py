@@ -135,8 +135,10 @@ def test_decontamination_equals_all_windows(spark, monkeypatch):
                     found |= windows[tuple(w[a : a + size])]
         runs = sum(1 for i in hit if i - 1 not in hit)
         want.append((d, len(w), len(hit), runs, sorted(found, key=lambda i: (i is None, i))))
-    got = decontaminate.find_contamination(docs, benchmark, keep=("items",))
-    assert got.columns == ["id", "n_words", "n_hit", "spans", "items", "items"]
+    got = decontaminate.find_contamination(docs, benchmark, keep=("Node",))
+    assert got.columns == ["id", "n_words", "n_hit", "spans", "items", "Node"]
+    with pytest.raises(ValueError):
+        decontaminate.find_contamination(docs, benchmark, keep=("items",))
     got = [(r[0], r[1], r[2], len(r[3]), r[4]) for r in got.collect()]
     assert sorted(got, key=key) == sorted(want, key=key)
     assert any(r[2] for r in got)
@@ -186,7 +188,7 @@ def test_language_id_learns_and_covers_whole_texts(spark):
     sf = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     model = fit_language_id(docs)
-    judged = predict_language(docs, model).where(held_out() & "lang IS NOT NULL").selectExpr("avg(int(lang = lang_pred))")
+    judged = predict_language(docs, model).where(held_out()).where("lang IS NOT NULL").selectExpr("avg(int(lang = lang_pred))")
     assert judged.first()[0] >= 0.97
     odd = documents(spark)
     got = predict_language(odd, model)
