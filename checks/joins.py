@@ -33,7 +33,7 @@ def top_group_peak_days(spark, sf):
 def peak_day_attributes(spark, sf):
     orders = _daily_orders(spark, sf)
     peaks = top_group_peaks(orders, "city", "day", 10, 12)
-    return _day_text(attach_attribute(peaks, orders, ["day", "city"], ["o_orderstatus"], 12))
+    return _day_text(attach_attribute(peaks, orders, ["day", "city"], ["o_orderstatus"]))
 
 
 def peak_day_drilldown(spark, sf):

@@ -31,17 +31,12 @@ CUTOFF = 2000
 
 # --- cleaning ---------------------------------------------------------------
 
-_MISSING = ["City", "Temperature(F)", "Humidity(%)", "Visibility(mi)", "Wind_Direction", "Weather_Condition"]
-
-
 def missing_before(spark, sf):
-    report = clean.cleaning_reports(raw_incidents(spark, sf), incidents(spark, sf))["missingBefore"]
-    return report.filter(F.col("column_name").isin(_MISSING))
+    return clean.cleaning_reports(raw_incidents(spark, sf), incidents(spark, sf))["missingBefore"]
 
 
 def missing_after(spark, sf):
-    report = clean.cleaning_reports(raw_incidents(spark, sf), incidents(spark, sf))["missingAfter"]
-    return report.filter(F.col("column_name").isin(_MISSING))
+    return clean.cleaning_reports(raw_incidents(spark, sf), incidents(spark, sf))["missingAfter"]
 
 
 # --- time -------------------------------------------------------------------
@@ -206,7 +201,7 @@ def sky_counts(spark, sf):
 
 
 def sky_counts_with_other(spark, sf):
-    return as_long(weather.sky_counts(_weather(spark, sf), WEATHER_BINS_WITH_OTHER), "Severity")
+    return as_long(weather.sky_counts(_weather(spark, sf), WEATHER_BINS_WITH_OTHER, "Other"), "Severity")
 
 
 def wind_counts(spark, sf):
@@ -353,6 +348,21 @@ def _summary() -> str:
     )
 
 
+# Columns that the raw table leaves empty: those with a default are filled, the others stay so.
+_NEVER_FILLED = ["End_Time", "End_Lat", "End_Lng", "Distance(mi)", "County", "Country"]
+_FILLED = [
+    "Number", "Zipcode", "Airport_Code", "Weather_Timestamp", "Wind_Chill(F)", "Precipitation(in)",
+    "Sunrise_Sunset", "Civil_Twilight", "Nautical_Twilight", "Astronomical_Twilight",
+]
+
+
+def _empty(columns) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS column_name, count(*) AS null_count FROM lineitem HAVING count(*) > 0"
+        for name in columns
+    )
+
+
 def _missing() -> str:
     columns = {
         "City": "City = 'CityEmpty'",
@@ -369,8 +379,8 @@ def _missing() -> str:
 
 
 ORACLE = {
-    "report_missing_before": _missing(),
-    "report_missing_after": "SELECT '' AS column_name, 0::BIGINT AS null_count WHERE FALSE",
+    "report_missing_before": _missing() + " UNION ALL " + _empty(_NEVER_FILLED + _FILLED),
+    "report_missing_after": _empty(_NEVER_FILLED),
     "report_month_count": _by_month("Month", "TRUE"),
     "report_weekday": f"""{_BASE} SELECT dayofweek(Start_Time) + 1 AS day_of_Week, count(*) AS count
         FROM incidents WHERE {_IN_YEARS} GROUP BY 1""",
@@ -446,7 +456,7 @@ ORACLE = {
         SELECT Severity, CAST(floor(temperature / 5.0::DOUBLE) AS BIGINT) AS bin, count(*) AS count
         FROM clear GROUP BY 1, 2""",
     "report_sky_counts": _sky(WEATHER_BINS, "weather_condition") + " SELECT * FROM mix",
-    "report_sky_counts_with_other": _sky(WEATHER_BINS_WITH_OTHER, "weather_condition") + " SELECT * FROM mix",
+    "report_sky_counts_with_other": _sky(WEATHER_BINS_WITH_OTHER, "'Other'") + " SELECT * FROM mix",
     "report_wind_counts": _wind() + " SELECT * FROM mix",
     "report_sky_mix": _sky(WEATHER_BINS, "weather_condition") + _mix("Weather_Condition"),
     "report_wind_mix": _wind() + _mix("Wind_Direction"),

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from incidentry import oversample, oversample_random, split, undersample, union_all
+from incidentry import count_by, oversample, oversample_random, split, undersample, union_all
 
 from .common import as_long, sql_hash, table
 
@@ -22,8 +22,25 @@ def undersample_hash(spark, sf):
     return as_long(undersample(priced_classes(spark, sf), "class", FRACTIONS, "o_orderkey", 10), "class")
 
 
+def _drawn(spark, sf, drawn, expected, spread):
+    """Per class: rows of the input, drawn rows that are not among them, and
+    whether as many were drawn as expected, within five standard deviations."""
+    rows = as_long(priced_classes(spark, sf), "class")
+    sizes = count_by(rows, ["class"], "n_input")
+    got = as_long(drawn, "class")
+    strange = count_by(got.join(rows, ["o_orderkey", "class"], "left_anti"), ["class"], "n_strange")
+    near = F.abs(F.col("n") - expected) <= F.lit(5.0) * F.sqrt(spread) + 1
+    return (
+        count_by(got, ["class"], "n").join(sizes, "class", "left").join(strange, "class", "left")
+        .select("class", "n_input", F.coalesce("n_strange", F.lit(0).cast("bigint")).alias("n_strange"),
+                near.alias("near"))
+    )
+
+
 def undersample_random(spark, sf):
-    return as_long(undersample(priced_classes(spark, sf), "class", FRACTIONS, seed=10), "class")
+    drawn = undersample(priced_classes(spark, sf), "class", FRACTIONS, seed=10)
+    part = F.element_at(F.create_map(*[F.lit(x) for kv in FRACTIONS.items() for x in kv]), F.col("class").cast("int"))
+    return _drawn(spark, sf, drawn, F.col("n_input") * part, F.col("n_input") * part * (1 - part))
 
 
 def oversample_balanced(spark, sf):
@@ -31,7 +48,9 @@ def oversample_balanced(spark, sf):
 
 
 def oversample_drawn(spark, sf):
-    return as_long(oversample_random(priced_classes(spark, sf), "class", [1, 2, 3], 10), "class")
+    drawn = oversample_random(priced_classes(spark, sf), "class", [1, 2, 3], 10)
+    top = count_by(priced_classes(spark, sf), ["class"]).agg(F.max("count")).scalar()
+    return _drawn(spark, sf, drawn, top, top)
 
 
 def hash_split(spark, sf):
@@ -48,6 +67,17 @@ def random_split(spark, sf):
     return as_long(both, "class").drop("part")  # which part a row got is random, the rows are not
 
 
+def random_split_sizes(spark, sf):
+    """Rows and keys of both parts, keys in both, and whether the parts are as large as asked for."""
+    train, test = split(priced_classes(spark, sf), 0.8, seed=11)
+    both = train.join(test, "o_orderkey", "left_semi").agg(F.count("*")).scalar()
+    parts = union_all([train.withColumn("part", F.lit(1)), test.withColumn("part", F.lit(0))])
+    return parts.agg(
+        F.count("*").alias("n_rows"), F.countDistinct("o_orderkey").alias("n_keys"),
+        (F.abs(F.avg("part") - 0.8) <= F.lit(5.0) * F.sqrt(F.lit(0.16) / F.count("*"))).alias("near"),
+    ).withColumn("in_both", both)
+
+
 def union_classes(spark, sf):
     rows = priced_classes(spark, sf)
     return as_long(union_all([rows.filter(F.col("class") == c) for c in (1, 2, 2)]), "class")
@@ -60,6 +90,7 @@ QUERIES = {
     "oversample_random": oversample_drawn,
     "hash_split": hash_split,
     "random_split": random_split,
+    "random_split_sizes": random_split_sizes,
     "union_classes": union_classes,
 }
 
@@ -87,7 +118,16 @@ ORACLE = {
         WITH {SQL_CLASSES} SELECT o_orderkey, class,
                CASE WHEN {sql_hash('o_orderkey', 11)} < 0.8 THEN 'train' ELSE 'test' END AS part
         FROM classes""",
+    "undersample_random": f"""
+        WITH {SQL_CLASSES} SELECT class, count(*) AS n_input, 0::BIGINT AS n_strange, TRUE AS near
+        FROM classes WHERE class IN (1, 2, 3) GROUP BY class""",
+    "oversample_random": f"""
+        WITH {SQL_CLASSES} SELECT class, count(*) AS n_input, 0::BIGINT AS n_strange, TRUE AS near
+        FROM classes WHERE class IN (1, 2, 3) GROUP BY class""",
     "random_split": f"WITH {SQL_CLASSES} SELECT o_orderkey, class FROM classes",
+    "random_split_sizes": f"""
+        WITH {SQL_CLASSES} SELECT count(*) AS n_rows, count(DISTINCT o_orderkey) AS n_keys, TRUE AS near,
+               0::BIGINT AS in_both FROM classes""",
     "union_classes": f"""
         WITH {SQL_CLASSES}
         SELECT o_orderkey, class FROM classes WHERE class = 1

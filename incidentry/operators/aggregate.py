@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import real_value
+
 
 def _rows(weight: str | None, condition: Column | None = None) -> Column:
     if weight is None:
@@ -52,18 +54,20 @@ def average_by(
     df: DataFrame, keys: Sequence[str], measure: str, at_least: float | None = None,
     out: str = "average",
 ) -> DataFrame:
-    """Average of a measure per key, ignoring values under ``at_least``."""
-    kept = df if at_least is None else df.filter(F.col(measure) >= F.lit(at_least))
-    return kept.groupBy(*keys).agg(F.avg(measure).alias(out))
+    """Average of a measure per key, ignoring NaN and values under ``at_least``."""
+    value = real_value(df, measure)
+    kept = df if at_least is None else df.filter(value >= F.lit(at_least))
+    return kept.groupBy(*keys).agg(F.avg(value).alias(out))
 
 
 def average_and_max(
     df: DataFrame, keys: Sequence[str], measure: str, digits: int = 1
 ) -> DataFrame:
-    """Rounded average and maximum of a measure per key."""
+    """Rounded average and maximum of a measure per key; NaN is missing."""
+    value = real_value(df, measure)
     return df.groupBy(*keys).agg(
-        F.round(F.avg(measure), digits).alias(f"avg_{measure}"),
-        F.max(measure).alias(f"max_{measure}"),
+        F.round(F.avg(value), digits).alias(f"avg_{measure}"),
+        F.max(value).alias(f"max_{measure}"),
     )
 
 
@@ -84,10 +88,11 @@ def flag_totals(
 def value_bounds(
     df: DataFrame, column: str, low: float = 0.9, high: float = 1.1
 ) -> DataFrame:
-    """Axis bounds of a column: its minimum and maximum with a margin."""
+    """Axis bounds of a column: its minimum and maximum with a margin; NaN is missing."""
+    value = real_value(df, column)
     return df.agg(
-        (F.min(column) * F.lit(low)).alias("lower_bound"),
-        (F.max(column) * F.lit(high)).alias("upper_bound"),
+        (F.min(value) * F.lit(low)).alias("lower_bound"),
+        (F.max(value) * F.lit(high)).alias("upper_bound"),
     )
 
 

@@ -19,7 +19,7 @@ def baseline(
     """The shared row filter: before ``year``, with the ordinal moved down by ``shift``."""
     kept = df.filter(before_year(df, ts, year))
     if partition is not None:
-        kept = kept.filter(F.col(partition) < F.lit(year))
+        kept = kept.filter(F.col(partition) <= F.lit(year))
     return kept.withColumn(ordinal, F.col(ordinal) - F.lit(shift))
 
 
@@ -29,22 +29,30 @@ def in_years(
     """Rows of the given years.
 
     ``partition`` names the table's year partition column, if it has one;
-    folders of other years are then never opened.
+    folders of other years are then never opened. The folders of both
+    neighbouring years are, since a year begins at another instant in another
+    time zone; the timestamp decides.
     """
     years = sorted(set(years))
     kept = df.filter(within_years(df, ts, years))
-    return kept if partition is None else kept.filter(F.col(partition).isin(years))
+    near = sorted({y + d for y in years for d in (-1, 0, 1)})
+    return kept if partition is None else kept.filter(F.col(partition).isin(near))
 
 
-def not_year(df: DataFrame, ts: str, year: int, partition: str | None = None) -> DataFrame:
-    """Rows of every other year; rows without a timestamp are dropped too."""
-    kept = df.filter(outside_year(df, ts, year))
-    return kept if partition is None else kept.filter(F.col(partition) != F.lit(year))
+def not_year(df: DataFrame, ts: str, year: int) -> DataFrame:
+    """Rows of every other year; rows without a timestamp are dropped too.
+
+    The year's own folder, if the table has one, is read as well: in another
+    time zone than the writer's it holds rows of the neighbouring years.
+    """
+    return df.filter(outside_year(df, ts, year))
 
 
 def keep_above(df: DataFrame, thresholds: Mapping[str, float]) -> DataFrame:
-    """Rows whose listed columns all exceed their threshold."""
-    return df.filter(reduce(and_, [F.col(c) > F.lit(t) for c, t in thresholds.items()]))
+    """Rows whose listed columns all exceed their threshold; NaN does not."""
+    above = [F.col(c) > F.lit(t) for c, t in thresholds.items()]
+    above += [~F.isnan(c) for c in thresholds if is_floating(df, c)]
+    return df.filter(reduce(and_, above))
 
 
 def drop_sentinels(df: DataFrame, sentinels: Mapping[str, object]) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import add, and_
@@ -78,17 +77,18 @@ def geo_grid(
     df: DataFrame, lat: str, lon: str, size: float, keys: Sequence[str] = (),
     out: str = "count",
 ) -> DataFrame:
-    """Points per map cell of ``size`` degrees, so a map stays small at any scale."""
-    return df.groupBy(
+    """Points per map cell of ``size`` degrees, so a map stays small at any scale.
+
+    A point without a latitude or longitude (null, NaN) is on no map.
+    """
+    known = df.filter(real_value(df, lat).isNotNull() & real_value(df, lon).isNotNull())
+    return known.groupBy(
         *keys, cell(lat, 0.0, size).alias("lat_cell"), cell(lon, 0.0, size).alias("lon_cell")
     ).agg(F.count("*").alias(out))
 
 
 # --- distribution summary -------------------------------------------------
 
-_SMALL_ROWS = 2_000_000  # tables up to this size may keep their values in task memory
-_SAMPLE_ROWS = 4_000_000  # rows the cut points of larger tables are estimated from,
-_SAMPLE_PART = 1 / 250  # or this part of the table if that is more
 _ACCURACY = 10_000  # rank error of the sketch is at most n / _ACCURACY
 _QUARTILES = {0.25: "p25", 0.5: "p50", 0.75: "p75"}
 
@@ -98,14 +98,12 @@ def distribution(
     key: str,
     measures: Sequence[str],
     quantiles: Mapping[float, str] | None = None,
-    small_rows: int = _SMALL_ROWS,
 ) -> DataFrame:
     """Count, minimum, exact quantiles, maximum, mean and deviation of each
     measure per key, as ``(key, measure, n, min, p25, p50, p75, max, mean, stddev)``.
 
-    Spark's exact ``percentile`` keeps all values of a group in one task, so it
-    is used only on a table counted to have at most ``small_rows`` rows. Beyond
-    that, ``_large_quantiles`` finds the same values without such a task.
+    Quantiles lie linearly between two ranks. No group is ever held in one task:
+    see ``_quantiles``.
     """
     quantiles = dict(quantiles or _QUARTILES)
     # One row per value; an unpivot stays inside generated code.
@@ -114,27 +112,23 @@ def distribution(
         .unpivot(["_key"], list(measures), "measure", "_value")
         .filter(F.col("_value").isNotNull())
     )
-    moments = [
-        F.count("_value").alias("n"),
-        F.min("_value").alias("min"),
-        F.max("_value").alias("max"),
-        F.avg("_value").alias("mean"),
-        F.stddev("_value").alias("stddev"),
-    ]
-    n_rows = df.count()
-    if n_rows <= small_rows:
-        exact = F.percentile("_value", [float(q) for q in quantiles]).alias("_q")
-        rows = values.groupBy("_key", "measure").agg(*moments, exact).select(
-            "*", *[F.col("_q")[i].alias(name) for i, name in enumerate(quantiles.values())]
-        )
-    else:
-        found = _large_quantiles(values, n_rows, quantiles)
-        base = values.groupBy("_key", "measure").agg(*moments)
-        rows = base.alias("b").join(found.alias("f"), _same_group("b", "f")).select(
-            "b.*", *quantiles.values()
-        )
+    margin = 2.0 / _ACCURACY
+    probs = sorted({min(1.0, max(0.0, q + d)) for q in quantiles for d in (-margin, margin)})
+    base = stage(
+        values.groupBy("_key", "measure").agg(
+            F.count("_value").alias("n"),
+            F.min("_value").alias("min"),
+            F.max("_value").alias("max"),
+            F.avg("_value").alias("mean"),
+            F.stddev("_value").alias("stddev"),
+            F.percentile_approx("_value", probs, _ACCURACY).alias("_cuts"),
+        ),
+        "moments",
+    )
+    found = _quantiles(values, base, len(probs), quantiles)
+    rows = base.alias("b").join(found.alias("f"), _same_group("b", "f"))
     return rows.select(
-        F.col("_key").alias(key), "measure", "n", "min", *quantiles.values(), "max", "mean", "stddev"
+        F.col("b._key").alias(key), "b.measure", "n", "min", *quantiles.values(), "max", "mean", "stddev"
     )
 
 
@@ -145,18 +139,18 @@ def _same_group(left: str, right: str) -> Column:
     )
 
 
-def _large_quantiles(
-    values: DataFrame, n_rows: int, quantiles: Mapping[float, str]
+def _quantiles(
+    values: DataFrame, base: DataFrame, n_cuts: int, quantiles: Mapping[float, str]
 ) -> DataFrame:
     """Exact quantiles of ``(_key, measure, _value)`` rows, no group ever held in
     one task.
 
-    Three scans, none of which shuffles the table:
+    Two scans follow the one that gave, per group, two close cut points around
+    every quantile; none shuffles the table:
 
-    1. a sample gives, per group, two close cut points around every quantile;
-    2. counting the values between neighbouring cuts tells exactly in which bin
+    1. counting the values between neighbouring cuts tells exactly in which bin
        each wanted rank is;
-    3. of those bins only, a small part of the rows, each value is counted and
+    2. of those bins only, a small part of the rows, each value is counted and
        ranked within its bin.
 
     The cuts only steer the work: poor ones make the bins wider, never the
@@ -164,19 +158,10 @@ def _large_quantiles(
     on disk decides whether Spark broadcasts them.
     """
     group = ("_key", "measure")
-    part = min(1.0, max(_SAMPLE_PART, _SAMPLE_ROWS / max(n_rows, 1)))
-    # Three standard errors of a rank in a group holding a tenth of the sample.
-    margin = min(0.05, max(2.0 / _ACCURACY, 1.5 / math.sqrt(max(1.0, part * n_rows / 10))))
-    probs = sorted({min(1.0, max(0.0, q + d)) for q in quantiles for d in (-margin, margin)})
-    cuts = [f"_cut{i}" for i in range(len(probs))]
-    sketch = F.percentile_approx("_value", probs, _ACCURACY).alias("_cuts")
+    cuts = [f"_cut{i}" for i in range(n_cuts)]
     edges = stage(
-        values.sample(part, seed=7).groupBy(*group).agg(sketch).select(
-            *group, *[F.col("_cuts")[i].alias(c) for i, c in enumerate(cuts)]
-        ),
-        "cuts",
+        base.select(*group, *[F.col("_cuts")[i].alias(c) for i, c in enumerate(cuts)]), "cuts"
     )
-    # A group the sample missed has no cuts: all its values are in bin 0.
     bin_number = reduce(
         add, [F.coalesce((F.col("_value") >= F.col(c)).cast("int"), F.lit(0)) for c in cuts]
     ).alias("_bin")
@@ -214,7 +199,9 @@ def _large_quantiles(
         here = F.col("_name") == F.lit(name)
         low = F.max(F.when(here & F.col("_low"), F.col("_value")))
         high = F.max(F.when(here & ~F.col("_low"), F.col("_value")))
-        return (low + (high - low) * F.max(F.when(here, F.col("_part")))).alias(name)
+        part = F.max(F.when(here, F.col("_part")))
+        between = (F.lit(1.0) - part) * low + part * high  # holds for infinite values too
+        return F.when((part == 0) | (low == high), low).otherwise(between).alias(name)
 
     return found.groupBy("r._key", "r.measure").agg(*map(quantile, quantiles.values()))
 

@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from .aggregate import count_by
 
-# A ranking of at most this many rows may be sent to every executor.
-BROADCAST_ROWS = 10_000
-
 
 def top_k(
     df: DataFrame,
@@ -29,11 +26,6 @@ def top_k(
     return df.orderBy(order.desc(), *[F.col(t).asc() for t in ties]).limit(k)
 
 
-def _ranked_side(ranking: DataFrame, k: int | None) -> DataFrame:
-    # A ranking cut at k rows has a proven size; without one Spark measures it.
-    return F.broadcast(ranking) if k is not None and k <= BROADCAST_ROWS else ranking
-
-
 def top_group_peaks(
     df: DataFrame, group: str, day: str, k_groups: int = 10, k_days: int = 12,
     weight: str | None = None,
@@ -41,26 +33,25 @@ def top_group_peaks(
     """The busiest ``(day, group)`` pairs among the ``k_groups`` largest groups.
 
     Both rankings come from the same daily counts, so the fact table is read
-    and shuffled once. Rows without a group belong to none.
+    and shuffled once. Rows without a group belong to none. The adaptive plan
+    measures the leaders and chooses how to join them.
     """
     daily = count_by(df.filter(F.col(group).isNotNull()), [day, group], weight=weight)
     leaders = top_k(count_by(daily, [group], weight="count"), "count", k_groups, [group])
-    leaders = _ranked_side(leaders.select(F.col(group).alias("_leader")), k_groups)
+    leaders = leaders.select(F.col(group).alias("_leader"))
     among = daily.join(leaders, F.col(group) == F.col("_leader")).drop("_leader")
     return top_k(among, "count", k_days, [day, group])
 
 
 def attach_attribute(
-    peaks: DataFrame, df: DataFrame, keys: Sequence[str], attributes: Sequence[str],
-    k: int | None = None,
+    peaks: DataFrame, df: DataFrame, keys: Sequence[str], attributes: Sequence[str]
 ) -> DataFrame:
     """One row per fact row on a ranked key, with the listed fact columns.
 
-    ``k`` is the size the ranking was cut at; when it is small the fact table
-    is not shuffled.
+    Stage the ranking first: Spark then knows how small it is and does not
+    shuffle the fact table.
     """
-    fact = df.select(*keys, *attributes)
-    return fact.join(_ranked_side(peaks, k), list(keys))
+    return df.select(*keys, *attributes).join(peaks, list(keys))
 
 
 def preview(df: DataFrame, order: Sequence[str], n: int = 5) -> DataFrame:

@@ -17,12 +17,12 @@ from ..sources.workspace import stage
 from .aggregate import count_by
 
 
-_COPIES_AT_ONCE = 10_000
+_COPIES_AT_ONCE = 10_000  # a row needed more often is copied in portions of so many
 
 
 def unit_hash(key: str, seed: int = 0) -> Column:
-    """A repeatable number in [0, 1) for each key."""
-    text = F.concat(F.lit(f"{seed}|"), F.col(key).cast("string"))
+    """A repeatable number in [0, 1) for each key; a null key counts as an empty one."""
+    text = F.concat(F.lit(f"{seed}|"), F.coalesce(F.col(key).cast("string"), F.lit("")))
     first = F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10)
     return first.cast("double") / F.lit(4294967296.0)
 
@@ -36,9 +36,10 @@ def undersample(
     df: DataFrame, label: str, fractions: Mapping[object, float], key: str | None = None,
     seed: int = 10,
 ) -> DataFrame:
-    """Keep a fraction of each class; a class not listed is dropped.
+    """Keep a fraction of each class; a class not listed is dropped, and so are rows without a class.
 
-    With a ``key`` rows are chosen by its hash, otherwise at random.
+    With a ``key`` rows are chosen by its hash, otherwise at random. Rows with a
+    null key are kept or dropped together.
     """
     if key is None:
         return df.sampleBy(label, fractions=dict(fractions), seed=seed)
@@ -54,28 +55,27 @@ def oversample(df: DataFrame, label: str, key: str, seed: int = 10) -> DataFrame
     A class short by the ratio r gets floor(r) copies of every row and one more
     of the rows whose hash is under r's fraction. All classes are handled in one
     pass; the class sizes are staged, so Spark knows how small they are and
-    joins them without shuffling the table, however uneven the classes.
+    joins them without shuffling the table, however uneven the classes. Rows
+    without a class are kept once. Rows needed very often are copied in portions,
+    which a rebalance spreads over tasks.
     """
     sizes = stage(class_counts(df.filter(F.col(label).isNotNull()), label), "classes")
-    largest, smallest = sizes.agg(F.max("count"), F.min("count")).first()
+    largest = sizes.agg(F.max("count")).first()[0]
     ratios = sizes.select(
         F.col(label).alias("_label"), (F.lit(largest) / F.col("count")).alias("_ratio")
     )
     extra = unit_hash(key, seed) < F.col("_ratio") - F.floor("_ratio")
     copies = F.floor("_ratio") + extra.cast("int")
-    counted = df.join(ratios, F.col(label) == F.col("_label")).withColumn("_copies", copies)
-    if largest is not None and largest > smallest * _COPIES_AT_ONCE:
-        # A row needed very often is cut into portions and these are spread out,
-        # so that no single task writes all its copies. The number of partitions
-        # is given, or they would be merged again for being small by now.
-        pieces = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        portions = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_copies") - 1) / _COPIES_AT_ONCE))
-        rest = F.col("_copies") - F.col("_portion") * _COPIES_AT_ONCE
-        counted = (
-            counted.withColumn("_portion", F.explode(portions))
-            .withColumn("_copies", F.least(rest, F.lit(_COPIES_AT_ONCE)))
-            .repartition(pieces, F.col(key), F.col("_portion"))
-        )
+    counted = df.join(ratios, F.col(label) == F.col("_label"), "left").withColumn(
+        "_copies", F.coalesce(copies, F.lit(1))
+    )
+    portions = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_copies") - 1) / _COPIES_AT_ONCE))
+    rest = F.col("_copies") - F.col("_portion") * _COPIES_AT_ONCE
+    counted = (
+        counted.withColumn("_portion", F.explode(portions))
+        .withColumn("_copies", F.least(rest, F.lit(_COPIES_AT_ONCE)))
+        .hint("rebalance", F.col(key), F.col("_portion"))
+    )
     repeated = F.explode(F.array_repeat(F.lit(True), F.col("_copies").cast("int")))
     return counted.withColumn("_copy", repeated).select(*df.columns)
 

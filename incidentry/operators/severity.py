@@ -137,7 +137,7 @@ def train_and_score(
     both are staged.
     """
     label = pipeline.getStages()[-1].getLabelCol()
-    train = _spread(stage(train, "train"))
+    train = stage(train, "train")
     model = pipeline.fit(train)
     scored = stage(model.transform(test).select(*test.columns, "prediction"), "scored")
     metrics = union_all([
@@ -147,15 +147,6 @@ def train_and_score(
     return model, scored, metrics
 
 
-def _spread(table: DataFrame) -> DataFrame:
-    """Use every core: a stored table of fewer pieces than that is redistributed.
-
-    Large tables have more pieces than cores and are left alone.
-    """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores)
-
-
 def _metrics(matrix: DataFrame, split: str) -> DataFrame:
     wide = scores(matrix).select(F.lit(split).alias("split"), "accuracy", "weighted_f1")
     return wide.unpivot(["split"], ["accuracy", "weighted_f1"], "metric", "value")

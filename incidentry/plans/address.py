@@ -26,7 +26,8 @@ def side_and_severity(rollup: DataFrame) -> DataFrame:
 
 
 def _largest(rollup: DataFrame, key: str, digits: int, k: int = 10) -> DataFrame:
-    summary = summarise(rollup, [key], "Severity", digits, average="AvgSeverity", weight="n")
+    placed = rollup.filter(F.col(key).isNotNull())  # rows without a place are in no ranking
+    summary = summarise(placed, [key], "Severity", digits, average="AvgSeverity", weight="n")
     return top_k(summary, "Count", k, [key])
 
 
@@ -47,7 +48,8 @@ def city_average(rollup: DataFrame, more_than: int = 100, k: int = 10) -> DataFr
 
     Ranked by the exact average; only the shown value is rounded.
     """
-    summary = summarise(rollup, ["City"], "Severity", weight="n")
+    placed = rollup.filter(F.col("City").isNotNull())
+    summary = summarise(placed, ["City"], "Severity", weight="n")
     worst = top_k(summary, "Avg", k, ["City"], min_support=("Count", more_than))
     return worst.select("City", "Count", F.round("Avg", 3).alias("AvgSeverity"))
 

@@ -20,13 +20,14 @@ def cleaning_reports(raw: DataFrame, cleaned: DataFrame) -> dict[str, DataFrame]
 
 
 def write_by_year(
-    cleaned: DataFrame, path: str, ts: str = "Start_Time", compact: bool = False
+    cleaned: DataFrame, path: str, ts: str = "Start_Time", compact: bool = True
 ) -> None:
     """Store the cleaned table as Parquet with one folder per year.
 
-    Reports on a few years then open only those folders. Every task writes its
-    own rows, without a shuffle; ``compact`` shuffles once to merge small files
-    and to split a year that is too large for one task.
+    Reports on a few years then open only those folders. One shuffle brings a
+    year's rows together and splits a year that is too large for one task, so
+    the number of files follows the size of the data. Without ``compact`` every
+    task writes its own rows, into all years it has.
     """
     dated = cleaned.withColumn(YEAR_PARTITION, F.year(ts))
     if compact:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..contract import POI_FLAGS
-from ..functions.columns import any_flag, ratio
+from ..functions.columns import any_flag, ratio, real_value
 from ..operators.aggregate import count_by, flag_totals
 from ..operators.cleaning import baseline
 from .clean import year_partition
@@ -23,7 +23,8 @@ def roadside_rollup(incidents: DataFrame, before_year: int = 2020) -> DataFrame:
     rows = baseline(
         incidents, "Start_Time", "Severity", before_year, partition=year_partition(incidents)
     )
-    clear = F.when(F.col(_VISIBILITY) >= F.lit(0.0), F.col(_VISIBILITY))
+    seen = real_value(rows, _VISIBILITY)
+    clear = F.when(seen >= F.lit(0.0), seen)
     rollup = rows.groupBy("Severity", *POI_FLAGS).agg(
         F.count("*").alias("n"),
         F.sum(clear).alias("visibility"),

@@ -110,7 +110,7 @@ def dangerous_roads(
     incidents: DataFrame, years: Sequence[int] = YEARS, k: int = 10
 ) -> DataFrame:
     rows = in_years(incidents, "Start_Time", years, year_partition(incidents))
-    roads = rows.select(F.col("Street").alias("street"))
+    roads = rows.filter(F.col("Street").isNotNull()).select(F.col("Street").alias("street"))
     return top_k(count_by(roads, ["street"]), "count", k, ["street"])
 
 

@@ -5,18 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..contract import MISSING_DEFAULTS, WEATHER_BINS, WEATHER_MEASURES, WIND_GROUPS
+from ..contract import MISSING_DEFAULTS, WEATHER_BINS, WEATHER_BINS_WITH_OTHER, WEATHER_MEASURES, WIND_GROUPS
 from ..functions.binning import regex_bin, value_map
 from ..operators.aggregate import count_by
 from ..operators.cleaning import drop_sentinels, not_year
 from ..operators.profile import distribution, histogram, share
-from .clean import year_partition
 
 
 def weather_rows(incidents: DataFrame, other_than: int = 2020) -> DataFrame:
     """Severity, five measures, sky and wind of the rows that have them all."""
     columns = [*WEATHER_MEASURES, "Weather_Condition", "Wind_Direction"]
-    other_years = not_year(incidents, "Start_Time", other_than, year_partition(incidents))
+    other_years = not_year(incidents, "Start_Time", other_than)
     rows = other_years.select(
         (F.col("Severity") - F.lit(1)).alias("Severity"), *columns
     )
@@ -37,10 +36,12 @@ def density_outline(rows: DataFrame, measure: str, lo: float, width: float) -> D
     return histogram(rows, ["Severity"], measure, lo, width)
 
 
-def sky_counts(rows: DataFrame, bins=WEATHER_BINS) -> DataFrame:
+def sky_counts(rows: DataFrame, bins=WEATHER_BINS, default: str | None = None) -> DataFrame:
+    """Accidents per weather class and severity; a text in no class keeps its
+    name, or counts as ``default``."""
     # Count the raw texts first: a pattern then runs once per text, not per row.
     raw = count_by(rows, ["Weather_Condition", "Severity"], out="n")
-    binned = regex_bin(raw, "Weather_Condition", bins)
+    binned = regex_bin(raw, "Weather_Condition", bins, default=default)
     return count_by(binned, ["Weather_Condition", "Severity"], out="Counts", weight="n")
 
 
@@ -65,6 +66,7 @@ def weather_reports(
         "WeatherDensity": weather_density(rows),
         "WeatherDensitySummary": density_summary(rows),
         "WeatherCondition": sky,
+        "WeatherConditionOther": sky_counts(rows, WEATHER_BINS_WITH_OTHER, "Other"),
         "WeatherWind": wind,
         "WeatherConditionMix": severity_mix(sky, "Weather_Condition"),
         "WeatherWindMix": severity_mix(wind, "Wind_Direction"),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from conftest import plan, rows
 from incidentry import (
     attach_attribute,
+    average_and_max,
     average_by,
     cohort_compare,
     count_by,
@@ -112,7 +113,7 @@ def test_peaks_of_the_largest_groups(spark):
     df = spark.createDataFrame([(*d, f"w{i}") for i, d in enumerate(data)], "city string, day int, w string")
     peaks = top_group_peaks(df, "city", "day", k_groups=2, k_days=2)
     assert [tuple(r) for r in peaks.collect()] == [(1, "x", 3), (1, "y", 2)]
-    attached = attach_attribute(peaks, df, ["city", "day"], ["w"], k=2)
+    attached = attach_attribute(peaks, df, ["city", "day"], ["w"])
     assert rows(attached.select("city", "count", "w")) == [
         ("x", 3, "w0"), ("x", 3, "w1"), ("x", 3, "w2"), ("y", 2, "w4"), ("y", 2, "w5"),
     ]
@@ -183,15 +184,14 @@ def expected_summary(values):
     )
 
 
-@pytest.mark.parametrize("small_rows", [0, 10**9])
-def test_distribution_against_brute_force(spark, small_rows):
+def test_distribution_against_brute_force(spark):
     """A hot key, ties, few rows, one row, a null key, gaps and an empty measure."""
     rng = random.Random(5)
     data = [("hot", rng.gauss(0, 1), float(rng.randrange(3))) for _ in range(6000)]
     data += [("tied", 7.0, 1.0)] * 50 + [("pair", 1.0, 2.0), ("pair", 4.0, None)]
     data += [("single", 3.0, None), (None, 1.0, 1.0), (None, 2.0, float("nan"))]
     df = spark.createDataFrame(data, "k string, a double, b double").repartition(7)
-    got = distribution(df, "k", ["a", "b"], small_rows=small_rows)
+    got = distribution(df, "k", ["a", "b"])
     assert got.columns == ["k", "measure", "n", "min", "p25", "p50", "p75", "max", "mean", "stddev"]
     result = {(r["k"], r["measure"]): tuple(r)[2:] for r in got.collect()}
     want = {}
@@ -207,6 +207,24 @@ def test_distribution_against_brute_force(spark, small_rows):
 
 def test_distribution_of_other_quantiles(spark):
     df = spark.range(1001).selectExpr("'k' AS k", "CAST(id AS DOUBLE) AS v")
-    for small_rows in (0, 10**9):
-        got = distribution(df, "k", ["v"], {0.0: "q0", 0.1: "q10", 1.0: "q100"}, small_rows)
-        assert rows(got.select("q0", "q10", "q100")) == [(0.0, 100.0, 1000.0)]
+    got = distribution(df, "k", ["v"], {0.0: "q0", 0.1: "q10", 1.0: "q100"})
+    assert rows(got.select("q0", "q10", "q100")) == [(0.0, 100.0, 1000.0)]
+
+
+def test_distribution_of_infinite_values(spark):
+    inf = float("inf")
+    data = [("a", v) for v in (-inf, 1.0, 2.0, inf, inf)] + [("b", inf)] + [("c", -inf), ("c", 5.0)]
+    got = distribution(spark.createDataFrame(data, "k string, v double"), "k", ["v"])
+    assert rows(got.select("k", "p25", "p50", "p75")) == [
+        ("a", 1.0, 2.0, inf), ("b", inf, inf, inf), ("c", -inf, -inf, -inf),
+    ]
+
+
+def test_nan_is_missing_in_every_measure(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([("a", 1.0, 2.0), ("a", nan, 3.0), ("a", 4.0, nan)], "k string, v double, w double")
+    assert rows(average_by(df, ["k"], "v", at_least=0.0)) == [("a", 2.5)]
+    assert rows(average_and_max(df, ["k"], "v")) == [("a", 2.5, 4.0)]
+    assert rows(value_bounds(df, "v", 1.0, 1.0)) == [(1.0, 4.0)]
+    assert rows(keep_above(df, {"v": 0.0}).select("v")) == [(1.0,), (4.0,)]
+    assert rows(geo_grid(df, "v", "w", 1.0)) == [(1, 2, 1)]

@@ -4,7 +4,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from conftest import plan, rows
 from incidentry import (
     accuracy,
     class_counts,
@@ -76,8 +76,18 @@ def test_oversampling_a_very_rare_class_spreads_its_copies(spark, monkeypatch):
     more = oversample(spark.createDataFrame(data, "id string, label int"), "label", "id")
     got = sizes_of(more)
     assert got[1] == 1010 and got[2] == 1010 and got[3] in (1008, 1009, 1010, 1011)
-    pieces = more.filter("label = 2").select(F.spark_partition_id().alias("p")).distinct()
-    assert pieces.count() > 1
+    assert "REBALANCE" in plan(more)  # by key and portion, so many portions are many tasks
+
+
+def test_rows_without_key_or_class_have_a_rule(spark):
+    data = [("a", 1), ("b", 1), ("c", 1), (None, 1), (None, 1), ("d", 2), ("e", None)]
+    df = spark.createDataFrame(data, "id string, label int")
+    train, test = split(df, 0.5, "id")
+    assert train.count() + test.count() == 7
+    assert undersample(df, "label", {1: 1.0, 2: 1.0}, "id").count() == 6
+    got = oversample(df, "label", "id").collect()
+    assert sum(r["label"] == 2 for r in got) == 5 and sum(r["label"] == 1 for r in got) == 5
+    assert [r["id"] for r in got if r["label"] is None] == ["e"]
 
 
 def test_random_oversampling(classes):
