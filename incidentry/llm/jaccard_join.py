@@ -353,7 +353,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     sets = stage(_candidate_sets(shared), "candidate-sets")
     roots = connected_components(similar_pairs(sets))
     named = measured.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = named.where("root IS NOT NULL").groupBy("root").agg(F.min("id").alias("component_id"))
+    # staged, so that both sides of the join are shuffled for it alone and a hot root can be split
+    least = stage(
+        named.where("root IS NOT NULL").groupBy("root").agg(F.min("id").alias("component_id")), "least-ids"
+    )
     return named.join(least, "root", "left").select(
         "id", F.col("n").alias("n_shingles"),
         F.when(F.col("root").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
