@@ -14,6 +14,7 @@ from incidentry import (
     count_by,
     load_model,
     save_model,
+    severity_pipeline,
     train_and_score,
     weighted_f1,
 )
@@ -82,6 +83,28 @@ def model_metrics(spark, sf):
     return reports["dtMetrics"]
 
 
+def _learned_rule(spark, sf):
+    """A tree on a label that is a rule of one feature: it must learn it exactly.
+    The priority goes in as text, through the pipeline's index and encoder, too."""
+    rows = table(spark, sf, "orders").select(
+        "o_orderkey", "o_orderpriority", priority().cast("double").alias("step"),
+        ((priority() * 7) % 4).cast("int").alias("label"),
+    )
+    train, test = split(rows, 0.8, "o_orderkey", 11)
+    return train_and_score(train, test, severity_pipeline([], ["step"], "label", indexed=["o_orderpriority"]))
+
+
+def learned_rule_predictions(spark, sf):
+    _, scored, _ = _learned_rule(spark, sf)
+    return as_long(scored.select("o_orderkey", "prediction"), "prediction")
+
+
+def learned_rule_metrics(spark, sf):
+    """Accuracy and F1 of a model that is right on every row of both splits."""
+    _, _, metrics = _learned_rule(spark, sf)
+    return rounded(metrics, 9, "value")
+
+
 def model_test_rows(spark, sf):
     """Scored test rows per actual severity of a shallow undersampled model, and
     how many of them got a severity that occurs."""
@@ -135,6 +158,8 @@ def confusion_counts(spark, sf):
 
 
 QUERIES = {
+    "learned_rule_predictions": learned_rule_predictions,
+    "learned_rule_metrics": learned_rule_metrics,
     "ml_feature_table": ml_feature_table,
     "ml_feature_table_monday": ml_feature_table_monday,
     "string_index": string_index,
@@ -200,6 +225,13 @@ _RULE = f"""
         FROM orders)"""
 
 ORACLE = {
+    "learned_rule_predictions": f"""
+        SELECT o_orderkey, CAST({SQL_PRIORITY} * 7 % 4 AS BIGINT) AS prediction
+        FROM orders WHERE {sql_hash('o_orderkey', 11)} >= 0.8""",
+    "learned_rule_metrics": f"""
+        SELECT DISTINCT CASE WHEN {sql_hash('o_orderkey', 11)} < 0.8 THEN 'train' ELSE 'test' END AS split,
+               metric, 1.0::DOUBLE AS value
+        FROM orders, (VALUES ('accuracy'), ('weighted_f1')) AS m(metric)""",
     "ml_feature_table": f"WITH {SQL_INCIDENTS}, {_SUNDAY} SELECT * FROM features",
     "ml_feature_table_monday": f"WITH {SQL_INCIDENTS}, {_MONDAY} SELECT * FROM features",
     "string_index": """

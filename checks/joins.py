@@ -37,9 +37,11 @@ def peak_day_attributes(spark, sf):
 
 
 def peak_day_drilldown(spark, sf):
+    """Order states of the busiest day and customer, which are read first."""
+    worst = top_group_peaks(_daily_orders(spark, sf), "city", "day", 10, 1).first()
     orders = table(spark, sf, "orders").filter(
-        (F.col("o_orderdate") == F.lit("1998-10-03").cast("timestamp_ntz"))
-        & (F.col("o_orderpriority") == "2-HIGH")
+        (F.to_date("o_orderdate") == F.lit(str(worst["day"])).cast("date"))
+        & (F.col("o_custkey") == worst["city"])
     )
     return count_by(orders, ["o_orderstatus"], "n").orderBy(F.desc("n"), "o_orderstatus")
 
@@ -123,9 +125,11 @@ ORACLE = {
         SELECT p.day, p.city, p.count, o.o_orderstatus
         FROM orders o JOIN peaks p
           ON o.o_custkey = p.city AND strftime(o.o_orderdate, '%Y-%m-%d') = p.day""",
-    "peak_day_drilldown": """
-        SELECT o_orderstatus, count(*) AS n FROM orders
-        WHERE o_orderdate = TIMESTAMP '1998-10-03' AND o_orderpriority = '2-HIGH' GROUP BY 1""",
+    "peak_day_drilldown": f"""
+        WITH {_PEAKS}, worst AS (SELECT * FROM peaks ORDER BY count DESC, day, city LIMIT 1)
+        SELECT o_orderstatus, count(*) AS n
+        FROM orders o JOIN worst p ON o.o_custkey = p.city AND strftime(o.o_orderdate, '%Y-%m-%d') = p.day
+        GROUP BY 1""",
     "timezone_summary": f"""
         SELECT r_name, count(*) AS n, {sql_round(f'avg({SQL_PRIORITY})', 3)} AS avg_severity
         FROM orders JOIN customer ON o_custkey = c_custkey

@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..contract import INCIDENT_SCHEMA, POPULATION_SCHEMA
 from ..sources.models import save_model
-from ..sources.tables import read_csv, read_table, save_result
-from ..sources.workspace import stage
+from ..sources.tables import load_result, read_csv, read_table, save_result
+from ..sources.workspace import remove_staged, stage
 from .address import address_reports
 from .clean import clean_incidents, cleaning_reports, write_by_year
 from .prediction import rebalanced_reports, severity_reports
@@ -57,13 +57,25 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> None:
     parser.add_argument("--election", help="CSV with columns state, color")
     parser.add_argument("--years", type=int, nargs="+", default=[2017, 2018, 2019])
     parser.add_argument("--cutoff-year", type=int, default=2020)
+    parser.add_argument(
+        "--unsorted", action="store_true", help="clean: store without the shuffle that brings a year together"
+    )
     args = parser.parse_args(argv)
+    try:
+        _run(spark, parser, args)
+    finally:
+        remove_staged(spark)
+
+
+def _run(spark: SparkSession, parser: argparse.ArgumentParser, args: argparse.Namespace) -> None:
     incidents = load_incidents(spark, args.input, args.input_format)
 
     if args.job == "clean":
         cleaned = clean_incidents(incidents)
         if args.output_format == "parquet":
-            write_by_year(cleaned, f"{args.output}/incidents")
+            write_by_year(cleaned, f"{args.output}/incidents", compact=not args.unsorted)
+            # what was stored is counted, not computed once more
+            cleaned = load_result(spark, args.output, "incidents").select(*incidents.columns)
         else:
             save_result(cleaned, args.output, "incidents", args.output_format)
         reports = cleaning_reports(incidents, cleaned)

@@ -81,7 +81,7 @@ def most_day_city(days: DataFrame, cities: int = 10, k: int = 12) -> DataFrame:
 def most_day_city_weather(days: DataFrame, cities: int = 10, k: int = 12) -> DataFrame:
     """One row per accident on those days, with its weather."""
     attached = attach_attribute(
-        most_day_city(days, cities, k), days, ["date", "city"], ["Weather_Condition"], k
+        most_day_city(days, cities, k), days, ["date", "city"], ["Weather_Condition"]
     )
     return attached.select(
         F.col("date").alias("Date"), F.col("city").alias("City"), "Weather_Condition",

@@ -6,12 +6,14 @@ on disk, so Spark's own broadcast threshold decides how it is joined.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_made: list[str] = []
 
 
 def workspace(spark: SparkSession) -> str:
@@ -24,7 +26,7 @@ def workspace(spark: SparkSession) -> str:
     folder = spark.conf.get(_SETTING, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.conf.get("spark.master", "")):
         raise ValueError(f"set {_SETTING} to a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="incidentry-")
     spark.conf.set(_SETTING, folder)
@@ -33,7 +35,17 @@ def workspace(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path under the workspace that nothing has used yet."""
-    return f"{workspace(spark)}/incidentry/{label}-{uuid.uuid4().hex}"
+    path = f"{workspace(spark)}/incidentry/{label}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def remove_staged(spark: SparkSession) -> None:
+    """Delete what this process has staged; a job calls it when its results are stored."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    while _made:
+        path = hadoop(_made.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
