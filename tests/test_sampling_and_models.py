@@ -57,9 +57,9 @@ def test_unit_hash_is_uniform(spark):
 def test_oversampling_evens_the_classes_and_keeps_every_row(classes):
     more = oversample(classes, "label", "id", 3)
     assert more.columns == classes.columns
-    assert sizes_of(more) == {1: 1000, 2: 1000, 3: 1000, 4: 1000}
+    assert sizes_of(more) == {1: 1000, 2: 1000, 3: 1000, 4: 1000, None: 5}  # rows without a class once
     copies = Counter(r["id"] for r in more.collect())
-    assert len(copies) == 1111 and copies["1-0"] == 1 and copies["2-0"] == 10 and copies["4-0"] == 1000
+    assert len(copies) == 1116 and copies["1-0"] == 1 and copies["2-0"] == 10 and copies["4-0"] == 1000
 
 
 def test_oversampling_by_a_broken_ratio(spark):
