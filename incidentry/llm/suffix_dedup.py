@@ -32,8 +32,9 @@ from .common import check_carried, gram_hashes, mixed, of_rows, pieces, powers,
 LENGTH = 100
 GRAM = 32
 STRIDE = 25  # bytes of a symbol; LENGTH is a multiple
-SHARD_BYTES = 1 << 18
-MERGED_BYTES = 2 << 20  # contexts merged at once, whole anchors
+SHARD_BYTES = 1 << 16
+PIECE_BYTES = 1 << 20  # text whose anchors are found at once
+MERGED_BYTES = 1 << 19  # contexts merged at once, whole anchors
 HOT_CONTEXTS = 2000
 BUCKETS = 64
 _BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
@@ -82,7 +83,7 @@ def _keyed(rows: DataFrame) -> DataFrame:
     """(id, node, text): node is a hash of the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", PIECE_BYTES):
             node = text_hashes(*text_of(batch.column("text")))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(node), batch.column("text")], ["id", "node", "text"]
@@ -97,7 +98,7 @@ _PACKED = ["bucket", "hashes", "places", "nodes", "counts"]
 def _dealt_anchors(rows: DataFrame, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", PIECE_BYTES):
             data, bounds = text_of(batch.column("text"))
             nodes = text_hashes(data, bounds)
             fresh = np.zeros(len(nodes), bool)
@@ -184,7 +185,7 @@ def _contexts(rows: DataFrame) -> DataFrame:
     """The contexts around the repeated anchors (``places``) of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text", 1 << 20):
+        for batch in pieces(batches, "text", PIECE_BYTES):
             data, bounds = text_of(batch.column("text"))
             place, grams, first, last = anchors(data, bounds)
             row = np.searchsorted(bounds, place, "right") - 1
@@ -350,6 +351,16 @@ def _earliest_runs(batch_keys: list[bytes], context, place, first_id, first_star
     )
 
 
+def _whole(alike: list[dict]) -> Iterator[pa.RecordBatch]:
+    """All strings of contexts that are the only ones of their anchors."""
+    columns = [
+        pa.array([r["key"] for r in alike], pa.binary()), pa.array([0] * len(alike), pa.int32()),
+        pa.array([len(r["content"]) - LENGTH + 1 for r in alike], pa.int32()),
+        pa.array([r["id"] for r in alike], pa.int64()), pa.array([r["start"] for r in alike], pa.int32()),
+    ]
+    yield pa.RecordBatch.from_arrays(columns, ["key", "place", "n", "first_id", "first_start"])
+
+
 def _merged(contexts: DataFrame) -> DataFrame:
     """Earliest places in the contexts (key, anchor, content, id, start, copies) of each anchor."""
 
@@ -360,17 +371,30 @@ def _merged(contexts: DataFrame) -> DataFrame:
         yield from _earliest_runs([r["key"] for r in rows], *found, alone, (ids, starts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, size, current = [], 0, None
+        rows, alike, group, size = [], [], [], 0
         for batch in batches:
             for row in batch.to_pylist():
-                if row["anchor"] != current and size > MERGED_BYTES:
-                    yield from work(rows)
-                    rows, size = [], 0
-                current = row["anchor"]
-                rows.append(row)
-                size += len(row["content"])
+                if group and row["anchor"] != group[0]["anchor"]:
+                    if len(group) > 1:
+                        rows += group
+                        size += sum(len(r["content"]) for r in group)
+                    elif group[0]["copies"] > 1:  # nothing to merge: all occurrences are alike
+                        alike += group
+                    group = []
+                    if size > MERGED_BYTES:
+                        yield from work(rows)
+                        rows, size = [], 0
+                    if len(alike) > 20_000:
+                        yield from _whole(alike)
+                        alike = []
+                group.append(row)
+        if len(group) > 1:
+            rows += group
+        elif group and group[0]["copies"] > 1:
+            alike += group
         if rows:
             yield from work(rows)
+        yield from _whole(alike)
 
     dealt = contexts.repartition("anchor").sortWithinPartitions("anchor")
     return dealt.mapInArrow(run, _EARLIEST)
@@ -474,7 +498,7 @@ def _without(own: DataFrame, known: DataFrame, keep: tuple[str, ...]) -> DataFra
         out_schema = out_schema.add(own.schema[name])
 
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "__text"):
+        for batch in pieces(batches, "__text", PIECE_BYTES):
             node = text_hashes(*text_of(batch.column("__text")))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(node)], [*batch.schema.names, "__node"]
@@ -486,7 +510,7 @@ def _without(own: DataFrame, known: DataFrame, keep: tuple[str, ...]) -> DataFra
     ).select("__id", "__text", *keep, "__first", "__runs")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "__text"):
+        for batch in pieces(batches, "__text", PIECE_BYTES):
             data, bounds = text_of(batch.column("__text"))
             raw = data.tobytes()
             out: list[list] = [[], [], [], []]
