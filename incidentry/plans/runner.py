@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..contract import INCIDENT_SCHEMA, POPULATION_SCHEMA
 from ..sources.models import save_model
 from ..sources.tables import load_result, read_csv, read_table, save_result
-from ..sources.workspace import remove_staged, stage
+from ..sources.workspace import stage, staging
 from .address import address_reports
 from .clean import clean_incidents, cleaning_reports, write_by_year
 from .prediction import rebalanced_reports, severity_reports
@@ -40,6 +40,11 @@ def write_reports(reports: dict[str, DataFrame], root: str, fmt: str) -> None:
         save_result(df, root, name, fmt, single_file=name not in ROW_LEVEL)
 
 
+def _dimension(spark: SparkSession, path: str, fmt: str, schema=None) -> DataFrame:
+    """A CSV file, or a stored table with the same columns."""
+    return read_csv(spark, path, schema) if fmt == "csv" else read_table(spark, path, fmt)
+
+
 def run(spark: SparkSession, argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="run_reports")
     parser.add_argument(
@@ -57,14 +62,19 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> None:
     parser.add_argument("--election", help="CSV with columns state, color")
     parser.add_argument("--years", type=int, nargs="+", default=[2017, 2018, 2019])
     parser.add_argument("--cutoff-year", type=int, default=2020)
+    parser.add_argument("--day", default="2019-12-23", help="time: the day that is looked into")
+    parser.add_argument("--city", default="Los Angeles", help="time: its city")
+    parser.add_argument(
+        "--bands", type=float, nargs=4, default=[40.0, 35.0, 37.0, 30.0], metavar="LATITUDE",
+        help="time: northern and southern limit of the comparison, and of the bands on their own",
+    )
+    parser.add_argument("--dimension-format", default="csv", help="format of --population and --election")
     parser.add_argument(
         "--unsorted", action="store_true", help="clean: store without the shuffle that brings a year together"
     )
     args = parser.parse_args(argv)
-    try:
+    with staging(spark):
         _run(spark, parser, args)
-    finally:
-        remove_staged(spark)
 
 
 def _run(spark: SparkSession, parser: argparse.ArgumentParser, args: argparse.Namespace) -> None:
@@ -84,14 +94,14 @@ def _run(spark: SparkSession, parser: argparse.ArgumentParser, args: argparse.Na
             parser.error("time needs --population and --election")
         reports = time_reports(
             incidents,
-            read_csv(spark, args.population, POPULATION_SCHEMA),
-            read_csv(spark, args.election),
-            args.years, stage=stage,
+            _dimension(spark, args.population, args.dimension_format, POPULATION_SCHEMA),
+            _dimension(spark, args.election, args.dimension_format),
+            args.years, (args.day, args.city), (tuple(args.bands[:2]), tuple(args.bands[2:])), stage,
         )
     elif args.job == "address":
         if not args.population:
             parser.error("address needs --population")
-        population = read_csv(spark, args.population, POPULATION_SCHEMA)
+        population = _dimension(spark, args.population, args.dimension_format, POPULATION_SCHEMA)
         reports = address_reports(incidents, population, args.cutoff_year, stage)
     elif args.job == "roadside":
         reports = roadside_reports(incidents, args.cutoff_year, stage)

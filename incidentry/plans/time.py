@@ -19,21 +19,26 @@ YEARS = (2017, 2018, 2019)
 EASTERN = "US/Eastern"
 
 
+def _band(north: float, south: float):
+    lat = F.col("Start_Lat")
+    return F.when(lat > F.lit(north), "north").when(lat < F.lit(south), "south").otherwise("middle")
+
+
 def calendar_rollup(
     incidents: DataFrame, years: Sequence[int] = YEARS,
-    north: float = 40.0, south: float = 35.0,
+    north: float = 40.0, south: float = 35.0, more: Sequence[tuple[str, float, float]] = (),
 ) -> DataFrame:
     """Accidents per date, state, timezone and latitude band.
 
     Every monthly, weekly, cohort and per-capita report below follows from this
-    small table, so the fact table is read once for all of them.
+    small table, so the fact table is read once for all of them. ``more`` names
+    further columns of bands with other limits.
     """
-    lat = F.col("Start_Lat")
-    band = F.when(lat > F.lit(north), "north").when(lat < F.lit(south), "south").otherwise("middle")
+    bands = {"band": _band(north, south), **{name: _band(n, s) for name, n, s in more}}
     days = in_years(incidents, "Start_Time", years, year_partition(incidents)).select(
-        F.to_date("Start_Time").alias("date"), "State", "Timezone", band.alias("band")
+        F.to_date("Start_Time").alias("date"), "State", "Timezone", *[b.alias(n) for n, b in bands.items()]
     )
-    return count_by(days, ["date", "State", "Timezone", "band"], out="n")
+    return count_by(days, ["date", "State", "Timezone", *bands], out="n")
 
 
 def month_count(rollup: DataFrame) -> DataFrame:
@@ -46,9 +51,18 @@ def weekday_count(rollup: DataFrame) -> DataFrame:
     return count_by(days, ["day_of_Week"], weight="n").orderBy("day_of_Week")
 
 
-def hour_count(incidents: DataFrame) -> DataFrame:
-    """By hour of the day, over all years."""
-    return count_by(incidents.select(F.hour("Start_Time").alias("hour")), ["hour"]).orderBy("hour")
+def clock_rollup(incidents: DataFrame, ts: str = "Start_Time") -> DataFrame:
+    """Accidents per year and hour of the day, over all years; ``ts`` may still be text."""
+    times = incidents.select(ts)
+    if isinstance(times.schema[0].dataType, StringType):
+        times = parse_timestamp(times, ts)
+    return count_by(times.select(F.year(ts).alias("Year"), F.hour(ts).alias("hour")), ["Year", "hour"], out="n")
+
+
+def hour_count(incidents: DataFrame, rollup: DataFrame | None = None) -> DataFrame:
+    """By hour of the day, over all years; ``rollup`` may hold ``clock_rollup`` already."""
+    rows = clock_rollup(incidents) if rollup is None else rollup
+    return count_by(rows, ["hour"], weight="n").orderBy("hour")
 
 
 def north_south(rollup: DataFrame, timezone: str = EASTERN) -> DataFrame:
@@ -73,16 +87,29 @@ def city_days(incidents: DataFrame, years: Sequence[int] = YEARS) -> DataFrame:
     )
 
 
-def most_day_city(days: DataFrame, cities: int = 10, k: int = 12) -> DataFrame:
-    """The worst days of the cities with most accidents."""
-    return top_group_peaks(days, "city", "date", cities, k)
+def city_day_rollup(days: DataFrame) -> DataFrame:
+    return count_by(days, ["date", "city", "Weather_Condition"], out="n")
 
 
-def most_day_city_weather(days: DataFrame, cities: int = 10, k: int = 12) -> DataFrame:
+def most_day_city(
+    days: DataFrame, cities: int = 10, k: int = 12, weight: str | None = None
+) -> DataFrame:
+    """The worst days of the cities with most accidents, from rows or their roll-up."""
+    return top_group_peaks(days, "city", "date", cities, k, weight)
+
+
+def most_day_city_weather(
+    days: DataFrame, cities: int = 10, k: int = 12, weight: str | None = None,
+    peaks: DataFrame | None = None,
+) -> DataFrame:
     """One row per accident on those days, with its weather."""
-    attached = attach_attribute(
-        most_day_city(days, cities, k), days, ["date", "city"], ["Weather_Condition"]
-    )
+    if peaks is None:
+        peaks = most_day_city(days, cities, k, weight)
+    kept = ["Weather_Condition"] + ([weight] if weight else [])
+    attached = attach_attribute(peaks, days, ["date", "city"], kept)
+    if weight:
+        one_each = F.explode(F.array_repeat(F.lit(True), F.col(weight).cast("int")))
+        attached = attached.withColumn("_row", one_each)
     return attached.select(
         F.col("date").alias("Date"), F.col("city").alias("City"), "Weather_Condition",
         F.col("count").alias("Count"),
@@ -114,12 +141,12 @@ def dangerous_roads(
     return top_k(count_by(roads, ["street"]), "count", k, ["street"])
 
 
-def year_count(incidents: DataFrame, ts: str = "Start_Time") -> DataFrame:
-    """Accidents per year; ``ts`` may still be text."""
-    times = incidents.select(ts)
-    if isinstance(times.schema[0].dataType, StringType):
-        times = parse_timestamp(times, ts)
-    return count_by(times.select(F.year(ts).alias("Year")), ["Year"], out="Counts").orderBy("Year")
+def year_count(
+    incidents: DataFrame, ts: str = "Start_Time", rollup: DataFrame | None = None
+) -> DataFrame:
+    """Accidents per year; ``rollup`` may hold ``clock_rollup`` already."""
+    rows = clock_rollup(incidents, ts) if rollup is None else rollup
+    return count_by(rows, ["Year"], out="Counts", weight="n").orderBy("Year")
 
 
 def time_reports(
@@ -131,23 +158,26 @@ def time_reports(
     bands: Sequence[tuple[float, float]] = ((40.0, 35.0), (37.0, 30.0)),
     stage=lambda df, label: df,
 ) -> dict[str, DataFrame]:
-    """All reports on time. ``stage`` may write the shared roll-ups down first."""
-    wide, narrow = (
-        stage(calendar_rollup(incidents, years, north, south), "calendar") for north, south in bands
-    )
-    days = city_days(incidents, years)
-    peak_weather = stage(most_day_city_weather(days), "peak_weather")
+    """All reports on time. ``stage`` may write the shared roll-ups down first;
+    the fact table is then read four times, whatever the number of reports."""
+    (north, south), second = bands
+    wide = stage(calendar_rollup(incidents, years, north, south, [("second", *second)]), "calendar")
+    narrow = wide.drop("band").withColumnRenamed("second", "band")
+    clock = stage(clock_rollup(incidents), "clock")
+    days = stage(city_day_rollup(city_days(incidents, years)), "city_days")
+    peaks = stage(most_day_city(days, weight="n"), "peaks")
+    peak_weather = stage(most_day_city_weather(days, weight="n", peaks=peaks), "peak_weather")
     return {
         "mostMonth": month_count(wide),
         "weekday": weekday_count(wide),
-        "mostHour": hour_count(incidents),
+        "mostHour": hour_count(incidents, clock),
         "north_south": north_south(wide),
         "northCount": band_months(narrow, "north"),
         "southCount": band_months(narrow, "south"),
-        "most_day_city": most_day_city(days),
+        "most_day_city": peaks.orderBy(F.desc("count"), "date", "city"),
         "most_day_city_weather": peak_weather,
         "la_1223_weather": day_weather(peak_weather, *drill_down),
         "red_blue": red_blue(wide, population, election),
         "mostDangeRoad": dangerous_roads(incidents, years),
-        "yearCount": year_count(incidents),
+        "yearCount": year_count(incidents, rollup=clock),
     }

@@ -9,6 +9,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,12 +42,17 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def remove_staged(spark: SparkSession) -> None:
-    """Delete what this process has staged; a job calls it when its results are stored."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    while _made:
-        path = hadoop(_made.pop())
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what was staged within: a job's results are stored by then."""
+    before = len(_made)
+    try:
+        yield
+    finally:
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        while len(_made) > before:
+            path = hadoop(_made.pop())
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
