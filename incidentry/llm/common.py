@@ -121,8 +121,10 @@ def gram_hashes(data: np.ndarray, width: int) -> np.ndarray:
     """Hashes of all len(data) - width + 1 runs of ``width`` bytes."""
     if len(data) < width:
         return np.zeros(0, np.uint64)
-    starts = np.arange(len(data) - width + 1)
-    return span_hashes(data, starts, starts + width)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTES[data] * _powers(len(data), _BASE), out=sums[1:])
+    spans = (sums[width:] - sums[:-width]) * _powers(len(data) - width + 1, _INVERSE)
+    return mixed(spans ^ np.uint64(width << 48))
 
 
 def word_places(

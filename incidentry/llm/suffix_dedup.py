@@ -16,6 +16,7 @@ aggregated one by one. Documents of the same text are worked on once.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 from collections.abc import Iterator
 
@@ -27,7 +28,7 @@ from pyspark.sql import types as T
 
 from incidentry.sources.workspace import stage
 
-from .common import check_carried, gram_hashes, mixed, of_rows, pieces, powers, text_of
+from .common import check_carried, gram_hashes, mixed, of_rows, pieces, span_hashes, text_of
 
 LENGTH = 100
 GRAM = 32
@@ -37,18 +38,14 @@ PIECE_BYTES = 1 << 20  # text whose anchors are found at once
 MERGED_BYTES = 1 << 19  # contexts merged at once, whole anchors
 HOT_CONTEXTS = 2000
 BUCKETS = 64
-_BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
+_FACTOR = 0xA0761D6478BD642F
 _LAST = (1 << 63) - 1
 
 
 def text_hashes(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each row's bytes and their number."""
-    base = _BASES[0]
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(len(data), base), out=sums[1:])
-    back = powers(len(data) + 1, pow(base, -1, 1 << 64))
-    line = (sums[bounds[1:]] - sums[bounds[:-1]]) * back[bounds[:-1]]
-    return mixed(mixed(line) + np.diff(bounds).astype(np.uint64) * np.uint64(_BASES[1])).view(np.int64)
+    line = span_hashes(data, bounds[:-1], bounds[1:])
+    return mixed(line + np.diff(bounds).astype(np.uint64) * np.uint64(_FACTOR)).view(np.int64)
 
 
 def anchors(data: np.ndarray, bounds: np.ndarray):
@@ -178,7 +175,7 @@ def _repeated(parts: list[dict]) -> Iterator[pa.RecordBatch]:
         )
 
 
-_CONTEXTS = "key binary, anchor bigint, content binary, id bigint, node bigint, start int"
+_CONTEXTS = "anchor bigint, key bigint, content binary, id bigint, node bigint, start int"
 
 
 def _contexts(rows: DataFrame) -> DataFrame:
@@ -198,21 +195,19 @@ def _contexts(rows: DataFrame) -> DataFrame:
             base = bounds[:-1][row[pick]]
             contents = [raw[a : b + LENGTH] for a, b in zip(low[pick].tolist(), high[pick].tolist(), strict=True)]
             # The selected gram's place belongs to the key: equal strings have it at equal places.
-            keys = [
-                hashlib.blake2b(c, digest_size=16, salt=int(p).to_bytes(8, "little")).digest()
-                for c, p in zip(contents, (place[pick] - low[pick]).tolist(), strict=True)
-            ]
+            keys = span_hashes(data, low[pick], high[pick] + LENGTH)
+            keys = mixed(keys + (place[pick] - low[pick]).astype(np.uint64) * np.uint64(_FACTOR)).view(np.int64)
             ids = batch.column("id").to_numpy()[row[pick]]
             nodes = batch.column("node").to_numpy()[row[pick]]
             for a in range(0, len(pick), 20_000):
                 b = a + 20_000
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(keys[a:b], pa.binary()), pa.array(grams[pick[a:b]].view(np.int64)),
+                        pa.array(grams[pick[a:b]].view(np.int64)), pa.array(keys[a:b]),
                         pa.array(contents[a:b], pa.binary()), pa.array(ids[a:b]), pa.array(nodes[a:b]),
                         pa.array((low[pick] - base)[a:b].astype(np.int32)),
                     ],
-                    ["key", "anchor", "content", "id", "node", "start"],
+                    ["anchor", "key", "content", "id", "node", "start"],
                 )
 
     return rows.mapInArrow(run, _CONTEXTS)
@@ -322,138 +317,178 @@ def repeated_strings(contents: list[bytes], ids: np.ndarray, starts: np.ndarray)
     return context, place, np.repeat(at_id[first], size), np.repeat(at_start[first], size)
 
 
-_EARLIEST = "key binary, place int, n int, first_id bigint, first_start int"
+_EARLIEST = (
+    "anchor bigint, key bigint, place int, n int, first_id bigint, first_start int, "
+    "content binary, id bigint, start int"
+)
+_DISTINCT = "anchor bigint, key bigint, content binary, id bigint, start int, copies bigint"
 
 
-def _earliest_runs(batch_keys: list[bytes], context, place, first_id, first_start, alone: np.ndarray, own):
-    """Runs of strings of one context whose earliest places follow each other.
+def _combined(occurrences: DataFrame) -> DataFrame:
+    """The contexts of each batch once, with the earliest place and the number of occurrences."""
 
-    Strings of a context that stands in one place only, which is their earliest, are left out.
-    """
-    kept = ~(alone[context] & (first_id == own[0][context]) & (first_start == own[1][context] + place))
-    context, place, first_id, first_start = (x[kept] for x in (context, place, first_id, first_start))
-    by = np.lexsort((place, context))
-    context, place, first_id, first_start = (x[by] for x in (context, place, first_id, first_start))
-    if not len(by):
-        return
-    new = np.r_[
-        True,
-        (np.diff(context) != 0) | (np.diff(place) != 1) | (np.diff(first_id) != 0) | (np.diff(first_start) != 1),
-    ]
-    at = np.flatnonzero(new)
-    n = np.diff(np.r_[at, len(by)])
-    yield pa.RecordBatch.from_arrays(
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [batch.column(c).to_numpy() for c in ("anchor", "key", "id", "start")]
+            order, first, copies = _grouped(*columns, np.ones(batch.num_rows, np.int64))
+            kept = batch.take(pa.array(order[first]))
+            yield pa.RecordBatch.from_arrays(
+                [*(kept.column(c) for c in ("anchor", "key", "content", "id", "start")), pa.array(copies)],
+                ["anchor", "key", "content", "id", "start", "copies"],
+            )
+
+    return occurrences.drop("node").mapInArrow(run, _DISTINCT)
+
+
+def _grouped(anchor, key, at_id, start, copies) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order by context and place, the first of each context in it, and its occurrences."""
+    order = np.lexsort((start, at_id, key, anchor))
+    anchor, key = anchor[order], key[order]
+    first = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (key[1:] != key[:-1])]) if len(order) else order
+    return order, first, np.add.reduceat(copies[order], first) if len(order) else copies
+
+
+def _batch(anchor, key, place, n, first_id, first_start, content=None, at_id=None, start=None) -> pa.RecordBatch:
+    size = len(anchor)
+    return pa.RecordBatch.from_arrays(
         [
-            pa.array([batch_keys[i] for i in context[at].tolist()], pa.binary()), pa.array(place[at].astype(np.int32)),
-            pa.array(n.astype(np.int32)), pa.array(first_id[at]), pa.array(first_start[at].astype(np.int32)),
+            pa.array(anchor, pa.int64()), pa.array(key, pa.int64()), pa.array(place, pa.int32()),
+            pa.array(n, pa.int32()), pa.array(first_id, pa.int64()), pa.array(first_start, pa.int32()),
+            pa.nulls(size, pa.binary()) if content is None else pa.array(content, pa.binary()),
+            pa.nulls(size, pa.int64()) if at_id is None else pa.array(at_id, pa.int64()),
+            pa.nulls(size, pa.int32()) if start is None else pa.array(start, pa.int32()),
         ],
-        ["key", "place", "n", "first_id", "first_start"],
+        ["anchor", "key", "place", "n", "first_id", "first_start", "content", "id", "start"],
     )
 
 
-def _whole(alike: list[dict]) -> Iterator[pa.RecordBatch]:
-    """All strings of contexts that are the only ones of their anchors."""
-    columns = [
-        pa.array([r["key"] for r in alike], pa.binary()), pa.array([0] * len(alike), pa.int32()),
-        pa.array([len(r["content"]) - LENGTH + 1 for r in alike], pa.int32()),
-        pa.array([r["id"] for r in alike], pa.int64()), pa.array([r["start"] for r in alike], pa.int32()),
-    ]
-    yield pa.RecordBatch.from_arrays(columns, ["key", "place", "n", "first_id", "first_start"])
-
-
 def _merged(contexts: DataFrame) -> DataFrame:
-    """Earliest places in the contexts (key, anchor, content, id, start, copies) of each anchor."""
+    """Earliest places in the contexts of each anchor, as runs of strings whose places follow each other.
 
-    def work(rows: list[dict]) -> Iterator[pa.RecordBatch]:
-        ids, starts = (np.array([r[c] for r in rows], np.int64) for c in ("id", "start"))
-        found = repeated_strings([r["content"] for r in rows], ids, starts)
-        alone = np.array([r["copies"] == 1 for r in rows])
-        yield from _earliest_runs([r["key"] for r in rows], *found, alone, (ids, starts))
+    Contexts of hot anchors come back as they are, with their content.
+    """
+    most = HOT_CONTEXTS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, alike, group, size = [], [], [], 0
+        rest: pa.Table | None = None
         for batch in batches:
-            for row in batch.to_pylist():
-                if group and row["anchor"] != group[0]["anchor"]:
-                    if len(group) > 1:
-                        rows += group
-                        size += sum(len(r["content"]) for r in group)
-                    elif group[0]["copies"] > 1:  # nothing to merge: all occurrences are alike
-                        alike += group
-                    group = []
-                    if size > MERGED_BYTES:
-                        yield from work(rows)
-                        rows, size = [], 0
-                    if len(alike) > 20_000:
-                        yield from _whole(alike)
-                        alike = []
-                group.append(row)
-        if len(group) > 1:
-            rows += group
-        elif group and group[0]["copies"] > 1:
-            alike += group
-        if rows:
-            yield from work(rows)
-        yield from _whole(alike)
+            some = pa.Table.from_batches([batch])
+            if rest is not None:
+                some = pa.concat_tables([rest, some])
+            anchor = some.column("anchor").to_numpy()
+            last = int(np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])[-1])
+            rest = some.slice(last)  # may go on in the next batch
+            if last:
+                yield from _merged_anchors(some.slice(0, last), most)
+        if rest is not None and rest.num_rows:
+            yield from _merged_anchors(rest, most)
 
     dealt = contexts.repartition("anchor").sortWithinPartitions("anchor")
     return dealt.mapInArrow(run, _EARLIEST)
 
 
+def _merged_anchors(some: pa.Table, most: int) -> Iterator[pa.RecordBatch]:
+    columns = [some.column(c).to_numpy() for c in ("anchor", "key", "id", "start", "copies")]
+    order, first, copies = _grouped(*columns)
+    kept = order[first]
+    anchor, key, at_id, start = (c[kept] for c in columns[:4])
+    contents = some.column("content").take(pa.array(kept)).to_pylist()
+    strings = np.array([len(c) - LENGTH + 1 for c in contents])
+    of = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1], True])
+    size = np.repeat(np.diff(of), np.diff(of))
+    # One context: nothing to merge, and no repeat unless it stands at several places.
+    alike = np.flatnonzero((size == 1) & (copies > 1))
+    yield _batch(anchor[alike], key[alike], np.zeros(len(alike)), strings[alike], at_id[alike], start[alike])
+    hot = np.flatnonzero(size > most)
+    if len(hot):
+        nothing = np.zeros(len(hot), np.int64)
+        yield _batch(
+            anchor[hot], key[hot], nothing, nothing, nothing, nothing,
+            [contents[i] for i in hot.tolist()], at_id[hot], start[hot],
+        )
+    merged = np.flatnonzero((size > 1) & (size <= most))
+    filled = np.cumsum(strings[merged] + LENGTH - 1) // MERGED_BYTES
+    new = np.r_[True, anchor[merged][1:] != anchor[merged][:-1]] if len(merged) else np.zeros(0, bool)
+    block = filled[new][np.cumsum(new) - 1] if len(merged) else filled  # an anchor is in one block
+    for number in np.unique(block):
+        pick = merged[block == number]
+        found = repeated_strings([contents[i] for i in pick.tolist()], at_id[pick], start[pick])
+        yield from _earliest_runs(anchor[pick], key[pick], *found, copies[pick] == 1, (at_id[pick], start[pick]))
+
+
+def _earliest_runs(anchor, key, context, place, first_id, first_start, alone, own) -> Iterator[pa.RecordBatch]:
+    """Strings of a context that stands in one place only, which is their earliest, are left out."""
+    kept = ~(alone[context] & (first_id == own[0][context]) & (first_start == own[1][context] + place))
+    context, place, first_id, first_start = (x[kept] for x in (context, place, first_id, first_start))
+    by = np.lexsort((place, context))
+    context, place, first_id, first_start = (x[by] for x in (context, place, first_id, first_start))
+    if not len(by):
+        return
+    new = np.r_[
+        True,
+        (np.diff(context) != 0) | (np.diff(place) != 1) | (np.diff(first_id) != 0) | (np.diff(first_start) != 1),
+    ]
+    at = np.flatnonzero(new)
+    n = np.diff(np.r_[at, len(by)])
+    yield _batch(anchor[context[at]], key[context[at]], place[at], n, first_id[at], first_start[at])
+
+
 def _one_by_one(contexts: DataFrame) -> DataFrame:
     """The same for contexts of hot anchors: every string by its digest, earliest by an aggregate."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[], [], [], [], []]
+            out: list[list] = [[], [], [], [], [], []]
             for row in batch.to_pylist():
                 content = row["content"]
                 for k in range(len(content) - LENGTH + 1):
                     digest = hashlib.blake2b(content[k : k + LENGTH], digest_size=16).digest()
-                    for column, value in zip(out, (digest, row["key"], k, row["id"], row["start"] + k), strict=True):
+                    values = (digest, row["anchor"], row["key"], k, row["id"], row["start"] + k)
+                    for column, value in zip(out, values, strict=True):
                         column.append(value)
-            kinds = (pa.binary(), pa.binary(), pa.int32(), pa.int64(), pa.int32())
+            kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(out, kinds, strict=True)],
-                ["digest", "key", "place", "id", "start"],
+                ["digest", "anchor", "key", "place", "id", "start"],
             )
 
-    strings = contexts.mapInArrow(run, "digest binary, key binary, place int, id bigint, start int")
+    strings = contexts.select("anchor", "key", "content", "id", "start").mapInArrow(
+        run, "digest binary, anchor bigint, key bigint, place int, id bigint, start int"
+    )
     earliest = strings.groupBy("digest").agg(F.min(F.struct("id", "start")).alias("first"))
     return strings.join(earliest, "digest").select(
-        "key", "place", F.lit(1).alias("n"), F.col("first.id").alias("first_id"),
+        "anchor", "key", "place", F.lit(1).alias("n"), F.col("first.id").alias("first_id"),
         F.col("first.start").alias("first_start"),
     )
 
 
-def repeated_runs(keyed: DataFrame, firsts: DataFrame, buckets: int) -> DataFrame:
-    """(node, start, end) of byte runs of each text that stand earlier as well, overlaps included."""
-    rows = keyed.select("text")
+def _written(df: DataFrame, label: str) -> DataFrame:
+    """Stage a frame and let Spark's cleaner drop the shuffle files of the steps before."""
+    out = stage(df, label)
+    del df
+    gc.collect()
+    out.sparkSession.sparkContext._jvm.System.gc()
+    return out
+
+
+def _occurrences(keyed: DataFrame, firsts: DataFrame, buckets: int) -> DataFrame:
+    """The contexts of all texts, each text once, under its least id."""
     places = (
-        _repeated_anchors(_dealt_anchors(rows, buckets), buckets)
+        _repeated_anchors(_dealt_anchors(keyed.select("text"), buckets), buckets)
         .groupBy("node").agg(F.collect_list("place").alias("places"))
     )
     holders = keyed.join(places.join(firsts, "node"), "node").where("id = first")
-    occurrences = stage(_contexts(holders.select("id", "node", "text", "places")), "contexts")
-    distinct = stage(
-        occurrences.groupBy("key").agg(
-            F.first("anchor").alias("anchor"), F.first("content").alias("content"),
-            F.min(F.struct("id", "start")).alias("at"), F.count(F.lit(1)).alias("copies"),
-        ).select("key", "anchor", "content", "at.id", "at.start", "copies"),
-        "distinct-contexts",
-    )
-    hot = distinct.groupBy("anchor").count().where(F.col("count") > HOT_CONTEXTS).select("anchor")
-    few = distinct.join(hot, "anchor", "left_anti")
-    many = distinct.join(hot, "anchor", "left_semi")
-    earliest = _merged(few).union(_one_by_one(many))
-    return (
-        occurrences.select("key", "id", "node", "start").join(earliest, "key")
-        .where("NOT (id = first_id AND start + place = first_start)")
-        .select(
-            "node", (F.col("start") + F.col("place")).alias("start"),
-            (F.col("start") + F.col("place") + F.col("n") + LENGTH - 1).alias("end"),
-        )
-    )
+    return _contexts(holders.select("id", "node", "text", "places"))
+
+
+def repeated_runs(occurrences: DataFrame) -> DataFrame:
+    """(node, start, n, first_id, first_start): runs of n strings of each text and their earliest places."""
+    found = _written(_merged(_combined(occurrences)), "earliest")
+    runs = ["anchor", "key", "place", "n", "first_id", "first_start"]
+    earliest = found.where("content IS NULL").select(*runs).union(_one_by_one(found.where("content IS NOT NULL")))
+    return occurrences.select("anchor", "key", "node", F.col("start").alias("at")).join(
+        earliest, ["anchor", "key"]
+    ).select("node", (F.col("at") + F.col("place")).alias("start"), "n", "first_id", "first_start")
 
 
 def remove_repeats(
@@ -480,9 +515,11 @@ def remove_repeats(
     firsts = measured.groupBy("node").agg(F.min("id").alias("first"))
     total = measured.agg(F.sum("n")).first()[0] or 0
     buckets = min(max(BUCKETS, total // (64 << 20)), 1 << 16)
-    runs = repeated_runs(keyed, firsts, int(buckets))
-    spans = runs.groupBy("node").agg(F.collect_list(F.struct("start", "end")).alias("runs"))
-    known = stage(firsts.join(spans, "node", "left"), "removals")
+    runs = repeated_runs(_written(_occurrences(keyed, firsts, int(buckets)), "contexts"))
+    spans = runs.groupBy("node").agg(
+        F.collect_list(F.struct("start", "n", "first_id", "first_start")).alias("runs")
+    )
+    known = _written(firsts.join(spans, "node", "left"), "removals")
     own = docs.select(
         F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"), *keep
     )
@@ -520,7 +557,10 @@ def _without(own: DataFrame, known: DataFrame, keep: tuple[str, ...]) -> DataFra
                 if (_LAST if key_ is None else key_) != first:
                     merged = [(0, len(text))] if len(text) >= LENGTH else []
                 else:
-                    merged = merge_spans(spans or [])
+                    merged = merge_spans(
+                        (s["start"], s["start"] + s["n"] + LENGTH - 1) for s in spans or []
+                        if (s["first_id"], s["first_start"]) != (first, s["start"])
+                    )
                 kept, last = [], 0
                 for a, b in merged:
                     kept.append(text[last:a])
@@ -542,9 +582,9 @@ def _without(own: DataFrame, known: DataFrame, keep: tuple[str, ...]) -> DataFra
     return joined.mapInArrow(cut, out_schema)
 
 
-def merge_spans(spans: list[dict]) -> list[tuple[int, int]]:
+def merge_spans(spans) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
-    for a, b in sorted((s["start"], s["end"]) for s in spans):
+    for a, b in sorted(spans):
         if out and a <= out[-1][1]:
             out[-1] = (out[-1][0], max(out[-1][1], b))
         else:
