@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from .common import list_array, pieces
 
 SCAN_BYTES = 64
-CACHED_WORDS = 300_000
-PIECE_BYTES = 1 << 20  # text encoded at once
+CACHED_WORDS = 200_000
+PIECE_BYTES = 1 << 19  # text encoded at once
 _NO_MERGE = (1 << 31) - 1
 _TOGETHER = 20_000  # words merged in step
 
