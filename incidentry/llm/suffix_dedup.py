@@ -365,7 +365,7 @@ def _batch(anchor, key, place, n, first_id, first_start, content=None, at_id=Non
 def _merged(contexts: DataFrame) -> DataFrame:
     """Earliest places in the contexts of each anchor, as runs of strings whose places follow each other.
 
-    Contexts of hot anchors come back as they are, with their content.
+    Contexts of hot anchors come back as they are, with their content, ``n`` being their occurrences.
     """
     most = HOT_CONTEXTS
 
@@ -403,7 +403,7 @@ def _merged_anchors(some: pa.Table, most: int) -> Iterator[pa.RecordBatch]:
     if len(hot):
         nothing = np.zeros(len(hot), np.int64)
         yield _batch(
-            anchor[hot], key[hot], nothing, nothing, nothing, nothing,
+            anchor[hot], key[hot], nothing, copies[hot], nothing, nothing,
             [contents[i] for i in hot.tolist()], at_id[hot], start[hot],
         )
     merged = np.flatnonzero((size > 1) & (size <= most))
@@ -434,28 +434,33 @@ def _earliest_runs(anchor, key, context, place, first_id, first_start, alone, ow
 
 
 def _one_by_one(contexts: DataFrame) -> DataFrame:
-    """The same for contexts of hot anchors: every string by its digest, earliest by an aggregate."""
+    """The same for contexts of hot anchors: every string by its digest, earliest by an aggregate.
+
+    Strings that stand in one place only are left out.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[], [], [], [], [], []]
+            out: list[list] = [[], [], [], [], [], [], []]
             for row in batch.to_pylist():
                 content = row["content"]
                 for k in range(len(content) - LENGTH + 1):
                     digest = hashlib.blake2b(content[k : k + LENGTH], digest_size=16).digest()
-                    values = (digest, row["anchor"], row["key"], k, row["id"], row["start"] + k)
+                    values = (digest, row["anchor"], row["key"], k, row["id"], row["start"] + k, row["n"])
                     for column, value in zip(out, values, strict=True):
                         column.append(value)
-            kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32())
+            kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(out, kinds, strict=True)],
-                ["digest", "anchor", "key", "place", "id", "start"],
+                ["digest", "anchor", "key", "place", "id", "start", "copies"],
             )
 
-    strings = contexts.select("anchor", "key", "content", "id", "start").mapInArrow(
-        run, "digest binary, anchor bigint, key bigint, place int, id bigint, start int"
+    strings = contexts.select("anchor", "key", "content", "id", "start", "n").mapInArrow(
+        run, "digest binary, anchor bigint, key bigint, place int, id bigint, start int, copies int"
     )
-    earliest = strings.groupBy("digest").agg(F.min(F.struct("id", "start")).alias("first"))
+    earliest = strings.groupBy("digest").agg(
+        F.min(F.struct("id", "start")).alias("first"), F.sum("copies").alias("copies")
+    ).where("copies > 1").drop("copies")
     return strings.join(earliest, "digest").select(
         "anchor", "key", "place", F.lit(1).alias("n"), F.col("first.id").alias("first_id"),
         F.col("first.start").alias("first_start"),
