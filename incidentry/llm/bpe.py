@@ -255,40 +255,53 @@ def vocabulary(path: str) -> Vocabulary:
     return _loaded[path]
 
 
+def _encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    """Batches of (id, text) as (id, ids)."""
+    known = vocabulary(path)
+    for batch in pieces(batches, "text", PIECE_BYTES):
+        found = known.encode([t or "" for t in batch.column("text").to_pylist()])
+        bounds = np.concatenate([[0], np.cumsum([len(f) for f in found], dtype=np.int64)])
+        flat = np.concatenate(found) if found else np.zeros(0, np.int32)
+        yield pa.RecordBatch.from_arrays([batch.column("id"), list_array(flat, bounds)], ["id", "ids"])
+
+
+def _decoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    """Batches of (id, ids) as (id, ids, text)."""
+    known = vocabulary(path)
+    for batch in batches:
+        lists = pc.fill_null(batch.column("ids"), pa.scalar([], pa.list_(pa.int32())))
+        flat, bounds = lists.values.to_numpy(), lists.offsets.to_numpy()
+        texts = [known.decode(flat[a:b].tolist()) for a, b in zip(bounds, bounds[1:], strict=False)]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("id"), batch.column("ids"), pa.array(texts, pa.string())], ["id", "ids", "text"]
+        )
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str]:
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    return rows, rows.schema["id"].dataType.simpleString()
+
+
 def bpe_encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row (id, ids array<int>) per document, repeated rows included.
 
     Null and empty texts have no ids. ``path`` is the vocabulary file's place on
     every executor. Other columns of the input are not read.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = vocabulary(path)
-        for batch in pieces(batches, "text", PIECE_BYTES):
-            found = known.encode([t or "" for t in batch.column("text").to_pylist()])
-            bounds = np.concatenate([[0], np.cumsum([len(f) for f in found], dtype=np.int64)])
-            flat = np.concatenate(found) if found else np.zeros(0, np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), list_array(flat, bounds)], ["id", "ids"])
-
-    return rows.mapInArrow(run, f"id {kind}, ids array<int>")
+    rows, kind = _texts(docs, id_col, text_col)
+    return rows.mapInArrow(lambda batches: _encoded(batches, path), f"id {kind}, ids array<int>")
 
 
 def bpe_decode(encoded: DataFrame, path: str, id_col: str = "id", ids_col: str = "ids") -> DataFrame:
     """One row (id, ids, text) per row of ids; null ids give an empty text."""
     rows = encoded.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids"))
     kind = rows.schema["id"].dataType.simpleString()
+    return rows.mapInArrow(lambda batches: _decoded(batches, path), f"id {kind}, ids array<int>, text string")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = vocabulary(path)
-        for batch in batches:
-            lists = pc.fill_null(batch.column("ids"), pa.scalar([], pa.list_(pa.int32())))
-            flat, bounds = lists.values.to_numpy(), lists.offsets.to_numpy()
-            texts = [known.decode(flat[a:b].tolist()) for a, b in zip(bounds, bounds[1:], strict=False)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("ids"), pa.array(texts, pa.string())],
-                ["id", "ids", "text"],
-            )
-
-    return rows.mapInArrow(run, f"id {kind}, ids array<int>, text string")
+
+def bpe_round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``bpe_encode`` and then ``bpe_decode`` in the same tasks, with one vocabulary in memory."""
+    rows, kind = _texts(docs, id_col, text_col)
+    return rows.mapInArrow(
+        lambda batches: _decoded(_encoded(batches, path), path), f"id {kind}, ids array<int>, text string"
+    )

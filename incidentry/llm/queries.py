@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from incidentry.sources.workspace import fresh_path, stage
 
-from .bpe import bpe_decode, bpe_encode
+from .bpe import bpe_round_trip
 from .chat import format_chats, read_window
 from .common import table
 from .decontaminate import find_contamination, is_contaminated
@@ -219,7 +219,7 @@ FROM windows WHERE 100 * n_shared >= 80 * m GROUP BY doc_id, license
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
-    decoded = bpe_decode(bpe_encode(table(spark, sf_dir, "documents"), path), path)
+    decoded = bpe_round_trip(table(spark, sf_dir, "documents"), path)
     ids = F.array_join(F.col("ids").cast("array<string>"), ",")
     return decoded.select(
         F.col("id").alias("doc_id"),

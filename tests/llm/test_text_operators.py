@@ -11,7 +11,7 @@ from cases import ASCII, components, documents, empty, least, pairs, prose, shin
 from tokenizers import Tokenizer
 
 from incidentry.llm import decontaminate, license_scan, suffix_dedup
-from incidentry.llm.bpe import bpe_decode, bpe_encode, vocabulary
+from incidentry.llm.bpe import bpe_decode, bpe_encode, bpe_round_trip, vocabulary
 from incidentry.llm.jaccard_join import jaccard_components
 from incidentry.llm.language_id import cut_windows, fit_language_id, held_out, predict_language
 
@@ -166,6 +166,7 @@ def test_bpe_equals_the_tokenizers_library(spark):
         ids = library.encode(text or "", add_special_tokens=False).ids
         want.append((d, ids, library.decode(ids, skip_special_tokens=False)))
     assert sorted([tuple(r) for r in got], key=key) == sorted(want, key=key)
+    assert sorted([tuple(r) for r in bpe_round_trip(docs, PATH).collect()], key=key) == sorted(want, key=key)
     assert bpe_encode(empty(spark), PATH).collect() == []
 
 
