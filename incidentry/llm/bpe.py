@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import list_array, pieces
+from .common import list_array, pieces, released
 
 SCAN_BYTES = 64
 CACHED_WORDS = 200_000
@@ -187,6 +187,10 @@ class Vocabulary:
         ids = self._words.__getitem__
         return [np.frombuffer(b"".join(map(ids, c)), np.int32) for c in cut]
 
+    def forget(self) -> None:
+        """Drop the words remembered so far."""
+        self._words.clear()
+
     def decode(self, ids) -> str:
         """The text of ids; bytes that are no UTF-8 become U+FFFD, unknown ids nothing."""
         return b"".join([self.bytes.get(i, b"") for i in ids]).decode("utf-8", "replace")
@@ -263,6 +267,7 @@ def _encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Record
         bounds = np.concatenate([[0], np.cumsum([len(f) for f in found], dtype=np.int64)])
         flat = np.concatenate(found) if found else np.zeros(0, np.int32)
         yield pa.RecordBatch.from_arrays([batch.column("id"), list_array(flat, bounds)], ["id", "ids"])
+    known.forget()
 
 
 def _decoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
@@ -289,19 +294,20 @@ def bpe_encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     every executor. Other columns of the input are not read.
     """
     rows, kind = _texts(docs, id_col, text_col)
-    return rows.mapInArrow(lambda batches: _encoded(batches, path), f"id {kind}, ids array<int>")
+    return rows.mapInArrow(released(lambda batches: _encoded(batches, path)), f"id {kind}, ids array<int>")
 
 
 def bpe_decode(encoded: DataFrame, path: str, id_col: str = "id", ids_col: str = "ids") -> DataFrame:
     """One row (id, ids, text) per row of ids; null ids give an empty text."""
     rows = encoded.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids"))
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(lambda batches: _decoded(batches, path), f"id {kind}, ids array<int>, text string")
+    return rows.mapInArrow(released(lambda batches: _decoded(batches, path)), f"id {kind}, ids array<int>, text string")
 
 
 def bpe_round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``bpe_encode`` and then ``bpe_decode`` in the same tasks, with one vocabulary in memory."""
     rows, kind = _texts(docs, id_col, text_col)
     return rows.mapInArrow(
-        lambda batches: _decoded(_encoded(batches, path), path), f"id {kind}, ids array<int>, text string"
+        released(lambda batches: _decoded(_encoded(batches, path), path)),
+        f"id {kind}, ids array<int>, text string",
     )

@@ -6,6 +6,8 @@ finished by a bit mixer. They are the same in every process and session.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -74,6 +76,23 @@ def pieces(
             start = end
 
 
+def released(run):
+    """The batch function, giving freed memory back to the system at the end of each task.
+
+    Python workers are used again by later stages, beside whatever they then need.
+    """
+
+    def whole(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        _kept.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # of the GNU library
+            trim(0)
+
+    return whole
+
+
 def powers(count: int, base: int = _BASE) -> np.ndarray:
     """base**0 .. base**(count - 1) modulo 2**64."""
     out = np.empty(count, np.uint64)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import HashIndex, byte_class, check_carried, of_rows, pieces, text_of, word_places, words
+from .common import HashIndex, byte_class, check_carried, of_rows, pieces, released, text_of, word_places, words
 
 WORD_BYTES = byte_class((0x30, 0x39), (0x61, 0x7A), (0x80, 0xFF))
 WINDOW = 13
@@ -251,7 +251,7 @@ def find_contamination(
                 ["id", "n_words", "n_hit", "spans", "items", *keep],
             )
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(released(run), schema)
 
 
 def is_contaminated(n_hit="n_hit", n_words="n_words"):

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from incidentry.sources.workspace import stage
 
-from .common import byte_class, mixed, of_rows, pieces, powers, text_of, words
+from .common import byte_class, mixed, of_rows, pieces, powers, released, text_of, words
 from .graph import connected_components
 
 WORDS = 5
@@ -93,7 +93,7 @@ def _measured(rows: DataFrame, kind: str) -> DataFrame:
             node = pa.array(keys[:, 0].view(np.int64), mask=n == 0)
             yield pa.RecordBatch.from_arrays([batch.column("id"), node, pa.array(n)], ["id", "node", "n"])
 
-    return rows.mapInArrow(run, f"id {kind}, node bigint, n bigint")
+    return rows.mapInArrow(released(run), f"id {kind}, node bigint, n bigint")
 
 
 def _dealt_shingles(rows: DataFrame, buckets: int) -> DataFrame:
@@ -133,7 +133,7 @@ def _dealt_shingles(rows: DataFrame, buckets: int) -> DataFrame:
                 [pa.array(c, k) for c, k in zip(out, kinds, strict=True)], _PACKED
             )
 
-    return rows.mapInArrow(run, "bucket int, high binary, low binary, nodes binary, ns binary, counts binary")
+    return rows.mapInArrow(released(run), "bucket int, high binary, low binary, nodes binary, ns binary, counts binary")
 
 
 _PACKED = ["bucket", "high", "low", "nodes", "ns", "counts"]
@@ -155,7 +155,7 @@ def _shared_shingles(packed: DataFrame, buckets: int) -> DataFrame:
             yield from _shared(current, parts)
 
     dealt = packed.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(run, "node bigint, n int, h bigint, df int")
+    return dealt.mapInArrow(released(run), "node bigint, n int, h bigint, df int")
 
 
 def _shared(bucket: int, parts: list[dict]) -> Iterator[pa.RecordBatch]:
@@ -210,7 +210,7 @@ def _candidate_sets(shared: DataFrame) -> DataFrame:
 
     dealt = shared.repartition("node").sortWithinPartitions("node", "df", "h")
     return dealt.mapInArrow(
-        run, "node bigint, n int, prefix int, shingles array<bigint>, dfs array<int>"
+        released(run), "node bigint, n int, prefix int, shingles array<bigint>, dfs array<int>"
     )
 
 
@@ -286,7 +286,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     right = sets.select(
         F.col("node").alias("b"), F.col("n").alias("m"), F.col("shingles").alias("ys"), F.col("dfs").alias("yd")
     )
-    return pairs.join(left, "a").join(right, "b").mapInArrow(run, "a bigint, b bigint")
+    return pairs.join(left, "a").join(right, "b").mapInArrow(released(run), "a bigint, b bigint")
 
 
 def similar_pairs(sets: DataFrame) -> DataFrame:

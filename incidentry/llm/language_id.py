@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import free_name, pieces, text_of
+from .common import free_name, pieces, released, text_of
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -223,4 +223,4 @@ def predict_language(
                 [*names, "lang_pred", "score"],
             )
 
-    return rows.mapInArrow(run, out_schema)
+    return rows.mapInArrow(released(run), out_schema)

@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from incidentry.sources.workspace import stage
 
-from .common import check_carried, gram_hashes, mixed, of_rows, pieces, span_hashes, text_of
+from .common import check_carried, gram_hashes, mixed, of_rows, pieces, released, span_hashes, text_of
 
 LENGTH = 100
 GRAM = 32
@@ -86,7 +86,7 @@ def _keyed(rows: DataFrame) -> DataFrame:
                 [batch.column("id"), pa.array(node), batch.column("text")], ["id", "node", "text"]
             )
 
-    return rows.mapInArrow(run, "id bigint, node bigint, text string")
+    return rows.mapInArrow(released(run), "id bigint, node bigint, text string")
 
 
 _PACKED = ["bucket", "hashes", "places", "nodes", "counts"]
@@ -124,7 +124,7 @@ def _dealt_anchors(rows: DataFrame, buckets: int) -> DataFrame:
                 [pa.array(c, k) for c, k in zip(out, kinds, strict=True)], _PACKED
             )
 
-    return rows.mapInArrow(run, "bucket int, hashes binary, places binary, nodes binary, counts binary")
+    return rows.mapInArrow(released(run), "bucket int, hashes binary, places binary, nodes binary, counts binary")
 
 
 def _repeated_anchors(packed: DataFrame, buckets: int) -> DataFrame:
@@ -143,7 +143,7 @@ def _repeated_anchors(packed: DataFrame, buckets: int) -> DataFrame:
             yield from _repeated(parts)
 
     dealt = packed.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(run, "node bigint, place int")
+    return dealt.mapInArrow(released(run), "node bigint, place int")
 
 
 def _repeated(parts: list[dict]) -> Iterator[pa.RecordBatch]:
@@ -210,7 +210,7 @@ def _contexts(rows: DataFrame) -> DataFrame:
                     ["anchor", "key", "content", "id", "node", "start"],
                 )
 
-    return rows.mapInArrow(run, _CONTEXTS)
+    return rows.mapInArrow(released(run), _CONTEXTS)
 
 
 class ShardTransform:
@@ -337,7 +337,7 @@ def _combined(occurrences: DataFrame) -> DataFrame:
                 ["anchor", "key", "content", "id", "start", "copies"],
             )
 
-    return occurrences.drop("node").mapInArrow(run, _DISTINCT)
+    return occurrences.drop("node").mapInArrow(released(run), _DISTINCT)
 
 
 def _grouped(anchor, key, at_id, start, copies) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -384,7 +384,7 @@ def _merged(contexts: DataFrame) -> DataFrame:
             yield from _merged_anchors(rest, most)
 
     dealt = contexts.repartition("anchor").sortWithinPartitions("anchor")
-    return dealt.mapInArrow(run, _EARLIEST)
+    return dealt.mapInArrow(released(run), _EARLIEST)
 
 
 def _merged_anchors(some: pa.Table, most: int) -> Iterator[pa.RecordBatch]:
@@ -456,7 +456,7 @@ def _one_by_one(contexts: DataFrame) -> DataFrame:
             )
 
     strings = contexts.select("anchor", "key", "content", "id", "start", "n").mapInArrow(
-        run, "digest binary, anchor bigint, key bigint, place int, id bigint, start int, copies int"
+        released(run), "digest binary, anchor bigint, key bigint, place int, id bigint, start int, copies int"
     )
     earliest = strings.groupBy("digest").agg(
         F.min(F.struct("id", "start")).alias("first"), F.sum("copies").alias("copies")
@@ -546,7 +546,7 @@ def _without(own: DataFrame, known: DataFrame, keep: tuple[str, ...]) -> DataFra
                 [*batch.columns, pa.array(node)], [*batch.schema.names, "__node"]
             )
 
-    joined = own.mapInArrow(key, T.StructType([*own.schema, T.StructField("__node", T.LongType())])).join(
+    joined = own.mapInArrow(released(key), T.StructType([*own.schema, T.StructField("__node", T.LongType())])).join(
         known.select(F.col("node").alias("__node"), F.col("first").alias("__first"), F.col("runs").alias("__runs")),
         "__node", "left",
     ).select("__id", "__text", *keep, "__first", "__runs")
@@ -584,7 +584,7 @@ def _without(own: DataFrame, known: DataFrame, keep: tuple[str, ...]) -> DataFra
                 ["id", "kept", "n_bytes", "spans", "kept_text", *keep],
             )
 
-    return joined.mapInArrow(cut, out_schema)
+    return joined.mapInArrow(released(cut), out_schema)
 
 
 def merge_spans(spans) -> list[tuple[int, int]]:
