@@ -175,6 +175,13 @@ def test_embeddings_equal_all_pairs(spark):
     assert near_duplicate_embeddings(table.limit(0)).collect() == []
 
 
+def test_embeddings_with_negative_zeros(spark):
+    rows = [(1, [0.6, -0.0, 0.8]), (2, [0.6, 0.0, 0.8]), (3, [0.6, 0.01, 0.8]), (4, [-0.0, 1.0, -0.0]), (5, [0.0, -0.0])]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = {tuple(r) for r in near_duplicate_embeddings(table).collect()}
+    assert got == {(1, 2, 1, True), (2, 2, 1, False), (3, 2, 1, False), (4, 0, 4, True), (5, 0, 5, True)}
+
+
 def test_embedding_recall_at_the_limit(spark):
     """Random pairs of a cosine of just 0.95: at least 0.99 of them are found, none below."""
     rng = np.random.default_rng(6)
