@@ -45,7 +45,7 @@ def shingle_sets(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.n
     count = np.diff(of)
     sums = np.zeros(len(word), np.uint64)
     for k in range(WORDS):
-        sums[: len(word) - k] += word[k:] * _FACTORS[0, k]
+        sums[: max(len(word) - k, 0)] += word[k:] * _FACTORS[0, k]
     row = of_rows(of)
     place = np.arange(len(word)) - of[:-1][row]
     keep = place + WORDS <= count[row]

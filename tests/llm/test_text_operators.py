@@ -10,7 +10,7 @@ import pytest
 from cases import ASCII, components, documents, empty, least, pairs, prose, shingles
 from tokenizers import Tokenizer
 
-from incidentry.llm import decontaminate, license_scan, suffix_dedup
+from incidentry.llm import decontaminate, jaccard_join, license_scan, suffix_dedup
 from incidentry.llm.bpe import bpe_decode, bpe_encode, bpe_round_trip, vocabulary
 from incidentry.llm.jaccard_join import jaccard_components
 from incidentry.llm.language_id import cut_windows, fit_language_id, held_out, predict_language
@@ -51,6 +51,23 @@ def test_jaccard_join_near_copies_of_one_text(spark):
     assert {r["id"]: r["component_id"] for r in got} == want
 
 
+@pytest.mark.parametrize("words", range(7))
+def test_shingles_of_a_piece_with_few_words(words):
+    text = np.frombuffer(b" ".join(b"w%d" % i for i in range(words)), np.uint8)
+    values, bounds, _ = jaccard_join.shingle_sets(text, np.array([0, len(text)]))
+    beside = np.concatenate([text, np.frombuffer(b" some more words of another row", np.uint8)])
+    both, of, _ = jaccard_join.shingle_sets(beside, np.array([0, len(text), len(beside)]))
+    assert len(values) == bounds[1] == (max(words - 4, 1) if words else 0)
+    assert values.tolist() == both[: of[1]].tolist()
+
+
+def test_jaccard_join_of_a_short_text_before_a_long_one(spark):
+    long = "some words " * 420_000
+    docs = spark.createDataFrame([(1, "two words"), (2, long), (3, "Two  words")], "doc_id bigint, text string")
+    got = {r["id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_components(docs.coalesce(1)).collect()}
+    assert got == {1: (1, 1), 2: (2, 2), 3: (1, 1)}
+
+
 def test_jaccard_join_of_nothing(spark):
     assert jaccard_components(empty(spark)).collect() == []
 
