@@ -11,7 +11,7 @@ symbol deeper a round. Rows that no round has parted have a common prefix of
 
 Anchors with very many different contexts, such as those at the edge of a
 passage that stands in many documents, go another, equally exact way: their strings are
-aggregated one by one. Documents of the same text are worked on once.
+aggregated one by one. They are told by counts before contexts are dealt out by anchor. Documents of the same text are worked on once.
 """
 
 from __future__ import annotations
@@ -93,6 +93,12 @@ _PACKED = ["bucket", "hashes", "places", "nodes", "counts"]
 
 
 def _dealt_anchors(rows: DataFrame, buckets: int) -> DataFrame:
+    """Every task's anchors, packed by bucket, each distinct text once.
+
+    Two anchors of a gram show its bucket that it is repeated; a piece's further ones, known to be so,
+    go by a bucket of their own, a negative one, that gathers nothing.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in pieces(batches, "text", PIECE_BYTES):
@@ -106,7 +112,9 @@ def _dealt_anchors(rows: DataFrame, buckets: int) -> DataFrame:
             row = np.searchsorted(bounds, place, "right") - 1
             keep = fresh[row]
             place, grams, row = place[keep] - bounds[:-1][row[keep]], grams[keep], row[keep]
-            bucket = (((grams & np.uint64(0xFFFF)) * np.uint64(buckets)) >> np.uint64(16)).astype(np.uint16)
+            bucket = (((grams & np.uint64(0xFFFF)) * np.uint64(buckets)) >> np.uint64(16)).astype(np.int32)
+            alike = np.argsort(grams, kind="stable")
+            bucket[alike[2:][grams[alike[2:]] == grams[alike[:-2]]]] = -1 - int(nodes.sum()) % buckets
             by = np.argsort(bucket, kind="stable")
             place, grams, row, bucket = place[by], grams[by], row[by], bucket[by]
             cut = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True]) if len(by) else np.zeros(1, int)
@@ -128,12 +136,18 @@ def _dealt_anchors(rows: DataFrame, buckets: int) -> DataFrame:
 
 
 def _repeated_anchors(packed: DataFrame, buckets: int) -> DataFrame:
-    """(node, place) of every anchor whose gram stands at two places or more, of distinct texts."""
+    """(node, place) of every anchor whose gram stands at two places or more, of distinct texts.
+
+    A text that several tasks hold may come with a place more than once.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, parts = None, []
         for batch in batches:
             for part in batch.to_pylist():
+                if part["bucket"] < 0:
+                    yield _anchor_places(part)
+                    continue
                 if part["bucket"] != current and parts:
                     yield from _repeated(parts)
                     parts = []
@@ -146,6 +160,14 @@ def _repeated_anchors(packed: DataFrame, buckets: int) -> DataFrame:
     return dealt.mapInArrow(released(run), "node bigint, place int")
 
 
+def _anchor_places(part: dict) -> pa.RecordBatch:
+    nodes = np.frombuffer(part["nodes"], np.int64)
+    node = np.repeat(nodes, np.frombuffer(part["counts"], np.int32))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(node), pa.array(np.frombuffer(part["places"], np.int32))], ["node", "place"]
+    )
+
+
 def _repeated(parts: list[dict]) -> Iterator[pa.RecordBatch]:
     def joined(name, kind):
         return np.concatenate([np.frombuffer(p[name], kind) for p in parts])
@@ -317,10 +339,7 @@ def repeated_strings(contents: list[bytes], ids: np.ndarray, starts: np.ndarray)
     return context, place, np.repeat(at_id[first], size), np.repeat(at_start[first], size)
 
 
-_EARLIEST = (
-    "anchor bigint, key bigint, place int, n int, first_id bigint, first_start int, "
-    "content binary, id bigint, start int"
-)
+_EARLIEST = "anchor bigint, key bigint, place int, n int, first_id bigint, first_start int"
 _DISTINCT = "anchor bigint, key bigint, content binary, id bigint, start int, copies bigint"
 
 
@@ -348,26 +367,21 @@ def _grouped(anchor, key, at_id, start, copies) -> tuple[np.ndarray, np.ndarray,
     return order, first, np.add.reduceat(copies[order], first) if len(order) else copies
 
 
-def _batch(anchor, key, place, n, first_id, first_start, content=None, at_id=None, start=None) -> pa.RecordBatch:
-    size = len(anchor)
+def _batch(anchor, key, place, n, first_id, first_start) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [
             pa.array(anchor, pa.int64()), pa.array(key, pa.int64()), pa.array(place, pa.int32()),
             pa.array(n, pa.int32()), pa.array(first_id, pa.int64()), pa.array(first_start, pa.int32()),
-            pa.nulls(size, pa.binary()) if content is None else pa.array(content, pa.binary()),
-            pa.nulls(size, pa.int64()) if at_id is None else pa.array(at_id, pa.int64()),
-            pa.nulls(size, pa.int32()) if start is None else pa.array(start, pa.int32()),
         ],
-        ["anchor", "key", "place", "n", "first_id", "first_start", "content", "id", "start"],
+        ["anchor", "key", "place", "n", "first_id", "first_start"],
     )
 
 
 def _merged(contexts: DataFrame) -> DataFrame:
     """Earliest places in the contexts of each anchor, as runs of strings whose places follow each other.
 
-    Contexts of hot anchors come back as they are, with their content, ``n`` being their occurrences.
+    An anchor has at most ``HOT_CONTEXTS`` rows here, so the group that one task holds is bounded.
     """
-    most = HOT_CONTEXTS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.Table | None = None
@@ -379,15 +393,15 @@ def _merged(contexts: DataFrame) -> DataFrame:
             last = int(np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])[-1])
             rest = some.slice(last)  # may go on in the next batch
             if last:
-                yield from _merged_anchors(some.slice(0, last), most)
+                yield from _merged_anchors(some.slice(0, last))
         if rest is not None and rest.num_rows:
-            yield from _merged_anchors(rest, most)
+            yield from _merged_anchors(rest)
 
     dealt = contexts.repartition("anchor").sortWithinPartitions("anchor")
     return dealt.mapInArrow(released(run), _EARLIEST)
 
 
-def _merged_anchors(some: pa.Table, most: int) -> Iterator[pa.RecordBatch]:
+def _merged_anchors(some: pa.Table) -> Iterator[pa.RecordBatch]:
     columns = [some.column(c).to_numpy() for c in ("anchor", "key", "id", "start", "copies")]
     order, first, copies = _grouped(*columns)
     kept = order[first]
@@ -399,14 +413,7 @@ def _merged_anchors(some: pa.Table, most: int) -> Iterator[pa.RecordBatch]:
     # One context: nothing to merge, and no repeat unless it stands at several places.
     alike = np.flatnonzero((size == 1) & (copies > 1))
     yield _batch(anchor[alike], key[alike], np.zeros(len(alike)), strings[alike], at_id[alike], start[alike])
-    hot = np.flatnonzero(size > most)
-    if len(hot):
-        nothing = np.zeros(len(hot), np.int64)
-        yield _batch(
-            anchor[hot], key[hot], nothing, copies[hot], nothing, nothing,
-            [contents[i] for i in hot.tolist()], at_id[hot], start[hot],
-        )
-    merged = np.flatnonzero((size > 1) & (size <= most))
+    merged = np.flatnonzero(size > 1)
     filled = np.cumsum(strings[merged] + LENGTH - 1) // MERGED_BYTES
     new = np.r_[True, anchor[merged][1:] != anchor[merged][:-1]] if len(merged) else np.zeros(0, bool)
     block = filled[new][np.cumsum(new) - 1] if len(merged) else filled  # an anchor is in one block
@@ -446,17 +453,17 @@ def _one_by_one(contexts: DataFrame) -> DataFrame:
                 content = row["content"]
                 for k in range(len(content) - LENGTH + 1):
                     digest = hashlib.blake2b(content[k : k + LENGTH], digest_size=16).digest()
-                    values = (digest, row["anchor"], row["key"], k, row["id"], row["start"] + k, row["n"])
+                    values = (digest, row["anchor"], row["key"], k, row["id"], row["start"] + k, row["copies"])
                     for column, value in zip(out, values, strict=True):
                         column.append(value)
-            kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32())
+            kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(out, kinds, strict=True)],
                 ["digest", "anchor", "key", "place", "id", "start", "copies"],
             )
 
-    strings = contexts.select("anchor", "key", "content", "id", "start", "n").mapInArrow(
-        released(run), "digest binary, anchor bigint, key bigint, place int, id bigint, start int, copies int"
+    strings = contexts.select("anchor", "key", "content", "id", "start", "copies").mapInArrow(
+        released(run), "digest binary, anchor bigint, key bigint, place int, id bigint, start int, copies bigint"
     )
     earliest = strings.groupBy("digest").agg(
         F.min(F.struct("id", "start")).alias("first"), F.sum("copies").alias("copies")
@@ -480,17 +487,42 @@ def _occurrences(keyed: DataFrame, firsts: DataFrame, buckets: int) -> DataFrame
     """The contexts of all texts, each text once, under its least id."""
     places = (
         _repeated_anchors(_dealt_anchors(keyed.select("text"), buckets), buckets)
-        .groupBy("node").agg(F.collect_list("place").alias("places"))
+        .groupBy("node").agg(F.collect_set("place").alias("places"))
     )
     holders = keyed.join(places.join(firsts, "node"), "node").where("id = first")
     return _contexts(holders.select("id", "node", "text", "places"))
 
 
+def _parted(occurrences: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The contexts of anchors with at most ``HOT_CONTEXTS`` different ones, and those of hot anchors.
+
+    Rows are counted by anchor, which combines before the shuffle. The contexts of anchors with many
+    rows are made distinct by anchor and key and then counted, so no anchor's rows meet in a task.
+    """
+    most = F.lit(HOT_CONTEXTS)
+    often = stage(
+        occurrences.groupBy("anchor").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > most).select("anchor"),
+        "frequent-anchors",
+    )
+    distinct = stage(
+        _combined(occurrences.join(often, "anchor", "left_semi"))
+        .groupBy("anchor", "key")
+        .agg(F.min(F.struct("id", "start", "content")).alias("least"), F.sum("copies").alias("copies"))
+        .select("anchor", "key", "least.content", "least.id", "least.start", "copies"),
+        "frequent-contexts",
+    )
+    many = stage(
+        distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > most).select("anchor"),
+        "hot-anchors",
+    )
+    few = _combined(occurrences.join(often, "anchor", "left_anti")).union(distinct.join(many, "anchor", "left_anti"))
+    return few, distinct.join(many, "anchor", "left_semi")
+
+
 def repeated_runs(occurrences: DataFrame) -> DataFrame:
     """(node, start, n, first_id, first_start): runs of n strings of each text and their earliest places."""
-    found = _written(_merged(_combined(occurrences)), "earliest")
-    runs = ["anchor", "key", "place", "n", "first_id", "first_start"]
-    earliest = found.where("content IS NULL").select(*runs).union(_one_by_one(found.where("content IS NOT NULL")))
+    few, hot = _parted(occurrences)
+    earliest = _written(_merged(few), "earliest").union(_one_by_one(hot))
     return occurrences.select("anchor", "key", "node", F.col("start").alias("at")).join(
         earliest, ["anchor", "key"]
     ).select("node", (F.col("at") + F.col("place")).alias("start"), "n", "first_id", "first_start")

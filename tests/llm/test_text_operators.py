@@ -105,6 +105,47 @@ def test_suffix_dedup_equals_all_strings(spark, monkeypatch, hot):
     assert all(r["kept_text"].encode() == bytes(r["kept"]) for r in got if r["id"] != 14)
 
 
+@pytest.mark.parametrize("hot", [suffix_dedup.HOT_CONTEXTS, 5])
+def test_no_task_gathers_a_hot_anchor(spark, monkeypatch, hot):
+    """A passage between different edges: its inner anchors have one context, those of its edges one a document."""
+    monkeypatch.setattr(suffix_dedup, "HOT_CONTEXTS", hot)
+    passage = prose(60, 1)
+    rows = [(i, f"{prose(30, 100 + i)} {passage} {prose(30, 200 + i)}") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    keyed = suffix_dedup._keyed(docs.withColumnRenamed("doc_id", "id"))
+    firsts = keyed.groupBy("node").agg(suffix_dedup.F.min("id").alias("first"))
+    few, split = suffix_dedup._parted(suffix_dedup._occurrences(keyed, firsts, 4))
+    gathered, alone = few.groupBy("anchor").count().collect(), split.select("anchor", "key").collect()
+    assert (hot > 12) == (max(r["count"] for r in gathered) > 5) == (not alone)
+    assert len(set(alone)) == len(alone)
+    got = suffix_dedup.remove_repeats(docs).collect()
+    want = [(d, *kept) for (d, _), kept in zip(rows, brute_repeats(rows), strict=True)]
+    assert sorted((r["id"], bytes(r["kept"]), len(r["spans"])) for r in got) == want
+
+
+def test_a_bucket_holds_two_anchors_of_a_hot_gram(spark):
+    passage = prose(60, 1)
+    rows = [(f"{prose(30, 100 + i)} {passage} {prose(30, 200 + i)}",) for i in range(40)]
+    docs = spark.createDataFrame(rows, "text string").coalesce(1)
+    packed = suffix_dedup._dealt_anchors(docs, 4).collect()
+    held: dict[bytes, int] = {}
+    for part in packed:
+        for k in range(0, len(part["hashes"]) if part["bucket"] >= 0 else 0, 6):
+            gram = bytes(part["hashes"][k : k + 6])
+            held[gram] = held.get(gram, 0) + 1
+    assert max(held.values()) == 2
+    got = suffix_dedup._repeated_anchors(suffix_dedup._dealt_anchors(docs, 4), 4).collect()
+    places: dict[int, list] = {}
+    for (text,) in rows:
+        data, bounds = np.frombuffer(text.encode(), np.uint8), np.array([0, len(text.encode())])
+        node = int(suffix_dedup.text_hashes(data, bounds)[0])
+        at, grams, _, _ = suffix_dedup.anchors(data, bounds)
+        for k, gram in zip(at.tolist(), grams.tolist(), strict=True):
+            places.setdefault(gram, []).append((node, k))
+    want = {p for of in places.values() if len(of) > 1 for p in of}
+    assert {tuple(r) for r in got} == want and len(got) == len(want)
+
+
 def test_suffix_dedup_of_nothing(spark):
     assert suffix_dedup.remove_repeats(empty(spark)).collect() == []
 
