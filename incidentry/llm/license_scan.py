@@ -1,11 +1,13 @@
 """License statements found by MinHash bands over text windows, in DataFrame functions only.
 
 For a template of m shingles, a text is cut into windows of 2m shingles that
-overlap by half, so that any run of m + 1 shingles lies within a window. Each
-band is one minimum hash: a window that holds 0.8 of the template has a Jaccard
-similarity of 0.8 / 2.2 or more with it and misses all 32 bands with a probability below
+overlap by half, so that any run of m + 1 shingles lies within a window, and any
+run of 2m within two neighbours. Each band is one minimum hash: a window that
+holds 0.4 of the template has a Jaccard similarity of 0.4 / 2.6 or more with it, and
+the two neighbours that hold 0.8 together miss all 48 bands with a probability below
 1e-6. The windows that share a band with a template are verified by the exact
-share of the template's shingles that they contain. Windows without any shingle
+share of the template's shingles that they contain; where that is too little, so
+are all runs of 2m shingles, from any start, that overlap them. Windows without any shingle
 of a template have no band in common with one, so they are left out beforehand.
 """
 
@@ -15,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WORDS = 5
-BANDS = 32
+BANDS = 48
 PERCENT = 80
 SMALL_SHINGLES = 50_000  # of all templates; up to these the templates are broadcast, beyond Spark decides
 
@@ -81,9 +83,9 @@ def scan_licenses(
     """One row (id, license, n_shared, n_shingles, first_word) per document and license found in it.
 
     ``templates`` (license, text) is a short list: its shingles are read into the
-    plan. A license is found where a window holds 80 of 100 of its distinct
-    shingles; n_shared is the most that a window holds, first_word the number of the first word of the
-    earliest such window. Templates of fewer than five words are never found,
+    plan. A license is found where any run of twice its shingles holds 80 of 100
+    of its distinct ones. n_shared is the most that a window holds and first_word the number of the first word of the
+    earliest such window; where no window holds enough, they are those of the runs between windows. Templates of fewer than five words are never found,
     null and empty texts hold nothing. Each row is a document of its own, also
     where ids are null or repeated.
     """
@@ -116,30 +118,59 @@ def scan_licenses(
             ),
         )
         .where("window >= 0")
+        # the window and m shingles on both sides
+        .withColumn("start", (F.greatest(F.col("window") - 1, F.lit(0)) * F.col("m")).cast("int"))
         .select(
-            "row", "id", "m", "window",
-            F.array_distinct(F.slice("shingles", (F.col("window") * F.col("m") + 1).cast("int"), 2 * F.col("m")))
-            .alias("content"),
+            "row", "id", "m", "window", "start",
+            F.slice("shingles", F.col("start") + 1, ((F.col("window") + 3) * F.col("m") - F.col("start")).cast("int"))
+            .alias("span"),
         )
     )
+    content = F.array_distinct(
+        F.slice("span", (F.col("window") * F.col("m") - F.col("start") + 1).cast("int"), 2 * F.col("m"))
+    )
     signed = known.select("license", "template", "m", F.inline(_bands(F.col("template")))).collect()
     signed = docs.sparkSession.createDataFrame(
         signed, "license string, template array<bigint>, m int, band int, least bigint"
     )
     if sum(row["m"] for row in listed) <= SMALL_SHINGLES:  # some 16 MB with the bands
         signed = F.broadcast(signed)
-    found = windows.withColumn("b", F.explode(_bands(F.col("content")))).select(
-        "row", "id", "m", "window", "content", "b.band", "b.least"
+    found = windows.withColumn("b", F.explode(_bands(content))).select(
+        "row", "id", "m", "window", "start", "span", "b.band", "b.least"
     ).join(signed, ["m", "band", "least"])
-    shared = F.size(F.array_intersect("content", "template"))
+
+    def enough(shared: Column) -> Column:
+        return shared * 100 >= F.col("m") * PERCENT
+
+    def shared(part: Column) -> Column:
+        return F.size(F.array_intersect(part, "template")).cast("bigint")
+
+    runs = F.filter(
+        F.transform(
+            "span",
+            lambda s, i: F.when(
+                F.array_contains("template", s),
+                F.struct(
+                    shared(F.slice("span", i + 1, 2 * F.col("m"))).alias("n_shared"),
+                    (F.col("start") + i).cast("bigint").alias("first_word"),
+                ),
+            ),
+        ),
+        lambda run: enough(run["n_shared"]),
+    )
+    own, between = enough(F.col("n_shared")), F.col("runs")
     return (
-        found.select("row", "id", "license", "m", "window", shared.cast("bigint").alias("n_shared"))
-        .where(F.col("n_shared") * 100 >= F.col("m") * PERCENT)
+        found.withColumn("n_shared", shared(content))
+        .withColumn("runs", F.when(~own & enough(shared(F.col("span"))), runs))
+        .where(own | (F.size(between) > 0))
         .groupBy("row", "id", "license")
         .agg(
-            F.max("n_shared").alias("n_shared"),
+            F.coalesce(F.max(F.when(own, F.col("n_shared"))), F.max(F.array_max(between)["n_shared"])).alias("n_shared"),
             F.max("m").cast("bigint").alias("n_shingles"),
-            F.min(F.col("window") * F.col("m")).cast("bigint").alias("first_word"),
+            F.coalesce(
+                F.min(F.when(own, F.col("window") * F.col("m")).cast("bigint")),
+                F.min(F.array_min(F.transform(between, lambda run: run["first_word"]))),
+            ).alias("first_word"),
         )
         .drop("row")
     )

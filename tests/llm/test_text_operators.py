@@ -297,6 +297,33 @@ def test_license_scan_equals_exact_containment(spark):
     assert not re.search("Python|Arrow|Pandas", plan)
 
 
+def test_license_scan_does_not_depend_on_the_place(spark):
+    """Against all runs of twice the shingles, from every start."""
+    words = license_scan.STATEMENTS["ISC"].split(" ")
+    runs = lambda t: (lambda w: [tuple(w[i : i + 5]) for i in range(len(w) - 4)])(
+        re.findall("[a-z0-9]+", t.lower())
+    )
+    t = set(runs(" ".join(words)))
+    texts = [
+        f"{prose(place, 5)} {' '.join(words[:17])} {prose(more, 6)} {' '.join(words[17:])} {prose(70, 7)}"
+        for more in (5, 8, 20, 40) for place in range(len(t))
+    ]
+    want = {}
+    for d, text in enumerate(texts):
+        s = runs(text)
+        held = [len(t & set(s[a : a + 2 * len(t)])) for a in range(len(s))]
+        if max(held) * 100 >= 80 * len(t):
+            want[d] = max(held)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = license_scan.scan_licenses(docs, license_scan.statements(spark)).collect()
+    assert {r["id"] for r in got} == set(want) and len(got) == len(want)
+    assert {r["license"] for r in got} == {"ISC"}
+    assert [
+        (tuple(r), want[r["id"]]) for r in got
+        if not 24 <= r["n_shared"] <= want[r["id"]] or r["first_word"] > r["id"] % len(t) + len(t)
+    ] == []
+
+
 def test_digest_of_texts_is_of_their_bytes():
     import pyarrow as pa
 
