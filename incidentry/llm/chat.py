@@ -1,18 +1,20 @@
 """Chat formatting into token-budgeted windows with a loss mask.
 
-Prefix sums of the turns' tokens choose turn-aligned spans. Each window opens
-with the conversation's system turn, repeats a limited history, and goes on
-with new turns. Only new assistant turns carry loss, so each target is trained
+Running sums of the turns' tokens choose turn-aligned spans, while the sorted
+turns stream by: a task holds a window and its history, never a conversation.
+Each window opens with the conversation's system turn, repeats a limited
+history, and goes on with new turns. Only new assistant turns carry loss, so each target is trained
 on once. Control strings inside texts are escaped, reversibly.
 """
 
 from __future__ import annotations
 
 import re
+from collections import deque
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +24,8 @@ END = "<|end|>"
 _TURN = re.compile(r"<\|([^|]*)\|>([^<]*)<\|end\|>")
 _ROLE = {"%": "%25", "|": "%7C", "<": "%3C"}
 
+WINDOW_BYTES = 4 << 20  # formatted text of a batch of windows
+
 WINDOWS = (
     "id {kind}, window int, text string, n_tokens bigint, turns array<struct<"
     "turn:int,role:string,start:int,end:int,kind:string>>"
@@ -57,51 +61,81 @@ def count_tokens(text: str) -> int:
     return len(re.findall(r"\w+|[^\w\s]", text)) + 2
 
 
-def spans(sizes: np.ndarray, system: bool, budget: Budget) -> list[tuple[int, int, int]]:
-    """(first repeated turn, first new turn, end) of each window, from prefix sums of the sizes.
+class Conversation:
+    """The windows of a conversation whose turns come one by one: (text, tokens, marks of its turns).
 
     A window takes new turns as long as they fit beside the system turn and the
     repeated history, and one at least: a turn beyond the budget stands whole.
-    """
-    sums = np.concatenate([[0], np.cumsum(sizes)])
-    head = int(system)
-    fixed = int(sums[head])
-    out, new = [], head
-    if new == len(sizes):
-        return [(head, head, head)]
-    while new < len(sizes):
-        back = max(head, int(np.searchsorted(sums, sums[new] - budget.history, "left")))
-        back = min(back, new)
-        room = budget.window - fixed
-        end = int(np.searchsorted(sums, sums[back] + room, "right")) - 1
-        if end <= new:  # the history leaves no room: go without it
-            back = new
-            end = int(np.searchsorted(sums, sums[new] + room, "right")) - 1
-        end = min(max(end, new + 1), len(sizes))
-        out.append((back, new, end))
-        new = end
-    return out
-
-
-def format_conversation(roles: list[str], texts: list[str], budget: Budget):
-    """The windows of a conversation: (text, tokens, marks of its turns).
-
     A mark is (turn, role, start, end, kind): the escaped text's place in code
     points, and whether it is the ``system`` turn repeated at the head,
     ``repeated`` history, or ``new``.
     """
-    sizes = np.array([count_tokens(t) for t in texts], np.int64)
-    system = bool(roles) and roles[0] == "system"
-    for number, (back, new, end) in enumerate(spans(sizes, system, budget)):
-        members = [(0, "new" if number == 0 else "system")] if system else []
-        members += [(i, "repeated" if i < new else "new") for i in range(back, end)]
+
+    def __init__(self, budget: Budget):
+        self.budget = budget
+        self.turns = self.windows = 0
+        self.head: list[tuple] = []  # the system turn, if any; turns are (number, role, text, tokens)
+        self.room = budget.window
+        self.past: deque[tuple] = deque()  # the latest turns that fit into the history
+        self.new: deque[tuple] = deque()
+        self.past_tokens = self.new_tokens = 0
+
+    def add(self, role: str, text: str):
+        """Take a turn; the windows that it completes."""
+        turn = (self.turns, role, text, count_tokens(text))
+        self.turns += 1
+        if turn[0] == 0 and role == "system":
+            self.head = [turn]
+            self.room -= turn[3]
+            return
+        self.new.append(turn)
+        self.new_tokens += turn[3]
+        while self.new_tokens > self.room and len(self.new) > 1:
+            yield self._window()
+
+    def close(self):
+        """The windows of what is left."""
+        while self.new or (self.head and not self.windows):
+            yield self._window()
+
+    def _window(self):
+        past = list(self.past)
+        used = self.past_tokens
+        if self.new and used + self.new[0][3] > self.room:  # the history leaves no room: go without it
+            past, used = [], 0
+        taken = []
+        while self.new and (not taken or used + self.new[0][3] <= self.room):
+            taken.append(self.new.popleft())
+            used += taken[-1][3]
+            self.new_tokens -= taken[-1][3]
+        for turn in taken:
+            self.past.append(turn)
+            self.past_tokens += turn[3]
+            while self.past_tokens > self.budget.history:
+                self.past_tokens -= self.past.popleft()[3]
+        members = [(t, "system" if self.windows else "new") for t in self.head]
+        members += [(t, "repeated") for t in past] + [(t, "new") for t in taken]
+        self.windows += 1
         parts, marks, at = [], [], 0
-        for i, kind in members:
-            open_mark, body = f"<|{escape_role(roles[i])}|>", escape(texts[i])
-            marks.append((i, roles[i], at + len(open_mark), at + len(open_mark) + len(body), kind))
+        for (number, role, text, _), kind in members:
+            open_mark, body = f"<|{escape_role(role)}|>", escape(text)
+            marks.append((number, role, at + len(open_mark), at + len(open_mark) + len(body), kind))
             parts += [open_mark, body, END]
             at += len(open_mark) + len(body) + len(END)
-        yield "".join(parts), int(sizes[[i for i, _ in members]].sum()), marks
+        return "".join(parts), sum(t[3] for t, _ in members), marks
+
+
+def format_conversation(roles: list[str], texts: list[str], budget: Budget):
+    """The windows of a conversation, as ``Conversation`` gives them."""
+    talk = Conversation(budget)
+    for role, text in zip(roles, texts, strict=True):
+        yield from talk.add(role, text)
+    yield from talk.close()
+
+
+def same_key(one, other) -> bool:
+    """Whether neighbours of a sorted frame are of one group; null and NaN are groups of their own."""
+    return one == other or (one != one and other != other)
 
 
 def format_chats(
@@ -117,7 +151,8 @@ def format_chats(
     Turns go in the order of turn, then role, then text (nulls first, null role
     and text are empty); repeated rows are turns of their own. Rows with a null
     conversation are one conversation. An empty table gives no window. A
-    conversation is gathered into one task, since its text is one sequence.
+    conversation is dealt to one task, which reads its turns in order, since each
+    window begins where the one before ends, but holds no more than a window of them.
     """
     rows = turns.select(
         F.col(id_col).alias("id"),
@@ -126,25 +161,55 @@ def format_chats(
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
     )
     kind = rows.schema["id"].dataType.simpleString()
-    packed = rows.groupBy("id").agg(
-        F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns")
+    dealt = rows.repartition("id").sortWithinPartitions("id", "turn", "role", "text")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        talk, key, kind_of_id, out, size = None, None, None, [], 0
+        for batch in batches:
+            kind_of_id = batch.schema.field("id").type
+            columns = (batch.column(c).to_pylist() for c in ("id", "role", "text"))
+            for own, role, text in zip(*columns, strict=True):
+                done = []
+                if talk is not None and not same_key(own, key):
+                    done = [(key, w) for w in _numbered(talk, talk.close())]
+                    talk = None
+                if talk is None:
+                    talk, key = Conversation(budget), own
+                for line in (*done, *((key, w) for w in _numbered(talk, talk.add(role, text)))):
+                    out.append(line)
+                    size += len(line[1][1])
+                    if size > WINDOW_BYTES:
+                        yield _batch(out, kind_of_id)
+                        out, size = [], 0
+        if talk is not None:
+            out += [(key, w) for w in _numbered(talk, talk.close())]
+            yield _batch(out, kind_of_id)
+
+    return dealt.mapInArrow(run, WINDOWS.format(kind=kind))
+
+
+def _numbered(talk: Conversation, windows) -> Iterator[tuple]:
+    for window in windows:
+        yield (talk.windows - 1, *window)
+
+
+_MARKS = pa.list_(
+    pa.struct(
+        [("turn", pa.int32()), ("role", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string())]
     )
+)
+
 
-    def run(frames):
-        for frame in frames:
-            out = []
-            for key, members in zip(frame["id"], frame["turns"], strict=True):
-                roles, texts = [t["role"] for t in members], [t["text"] for t in members]
-                for number, (text, tokens, marks) in enumerate(
-                    format_conversation(roles, texts, budget)
-                ):
-                    named = [
-                        dict(zip(("turn", "role", "start", "end", "kind"), m, strict=True)) for m in marks
-                    ]
-                    out.append((key, number, text, tokens, named))
-            yield pd.DataFrame(out, columns=["id", "window", "text", "n_tokens", "turns"])
-
-    return packed.mapInPandas(run, WINDOWS.format(kind=kind))
+def _batch(lines: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
+    marks = [[dict(zip(("turn", "role", "start", "end", "kind"), m, strict=True)) for m in w[3]] for _, w in lines]
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([key for key, _ in lines], kind), pa.array([w[0] for _, w in lines], pa.int32()),
+            pa.array([w[1] for _, w in lines], pa.string()), pa.array([w[2] for _, w in lines], pa.int64()),
+            pa.array(marks, _MARKS),
+        ],
+        ["id", "window", "text", "n_tokens", "turns"],
+    )
 
 
 def read_window(text: str) -> list[tuple[str, str]]:

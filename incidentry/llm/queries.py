@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import hashlib
 
-import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -126,44 +126,61 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     turns = table(spark, sf_dir, "conversations").select(extra.columns).unionByName(extra)
     windows = format_chats(turns)
-    read = windows.groupBy("id").agg(
-        F.sort_array(F.collect_list(F.struct("window", "text", "turns"))).alias("windows")
-    )
-
-    def run(frames):
-        for frame in frames:
-            yield pd.DataFrame(
-                [(k, *_read_back(w)) for k, w in zip(frame["id"], frame["windows"], strict=True)],
-                columns=_READ_BACK,
-            )
+    dealt = windows.select("id", "window", "text", "turns").repartition("id").sortWithinPartitions("id", "window")
+
+    def run(batches):
+        talk = None
+        for batch in batches:
+            out = []
+            for row in batch.to_pylist():
+                if talk is not None and talk.key != row["id"]:
+                    out.append(talk.row())
+                    talk = None
+                if talk is None:
+                    talk = _ReadBack(row["id"])
+                talk.add(row)
+            yield pa.RecordBatch.from_pylist(out, _READ_BACK)
+        if talk is not None:
+            yield pa.RecordBatch.from_pylist([talk.row()], _READ_BACK)
 
     schema = (
         "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, "
         "formatted_chars bigint, n_windows bigint"
     )
-    return read.mapInPandas(run, schema)
+    return dealt.mapInArrow(run, schema)
+
+
+_READ_BACK = pa.schema([
+    ("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()),
+    ("loss_sha256", pa.string()), ("formatted_chars", pa.int64()), ("n_windows", pa.int64()),
+])
 
 
-_READ_BACK = [
-    "conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "n_windows",
-]
+class _ReadBack:
+    """Digests of one conversation, fed with its windows in order: only turns marked new count."""
 
+    def __init__(self, key):
+        self.key, self.turns, self.loss = key, hashlib.sha256(), hashlib.sha256()
+        self.n_turns = self.loss_chars = self.chars = self.windows = 0
 
-def _read_back(windows) -> tuple:
-    """Digests of one conversation, from its windows in order: only turns marked new count."""
-    turns, loss = hashlib.sha256(), hashlib.sha256()
-    n_turns = loss_chars = chars = 0
-    for window in windows:
-        chars += len(window["text"])
+    def add(self, window) -> None:
+        self.windows += 1
+        self.chars += len(window["text"])
         for mark, (role, text) in zip(window["turns"], read_window(window["text"]), strict=True):
             if mark["kind"] != "new":
                 continue
-            n_turns += 1
-            turns.update(f"{role}\n{text}\n".encode())
+            self.n_turns += 1
+            self.turns.update(f"{role}\n{text}\n".encode())
             if role == "assistant":
-                loss.update(text.encode())
-                loss_chars += len(text)
-    return n_turns, turns.hexdigest(), loss_chars, loss.hexdigest(), chars, len(windows)
+                self.loss.update(text.encode())
+                self.loss_chars += len(text)
+
+    def row(self) -> dict:
+        values = (
+            self.key, self.n_turns, self.turns.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.chars,
+            self.windows,
+        )
+        return dict(zip(_READ_BACK.names, values, strict=True))
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

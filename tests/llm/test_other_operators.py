@@ -6,7 +6,9 @@ import numpy as np
 import pytest
 
 from incidentry.llm import warc
-from incidentry.llm.chat import Budget, escape, format_chats, format_conversation, read_window, unescape
+from incidentry.llm.chat import (
+    Budget, Conversation, count_tokens, escape, format_chats, format_conversation, read_window, unescape,
+)
 from incidentry.llm.embedding_dedup import near_duplicate_embeddings
 from incidentry.llm.graph import connected_components
 from incidentry.llm.queries import RULES, op5_embedding_near_dedup, op7_chat_formatting
@@ -99,6 +101,56 @@ def test_chat_windows(seed):
     assert seen == list(range(len(roles)))
 
 
+def whole_spans(sizes, system, budget):
+    """(first repeated turn, first new turn, end) of each window, from prefix sums of a whole conversation."""
+    sums = np.concatenate([[0], np.cumsum(sizes)])
+    head = int(system)
+    out, new, room = [], head, budget.window - int(sums[head])
+    while new < len(sizes):
+        back = min(max(head, int(np.searchsorted(sums, sums[new] - budget.history, "left"))), new)
+        end = int(np.searchsorted(sums, sums[back] + room, "right")) - 1
+        if end <= new:
+            back = new
+            end = int(np.searchsorted(sums, sums[new] + room, "right")) - 1
+        out.append((back, new, min(max(end, new + 1), len(sizes))))
+        new = out[-1][2]
+    return out
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_chat_windows_of_a_stream(seed):
+    """The windows of turns that come one by one are those of the whole conversation, and few turns are held."""
+    rng = random.Random(seed)
+    budget = Budget(window=60, history=rng.choice([0, 7, 20, 70]))
+    roles = (["system"] if seed % 2 else []) + ["user", "assistant"] * 100
+    texts = ["w " * rng.choice([0, 1, 3, 10, 30, 80]) for _ in roles]
+    talk, got, most = Conversation(budget), [], 0
+    for role, text in zip(roles, texts, strict=True):
+        got += list(talk.add(role, text))
+        most = max(most, len(talk.past) + len(talk.new))
+    got += list(talk.close())
+    spans = [
+        (*[[m[0] for m in marks if m[4] == kind] for kind in ("repeated", "new")],) for _, _, marks in got
+    ]
+    sizes = [count_tokens(t) for t in texts]
+    want = [(list(range(b, n)), list(range(n, e))) for b, n, e in whole_spans(sizes, seed % 2, budget)]
+    if seed % 2:
+        want[0] = (want[0][0], [0, *want[0][1]])
+    assert spans == want
+    assert most <= (budget.window + budget.history) // 2 + 2
+
+
+def test_chats_are_not_gathered(spark):
+    rows = [(None if i % 3 else 1, i, "user", f"turn {i}") for i in range(3000)]
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    windows = format_chats(turns, Budget(window=50, history=10))
+    assert "collect_list" not in windows._jdf.queryExecution().executedPlan().toString()
+    new = {}
+    for r in sorted(windows.collect(), key=lambda r: (str(r["id"]), r["window"])):
+        new.setdefault(r["id"], []).extend(m["turn"] for m in r["turns"] if m["kind"] == "new")
+    assert new == {1: list(range(1000)), None: list(range(2000))}
+
+
 def test_chat_edges(spark):
     rows = [
         (1, 0, "user", "a", 1), (1, 1, "assistant", None, 1), (1, 1, "assistant", None, 1), (1, None, None, "first", 1),
