@@ -11,11 +11,13 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 _made: list[str] = []
+_path_of: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def workspace(spark: SparkSession) -> str:
@@ -49,10 +51,8 @@ def staging(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
         while len(_made) > before:
-            path = hadoop(_made.pop())
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            delete_folder(spark, _made.pop())
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -60,4 +60,19 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    _path_of[staged] = path
+    return staged
+
+
+def discard(staged: DataFrame) -> None:
+    """Delete the table that ``stage`` wrote for this frame, which nothing reads again."""
+    path = _path_of.pop(staged)
+    delete_folder(staged.sparkSession, path)
+    if path in _made:
+        _made.remove(path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
