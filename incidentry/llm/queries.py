@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from incidentry.sources.workspace import fresh_path, stage
 
+from .bisector_clusters import bisector_clusters
 from .bpe import bpe_round_trip
 from .chat import format_chats, read_window
 from .common import table
@@ -19,8 +20,10 @@ from .embedding_dedup import near_duplicate_embeddings
 from .language_id import fit_language_id, held_out, predict_language
 from .jaccard_join import jaccard_components
 from .license_scan import STATEMENTS, scan_licenses, statements
+from .nearest_vectors import nearest_vectors
 from .suffix_dedup import remove_repeats
 from .url_filter import url_verdicts
+from .vector_codes import vector_codes
 from .warc import read_warc, write_warc
 
 RULES = [
@@ -246,6 +249,132 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = bisector_clusters(table(spark, sf_dir, "embeddings"), k=16, rounds=3, scale=64, width=64)
+    sums = found.assigned.groupBy("cluster").agg(F.sum("distance").alias("cluster_inertia"))
+    text = F.array_join(F.col("centroid").cast("array<string>"), ",")
+    clusters = sums.join(found.centroids, "cluster").select(
+        "cluster", "cluster_inertia", F.sha2(text, 256).alias("centroid_sha256")
+    )
+    whole = found.assigned.agg(F.sum("distance")).scalar()
+    return found.assigned.join(F.broadcast(clusters), "cluster").select(  # 16 clusters
+        F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", whole.alias("inertia"), "centroid_sha256"
+    )
+
+
+_SQL_SOUND = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+
+def _sql_whole(scale: int) -> str:
+    return f"list_transform(embedding, lambda x: floor({scale} * CAST(x AS DOUBLE)))"
+
+
+def _sql_floor_mean(total: str, count: str) -> str:
+    """Exact floor of a quotient of integers, which // cuts towards zero."""
+    return f"CAST(({total} - ({total} % {count} + {count}) % {count}) // {count} AS BIGINT)"
+
+
+# doubles hold all these integers exactly
+_SQL_SQUARE = "list_inner_product(v, v) - 2 * list_inner_product(v, w) + list_inner_product(w, w)"
+
+
+def _sql_clusters(rounds: int) -> str:
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+a{r} AS (
+  SELECT vec_id, v, cluster, {_SQL_SQUARE} AS distance FROM vectors, c{r}
+  QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY {_SQL_SQUARE}, cluster) = 1)""")
+        if r < rounds:
+            steps.append(f"""
+m{r} AS (
+  SELECT cluster, list(mean ORDER BY place) AS w
+  FROM (SELECT cluster, place, {_sql_floor_mean("sum(x)", "count(*)")}::DOUBLE AS mean
+        FROM (SELECT cluster, unnest(v)::BIGINT AS x, generate_subscripts(v, 1) AS place FROM a{r}) GROUP BY ALL)
+  GROUP BY cluster),
+c{r + 1} AS (SELECT cluster, coalesce(m{r}.w, c{r}.w) AS w FROM c{r} LEFT JOIN m{r} USING (cluster))""")
+    return ",".join(steps)
+
+
+SQL_CLUSTERING = f"""
+WITH vectors AS (SELECT vec_id, {_sql_whole(64)} AS v FROM embeddings WHERE len(embedding) = 64 AND {_SQL_SOUND}),
+c0 AS (
+  SELECT row_number() OVER (ORDER BY h) - 1 AS cluster, v AS w
+  FROM (SELECT sha256('1:' || vec_id) AS h, v FROM vectors ORDER BY h LIMIT 16)),{_sql_clusters(3)}
+SELECT vec_id, CAST(a3.cluster AS INT) AS cluster, CAST(distance AS BIGINT) AS distance,
+  CAST(sum(distance) OVER (PARTITION BY a3.cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(list_transform(w, lambda x: CAST(x AS BIGINT)), ',')) AS centroid_sha256
+FROM a3 JOIN c3 ON a3.cluster = c3.cluster
+"""
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = vector_codes(table(spark, sf_dir, "embeddings"), keep=("label",))
+    totals = stage(found.coded.groupBy("label").agg(F.sum("error").alias("label_error")), "label-errors")
+    numbers = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("part", "entry", "components"))), lambda s: s["components"]))
+    books = found.codebooks.agg(F.sha2(F.array_join(numbers.cast("array<string>"), ","), 256)).scalar()
+    same = F.col("c.label").eqNullSafe(F.col("t.label"))
+    return found.coded.alias("c").join(totals.alias("t"), same).select(
+        F.col("id").alias("vec_id"), F.lower(F.hex("code")).alias("code"), "error", "label_error",
+        books.alias("codebooks_sha256"),
+    )
+
+
+def _sql_codes(rounds: int) -> str:
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+a{r} AS (
+  SELECT vec_id, part, v, entry, {_SQL_SQUARE} AS distance FROM parts JOIN c{r} USING (part)
+  QUALIFY row_number() OVER (PARTITION BY vec_id, part ORDER BY {_SQL_SQUARE}, entry) = 1)""")
+        if r < rounds:
+            steps.append(f"""
+m{r} AS (
+  SELECT part, entry, list(mean ORDER BY place) AS w
+  FROM (SELECT part, entry, place, {_sql_floor_mean("sum(x)", "count(*)")}::DOUBLE AS mean
+        FROM (SELECT part, entry, unnest(v)::BIGINT AS x, generate_subscripts(v, 1) AS place FROM a{r}) GROUP BY ALL)
+  GROUP BY part, entry),
+c{r + 1} AS (
+  SELECT part, entry, coalesce(m{r}.w, c{r}.w) AS w FROM c{r} LEFT JOIN m{r} USING (part, entry))""")
+    return ",".join(steps)
+
+
+SQL_CODES = f"""
+WITH vectors AS (SELECT vec_id, label, {_sql_whole(1024)} AS v FROM embeddings WHERE {_SQL_SOUND}),
+parts AS (
+  SELECT vec_id, part, v[part * len(v) // 4 + 1:(part + 1) * len(v) // 4] AS v
+  FROM vectors, (VALUES (0), (1), (2), (3)) AS p(part)),
+c0 AS (
+  SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, v AS w FROM parts
+  QUALIFY entry < 256),{_sql_codes(4)},
+books AS (
+  SELECT sha256(string_agg(array_to_string(list_transform(w, lambda x: CAST(x AS BIGINT)), ','), ','
+    ORDER BY part, entry)) AS codebooks_sha256 FROM c4),
+coded AS (
+  SELECT vec_id, string_agg(lower(printf('%02x', CAST(entry AS INT))), '' ORDER BY part) AS code,
+    CAST(sum(distance) AS BIGINT) AS error FROM a4 GROUP BY vec_id)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM coded JOIN vectors USING (vec_id), books
+"""
+
+
+def op13_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_vectors(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+SQL_NEAREST = f"""
+WITH vectors AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE {_SQL_SOUND} AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v) AS score
+  FROM vectors AS q JOIN vectors AS c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)
+SELECT query_id, CAST(row_number() OVER near AS INT) AS rank, vec_id, score FROM pairs
+WINDOW near AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY rank <= 20
+"""
+
+
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -257,6 +386,9 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_license_scans": op9_license_scans,
     "op10_bpe": op10_bpe,
+    "op11_centroid_clustering": op11_centroid_clustering,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_nearest_vectors": op13_nearest_vectors,
 }
 
 ORACLE = {
@@ -264,4 +396,7 @@ ORACLE = {
     "op3_url_filters": SQL_URL_FILTERS,
     "op8_warc": SQL_WARC,
     "op9_license_scans": SQL_LICENSES,
+    "op11_centroid_clustering": SQL_CLUSTERING,
+    "op12_vector_codes": SQL_CODES,
+    "op13_nearest_vectors": SQL_NEAREST,
 }
