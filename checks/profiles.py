@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from incidentry import (
     count_by,
+    density_curve,
     distribution,
     geo_grid,
     histogram,
@@ -59,6 +60,16 @@ def distribution_summary_large(spark, sf):
     return _summary(spark, sf, F.col("l_linenumber") % 2)
 
 
+CURVES = ["l_quantity", "l_extendedprice", "l_discount"]
+
+
+def density_curves(spark, sf):
+    """Outlines of violins; the density is given per bandwidth, so that all measures are of one size."""
+    lines = table(spark, sf, "lineitem").select(F.col("l_linenumber").alias("severity"), *CURVES)
+    curves = density_curve(lines, "severity", CURVES).withColumn("density", F.col("density") * F.col("bandwidth"))
+    return rounded(rounded(as_long(curves, "severity", "point"), 6, "value", "bandwidth"), 9, "density")
+
+
 def distribution_histogram(spark, sf):
     lines = table(spark, sf, "lineitem").select(F.col("l_linenumber").alias("severity"), "l_extendedprice")
     return as_long(histogram(lines, ["severity"], "l_extendedprice", 0.0, 5000.0, out="n"), "severity")
@@ -78,6 +89,7 @@ QUERIES = {
     "side_series": side_series,
     "distribution_summary": distribution_summary,
     "distribution_summary_large": distribution_summary_large,
+    "density_curve": density_curves,
     "distribution_histogram": distribution_histogram,
     "geo_grid_counts": geo_grid_counts,
 }
@@ -103,7 +115,27 @@ def _distribution(key: str) -> str:
     return " UNION ALL ".join(_measure_sql(m, key) for m in MEASURES)
 
 
+def sql_density(source: str, key: str, column: str, measure: str) -> str:
+    """The kernel summed over all values, at each of 100 points."""
+    return f"""
+        SELECT severity, '{measure}' AS measure, CAST(point AS BIGINT) AS point,
+               {sql_round('value', 6)} AS value, {sql_round('h', 6)} AS bandwidth,
+               CASE WHEN h > 0 THEN {sql_round("(SELECT sum(exp(-0.5::DOUBLE * pow((value - x) / nullif(h, 0), 2))) FROM (SELECT " + key
+                          + " AS k, " + column + " AS x FROM " + source + ") AS v WHERE k = severity) / (n * sqrt(2 * pi()))", 9)}
+               END AS density
+        FROM (
+            SELECT severity, n, h, point, lo - 2 * h + point * (hi - lo + 4 * h) / 99.0::DOUBLE AS value
+            FROM (
+                SELECT {key} AS severity, count({column}) AS n, min({column}) AS lo, max({column}) AS hi,
+                       greatest((hi - lo) / 100.0::DOUBLE, 1.059::DOUBLE * pow(n, -0.2::DOUBLE) * least(
+                           stddev_samp({column}),
+                           (quantile_cont({column}, 0.75) - quantile_cont({column}, 0.25)) / 1.349::DOUBLE)) AS h
+                FROM {source} GROUP BY 1),
+            unnest(range(CASE WHEN h > 0 THEN 100 ELSE 1 END)) AS t(point))"""
+
+
 ORACLE = {
+    "density_curve": " UNION ALL ".join(sql_density("lineitem", "CAST(l_linenumber AS BIGINT)", m, m) for m in CURVES),
     "share_of_total": f"""
         SELECT o_orderpriority, n, {sql_round('CAST(n AS DOUBLE) / sum(n) OVER ()', 6)} AS share
         FROM (SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY 1)""",

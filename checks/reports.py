@@ -16,6 +16,7 @@ from incidentry.operators.profile import flags_long, geo_grid, series, share
 from incidentry.plans import address, clean, roadside, time, weather
 
 from .common import as_long, rounded, sql_round
+from .profiles import sql_density
 from .incidents import (
     SQL_DIMENSIONS,
     SQL_INCIDENTS,
@@ -192,6 +193,13 @@ def weather_summary(spark, sf):
     return rounded(as_long(summary, "Severity"), 6, "min", "p25", "p50", "p75", "max", "mean", "stddev")
 
 
+def weather_curves(spark, sf):
+    """The violins' outlines; the density is given per bandwidth."""
+    curves = weather.density_curves(_weather(spark, sf)).withColumn("density", F.col("density") * F.col("bandwidth"))
+    curves = as_long(curves.withColumnRenamed("Severity", "severity"), "severity", "point")
+    return rounded(rounded(curves, 6, "value", "bandwidth"), 9, "density")
+
+
 def weather_outline(spark, sf):
     return as_long(weather.density_outline(_weather(spark, sf), "Temperature(F)", 0.0, 5.0), "Severity")
 
@@ -258,6 +266,7 @@ QUERIES = {
     "report_poi_totals_long": poi_totals_long,
     "report_weather_density": weather_density,
     "report_weather_summary": weather_summary,
+    "report_weather_curves": weather_curves,
     "report_weather_outline": weather_outline,
     "report_sky_counts": sky_counts,
     "report_sky_counts_with_other": sky_counts_with_other,
@@ -452,6 +461,9 @@ ORACLE = {
         f'{sql_round(c, 6)} AS "{name}"' for name, c in _SQL_MEASURES.items()
     ) + " FROM clear",
     "report_weather_summary": _summary(),
+    "report_weather_curves": f"{_BASE}, {_WEATHER} " + " UNION ALL ".join(
+        sql_density("clear", "Severity", column, name) for name, column in _SQL_MEASURES.items()
+    ),
     "report_weather_outline": f"""{_BASE}, {_WEATHER}
         SELECT Severity, CAST(floor(temperature / 5.0::DOUBLE) AS BIGINT) AS bin, count(*) AS count
         FROM clear GROUP BY 1, 2""",

@@ -30,8 +30,8 @@ from .operators.cleaning import (
     null_report,
     strip_chars,
 )
+from .operators.distribution import density_curve, distribution
 from .operators.profile import (
-    distribution,
     flags_long,
     geo_grid,
     histogram,

@@ -1,17 +1,15 @@
-"""Shares, pivots, distributions and map cells: what the charts draw."""
+"""Shares, pivots, histograms and map cells: what the charts draw."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import add, and_
+from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions.columns import cell, ratio, real_value
-from ..sources.workspace import stage
 
 
 def share(
@@ -85,142 +83,3 @@ def geo_grid(
     return known.groupBy(
         *keys, cell(lat, 0.0, size).alias("lat_cell"), cell(lon, 0.0, size).alias("lon_cell")
     ).agg(F.count("*").alias(out))
-
-
-# --- distribution summary -------------------------------------------------
-
-_ACCURACY = 10_000  # rank error of the sketch is at most n / _ACCURACY
-_QUARTILES = {0.25: "p25", 0.5: "p50", 0.75: "p75"}
-
-
-def distribution(
-    df: DataFrame,
-    key: str,
-    measures: Sequence[str],
-    quantiles: Mapping[float, str] | None = None,
-) -> DataFrame:
-    """Count, minimum, exact quantiles, maximum, mean and deviation of each
-    measure per key, as ``(key, measure, n, min, p25, p50, p75, max, mean, stddev)``.
-
-    Quantiles lie linearly between two ranks. No group is ever held in one task:
-    see ``_quantiles``.
-    """
-    quantiles = dict(quantiles or _QUARTILES)
-    # One row per value; an unpivot stays inside generated code.
-    values = (
-        df.select(F.col(key).alias("_key"), *[real_value(df, m).cast("double").alias(m) for m in measures])
-        .unpivot(["_key"], list(measures), "measure", "_value")
-        .filter(F.col("_value").isNotNull())
-    )
-    margin = 2.0 / _ACCURACY
-    probs = sorted({min(1.0, max(0.0, q + d)) for q in quantiles for d in (-margin, margin)})
-    base = stage(
-        values.groupBy("_key", "measure").agg(
-            F.count("_value").alias("n"),
-            F.min("_value").alias("min"),
-            F.max("_value").alias("max"),
-            F.avg("_value").alias("mean"),
-            F.stddev("_value").alias("stddev"),
-            F.percentile_approx("_value", probs, _ACCURACY).alias("_cuts"),
-        ),
-        "moments",
-    )
-    found = _quantiles(values, base, len(probs), quantiles)
-    rows = base.alias("b").join(found.alias("f"), _same_group("b", "f"))
-    return rows.select(
-        F.col("b._key").alias(key), "b.measure", "n", "min", *quantiles.values(), "max", "mean", "stddev"
-    )
-
-
-def _same_group(left: str, right: str) -> Column:
-    """Equality of key and measure of two aliased frames; a null key is a key."""
-    return F.col(f"{left}._key").eqNullSafe(F.col(f"{right}._key")) & (
-        F.col(f"{left}.measure") == F.col(f"{right}.measure")
-    )
-
-
-def _quantiles(
-    values: DataFrame, base: DataFrame, n_cuts: int, quantiles: Mapping[float, str]
-) -> DataFrame:
-    """Exact quantiles of ``(_key, measure, _value)`` rows, no group ever held in
-    one task.
-
-    Two scans follow the one that gave, per group, two close cut points around
-    every quantile; none shuffles the table:
-
-    1. counting the values between neighbouring cuts tells exactly in which bin
-       each wanted rank is;
-    2. of those bins only, a small part of the rows, each value is counted and
-       ranked within its bin.
-
-    The cuts only steer the work: poor ones make the bins wider, never the
-    result wrong. The small tables between the scans are staged, so their size
-    on disk decides whether Spark broadcasts them.
-    """
-    group = ("_key", "measure")
-    cuts = [f"_cut{i}" for i in range(n_cuts)]
-    edges = stage(
-        base.select(*group, *[F.col("_cuts")[i].alias(c) for i, c in enumerate(cuts)]), "cuts"
-    )
-    bin_number = reduce(
-        add, [F.coalesce((F.col("_value") >= F.col(c)).cast("int"), F.lit(0)) for c in cuts]
-    ).alias("_bin")
-
-    binned = (
-        values.alias("v").join(edges.alias("e"), _same_group("v", "e"), "left")
-        .select("v.*", bin_number)
-    )
-    ranks = stage(_wanted_ranks(binned.groupBy(*group, "_bin").count(), quantiles), "ranks")
-
-    needed = ranks.groupBy(*group).agg(F.collect_set("_bin").alias("_needed"))
-    steer = stage(
-        needed.alias("n").join(edges.alias("e"), _same_group("n", "e"), "left")
-        .select("n.*", *cuts),
-        "bins",
-    )
-    times = (
-        values.alias("v").join(steer.alias("s"), _same_group("v", "s"))
-        .select("v.*", bin_number, "_needed")
-        .filter(F.array_contains("_needed", F.col("_bin")))
-        .groupBy(*group, "_bin", "_value")
-        .agg(F.count("*").alias("_times"))
-    )
-    upto = F.sum("_times").over(Window.partitionBy(*group, "_bin").orderBy("_value"))
-    offset = F.col("r._rank") - F.col("r._before")
-    found = ranks.alias("r").join(
-        times.withColumn("_upto", upto).alias("v"),
-        _same_group("r", "v")
-        & (F.col("r._bin") == F.col("v._bin"))
-        & (offset < F.col("v._upto"))
-        & (offset >= F.col("v._upto") - F.col("v._times")),
-    )
-
-    def quantile(name: str) -> Column:
-        here = F.col("_name") == F.lit(name)
-        low = F.max(F.when(here & F.col("_low"), F.col("_value")))
-        high = F.max(F.when(here & ~F.col("_low"), F.col("_value")))
-        part = F.max(F.when(here, F.col("_part")))
-        between = (F.lit(1.0) - part) * low + part * high  # holds for infinite values too
-        return F.when((part == 0) | (low == high), low).otherwise(between).alias(name)
-
-    return found.groupBy("r._key", "r.measure").agg(*map(quantile, quantiles.values()))
-
-
-def _wanted_ranks(bin_counts: DataFrame, quantiles: Mapping[float, str]) -> DataFrame:
-    """The two ranks each linear quantile lies between, and the bin holding them."""
-    bins = Window.partitionBy("_key", "measure")  # a handful of bins per group
-    earlier = bins.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    sized = bin_counts.select(
-        "*",
-        F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("_before"),
-        F.sum("count").over(bins).alias("_n"),
-    )
-    position = {name: F.lit(float(q)) * (F.col("_n") - F.lit(1)) for q, name in quantiles.items()}
-    ranks = sized.select("_key", "measure", "_bin", "_before", "count", F.inline(F.array(*[
-        F.struct(F.lit(name).alias("_name"), F.lit(low).alias("_low"),
-                 (F.floor(p) if low else F.ceil(p)).cast("bigint").alias("_rank"),
-                 (p - F.floor(p)).alias("_part"))
-        for name, p in position.items()
-        for low in (True, False)
-    ])))
-    return ranks.filter("_rank >= _before AND _rank < _before + count")

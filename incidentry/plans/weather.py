@@ -9,7 +9,8 @@ from ..contract import MISSING_DEFAULTS, WEATHER_BINS, WEATHER_BINS_WITH_OTHER,
 from ..functions.binning import regex_bin, value_map
 from ..operators.aggregate import count_by
 from ..operators.cleaning import drop_sentinels, not_year
-from ..operators.profile import distribution, histogram, share
+from ..operators.distribution import density_curve, distribution
+from ..operators.profile import histogram, share
 
 
 def weather_rows(incidents: DataFrame, other_than: int = 2020) -> DataFrame:
@@ -24,7 +25,7 @@ def weather_rows(incidents: DataFrame, other_than: int = 2020) -> DataFrame:
 
 def weather_density(rows: DataFrame) -> DataFrame:
     """One row per accident: large, keep it partitioned. Charts at scale take
-    ``density_summary`` and ``density_outline`` instead."""
+    ``density_summary`` and ``density_curves`` instead."""
     return rows.select("Severity", *WEATHER_MEASURES)
 
 
@@ -32,6 +33,11 @@ def density_summary(rows: DataFrame) -> DataFrame:
     return distribution(rows, "Severity", WEATHER_MEASURES)
 
 
+def density_curves(rows: DataFrame) -> DataFrame:
+    """The outlines of the violins."""
+    return density_curve(rows, "Severity", WEATHER_MEASURES)
+
+
 def density_outline(rows: DataFrame, measure: str, lo: float, width: float) -> DataFrame:
     return histogram(rows, ["Severity"], measure, lo, width)
 
@@ -65,6 +71,7 @@ def weather_reports(
     return {
         "WeatherDensity": weather_density(rows),
         "WeatherDensitySummary": density_summary(rows),
+        "WeatherDensityCurves": density_curves(rows),
         "WeatherCondition": sky,
         "WeatherConditionOther": sky_counts(rows, WEATHER_BINS_WITH_OTHER, "Other"),
         "WeatherWind": wind,

@@ -1,3 +1,4 @@
+import math
 import random
 import statistics
 
@@ -12,6 +13,7 @@ from incidentry import (
     average_by,
     cohort_compare,
     count_by,
+    density_curve,
     distribution,
     drop_sentinels,
     fill_defaults,
@@ -205,6 +207,58 @@ def test_distribution_against_brute_force(spark):
         assert result[group] == pytest.approx(numbers, abs=1e-9), group
 
 
+@pytest.mark.parametrize(("bounded", "accuracy", "steps"), [(5, 20, 10), (40, 50, 1000), (1, 10, 4)])
+def test_open_ranks_are_narrowed_until_few_values_are_left(spark, monkeypatch, bounded, accuracy, steps):
+    """Poor cuts and a small bound: several narrowings, the same exact quantiles."""
+    from incidentry.operators import distribution as module
+
+    seen = []
+    narrowed = module._narrowed
+    monkeypatch.setattr(module, "_narrowed", lambda *a: seen.append(1) or narrowed(*a))
+    monkeypatch.setattr(module, "_BOUNDED", bounded)
+    monkeypatch.setattr(module, "_ACCURACY", accuracy)
+    monkeypatch.setattr(module, "_STEPS", steps)
+    rng = random.Random(bounded)
+    data = [("hot", rng.gauss(0, 1), rng.expovariate(1e-3)) for _ in range(3000)]
+    data += [("ties", float(rng.choice([1, 1, 1, 2, 5])), rng.random()) for _ in range(500)] + [(None, 1.0, -0.0), (None, 2.0, 3.0)]
+    df = spark.createDataFrame(data, "k string, a double, b double").repartition(5)
+    got = {(r["k"], r["measure"]): tuple(r)[2:] for r in distribution(df, "k", ["a", "b"]).collect()}
+    assert seen and len(got) == 6
+    for i, measure in ((1, "a"), (2, "b")):
+        for key in ("hot", "ties", None):
+            want = expected_summary([d[i] for d in data if d[0] == key])
+            assert got[key, measure] == pytest.approx(want, abs=1e-9)
+
+
+def test_density_curve_against_the_sum_of_all_kernels(spark):
+    rng = random.Random(3)
+    inf, nan = float("inf"), float("nan")
+    data = [("a", rng.gauss(5, 2), rng.choice([0.0, 10.0])) for _ in range(700)] + [("a", inf, nan), ("a", None, -inf)]
+    data += [("spike", 1.0, None)] * 60 + [("spike", 400.0, None), (None, 1.0, 2.0), (None, 4.0, 2.0), ("one", 7.0, None)]
+    got = density_curve(spark.createDataFrame(data, "k string, x double, y double").repartition(4), "k", ["x", "y"], points=37)
+    assert got.columns == ["k", "measure", "point", "value", "density", "bandwidth"]
+    curves = {}
+    for r in got.collect():
+        curves.setdefault((r["k"], r["measure"]), {})[r["point"]] = (r["value"], r["density"], r["bandwidth"])
+    assert set(curves) == {("a", "x"), ("a", "y"), ("spike", "x"), (None, "x"), (None, "y"), ("one", "x")}
+    for (key, measure), points in curves.items():
+        values = np.array([v for d in data if d[0] == key and (v := d[1 if measure == "x" else 2]) is not None])
+        values = values[np.isfinite(values)]
+        if len(set(values)) == 1:
+            assert points == {0: (values[0], None, 0.0)}
+            continue
+        quartiles = np.quantile(values, [0.25, 0.75])
+        h = 1.059 * min(values.std(ddof=1), (quartiles[1] - quartiles[0]) / 1.349) * len(values) ** -0.2
+        h = max(h, (values.max() - values.min()) / 100)
+        grid = np.linspace(values.min() - 2 * h, values.max() + 2 * h, 37)
+        kernels = np.exp(-0.5 * ((grid[:, None] - values[None, :]) / h) ** 2).sum(1) / (len(values) * h * math.sqrt(2 * math.pi))
+        assert sorted(points) == list(range(37))
+        found = np.array([points[i] for i in range(37)])
+        assert np.allclose(found[:, 0], grid, atol=1e-9) and np.allclose(found[:, 2], h, atol=1e-12)
+        assert np.abs(found[:, 1] - kernels).max() < 1e-10 * kernels.max()
+    assert density_curve(spark.createDataFrame([], "k string, x double"), "k", ["x"]).collect() == []
+
+
 def test_distribution_of_other_quantiles(spark):
     df = spark.range(1001).selectExpr("'k' AS k", "CAST(id AS DOUBLE) AS v")
     got = distribution(df, "k", ["v"], {0.0: "q0", 0.1: "q10", 1.0: "q100"})
