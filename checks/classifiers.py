@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from incidentry import (
     accuracy,
+    class_weights,
     confusion,
     count_by,
     load_model,
+    oversample,
     save_model,
     severity_pipeline,
     train_and_score,
@@ -66,19 +68,28 @@ def feature_vector(spark, sf):
 
 
 def model_predictions(spark, sf):
-    """Scored test rows of the undersampled model."""
+    """Scored test rows of the undersampled model.
+
+    No SQL grows its tree; the same steps on a label that is a rule are compared in ``learned_rule_predictions``.
+    """
     _, reports = prediction.severity_reports(incidents(spark, sf), CUTOFF)
     return reports["dtPrediction"]
 
 
 def model_predictions_rebalanced(spark, sf):
-    """Scored test rows of the rebalanced model, with its test accuracy."""
+    """Scored test rows of the rebalanced model, with its test accuracy.
+
+    No SQL grows its tree; its training rows are compared in ``rebalanced_training_rows``, its steps in ``learned_rule_*``.
+    """
     _, reports = prediction.rebalanced_reports(incidents(spark, sf), CUTOFF)
     return reports["PredResults_overunder"]
 
 
 def model_metrics(spark, sf):
-    """Accuracy and F1 of the model on raw classes, on both splits."""
+    """Accuracy and F1 of the model on raw classes, on both splits.
+
+    No SQL grows its tree; the figures are compared in ``learned_rule_metrics``, ``accuracy_metric`` and ``f1_metric``.
+    """
     _, reports = prediction.severity_reports(incidents(spark, sf), CUTOFF, sampled=False)
     return reports["dtMetrics"]
 
@@ -105,6 +116,33 @@ def learned_rule_metrics(spark, sf):
     return rounded(metrics, 9, "value")
 
 
+def weights_against_copies(spark, sf):
+    """A tree trained on class weights and one on copies predict alike: rows per label, and differences.
+
+    The label is a rule of the price that the tree can learn; class 3 is rare.
+    """
+    price = F.col("o_totalprice")
+    label = F.when(price < 300000, 1).when(price < 450000, 2).otherwise(3)
+    rows = table(spark, sf, "orders").select(
+        "o_orderkey", priority().cast("double").alias("step"), F.floor(price / 50000).cast("double").alias("price"),
+        label.alias("label"),
+    )
+    train, test = split(rows, 0.8, "o_orderkey", 11)
+    inputs = ["step", "price"]
+    _, copied, _ = train_and_score(
+        oversample(train, "label", "o_orderkey", 12), test, severity_pipeline([], inputs, "label", 5)
+    )
+    weighed, scored, _ = train_and_score(
+        class_weights(train, "label"), test, severity_pipeline([], inputs, "label", 5, weight="weight")
+    )
+    both = scored.join(copied.select("o_orderkey", F.col("prediction").alias("by_copies")), "o_orderkey")
+    counts = both.groupBy("label").agg(
+        F.count("*").alias("n"), F.count_if(F.col("prediction") != F.col("by_copies")).alias("n_different"),
+        F.count_if(F.col("prediction") != F.col("label")).alias("n_wrong"),
+    )
+    return as_long(counts, "label")
+
+
 def model_test_rows(spark, sf):
     """Scored test rows per actual severity of a shallow undersampled model, and
     how many of them got a severity that occurs."""
@@ -167,6 +205,7 @@ QUERIES = {
     "model_predictions": model_predictions,
     "model_predictions_rebalanced": model_predictions_rebalanced,
     "model_metrics": model_metrics,
+    "weights_against_copies": weights_against_copies,
     "model_test_rows": model_test_rows,
     "rebalanced_training_rows": rebalanced_training_rows,
     "model_save_load": model_save_load,
@@ -239,6 +278,10 @@ ORACLE = {
                CAST(row_number() OVER (ORDER BY n DESC, o_orderpriority) - 1 AS DOUBLE) AS position
         FROM (SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY 1)""",
     "feature_vector": f"WITH {SQL_INCIDENTS}, {_SUNDAY} {_vector()}",
+    "weights_against_copies": f"""
+        SELECT CAST(CASE WHEN o_totalprice < 300000 THEN 1 WHEN o_totalprice < 450000 THEN 2 ELSE 3 END AS BIGINT) AS label,
+               count(*) AS n, 0::BIGINT AS n_different, 0::BIGINT AS n_wrong
+        FROM orders WHERE {sql_hash('o_orderkey', 11)} >= 0.8 GROUP BY 1""",
     "model_test_rows": f"""
         WITH {SQL_INCIDENTS}, {_SUNDAY}, {_picked(prediction.UNDERSAMPLED)}
         SELECT Severity AS actual, count(*) AS n, count(*) AS n_known

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from incidentry import count_by, oversample, oversample_random, split, undersample, union_all
+from incidentry import WHOLE_ROW, count_by, oversample, oversample_random, split, undersample, union_all
 
 from .common import as_long, sql_hash, table
 
@@ -48,7 +48,7 @@ def oversample_balanced(spark, sf):
 
 
 def oversample_drawn(spark, sf):
-    drawn = oversample_random(priced_classes(spark, sf), "class", [1, 2, 3], 10)
+    drawn = oversample_random(priced_classes(spark, sf), "class", [1, 2, 3], 10, "o_orderkey")
     top = count_by(priced_classes(spark, sf), ["class"]).agg(F.max("count")).scalar()
     return _drawn(spark, sf, drawn, top, top)
 
@@ -78,6 +78,48 @@ def random_split_sizes(spark, sf):
     ).withColumn("in_both", both)
 
 
+def keyless_rows(spark, sf):
+    """Line items of three columns, so that many rows are equal; two thirds have no key, some no class."""
+    part = F.col("l_partkey")
+    return table(spark, sf, "lineitem").select(
+        F.when(part % 3 == 0, part).alias("key"),
+        F.when(F.col("l_linenumber") < 7, F.col("l_linenumber") % 3).alias("class"), F.col("l_tax").alias("tax"),
+    )
+
+
+def _parts(rows, keep):
+    """Rows, rows kept and whether as many as asked for were, per kind of row."""
+    kind = F.when(F.col("key").isNull(), "keyless").otherwise("keyed")
+    sizes = rows.groupBy("class", kind.alias("kind")).agg(F.count("*").alias("n"), F.count_if("kept").alias("n_kept"))
+    sure = F.lit(5.0) * F.sqrt(F.col("n") * keep * (1 - keep)) + 1
+    # rows with one key go together, some thirty of them
+    near = F.abs(F.col("n_kept") - F.col("n") * keep) <= F.when(F.col("kind") == "keyed", sure * 8).otherwise(sure)
+    return as_long(sizes.select("class", "kind", "n", near.alias("near")), "class")
+
+
+def split_without_keys(spark, sf):
+    train, test = split(keyless_rows(spark, sf), 0.8, "key", 11)
+    return _parts(union_all([train.withColumn("kept", F.lit(True)), test.withColumn("kept", F.lit(False))]), F.lit(0.8))
+
+
+def split_whole_rows(spark, sf):
+    """Equal rows are told apart by a running number, so each goes its own way."""
+    train, test = split(keyless_rows(spark, sf), 0.8, WHOLE_ROW, 11)
+    return _parts(union_all([train.withColumn("kept", F.lit(True)), test.withColumn("kept", F.lit(False))]), F.lit(0.8))
+
+
+def undersample_without_keys(spark, sf):
+    kept = undersample(keyless_rows(spark, sf), "class", {0: 0.5, 1: 1.0, 2: 0.1}, "key", 5)
+    sizes = count_by(kept.select(F.col("class"), F.col("key").isNull().alias("keyless")), ["class", "keyless"], "n_kept")
+    whole = count_by(
+        keyless_rows(spark, sf).select(F.col("class"), F.col("key").isNull().alias("keyless")), ["class", "keyless"], "n"
+    )
+    part = F.when(F.col("class") == 0, 0.5).when(F.col("class") == 1, 1.0).otherwise(0.1)
+    sure = (F.lit(5.0) * F.sqrt(F.col("n") * part * (1 - part)) + 1) * F.when(F.col("keyless"), 1).otherwise(8)
+    near = F.abs(F.col("n_kept") - F.col("n") * part) <= sure
+    return as_long(sizes.join(whole, ["class", "keyless"]).select("class", "keyless", "n", near.alias("near")), "class")
+
+
 def union_classes(spark, sf):
     rows = priced_classes(spark, sf)
     return as_long(union_all([rows.filter(F.col("class") == c) for c in (1, 2, 2)]), "class")
@@ -91,9 +133,21 @@ QUERIES = {
     "hash_split": hash_split,
     "random_split": random_split,
     "random_split_sizes": random_split_sizes,
+    "split_without_keys": split_without_keys,
+    "split_whole_rows": split_whole_rows,
+    "undersample_without_keys": undersample_without_keys,
     "union_classes": union_classes,
 }
 
+SQL_KEYLESS = """
+    keyless AS (
+        SELECT CASE WHEN l_partkey % 3 = 0 THEN l_partkey END AS key,
+               CASE WHEN l_linenumber < 7 THEN CAST(l_linenumber % 3 AS BIGINT) END AS class, l_tax
+        FROM lineitem)"""
+_SQL_PARTS = f"""
+    WITH {SQL_KEYLESS} SELECT class, CASE WHEN key IS NULL THEN 'keyless' ELSE 'keyed' END AS kind, count(*) AS n,
+        TRUE AS near FROM keyless GROUP BY 1, 2"""
+
 SQL_CLASSES = """
     classes AS (
         SELECT o_orderkey, CAST(CASE WHEN o_totalprice < 300000 THEN 1 WHEN o_totalprice < 420000 THEN 2
@@ -128,6 +182,11 @@ ORACLE = {
     "random_split_sizes": f"""
         WITH {SQL_CLASSES} SELECT count(*) AS n_rows, count(DISTINCT o_orderkey) AS n_keys, TRUE AS near,
                0::BIGINT AS in_both FROM classes""",
+    "split_without_keys": _SQL_PARTS,
+    "split_whole_rows": _SQL_PARTS,
+    "undersample_without_keys": f"""
+        WITH {SQL_KEYLESS} SELECT class, key IS NULL AS keyless, count(*) AS n, TRUE AS near
+        FROM keyless WHERE class IS NOT NULL GROUP BY 1, 2""",
     "union_classes": f"""
         WITH {SQL_CLASSES}
         SELECT o_orderkey, class FROM classes WHERE class = 1

@@ -42,7 +42,9 @@ from .operators.profile import (
 from .operators.ranking import attach_attribute, preview, top_group_peaks, top_k
 from .operators.rates import rate_by_dimension, two_level_rate
 from .operators.sampling import (
+    WHOLE_ROW,
     class_counts,
+    class_weights,
     oversample,
     oversample_random,
     split,

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import add, and_, or_
+from operator import add, and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -93,31 +93,28 @@ def _open(ranks: DataFrame) -> DataFrame:
 
 def _cut_ranks(values: DataFrame, base: DataFrame, measures: int, quantiles: list[float], cuts: int) -> DataFrame:
     """The two neighbouring ranks of each quantile, found at a cut or lying between two."""
+    # as SQL text: an expression built call by call takes longer than the small jobs it describes
     places = [(j, i) for j in range(measures) for i in range(cuts)]
-    edges = base.select(
-        F.col("_key").alias("_of"), *[F.get(f"_cuts{j}", F.lit(i)).alias(f"_c{j}_{i}") for j, i in places]
-    )
-    counted = (
-        values.join(edges, F.col("_key").eqNullSafe(F.col("_of")))
-        .groupBy("_key")
-        .agg(
-            *[F.count_if(F.col(f"_v{j}") < F.col(f"_c{j}_{i}")).alias(f"_lt{j}_{i}") for j, i in places],
-            *[F.count_if(F.col(f"_v{j}") <= F.col(f"_c{j}_{i}")).alias(f"_le{j}_{i}") for j, i in places],
-        )
-    )
+    edges = base.selectExpr("_key AS _of", *[f"get(_cuts{j}, {i}) AS _c{j}_{i}" for j, i in places])
+    counts = [
+        F.expr(f"count_if(_v{j} {test} _c{j}_{i}) AS _{name}{j}_{i}")
+        for j, i in places
+        for name, test in (("lt", "<"), ("le", "<="))
+    ]
+    counted = values.join(edges, F.col("_key").eqNullSafe(F.col("_of"))).groupBy("_key").agg(*counts)
     whole = base.alias("b").join(counted.alias("n"), _same("b", "n", "_key")).drop(F.col("n._key"))
-    rows = whole.select("_key", F.inline(F.array(*[
-        F.struct(
-            F.lit(j).alias("_measure"), F.lit(q).alias("_quantile"), F.col(f"_n{j}").alias("_upto"),
-            (F.lit(float(quantile)) * (F.col(f"_n{j}") - F.lit(1))).alias("_position"),
-            F.array(*[
-                F.struct(F.get(f"_cuts{j}", F.lit(i)).alias("c"), F.col(f"_lt{j}_{i}").alias("lt"), F.col(f"_le{j}_{i}").alias("le"))
-                for i in range(cuts)
-            ]).alias("_cuts"),
+
+    def wanted(j: int, q: int) -> str:
+        at = ", ".join(
+            f"named_struct('c', get(_cuts{j}, {i}), 'lt', _lt{j}_{i}, 'le', _le{j}_{i})" for i in range(cuts)
+        )
+        position = f"{float(quantiles[q])!r}D * (_n{j} - 1)"
+        return (
+            f"named_struct('_measure', {j}, '_quantile', {q}, '_upto', _n{j}, '_position', {position}, '_cuts', array({at}))"
         )
-        for j in range(measures)
-        for q, quantile in enumerate(quantiles)
-    ]))).filter("_upto > 0")
+
+    every = ", ".join(wanted(j, q) for j in range(measures) for q in range(len(quantiles)))
+    rows = whole.selectExpr("_key", f"inline(array({every}))").filter("_upto > 0")
     none = F.lit(None).cast("double")
     return _settled(rows.select(
         *_OF, F.floor("_position").alias("_first"), F.ceil("_position").alias("_second"),
@@ -155,29 +152,25 @@ def _settled(rows: DataFrame) -> DataFrame:
 def _between(values: DataFrame, ranks: DataFrame, measures: int, quantiles: int) -> DataFrame:
     """``(_key, _measure, _quantile, _value)`` of the values strictly between the cuts of these ranks."""
     places = [(j, i) for j in range(measures) for i in range(quantiles)]
-
-    def of(place: tuple[int, int], column: Column) -> Column:
-        return F.max(F.when((F.col("_measure") == place[0]) & (F.col("_quantile") == place[1]), column))
-
+    of_place = "_measure = {} AND _quantile = {}"
     limits = stage(
-        ranks.groupBy(F.col("_key").alias("_of")).agg(
-            *[of(p, F.lit(True)).alias(f"_on{p[0]}_{p[1]}") for p in places],
-            *[of(p, F.col("_above")).alias(f"_above{p[0]}_{p[1]}") for p in places],
-            *[of(p, F.col("_under")).alias(f"_under{p[0]}_{p[1]}") for p in places],
-        ),
+        ranks.groupBy(F.col("_key").alias("_of")).agg(*[
+            F.expr(f"max(CASE WHEN {of_place.format(j, i)} THEN {limit} END) AS {name}{j}_{i}")
+            for j, i in places
+            for limit, name in (("true", "_on"), ("_above", "_above"), ("_under", "_under"))
+        ]),
         "limits",
     )
-    inside = {}
-    for j, i in places:
-        value, above, under = F.col(f"_v{j}"), F.col(f"_above{j}_{i}"), F.col(f"_under{j}_{i}")
-        limited = (above.isNull() | (value > above)) & (under.isNull() | (value < under))
-        inside[j, i] = F.coalesce(F.col(f"_on{j}_{i}") & value.isNotNull() & limited, F.lit(False))
-    some = values.join(limits, F.col("_key").eqNullSafe(F.col("_of"))).filter(reduce(or_, inside.values()))
-    marked = F.array(*[
-        F.struct(F.lit(j).alias("_measure"), F.lit(i).alias("_quantile"), F.col(f"_v{j}").alias("_value"), test.alias("_in"))
-        for (j, i), test in inside.items()
-    ])
-    return some.select("_key", F.inline(F.filter(marked, lambda x: x["_in"]))).drop("_in")
+    inside = {
+        (j, i): f"coalesce(_on{j}_{i} AND _v{j} IS NOT NULL AND (_above{j}_{i} IS NULL OR _v{j} > _above{j}_{i}) "
+        f"AND (_under{j}_{i} IS NULL OR _v{j} < _under{j}_{i}), false)"
+        for j, i in places
+    }
+    some = values.join(limits, F.col("_key").eqNullSafe(F.col("_of"))).filter(" OR ".join(inside.values()))
+    marked = ", ".join(
+        f"named_struct('_measure', {j}, '_quantile', {i}, '_value', _v{j}, '_in', {test})" for (j, i), test in inside.items()
+    )
+    return some.selectExpr("_key", f"inline(filter(array({marked}), x -> x._in))").drop("_in")
 
 
 def _narrowed(values: DataFrame, ranks: DataFrame, measures: int, quantiles: int) -> DataFrame:

@@ -53,12 +53,14 @@ def severity_pipeline(
     indexed: Sequence[str] = (),
     handle_invalid: str = "error",
     order: Sequence[str] | None = None,
+    weight: str | None = None,
 ) -> Pipeline:
     """Index, one-hot encode, assemble and classify, all in one pipeline.
 
     ``indexed`` columns are string-indexed (most frequent first) and then
     one-hot encoded; ``categorical`` columns are encoded as they are.
-    ``order`` lists the inputs in the order the vector should have.
+    ``order`` lists the inputs in the order the vector should have, ``weight``
+    names the column that says how much a training row counts.
     """
     to_index = {c: f"{c}_index" for c in indexed}
     encoded = {c: f"{c}_vec" for c in [*categorical, *indexed]}
@@ -79,9 +81,8 @@ def severity_pipeline(
         )
     inputs = [encoded.get(c, c) for c in (order or [*categorical, *numeric, *indexed])]
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid=handle_invalid))
-    stages.append(
-        DecisionTreeClassifier(featuresCol="features", labelCol=label, maxDepth=max_depth)
-    )
+    tree = DecisionTreeClassifier(featuresCol="features", labelCol=label, maxDepth=max_depth)
+    stages.append(tree.setWeightCol(weight) if weight else tree)
     return Pipeline(stages=stages)
 
 

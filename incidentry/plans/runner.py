@@ -72,6 +72,9 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> None:
     parser.add_argument(
         "--unsorted", action="store_true", help="clean: store without the shuffle that brings a year together"
     )
+    parser.add_argument(
+        "--class-weights", action="store_true", help="rebalanced: weigh the training rows instead of copying them"
+    )
     args = parser.parse_args(argv)
     with staging(spark):
         _run(spark, parser, args)
@@ -109,7 +112,9 @@ def _run(spark: SparkSession, parser: argparse.ArgumentParser, args: argparse.Na
         reports = weather_reports(incidents, args.cutoff_year, stage)
     else:
         if args.job == "rebalanced":
-            model, reports = rebalanced_reports(incidents, args.cutoff_year)
+            model, reports = rebalanced_reports(
+                incidents, args.cutoff_year, weight="weight" if args.class_weights else None
+            )
         else:
             sampled = args.job == "severity"
             model, reports = severity_reports(incidents, args.cutoff_year, sampled=sampled)

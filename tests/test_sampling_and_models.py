@@ -1,3 +1,4 @@
+import math
 import random
 from collections import Counter
 
@@ -6,8 +7,10 @@ from pyspark.sql import functions as F
 
 from conftest import plan, rows
 from incidentry import (
+    WHOLE_ROW,
     accuracy,
     class_counts,
+    class_weights,
     confusion,
     load_model,
     oversample,
@@ -90,10 +93,89 @@ def test_rows_without_key_or_class_have_a_rule(spark):
     assert [r["id"] for r in got if r["label"] is None] == ["e"]
 
 
-def test_random_oversampling(classes):
-    got = sizes_of(oversample_random(classes, "label", [1, 2, 3], 10))
-    assert set(got) == {1, 2, 3} and got[1] == 1000
-    assert 800 < got[2] < 1200 and 700 < got[3] < 1300
+def test_random_oversampling(spark, classes, monkeypatch):
+    from incidentry.operators import sampling
+
+    for mean_at_once in (16, 3):  # a mean of 100 in 7 or in 34 portions
+        monkeypatch.setattr(sampling, "_MEAN_AT_ONCE", mean_at_once)
+        for key in ("id", WHOLE_ROW):
+            drawn = oversample_random(classes, "label", [1, 2, 3], 10, key)
+            got = sizes_of(drawn)
+            assert set(got) == {1, 2, 3} and got[1] == 1000
+            assert all(abs(got[c] - 1000) < 5 * 1000**0.5 for c in (2, 3))
+            copies = Counter(r["id"] for r in drawn.collect())
+            assert all(copies[f"1-{i}"] == 1 for i in range(1000))
+            assert len({copies[f"2-{i}"] for i in range(100)}) > 5  # drawn, not evened
+            again = oversample_random(classes.repartition(5), "label", [1, 2, 3], 10, key)
+            assert rows(again) == rows(drawn)
+    one_scan = plan(oversample_random(spark.range(50).selectExpr("id", "int(id % 7 = 0) AS c"), "c", [0, 1], 1, "id"))
+    assert one_scan.count("Range (") == 1 and "Sample" not in one_scan
+    assert oversample_random(classes.limit(0), "label", [1, 2], 10, "id").collect() == []
+
+
+def test_copies_are_poisson_distributed(spark):
+    """Of 4000 rows with a mean of 3 copies, the numbers of rows with 0, 1, .. copies."""
+    df = spark.range(16000).selectExpr("id", "CASE WHEN id < 4000 THEN 1 ELSE 0 END AS c")
+    copies = Counter(r["id"] for r in oversample_random(df, "c", [0, 1], 3, "id").collect() if r["c"] == 1)
+    found = Counter(copies[i] for i in range(4000))
+    for k in range(9):
+        share = math.exp(-3) * 3**k / math.factorial(k)
+        assert abs(found[k] - 4000 * share) < 5 * (4000 * share * (1 - share)) ** 0.5
+
+
+def test_rows_without_a_key_go_their_own_ways(spark):
+    """All keys null, a third of the rows equal, columns of every kind of text."""
+    data = [(None, 1, "same", 0.0, None, [1, 2])] * 400 + [
+        (None, i % 3, f"t{i}", -0.0 if i % 2 else 0.0, bytearray([255, i % 256]), [i, None]) for i in range(800)
+    ]
+    df = spark.createDataFrame(data, "id string, label int, text string, x double, raw binary, many array<int>")
+    for key in ("id", WHOLE_ROW):
+        train, test = split(df, 0.8, key, 3)
+        assert abs(train.count() - 960) < 5 * (1200 * 0.16) ** 0.5
+        assert abs(train.filter("text = 'same'").count() - 320) < 5 * 8
+        assert rows(union_all([train, test])) == rows(df)  # every row once, no value changed
+        assert rows(split(df.repartition(7), 0.8, key, 3)[0]) == rows(train)
+        kept = sizes_of(undersample(df, "label", {0: 1.0, 1: 0.5}, key, 4))
+        assert kept[0] == 267 and abs(kept[1] - 333) < 5 * 13 and set(kept) == {0, 1}
+        assert set(sizes_of(oversample(df, "label", key, 4)).values()) <= set(range(600, 740))
+    keyed = df.withColumn("id", F.lit("k"))
+    assert split(keyed, 0.8, "id", 3)[0].count() in (0, 1200)  # rows of one key stay together
+    assert abs(split(keyed, 0.8, WHOLE_ROW, 3)[0].count() - 960) < 5 * (1200 * 0.16) ** 0.5
+
+
+def test_many_equal_rows_are_numbered_in_portions(spark, monkeypatch):
+    from incidentry.operators import sampling
+
+    monkeypatch.setattr(sampling, "_EQUAL_AT_ONCE", 7)
+    df = spark.range(50).selectExpr("CAST(NULL AS STRING) AS id", "1 AS v")
+    numbered = sampling.identified(df, "id")
+    assert numbered.select("_identity").distinct().count() == numbered.count() == 50
+    assert numbered.drop("_identity").columns == df.columns
+
+
+def test_class_weights_stand_for_copies(classes):
+    weighed = class_weights(classes, "label")
+    assert weighed.columns == [*classes.columns, "weight"]
+    assert {(r["label"], r["weight"]) for r in weighed.collect()} == {
+        (1, 1.0), (2, 10.0), (3, 100.0), (4, 1000.0), (None, 1.0),
+    }
+
+
+def test_a_weighed_model_needs_no_copies(crashes, monkeypatch):
+    """The same predictions as with copies, and the training rows that are staged are the split's."""
+    from incidentry.operators import severity
+
+    staged = {}
+    keep = severity.stage
+    monkeypatch.setattr(severity, "stage", lambda df, label: staged.setdefault(label, keep(df, label)))
+    args = (crashes, prediction.rebalanced_model(5, "weight"), prediction.REBALANCED, True)
+    _, weighed = prediction.fit_and_report(*args)
+    train = staged.pop("train")
+    assert train.select("ID").distinct().count() == train.count() and "weight" in train.columns
+    staged.clear()
+    _, copied = prediction.fit_and_report(crashes, prediction.rebalanced_model(5), *args[2:])
+    assert staged["train"].count() > train.count()
+    assert rows(weighed["predictions"]) == rows(copied["predictions"])
 
 
 def test_splits_are_complete_and_apart(classes):
