@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
@@ -53,8 +52,8 @@ def ml_feature_table_monday(spark, sf):
 
 def string_index(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderpriority")
-    indexer = StringIndexer(inputCols=["o_orderpriority"], outputCols=["position"])
-    indexed = indexer.fit(orders).transform(orders)
+    indexer = severity_pipeline([], [], "label", indexed=["o_orderpriority"]).getStages()[0]
+    indexed = indexer.fit(orders).transform(orders).withColumnRenamed("o_orderpriority_index", "position")
     return count_by(indexed, ["o_orderpriority", "position"], "n")
 
 

@@ -12,8 +12,9 @@ from incidentry.contract import (
     WIND_GROUPS,
 )
 from incidentry.operators.aggregate import value_bounds
-from incidentry.operators.profile import flags_long, geo_grid, series, share
+from incidentry.operators.profile import flags_long, geo_grid, series, share, tile_pyramid
 from incidentry.plans import address, clean, roadside, time, weather
+from incidentry.sources.workspace import stage
 
 from .common import as_long, rounded, sql_round
 from .profiles import sql_density
@@ -77,15 +78,16 @@ def most_day_city(spark, sf):
 
 
 def most_day_city_weather(spark, sf):
-    rows = time.most_day_city_weather(time.city_days(incidents(spark, sf), YEARS))
+    peaks = stage(time.most_day_city(time.city_days(incidents(spark, sf), YEARS)), "peaks")
+    rows = time.most_day_city_weather(incidents(spark, sf), peaks)
     return rows.withColumn("Date", F.col("Date").cast("string"))
 
 
 def day_weather(spark, sf):
     """Weather of the very worst day; its date and city are read first."""
-    days = time.city_days(incidents(spark, sf), YEARS)
-    worst = time.most_day_city(days, k=1).first()
-    return time.day_weather(time.most_day_city_weather(days), str(worst["date"]), worst["city"])
+    peaks = stage(time.most_day_city(time.city_days(incidents(spark, sf), YEARS)), "peaks")
+    worst = peaks.orderBy(F.desc("count"), "date", "city").first()
+    return time.day_weather(time.most_day_city_weather(incidents(spark, sf), peaks), str(worst["date"]), worst["city"])
 
 
 def red_blue(spark, sf):
@@ -116,6 +118,11 @@ def left_side(spark, sf):
     return as_long(series(counts, "Side", "L", ["Severity"]), "Severity")
 
 
+def side_bars(spark, sf):
+    reports = address.address_reports(incidents(spark, sf), population(spark, sf), CUTOFF)
+    return as_long(reports["LeftSide"].unionByName(reports["RightSide"]), "Severity")
+
+
 def city_count(spark, sf):
     return address.city_count(_places(spark, sf))
 
@@ -172,6 +179,10 @@ def poi_totals_by_severity(spark, sf):
     return as_long(roadside.poi_totals_by_severity(_roadside(spark, sf)), "Severity")
 
 
+def poi_long(spark, sf):
+    return as_long(roadside.poi_long(_roadside(spark, sf)), "Severity")
+
+
 def poi_totals_long(spark, sf):
     totals = roadside.poi_totals_by_severity(_roadside(spark, sf))
     return as_long(flags_long(totals, [f"sum({f})" for f in POI_FLAGS], ["Severity"], "poi"), "Severity")
@@ -226,9 +237,18 @@ def wind_mix(spark, sf):
     return rounded(as_long(mix, "Severity"), 6, "share")
 
 
+def sky_pies(spark, sf):
+    return weather.severity_pies(weather.sky_counts(_weather(spark, sf)), "Weather_Condition")
+
+
 # --- map --------------------------------------------------------------------
 
 
+def incident_tiles(spark, sf):
+    tiles = tile_pyramid(incidents(spark, sf), "Start_Lat", "Start_Lng", ["Severity"], 4, 12)
+    return as_long(tiles.withColumn("Severity", F.col("Severity") - 1), "Severity", "zoom", "x", "y")
+
+
 def incident_map(spark, sf):
     cells = geo_grid(incidents(spark, sf), "Start_Lat", "Start_Lng", 2.0, ["Severity"])
     return as_long(cells.withColumn("Severity", F.col("Severity") - 1), "Severity")
@@ -274,6 +294,10 @@ QUERIES = {
     "report_sky_mix": sky_mix,
     "report_wind_mix": wind_mix,
     "report_incident_map": incident_map,
+    "report_incident_tiles": incident_tiles,
+    "report_sky_pies": sky_pies,
+    "report_poi_long": poi_long,
+    "report_side_bars": side_bars,
 }
 
 # --- the same in SQL --------------------------------------------------------
@@ -472,6 +496,26 @@ ORACLE = {
     "report_wind_counts": _wind() + " SELECT * FROM mix",
     "report_sky_mix": _sky(WEATHER_BINS, "weather_condition") + _mix("Weather_Condition"),
     "report_wind_mix": _wind() + _mix("Wind_Direction"),
+    "report_incident_tiles": f"""{_BASE},
+        tiles AS (
+            SELECT Severity, z AS zoom, CAST(floor((Start_Lng + 180) / 360 * pow(2, z)) AS BIGINT) AS x,
+                   CAST(floor((1 - asinh(tan(radians(Start_Lat))) / pi()) / 2 * pow(2, z)) AS BIGINT) AS y
+            FROM incidents, unnest(range(4, 13)) AS t(z))
+        SELECT Severity, zoom, x, y, count(*) AS count,
+               array_to_string(list_transform(range(zoom - 1, -1, -1), lambda i: ((x >> i) & 1) + 2 * ((y >> i) & 1)), '')
+               AS quadkey
+        FROM tiles GROUP BY Severity, zoom, x, y""",
+    "report_sky_pies": _sky(WEATHER_BINS, "weather_condition") + """
+        SELECT Weather_Condition, """ + ", ".join(
+            f"CAST(coalesce(sum(Counts) FILTER (Severity = {i}), 0) AS BIGINT) AS Severity{i}" for i in (1, 2, 3)
+        ) + " FROM mix GROUP BY 1",
+    "report_poi_long": f"{_BASE} " + " UNION ALL ".join(
+        f"""SELECT Severity, '{f}' AS POI, CAST(sum(CAST({f} AS INT)) AS BIGINT) AS Count
+        FROM incidents WHERE {_BEFORE} AND ({_ANY_POI}) GROUP BY 1"""
+        for f in POI_FLAGS
+    ),
+    "report_side_bars": f"""{_BASE} SELECT Side, Severity, count(*) AS Count FROM incidents
+        WHERE {_BEFORE} AND Side IN ('L', 'R') GROUP BY 1, 2""",
     "report_incident_map": f"""{_BASE}
         SELECT Severity, CAST(floor(Start_Lat / 2.0::DOUBLE) AS BIGINT) AS lat_cell,
                CAST(floor(Start_Lng / 2.0::DOUBLE) AS BIGINT) AS lon_cell, count(*) AS count

@@ -38,6 +38,7 @@ from .operators.profile import (
     pivot_counts,
     series,
     share,
+    tile_pyramid,
 )
 from .operators.ranking import attach_attribute, preview, top_group_peaks, top_k
 from .operators.rates import rate_by_dimension, two_level_rate
@@ -62,7 +63,8 @@ from .operators.severity import (
     weighted_f1,
 )
 from .sources.models import load_model, save_model
-from .sources.tables import load_result, read_csv, read_table, run_outputs, save_result
+from .sources.rollups import YearlyRollups
+from .sources.tables import load_result, read_csv, read_table, replace_result, run_outputs, save_result
 from .sources.workspace import stage
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -44,13 +44,21 @@ def top_group_peaks(
 
 
 def attach_attribute(
-    peaks: DataFrame, df: DataFrame, keys: Sequence[str], attributes: Sequence[str]
+    peaks: DataFrame, df: DataFrame, keys: Sequence[str], attributes: Sequence[str],
+    day: str | None = None, partition: str | None = None,
 ) -> DataFrame:
     """One row per fact row on a ranked key, with the listed fact columns.
 
     Stage the ranking first: Spark then knows how small it is and does not
-    shuffle the fact table.
+    shuffle the fact table. With the fact table's year ``partition`` and the
+    ``day`` among the keys, only folders from the year before the first ranked day
+    to the one after the last are opened (in another time zone a year begins
+    in its neighbour's folder); their bounds are read from the ranking when the query runs.
     """
+    if partition is not None:
+        first = peaks.agg(F.year(F.min(day)) - F.lit(1)).scalar()
+        last = peaks.agg(F.year(F.max(day)) + F.lit(1)).scalar()
+        df = df.filter(F.col(partition).between(first, last))
     return df.select(*keys, *attributes).join(peaks, list(keys))
 
 

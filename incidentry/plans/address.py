@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.aggregate import count_by, summarise
+from ..operators.aggregate import count_by, summarise, value_bounds
 from ..operators.cleaning import baseline
+from ..operators.profile import series, share
 from ..operators.ranking import top_k
 from ..operators.rates import rate_by_dimension
-from .clean import year_partition
+from ..sources.rollups import YearlyRollups
+from .clean import rolled_up, year_partition
 
 
 def address_rollup(incidents: DataFrame, before_year: int = 2020) -> DataFrame:
@@ -60,14 +62,22 @@ def timezone_summary(rollup: DataFrame) -> DataFrame:
 
 def address_reports(
     incidents: DataFrame, population: DataFrame, before_year: int = 2020,
-    stage=lambda df, label: df,
+    stage=lambda df, label: df, kept: YearlyRollups | None = None,
 ) -> dict[str, DataFrame]:
     """All reports on location."""
-    rollup = stage(address_rollup(incidents, before_year), "address")
+    rollup = rolled_up(
+        incidents, stage, kept, lambda rows: address_rollup(rows, before_year), "address", before_year
+    )
+    sides = side_and_severity(rollup)
     return {
-        "SideAndSeverityCount": side_and_severity(rollup),
+        "SideAndSeverityCount": sides,
+        "LeftSide": series(sides, "Side", "L", ["Severity"]),
+        "RightSide": series(sides, "Side", "R", ["Severity"]),
+        "CityCountBounds": value_bounds(city_count(rollup), "Count"),
+        "CityAvgBounds": value_bounds(city_average(rollup), "AvgSeverity"),
         "CityCount": city_count(rollup),
         "StateCount": state_count(rollup, population),
         "CityAvg": city_average(rollup),
         "Timezone": timezone_summary(rollup),
+        "TimezoneShare": share(timezone_summary(rollup), "Count").select("Timezone", "share"),
     }

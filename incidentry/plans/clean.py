@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..contract import MISSING_DEFAULTS, YEAR_PARTITION
 from ..operators.cleaning import fill_defaults, null_report, strip_chars
+from ..sources.rollups import YearlyRollups
 
 
 def clean_incidents(raw: DataFrame) -> DataFrame:
@@ -38,3 +41,11 @@ def write_by_year(
 def year_partition(incidents: DataFrame) -> str | None:
     """The partition column of a table stored by ``write_by_year``."""
     return YEAR_PARTITION if YEAR_PARTITION in incidents.columns else None
+
+
+def rolled_up(
+    incidents: DataFrame, stage: Callable[[DataFrame, str], DataFrame], kept: YearlyRollups | None,
+    build: Callable[[DataFrame], DataFrame], name: str, depends_on: object = (),
+) -> DataFrame:
+    """A roll-up of the table: kept by year where it is stored so, else made anew and staged."""
+    return stage(build(incidents), name) if kept is None else kept.get(build, name, depends_on)

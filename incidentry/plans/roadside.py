@@ -9,7 +9,9 @@ from ..contract import POI_FLAGS
 from ..functions.columns import any_flag, ratio, real_value
 from ..operators.aggregate import count_by, flag_totals
 from ..operators.cleaning import baseline
-from .clean import year_partition
+from ..operators.profile import flags_long
+from ..sources.rollups import YearlyRollups
+from .clean import rolled_up, year_partition
 
 _VISIBILITY = "Visibility(mi)"
 
@@ -65,12 +67,22 @@ def poi_totals_by_severity(rollup: DataFrame) -> DataFrame:
     return flag_totals(near, POI_FLAGS, ["Severity"], weight="n", names=_SUM_NAMES).orderBy("Severity")
 
 
+def poi_long(rollup: DataFrame) -> DataFrame:
+    """One row per severity and kind of place, as the grouped bars are drawn."""
+    totals = poi_totals_by_severity(rollup).withColumnsRenamed({v: k for k, v in _SUM_NAMES.items()})
+    return flags_long(totals, POI_FLAGS, ["Severity"], "POI", "Count")
+
+
 def roadside_reports(
-    incidents: DataFrame, before_year: int = 2020, stage=lambda df, label: df
+    incidents: DataFrame, before_year: int = 2020, stage=lambda df, label: df,
+    kept: YearlyRollups | None = None,
 ) -> dict[str, DataFrame]:
     """All reports on points of interest."""
-    rollup = stage(roadside_rollup(incidents, before_year), "roadside")
+    rollup = rolled_up(
+        incidents, stage, kept, lambda rows: roadside_rollup(rows, before_year), "roadside", before_year
+    )
     return {
+        "countSevLong": poi_long(rollup),
         "AvgVisi": average_visibility(rollup),
         "numPOI": poi_presence(rollup),
         "SevHasPOI": severity_with_poi(rollup),

@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..contract import INCIDENT_SCHEMA, POPULATION_SCHEMA
 from ..sources.models import save_model
-from ..sources.tables import load_result, read_csv, read_table, save_result
+from ..sources.rollups import YearlyRollups
+from ..sources.tables import load_result, read_csv, read_table, replace_result, save_result
 from ..sources.workspace import stage, staging
 from .address import address_reports
 from .clean import clean_incidents, cleaning_reports, write_by_year
@@ -37,7 +38,7 @@ def load_incidents(spark: SparkSession, path: str, fmt: str) -> DataFrame:
 
 def write_reports(reports: dict[str, DataFrame], root: str, fmt: str) -> None:
     for name, df in reports.items():
-        save_result(df, root, name, fmt, single_file=name not in ROW_LEVEL)
+        replace_result(df, root, name, fmt, single_file=name not in ROW_LEVEL)
 
 
 def _dimension(spark: SparkSession, path: str, fmt: str, schema=None) -> DataFrame:
@@ -75,7 +76,12 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> None:
     parser.add_argument(
         "--class-weights", action="store_true", help="rebalanced: weigh the training rows instead of copying them"
     )
+    parser.add_argument(
+        "--rollups", help="time, address, roadside: keep roll-ups by year here, and read only years that changed since"
+    )
     args = parser.parse_args(argv)
+    if args.rollups and (args.input_format != "parquet" or args.job not in ("time", "address", "roadside")):
+        parser.error("--rollups needs the parquet table of the clean job, and a job that has roll-ups")
     with staging(spark):
         _run(spark, parser, args)
 
@@ -83,6 +89,8 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> None:
 def _run(spark: SparkSession, parser: argparse.ArgumentParser, args: argparse.Namespace) -> None:
     incidents = load_incidents(spark, args.input, args.input_format)
 
+    kept = YearlyRollups(spark, args.input, args.rollups) if args.rollups else None
+
     if args.job == "clean":
         cleaned = clean_incidents(incidents)
         if args.output_format == "parquet":
@@ -99,15 +107,15 @@ def _run(spark: SparkSession, parser: argparse.ArgumentParser, args: argparse.Na
             incidents,
             _dimension(spark, args.population, args.dimension_format, POPULATION_SCHEMA),
             _dimension(spark, args.election, args.dimension_format),
-            args.years, (args.day, args.city), (tuple(args.bands[:2]), tuple(args.bands[2:])), stage,
+            args.years, (args.day, args.city), (tuple(args.bands[:2]), tuple(args.bands[2:])), stage, kept,
         )
     elif args.job == "address":
         if not args.population:
             parser.error("address needs --population")
         population = _dimension(spark, args.population, args.dimension_format, POPULATION_SCHEMA)
-        reports = address_reports(incidents, population, args.cutoff_year, stage)
+        reports = address_reports(incidents, population, args.cutoff_year, stage, kept)
     elif args.job == "roadside":
-        reports = roadside_reports(incidents, args.cutoff_year, stage)
+        reports = roadside_reports(incidents, args.cutoff_year, stage, kept)
     elif args.job == "weather":
         reports = weather_reports(incidents, args.cutoff_year, stage)
     else:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +14,8 @@ from ..operators.aggregate import cohort_compare, count_by
 from ..operators.cleaning import in_years
 from ..operators.ranking import attach_attribute, top_group_peaks, top_k
 from ..operators.rates import two_level_rate
-from .clean import year_partition
+from ..sources.rollups import YearlyRollups
+from .clean import rolled_up, year_partition
 
 YEARS = (2017, 2018, 2019)
 EASTERN = "US/Eastern"
@@ -81,14 +83,14 @@ def band_months(rollup: DataFrame, band: str, timezone: str = EASTERN) -> DataFr
 
 
 def city_days(incidents: DataFrame, years: Sequence[int] = YEARS) -> DataFrame:
-    """Date, city and weather of the accidents in the given years."""
+    """Date and city of the accidents in the given years."""
     return in_years(incidents, "Start_Time", years, year_partition(incidents)).select(
-        F.to_date("Start_Time").alias("date"), F.col("City").alias("city"), "Weather_Condition"
+        F.to_date("Start_Time").alias("date"), F.col("City").alias("city")
     )
 
 
 def city_day_rollup(days: DataFrame) -> DataFrame:
-    return count_by(days, ["date", "city", "Weather_Condition"], out="n")
+    return count_by(days, ["date", "city"], out="n")
 
 
 def most_day_city(
@@ -98,18 +100,17 @@ def most_day_city(
     return top_group_peaks(days, "city", "date", cities, k, weight)
 
 
-def most_day_city_weather(
-    days: DataFrame, cities: int = 10, k: int = 12, weight: str | None = None,
-    peaks: DataFrame | None = None,
-) -> DataFrame:
-    """One row per accident on those days, with its weather."""
-    if peaks is None:
-        peaks = most_day_city(days, cities, k, weight)
-    kept = ["Weather_Condition"] + ([weight] if weight else [])
-    attached = attach_attribute(peaks, days, ["date", "city"], kept)
-    if weight:
-        one_each = F.explode(F.array_repeat(F.lit(True), F.col(weight).cast("int")))
-        attached = attached.withColumn("_row", one_each)
+def most_day_city_weather(incidents: DataFrame, peaks: DataFrame) -> DataFrame:
+    """One row per accident on those days, with its weather, from the table itself.
+
+    ``peaks`` should be staged; of a table stored by year only the folders near its days are opened.
+    """
+    partition = year_partition(incidents)
+    rows = incidents.select(
+        F.to_date("Start_Time").alias("date"), F.col("City").alias("city"), "Weather_Condition",
+        *([partition] if partition else []),
+    )
+    attached = attach_attribute(peaks, rows, ["date", "city"], ["Weather_Condition"], "date", partition)
     return attached.select(
         F.col("date").alias("Date"), F.col("city").alias("City"), "Weather_Condition",
         F.col("count").alias("Count"),
@@ -133,12 +134,18 @@ def red_blue(rollup: DataFrame, population: DataFrame, election: DataFrame) -> D
     )
 
 
-def dangerous_roads(
-    incidents: DataFrame, years: Sequence[int] = YEARS, k: int = 10
-) -> DataFrame:
+def street_rollup(incidents: DataFrame, years: Sequence[int] = YEARS) -> DataFrame:
     rows = in_years(incidents, "Start_Time", years, year_partition(incidents))
     roads = rows.filter(F.col("Street").isNotNull()).select(F.col("Street").alias("street"))
-    return top_k(count_by(roads, ["street"]), "count", k, ["street"])
+    return count_by(roads, ["street"], out="n")
+
+
+def dangerous_roads(
+    incidents: DataFrame, years: Sequence[int] = YEARS, k: int = 10, rollup: DataFrame | None = None
+) -> DataFrame:
+    """``rollup`` may hold ``street_rollup`` already."""
+    rows = street_rollup(incidents, years) if rollup is None else rollup
+    return top_k(count_by(rows, ["street"], weight="n"), "count", k, ["street"])
 
 
 def year_count(
@@ -157,16 +164,22 @@ def time_reports(
     drill_down: tuple[str, str] = ("2019-12-23", "Los Angeles"),
     bands: Sequence[tuple[float, float]] = ((40.0, 35.0), (37.0, 30.0)),
     stage=lambda df, label: df,
+    kept: YearlyRollups | None = None,
 ) -> dict[str, DataFrame]:
     """All reports on time. ``stage`` may write the shared roll-ups down first;
-    the fact table is then read four times, whatever the number of reports."""
+    the fact table is then read four times, whatever the number of reports, and
+    once more near the peak days. With ``kept`` roll-ups only changed years are read."""
     (north, south), second = bands
-    wide = stage(calendar_rollup(incidents, years, north, south, [("second", *second)]), "calendar")
+    rollup = partial(rolled_up, incidents, stage, kept)
+    wide = rollup(
+        lambda rows: calendar_rollup(rows, years, north, south, [("second", *second)]), "calendar", (list(years), bands)
+    )
     narrow = wide.drop("band").withColumnRenamed("second", "band")
-    clock = stage(clock_rollup(incidents), "clock")
-    days = stage(city_day_rollup(city_days(incidents, years)), "city_days")
+    clock = rollup(clock_rollup, "clock")
+    days = rollup(lambda rows: city_day_rollup(city_days(rows, years)), "city_days", list(years))
+    streets = rollup(lambda rows: street_rollup(rows, years), "streets", list(years))
     peaks = stage(most_day_city(days, weight="n"), "peaks")
-    peak_weather = stage(most_day_city_weather(days, weight="n", peaks=peaks), "peak_weather")
+    peak_weather = stage(most_day_city_weather(incidents, peaks), "peak_weather")
     return {
         "mostMonth": month_count(wide),
         "weekday": weekday_count(wide),
@@ -178,6 +191,6 @@ def time_reports(
         "most_day_city_weather": peak_weather,
         "la_1223_weather": day_weather(peak_weather, *drill_down),
         "red_blue": red_blue(wide, population, election),
-        "mostDangeRoad": dangerous_roads(incidents, years),
+        "mostDangeRoad": dangerous_roads(incidents, years, rollup=streets),
         "yearCount": year_count(incidents, rollup=clock),
     }

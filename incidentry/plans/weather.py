@@ -10,7 +10,7 @@ from ..functions.binning import regex_bin, value_map
 from ..operators.aggregate import count_by
 from ..operators.cleaning import drop_sentinels, not_year
 from ..operators.distribution import density_curve, distribution
-from ..operators.profile import histogram, share
+from ..operators.profile import histogram, pivot_counts, share
 
 
 def weather_rows(incidents: DataFrame, other_than: int = 2020) -> DataFrame:
@@ -62,6 +62,14 @@ def severity_mix(counts: DataFrame, category: str) -> DataFrame:
     return share(counts, "Counts", [category])
 
 
+_PIES = {1: "Severity1", 2: "Severity2", 3: "Severity3"}
+
+
+def severity_pies(counts: DataFrame, category: str) -> DataFrame:
+    """One row per weather class with a column per severity, as the pies are drawn."""
+    return pivot_counts(counts, [category], "Severity", _PIES, weight="Counts")
+
+
 def weather_reports(
     incidents: DataFrame, other_than: int = 2020, stage=lambda df, label: df
 ) -> dict[str, DataFrame]:
@@ -75,6 +83,8 @@ def weather_reports(
         "WeatherCondition": sky,
         "WeatherConditionOther": sky_counts(rows, WEATHER_BINS_WITH_OTHER, "Other"),
         "WeatherWind": wind,
+        "WeatherConditionPies": severity_pies(sky, "Weather_Condition"),
+        "WeatherWindPies": severity_pies(wind, "Wind_Direction"),
         "WeatherConditionMix": severity_mix(sky, "Weather_Condition"),
         "WeatherWindMix": severity_mix(wind, "Wind_Direction"),
     }

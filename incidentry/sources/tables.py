@@ -8,6 +8,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from .versions import current_version, new_version, publish
 from .workspace import stage
 
 # Quotes inside quoted text are doubled, as spreadsheets and most writers do.
@@ -48,7 +49,7 @@ def save_result(
     single_file: bool = False,
     **options,
 ) -> None:
-    """Overwrite the named result.
+    """Overwrite the named result. While it is written there is none; see ``replace_result``.
 
     ``single_file`` asks Spark to even out the output: a chart-sized result
     becomes one file, while a large one still is written by many tasks. With
@@ -62,13 +63,37 @@ def save_result(
     writer.save(_place(root, name) if root is not None else None)
 
 
+def replace_result(
+    df: DataFrame,
+    root: str | None,
+    name: str,
+    fmt: str = "parquet",
+    single_file: bool = False,
+    kept: int = 2,
+    **options,
+) -> None:
+    """Replace the named result: ``load_result`` reads the old one until the new one is complete.
+
+    A failed write leaves the old one in place. The ``kept`` newest versions
+    stay, for readers that have begun. Stores without a path replace in their own way.
+    """
+    if root is None:
+        return save_result(df, root, name, fmt, single_file, **options)
+    place = _place(root, name)
+    version = new_version(place)
+    save_result(df, *version.rsplit("/", 1), fmt, single_file, **options)
+    publish(df.sparkSession, place, version, kept)
+
+
 def load_result(
     spark: SparkSession, root: str | None, name: str, fmt: str = "parquet", **options
 ) -> DataFrame:
-    """Read a named result back, without the row id some stores add."""
+    """Read a named result back, its newest version if it has several, without the row id some stores add."""
     if fmt == "csv":
         options = {**_CSV_STYLE, "header": True, **options}
     path = _place(root, name) if root is not None else None
+    if path is not None:
+        path = current_version(spark, path) or path
     return read_table(spark, path, fmt, **options).drop("_id")
 
 

@@ -1,6 +1,7 @@
 import math
 import random
 import statistics
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -29,6 +30,7 @@ from incidentry import (
     strip_chars,
     summarise,
     top_group_peaks,
+    tile_pyramid,
     top_k,
     two_level_rate,
     value_bounds,
@@ -282,3 +284,27 @@ def test_nan_is_missing_in_every_measure(spark):
     assert rows(value_bounds(df, "v", 1.0, 1.0)) == [(1.0, 4.0)]
     assert rows(keep_above(df, {"v": 0.0}).select("v")) == [(1.0,), (4.0,)]
     assert rows(geo_grid(df, "v", "w", 1.0)) == [(1, 2, 1)]
+
+
+def test_tile_pyramid_against_each_level(spark):
+    """Edges of the map, poles, points beyond it and points that are nowhere."""
+    rng = random.Random(8)
+    nan, inf = float("nan"), float("inf")
+    points = [(rng.uniform(-90, 90), rng.uniform(-180, 180), rng.choice("ab")) for _ in range(400)]
+    points += [(0.0, 0.0, "a"), (90.0, 180.0, "a"), (-90.0, -180.0, "b"), (86.0, 500.0, "b"), (10.0, -500.0, None)]
+    lost = [(None, 1.0, "a"), (1.0, None, "a"), (nan, 1.0, "a"), (1.0, nan, "b"), (inf, 1.0, "b"), (1.0, -inf, "b")]
+    df = spark.createDataFrame([*points, *lost], "lat double, lon double, k string")
+    want = Counter()
+    for lat, lon, k in points:
+        lat = max(min(lat, 85.05112878), -85.05112878)
+        for z in range(2, 8):
+            x = (lon + 180) / 360 * 2**z
+            y = (1 - math.asinh(math.tan(math.radians(lat))) / math.pi) / 2 * 2**z
+            x, y = (int(max(0, min(math.floor(v), 2**z - 1))) for v in (x, y))
+            quadkey = "".join(str((x >> i & 1) + 2 * (y >> i & 1)) for i in range(z - 1, -1, -1))
+            want[k, z, x, y, quadkey] += 1
+    tiles = tile_pyramid(df, "lat", "lon", ["k"], 2, 7, out="n")
+    assert tiles.columns == ["k", "zoom", "x", "y", "quadkey", "n"]
+    assert {tuple(r)[:5]: r["n"] for r in tiles.collect()} == want
+    assert plan(tile_pyramid(df, "lat", "lon")).count("Scan") == 1
+    assert tile_pyramid(df.limit(0), "lat", "lon").collect() == []

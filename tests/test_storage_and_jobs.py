@@ -1,25 +1,35 @@
 import glob
+import os
 import re
 import types
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from checks.incidents import raw_incidents
+from checks import all_oracles
+from checks.compare import duck
+from checks.incidents import election, population, raw_incidents
 from conftest import plan, rows
 from incidentry import (
+    YearlyRollups,
     count_by,
     in_years,
     load_result,
     read_csv,
     read_table,
+    replace_result,
     run_outputs,
     save_result,
     stage,
 )
-from incidentry.contract import INCIDENT_SCHEMA
+from incidentry.contract import INCIDENT_SCHEMA, POPULATION_SCHEMA
+from incidentry.plans import time
+from incidentry.plans.address import address_reports
 from incidentry.plans.clean import clean_incidents, write_by_year
+from incidentry.plans.roadside import roadside_reports
 from incidentry.plans.runner import run
+from incidentry.plans.time import time_reports
 from incidentry.sources.workspace import workspace
 
 SF = "/root/testdata/sf0.001"
@@ -151,11 +161,8 @@ def raw_csv(spark, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("raw"))
     raw = raw_incidents(spark, SF).withColumn("Start_Time", F.col("Start_Time").cast("timestamp"))
     save_result(raw, root, "accidents", "csv")
-    state = F.concat(F.lit("S"), F.col("n_nationkey").cast("string")).alias("state")
-    nation = spark.read.parquet(f"{SF}/nation.parquet")
-    save_result(nation.select(state, (F.col("n_nationkey") * 10 + 10).alias("pop")), root, "population", "csv")
-    colour = F.when(F.col("n_regionkey") % 2 == 0, "red").otherwise("blue").alias("color")
-    save_result(nation.select(state, colour), root, "election", "csv")
+    save_result(population(spark, SF), root, "population", "csv")
+    save_result(election(spark, SF), root, "election", "csv")
     return root
 
 
@@ -178,28 +185,193 @@ def test_clean_job(spark, raw_csv, cleaned):
     assert "End_Time" in after  # has no default
 
 
+def values(frame) -> tuple[list, list]:
+    """Column names, and the rows with numbers to six digits and days as text, sorted."""
+
+    def plain(v):
+        if v is None or isinstance(v, (str, bool)):
+            return v
+        return round(float(v), 6) if isinstance(v, (int, float)) else str(v)
+
+    names = sorted(frame.column_names)
+    found = zip(*[frame.column(n).to_pylist() for n in names], strict=True)
+    return names, sorted((tuple(map(plain, row)) for row in found), key=repr)
+
+
+# Result of a job, and the query whose SQL it must equal.
+RESULTS = {
+    "time": {
+        "mostMonth": "month_count", "weekday": "weekday", "mostHour": "most_hour", "north_south": "north_south",
+        "northCount": "north_count", "southCount": "south_count", "most_day_city": "most_day_city",
+        "most_day_city_weather": "most_day_city_weather", "la_1223_weather": "day_weather", "red_blue": "red_blue",
+        "mostDangeRoad": "dangerous_roads", "yearCount": "year_count",
+    },
+    "address": {
+        "SideAndSeverityCount": "side_and_severity", "CityCount": "city_count", "StateCount": "state_count",
+        "CityAvg": "city_average", "Timezone": "timezone", "LeftSide": "left_side", "CityCountBounds": "city_count_bounds",
+        "TimezoneShare": "timezone_share",
+    },
+    "roadside": {
+        "AvgVisi": "average_visibility", "numPOI": "poi_presence", "SevHasPOI": "severity_with_poi",
+        "SevNoPOI": "severity_without_poi", "countPOI": "poi_totals", "countSev": "poi_totals_by_severity",
+        "countSevLong": "poi_long",
+    },
+    "weather": {
+        "WeatherDensity": "weather_density", "WeatherDensitySummary": "weather_summary", "WeatherCondition": "sky_counts",
+        "WeatherConditionOther": "sky_counts_with_other", "WeatherWind": "wind_counts", "WeatherConditionMix": "sky_mix",
+        "WeatherWindMix": "wind_mix", "WeatherConditionPies": "sky_pies",
+    },
+}
+BY_HAND = {"north_south", "CityAvg"}  # of so few rows that they may be empty
+
+
+@pytest.mark.parametrize("job", RESULTS)
+def test_report_jobs(spark, raw_csv, cleaned, tmp_path, job):
+    """Every stored result of a job equals its SQL over the same line items."""
+    con, oracle = duck(SF), all_oracles()
+    peaks = con.sql(oracle["report_most_day_city"] + " ORDER BY count DESC, date, city LIMIT 1").fetchall()[0]
+    run(spark, [
+        job, "--input", f"{cleaned}/incidents", "--output", str(tmp_path),
+        "--population", f"{raw_csv}/population", "--election", f"{raw_csv}/election",
+        "--years", "1996", "1997", "1998", "--cutoff-year", "2000", "--day", str(peaks[0]), "--city", peaks[1],
+    ])
+    for name, query in RESULTS[job].items():
+        want = values(con.sql(oracle[f"report_{query}"]).to_arrow_table())
+        stored = load_result(spark, str(tmp_path), name)
+        assert values(stored.toArrow()) == want, name
+        assert want[1] or name in BY_HAND
+
+
 @pytest.mark.parametrize("job, results", [
-    ("time", ["mostMonth", "weekday", "mostHour", "north_south", "northCount", "southCount",
-              "most_day_city", "most_day_city_weather", "la_1223_weather", "red_blue",
-              "mostDangeRoad", "yearCount"]),
-    ("address", ["SideAndSeverityCount", "CityCount", "StateCount", "CityAvg", "Timezone"]),
-    ("roadside", ["AvgVisi", "numPOI", "SevHasPOI", "SevNoPOI", "countPOI", "countSev"]),
-    ("weather", ["WeatherDensity", "WeatherDensitySummary", "WeatherCondition", "WeatherWind",
-                 "WeatherConditionMix", "WeatherWindMix"]),
-    ("severity-raw", ["dtPrediction", "dtMetrics", "Sev1Prediction"]),
+    ("severity-raw", ["dtPrediction", "dtMetrics", "Sev1Prediction", "dtMapActual", "dtMapPredicted"]),
     ("severity", ["dtPrediction", "dtMetrics", "Sev1Prediction", "Sev2Prediction", "Sev3Prediction"]),
     ("rebalanced", ["PredResults_overunder", "PredMetrics_overunder", "PredS1_overunder",
                     "PredS2_overunder", "PredS3_overunder"]),
+    ("rebalanced --class-weights", ["PredResults_overunder", "PredMetrics_overunder"]),
 ])
-def test_report_jobs(spark, raw_csv, cleaned, tmp_path, job, results):
-    run(spark, [
-        job, "--input", f"{cleaned}/incidents", "--output", str(tmp_path),
-        "--population", f"{raw_csv}/population", "--election", f"{raw_csv}/election",
-        "--years", "1996", "1997", "1998", "--cutoff-year", "2000",
-    ])
-    may_be_empty = {"la_1223_weather", "CityAvg", "north_south"}
-    for name in results:
-        assert load_result(spark, str(tmp_path), name).count() > 0 or name in may_be_empty, name
+def test_model_jobs(spark, cleaned, tmp_path, job, results):
+    run(spark, [*job.split(), "--input", f"{cleaned}/incidents", "--output", str(tmp_path), "--cutoff-year", "2000"])
+    stored = {name: load_result(spark, str(tmp_path), name) for name in results}
+    assert all(df.count() > 0 for df in stored.values())
+    if "dtMapActual" in results:  # every scored row is on the map once a level
+        levels = {r["zoom"]: r["n"] for r in stored["dtMapActual"].groupBy("zoom").agg(F.sum("count").alias("n")).collect()}
+        assert set(levels.values()) == {stored["dtPrediction"].count()} and set(levels) == set(range(4, 13))
+
+
+def test_a_failed_replacement_leaves_the_old_result(spark, tmp_path):
+    root = str(tmp_path)
+    replace_result(spark.createDataFrame([(1, "a")], "n int, t string"), root, "r")
+    bad = spark.range(0, 100, 1, 4).select(
+        F.when(F.col("id") < 90, F.col("id")).otherwise(F.raise_error(F.lit("lost"))).alias("n")
+    )
+    with pytest.raises(PySparkException, match="lost"):
+        replace_result(bad, root, "r")
+    assert rows(load_result(spark, root, "r")) == [(1, "a")]
+
+
+def test_replaced_results_keep_the_last_versions(spark, tmp_path):
+    root = str(tmp_path)
+    reader = None
+    for n in range(5):
+        replace_result(spark.range(n, n + 1), root, "r", kept=2)
+        if reader is not None:  # one that began before the replacement
+            assert rows(reader) == [(n - 1,)]
+        reader = load_result(spark, root, "r")
+    assert rows(reader) == [(4,)]
+    assert len(glob.glob(f"{root}/r/version-*")) == 2 == len(glob.glob(f"{root}/r/_published/0*"))
+    replace_result(spark.range(3).selectExpr("CAST(id AS STRING) AS t"), root, "c", "csv", single_file=True)
+    assert rows(load_result(spark, root, "c", "csv")) == [("0",), ("1",), ("2",)]
+    # a note that is still being written, and one whose number another writer took
+    (tmp_path / "r" / "_published" / "0000000009").write_text("version-half")
+    assert rows(load_result(spark, root, "r")) == [(4,)]
+    replace_result(spark.range(7, 8), root, "r")
+    (tmp_path / "r" / "_published" / "0000000009").unlink(missing_ok=True)
+    assert rows(load_result(spark, root, "r")) == [(7,)]
+    save_result(spark.range(2), root, "plain")  # results stored without versions are read as before
+    assert rows(load_result(spark, root, "plain")) == [(0,), (1,)]
+
+
+def test_only_changed_years_are_rolled_up_again(spark, raw_csv, tmp_path):
+    """A new year and a changed one are read; the reports equal those of a full run."""
+    table, store = str(tmp_path / "incidents"), str(tmp_path / "rollups")
+    cleaned = clean_incidents(raw_incidents(spark, SF))
+    people = read_csv(spark, f"{raw_csv}/population", POPULATION_SCHEMA)
+    states = read_csv(spark, f"{raw_csv}/election")
+    write_by_year(cleaned.filter("year(Start_Time) < 1998"), table)
+    read = []
+
+    def reports():
+        read.clear()
+        kept = YearlyRollups(spark, table, store)
+        get = kept.get
+
+        def watched(build, name, depends_on=()):
+            return get(lambda rows: read.append((name, tuple(rows.inputFiles()))) or build(rows), name, depends_on)
+
+        kept.get = watched
+        incidents = spark.read.parquet(table)
+        found = time_reports(incidents, people, states, (1996, 1997, 1998), stage=stage, kept=kept)
+        found |= {f"a{k}": v for k, v in address_reports(incidents, people, 2000, stage, kept).items()}
+        found |= {f"r{k}": v for k, v in roadside_reports(incidents, 2000, stage, kept).items()}
+        return {name: values(df.toArrow()) for name, df in found.items()}
+
+    def folders_read():
+        return {re.search(r"start_year=(\d+)", f).group(1) for _, files in read for f in files}
+
+    reports()
+    assert folders_read() == {os.path.basename(f)[11:] for f in glob.glob(f"{table}/start_year=*")}
+    reports()
+    assert folders_read() == set()
+    late = cleaned.filter("year(Start_Time) = 1998").withColumn("start_year", F.lit(1998))
+    late.write.mode("append").partitionBy("start_year").parquet(table)
+    cleaned.limit(9).withColumn("start_year", F.lit(1995)).write.mode("append").partitionBy("start_year").parquet(table)
+    again = reports()
+    assert folders_read() == {"1995", "1998"}
+    incidents = spark.read.parquet(table)
+    full = time_reports(incidents, people, states, (1996, 1997, 1998))
+    full |= {f"a{k}": v for k, v in address_reports(incidents, people, 2000).items()}
+    full |= {f"r{k}": v for k, v in roadside_reports(incidents, 2000).items()}
+    assert set(again) == set(full)
+    for name, df in full.items():
+        assert values(df.toArrow()) == again[name], name
+    assert len(glob.glob(f"{store}/address/start_year=1995/*")) == 1  # the earlier state of the year is gone
+    address_reports(incidents, people, 1997, stage, YearlyRollups(spark, table, store))
+    assert len(glob.glob(f"{store}/address/start_year=1995/*")) == 2  # another rule has parts of its own
+
+
+def test_jobs_with_kept_rollups(spark, raw_csv, cleaned, tmp_path):
+    common = [
+        "address", "--input", f"{cleaned}/incidents", "--population", f"{raw_csv}/population", "--cutoff-year", "2000",
+    ]
+    run(spark, [*common, "--output", f"{tmp_path}/a"])
+    for _ in range(2):
+        run(spark, [*common, "--output", f"{tmp_path}/b", "--rollups", f"{tmp_path}/kept"])
+    for name in RESULTS["address"]:
+        one, other = (values(load_result(spark, f"{tmp_path}/{x}", name).toArrow()) for x in "ab")
+        assert one == other
+    with pytest.raises(SystemExit):
+        run(spark, [*common, "--output", f"{tmp_path}/c", "--rollups", "x", "--input-format", "csv"])
+
+
+def test_only_folders_near_the_peaks_are_opened(spark, tmp_path):
+    """Folders of other years hold a file that cannot be read."""
+    path = str(tmp_path / "incidents")
+    write_by_year(clean_incidents(raw_incidents(spark, SF)), path)
+    table = spark.read.parquet(path)
+    peaks = stage(time.most_day_city(time.city_days(table, [1995]), 3, 4), "peaks")
+    want = rows(time.most_day_city_weather(table, peaks))
+    assert len(want) > 0
+    far = [f for f in glob.glob(f"{path}/start_year=*") if not 1994 <= int(f[-4:]) <= 1996]
+    assert len(far) > 1
+    for folder in far:
+        with open(f"{folder}/bad.parquet", "w") as file:
+            file.write("nothing of the kind")
+    broken = spark.read.schema(table.schema).parquet(path)
+    found = time.most_day_city_weather(broken, peaks)
+    assert "start_year" in re.search(r"PartitionFilters: \[[^\]]*\]", plan(found)).group(0)
+    assert rows(found) == want
+    with pytest.raises(Exception, match="bad.parquet"):
+        broken.select("City").collect()
 
 
 def test_job_needs_its_dimensions(spark, cleaned, tmp_path):
