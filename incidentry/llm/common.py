@@ -136,13 +136,14 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mixed(spans ^ (np.asarray(ends - starts, np.uint64) << np.uint64(48)))
 
 
-def gram_hashes(data: np.ndarray, width: int) -> np.ndarray:
-    """Hashes of all len(data) - width + 1 runs of ``width`` bytes."""
+def gram_hashes(data: np.ndarray, width: int, base: int = _BASE) -> np.ndarray:
+    """Hashes of all len(data) - width + 1 runs of ``width`` bytes; another odd ``base`` gives other ones."""
     if len(data) < width:
         return np.zeros(0, np.uint64)
+    inverse = _INVERSE if base == _BASE else pow(base, -1, 1 << 64)
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTES[data] * _powers(len(data), _BASE), out=sums[1:])
-    spans = (sums[width:] - sums[:-width]) * _powers(len(data) - width + 1, _INVERSE)
+    np.cumsum(_BYTES[data] * _powers(len(data), base), out=sums[1:])
+    spans = (sums[width:] - sums[:-width]) * _powers(len(data) - width + 1, inverse)
     return mixed(spans ^ np.uint64(width << 48))
 
 

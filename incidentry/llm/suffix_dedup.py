@@ -17,7 +17,6 @@ aggregated one by one. They are told by counts before contexts are dealt out by
 from __future__ import annotations
 
 import gc
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,6 +37,9 @@ PIECE_BYTES = 1 << 20  # text whose anchors are found at once
 MERGED_BYTES = 1 << 19  # contexts merged at once, whole anchors
 HOT_CONTEXTS = 2000
 BUCKETS = 64
+BUCKET_BYTES = 64 << 20  # text for each bucket of anchors, which one task holds whole
+GATHERED = 1 << 20  # anchors of a task that are packed together
+_BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)  # of the two hashes of a string
 _FACTOR = 0xA0761D6478BD642F
 _LAST = (1 << 63) - 1
 
@@ -95,12 +97,14 @@ _PACKED = ["bucket", "hashes", "places", "nodes", "counts"]
 def _dealt_anchors(rows: DataFrame, buckets: int) -> DataFrame:
     """Every task's anchors, packed by bucket, each distinct text once.
 
-    Two anchors of a gram show its bucket that it is repeated; a piece's further ones, known to be so,
-    go by a bucket of their own, a negative one, that gathers nothing.
+    Anchors are gathered over texts, up to ``GATHERED``, so that a row holds many whatever the number
+    of buckets. Two of a gram show its bucket that it is repeated; further ones, known to be so, go
+    by a bucket of their own, a negative one, that gathers nothing.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        held: list[tuple] = []
         for batch in pieces(batches, "text", PIECE_BYTES):
             data, bounds = text_of(batch.column("text"))
             nodes = text_hashes(data, bounds)
@@ -111,30 +115,38 @@ def _dealt_anchors(rows: DataFrame, buckets: int) -> DataFrame:
             place, grams, _, _ = anchors(data, bounds)
             row = np.searchsorted(bounds, place, "right") - 1
             keep = fresh[row]
-            place, grams, row = place[keep] - bounds[:-1][row[keep]], grams[keep], row[keep]
-            bucket = (((grams & np.uint64(0xFFFF)) * np.uint64(buckets)) >> np.uint64(16)).astype(np.int32)
-            alike = np.argsort(grams, kind="stable")
-            bucket[alike[2:][grams[alike[2:]] == grams[alike[:-2]]]] = -1 - int(nodes.sum()) % buckets
-            by = np.argsort(bucket, kind="stable")
-            place, grams, row, bucket = place[by], grams[by], row[by], bucket[by]
-            cut = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True]) if len(by) else np.zeros(1, int)
-            out: list[list] = [[] for _ in _PACKED]
-            for a, b in zip(cut, cut[1:], strict=False):
-                of = np.flatnonzero(np.r_[True, row[a + 1 : b] != row[a : b - 1], True])
-                packed = (
-                    np.ascontiguousarray((grams[a:b] >> np.uint64(16)).view(np.uint8).reshape(-1, 8)[:, :6]),
-                    place[a:b].astype(np.int32), nodes[row[a + of[:-1]]], np.diff(of).astype(np.int32),
-                )
-                for column, value in zip(out, (int(bucket[a]), *(x.tobytes() for x in packed)), strict=True):
-                    column.append(value)
-            kinds = (pa.int32(), *[pa.binary()] * 4)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(out, kinds, strict=True)], _PACKED
-            )
+            held.append((grams[keep], (place[keep] - bounds[:-1][row[keep]]).astype(np.int32), nodes[row[keep]]))
+            if sum(len(h[0]) for h in held) >= GATHERED:
+                yield _packed_anchors(*(np.concatenate(x) for x in zip(*held, strict=True)), buckets)
+                held = []
+        if held:
+            yield _packed_anchors(*(np.concatenate(x) for x in zip(*held, strict=True)), buckets)
 
     return rows.mapInArrow(released(run), "bucket int, hashes binary, places binary, nodes binary, counts binary")
 
 
+def _packed_anchors(grams: np.ndarray, place: np.ndarray, node: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """A row for each bucket, a range of the leading 32 bits; the anchors of a text follow each other in it."""
+    bucket = (((grams >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int32)
+    alike = np.argsort(grams, kind="stable")
+    further = alike[2:][grams[alike[2:]] == grams[alike[:-2]]]
+    bucket[further] = -1 - (node[further] % buckets).astype(np.int32)
+    by = np.argsort(bucket, kind="stable")
+    place, grams, node, bucket = place[by], grams[by], node[by], bucket[by]
+    cut = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True]) if len(by) else np.zeros(1, int)
+    out: list[list] = [[] for _ in _PACKED]
+    for a, b in zip(cut, cut[1:], strict=False):
+        of = np.flatnonzero(np.r_[True, node[a + 1 : b] != node[a : b - 1], True])
+        packed = (
+            np.ascontiguousarray(grams[a:b].view(np.uint8).reshape(-1, 8)[:, :6]),  # the other bits tell the bucket
+            place[a:b], node[a + of[:-1]], np.diff(of).astype(np.int32),
+        )
+        for column, value in zip(out, (int(bucket[a]), *(x.tobytes() for x in packed)), strict=True):
+            column.append(value)
+    kinds = (pa.int32(), *[pa.binary()] * 4)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], _PACKED)
+
+
 def _repeated_anchors(packed: DataFrame, buckets: int) -> DataFrame:
     """(node, place) of every anchor whose gram stands at two places or more, of distinct texts.
 
@@ -441,34 +453,41 @@ def _earliest_runs(anchor, key, context, place, first_id, first_start, alone, ow
 
 
 def _one_by_one(contexts: DataFrame) -> DataFrame:
-    """The same for contexts of hot anchors: every string by its digest, earliest by an aggregate.
+    """The same for contexts of hot anchors: every string by two hashes of it, earliest by an aggregate.
 
     Strings that stand in one place only are left out.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[], [], [], [], [], [], []]
-            for row in batch.to_pylist():
-                content = row["content"]
-                for k in range(len(content) - LENGTH + 1):
-                    digest = hashlib.blake2b(content[k : k + LENGTH], digest_size=16).digest()
-                    values = (digest, row["anchor"], row["key"], k, row["id"], row["start"] + k, row["copies"])
-                    for column, value in zip(out, values, strict=True):
-                        column.append(value)
-            kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(out, kinds, strict=True)],
-                ["digest", "anchor", "key", "place", "id", "start", "copies"],
-            )
+            for low in range(0, batch.num_rows, 5_000):
+                some = batch.slice(low, 5_000)
+                contents = some.column("content").cast(pa.large_binary())
+                bounds = np.frombuffer(contents.buffers()[1], np.int64)[contents.offset :][: len(contents) + 1]
+                data = np.frombuffer(contents.buffers()[2], np.uint8)[bounds[0] : bounds[-1]]
+                bounds = bounds - bounds[0]
+                strings = np.diff(bounds) - LENGTH + 1
+                row = np.repeat(np.arange(len(strings)), strings)
+                place = np.arange(len(row)) - np.repeat(np.cumsum(strings) - strings, strings)
+                at = bounds[:-1][row] + place
+                hashes = [gram_hashes(data, LENGTH, base)[at].view(np.int64) for base in _BASES]
+                of_row = some.take(pa.array(row))
+                start = of_row.column("start").to_numpy() + place
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *map(pa.array, hashes), of_row.column("anchor"), of_row.column("key"), pa.array(place.astype(np.int32)),
+                        of_row.column("id"), pa.array(start.astype(np.int32)), of_row.column("copies"),
+                    ],
+                    ["h1", "h2", "anchor", "key", "place", "id", "start", "copies"],
+                )
 
     strings = contexts.select("anchor", "key", "content", "id", "start", "copies").mapInArrow(
-        released(run), "digest binary, anchor bigint, key bigint, place int, id bigint, start int, copies bigint"
+        released(run), "h1 bigint, h2 bigint, anchor bigint, key bigint, place int, id bigint, start int, copies bigint"
     )
-    earliest = strings.groupBy("digest").agg(
+    earliest = strings.groupBy("h1", "h2").agg(
         F.min(F.struct("id", "start")).alias("first"), F.sum("copies").alias("copies")
     ).where("copies > 1").drop("copies")
-    return strings.join(earliest, "digest").select(
+    return strings.join(earliest, ["h1", "h2"]).select(
         "anchor", "key", "place", F.lit(1).alias("n"), F.col("first.id").alias("first_id"),
         F.col("first.start").alias("first_start"),
     )
@@ -496,27 +515,24 @@ def _occurrences(keyed: DataFrame, firsts: DataFrame, buckets: int) -> DataFrame
 def _parted(occurrences: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The contexts of anchors with at most ``HOT_CONTEXTS`` different ones, and those of hot anchors.
 
-    Rows are counted by anchor, which combines before the shuffle. The contexts of anchors with many
-    rows are made distinct by anchor and key and then counted, so no anchor's rows meet in a task.
+    Different contexts are counted by anchor and key, which combines before the shuffle, so no anchor's rows
+    meet in a task. The few hot anchors then label the contexts, in one join.
     """
-    most = F.lit(HOT_CONTEXTS)
-    often = stage(
-        occurrences.groupBy("anchor").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > most).select("anchor"),
-        "frequent-anchors",
-    )
+    different = occurrences.groupBy("anchor", "key").agg(F.count(F.lit(1)).alias("n"))
+    hot = stage(
+        different.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT_CONTEXTS)
+        .select("anchor", F.lit(True).alias("hot")),
+        "hot-anchors",
+    )
+    labelled = occurrences.join(hot, "anchor", "left")
     distinct = stage(
-        _combined(occurrences.join(often, "anchor", "left_semi"))
+        _combined(labelled.where("hot").drop("hot"))
         .groupBy("anchor", "key")
         .agg(F.min(F.struct("id", "start", "content")).alias("least"), F.sum("copies").alias("copies"))
         .select("anchor", "key", "least.content", "least.id", "least.start", "copies"),
-        "frequent-contexts",
-    )
-    many = stage(
-        distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > most).select("anchor"),
-        "hot-anchors",
+        "hot-contexts",
     )
-    few = _combined(occurrences.join(often, "anchor", "left_anti")).union(distinct.join(many, "anchor", "left_anti"))
-    return few, distinct.join(many, "anchor", "left_semi")
+    return _combined(labelled.where("hot IS NULL").drop("hot")), distinct
 
 
 def repeated_runs(occurrences: DataFrame) -> DataFrame:
@@ -551,7 +567,7 @@ def remove_repeats(
     measured = stage(keyed.select("id", "node", F.octet_length("text").alias("n")), "text-hashes")
     firsts = measured.groupBy("node").agg(F.min("id").alias("first"))
     total = measured.agg(F.sum("n")).first()[0] or 0
-    buckets = min(max(BUCKETS, total // (64 << 20)), 1 << 16)
+    buckets = max(BUCKETS, total // BUCKET_BYTES)
     runs = repeated_runs(_written(_occurrences(keyed, firsts, int(buckets)), "contexts"))
     spans = runs.groupBy("node").agg(
         F.collect_list(F.struct("start", "n", "first_id", "first_start")).alias("runs")
