@@ -30,6 +30,10 @@ WORDS = 5
 PERCENT = 80
 BUCKET_SHINGLES = 2_000_000  # shingles counted together in one task
 LEAST_BUCKETS = 64
+GATHERED = 1 << 20  # shingles of a task that are packed together
+HELD = 6_000_000  # shingles of a bucket held before common ones are sent on
+COMMON = 1 << 18  # texts up to which a shingle is counted; commoner ones are ordered by their hash
+BANDS = 20  # bands of set sizes within a factor of e
 WORD_BYTES = ~byte_class((0x20, 0x20), (0x09, 0x0D))
 
 _FACTORS = np.random.default_rng(17).integers(1, 1 << 63, (2, 2 * WORDS), dtype=np.uint64) | np.uint64(1)
@@ -99,11 +103,12 @@ def _measured(rows: DataFrame, kind: str) -> DataFrame:
 def _dealt_shingles(rows: DataFrame, buckets: int) -> DataFrame:
     """Every task's shingles, packed by bucket, each distinct text once.
 
-    A shingle is its bucket, from the last 16 bits of the hash, and the other 48.
+    Shingles are gathered over texts, up to ``GATHERED``, so that a row holds many whatever the number of buckets.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        held: list[tuple] = []
         for batch in pieces(batches, "text"):
             values, bounds, keys = shingle_sets(*text_of(batch.column("text")))
             n, nodes = np.diff(bounds), keys[:, 0].view(np.int64)
@@ -112,79 +117,122 @@ def _dealt_shingles(rows: DataFrame, buckets: int) -> DataFrame:
                 fresh[i] = n[i] > 0 and node not in seen
                 seen.add(node)
             row = of_rows(bounds)
-            values, row = values[fresh[row]], row[fresh[row]]
-            bucket = (((values & np.uint64(0xFFFF)) * np.uint64(buckets)) >> np.uint64(16)).astype(np.uint16)
-            by = np.argsort(bucket, kind="stable")
-            values, row, bucket = values[by], row[by], bucket[by]
-            cut = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True]) if len(by) else np.zeros(1, int)
-            out: list[list] = [[], [], [], [], [], []]
-            for a, b in zip(cut, cut[1:], strict=False):
-                of = np.flatnonzero(np.r_[True, row[a + 1 : b] != row[a : b - 1], True])
-                members = row[a + of[:-1]]
-                part = values[a:b] >> np.uint64(16)
-                packed = (
-                    (part >> np.uint64(16)).astype(np.uint32), part.astype(np.uint16), nodes[members],
-                    n[members].astype(np.int32), np.diff(of).astype(np.int32),
-                )
-                for column, value in zip(out, (int(bucket[a]), *(x.tobytes() for x in packed)), strict=True):
-                    column.append(value)
-            kinds = (pa.int32(), *[pa.binary()] * 5)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(out, kinds, strict=True)], _PACKED
-            )
+            held.append((values[fresh[row]], np.where(fresh, n, 0), nodes))
+            if sum(len(h[0]) for h in held) >= GATHERED:
+                yield _packed_shingles(*(np.concatenate(x) for x in zip(*held, strict=True)), buckets)
+                held = []
+        if held:
+            yield _packed_shingles(*(np.concatenate(x) for x in zip(*held, strict=True)), buckets)
 
     return rows.mapInArrow(released(run), "bucket int, high binary, low binary, nodes binary, ns binary, counts binary")
 
 
+def _packed_shingles(values: np.ndarray, n: np.ndarray, nodes: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """A row for each bucket, a range of the leading 32 bits of the hash; the last 48 bits are kept."""
+    row = np.repeat(np.arange(len(n)), n)
+    bucket = (((values >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int32)
+    by = np.argsort(bucket, kind="stable")
+    values, row, bucket = values[by], row[by], bucket[by]
+    cut = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True]) if len(by) else np.zeros(1, int)
+    out: list[list] = [[] for _ in _PACKED]
+    for a, b in zip(cut, cut[1:], strict=False):
+        of = np.flatnonzero(np.r_[True, row[a + 1 : b] != row[a : b - 1], True])
+        members, part = row[a + of[:-1]], values[a:b]
+        packed = (
+            (part >> np.uint64(16)).astype(np.uint32), part.astype(np.uint16), nodes[members],
+            n[members].astype(np.int32), np.diff(of).astype(np.int32),
+        )
+        for column, value in zip(out, (int(bucket[a]), *(x.tobytes() for x in packed)), strict=True):
+            column.append(value)
+    kinds = (pa.int32(), *[pa.binary()] * 5)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], _PACKED)
+
+
 _PACKED = ["bucket", "high", "low", "nodes", "ns", "counts"]
 
 
 def _shared_shingles(packed: DataFrame, buckets: int) -> DataFrame:
-    """(node, n, h, df) of every shingle that is in more than one distinct text."""
+    """(node, n, h, df) of every shingle that is in more than one distinct text; df is ``COMMON`` at most.
+
+    A text that several tasks hold may come with a shingle more than once, and may make its own ones look shared: all
+    that is needed of df is that it is one number for each shingle.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, parts = None, []
+        bucket = None
         for batch in batches:
             for row in batch.to_pylist():
-                if row["bucket"] != current and parts:
-                    yield from _shared(current, parts)
-                    parts = []
-                current = row["bucket"]
-                parts.append(row)
-        if parts:
-            yield from _shared(current, parts)
+                if bucket is None or row["bucket"] != bucket.number:
+                    if bucket is not None:
+                        yield from bucket.rest()
+                    bucket = _Bucket(row["bucket"])
+                yield from bucket.add(row)
+        if bucket is not None:
+            yield from bucket.rest()
 
     dealt = packed.repartition(buckets, "bucket").sortWithinPartitions("bucket")
     return dealt.mapInArrow(released(run), "node bigint, n int, h bigint, df int")
 
 
-def _shared(bucket: int, parts: list[dict]) -> Iterator[pa.RecordBatch]:
-    def joined(name, kind):
-        return np.concatenate([np.frombuffer(p[name], kind) for p in parts])
-
-    counts = joined("counts", np.int32)
-    values = joined("high", np.uint32).astype(np.uint64) << np.uint64(16) | joined("low", np.uint16)
-    by = np.argsort(values)
-    values = values[by]
-    twice = np.r_[False, values[1:] == values[:-1]]
-    twice[:-1] |= twice[1:]
-    values, by = values[twice], by[twice]
-    nodes, n = (np.repeat(joined(c, k), counts)[by] for c, k in (("nodes", np.int64), ("ns", np.int32)))
-    by = np.lexsort((nodes, values))
-    values, nodes, n = values[by], nodes[by], n[by]
-    new = np.r_[True, (values[1:] != values[:-1]) | (nodes[1:] != nodes[:-1])] if len(by) else np.zeros(0, bool)
-    values, nodes, n = values[new], nodes[new], n[new]
-    start = np.flatnonzero(np.r_[True, values[1:] != values[:-1]]) if len(values) else np.zeros(0, int)
-    size = np.diff(np.r_[start, len(values)])
-    df = np.repeat(size, size)
-    keep = df > 1
-    h = (values << np.uint64(16) | np.uint64(bucket)).view(np.int64)
-    step = 100_000
-    columns = [x[keep] for x in (nodes, n, h, df.astype(np.int32))]
-    for a in range(0, int(keep.sum()), step):
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c[a : a + step]) for c in columns], ["node", "n", "h", "df"]
-        )
+class _Bucket:
+    """Shingles of a bucket with their texts, held until the last one is known or they are found to be common."""
+
+    def __init__(self, number: int):
+        self.number, self.size, self.limit, self.parts = number, 0, HELD, []
+        self.common = np.zeros(0, np.uint64)  # sorted
+
+    def add(self, row: dict) -> Iterator[pa.RecordBatch]:
+        values = np.frombuffer(row["high"], np.uint32).astype(np.uint64) << np.uint64(16)
+        values |= np.frombuffer(row["low"], np.uint16)
+        self.parts.append((values, *(np.frombuffer(row[c], k) for c, k in (("nodes", np.int64), ("ns", np.int32), ("counts", np.int32)))))
+        self.size += len(values)
+        if self.size > self.limit:
+            yield from self._sent()
+
+    def _expanded(self, keep) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Values, nodes and set sizes of the postings that ``keep`` picks, given all values."""
+        values = np.concatenate([p[0] for p in self.parts])
+        pick = keep(values)
+        counts = np.concatenate([p[3] for p in self.parts])
+        nodes, n = (np.repeat(np.concatenate([p[i] for p in self.parts]), counts)[pick] for i in (1, 2))
+        return values[pick], nodes, n
+
+    def _sent(self) -> Iterator[pa.RecordBatch]:
+        """Send on what is common already; later postings of the same shingles follow when next too many are held."""
+        values, times = np.unique(np.concatenate([p[0] for p in self.parts]), return_counts=True)
+        self.common = np.union1d(self.common, values[times >= COMMON])
+        values, nodes, n = self._expanded(lambda v: np.isin(v, self.common))
+        yield from _postings(self.number, values, nodes, n, np.full(len(values), COMMON))
+        values, nodes, n = self._expanded(lambda v: np.isin(v, self.common, invert=True))
+        self.parts = [(values, nodes, n, np.ones(len(values), np.int32))]
+        self.size, self.limit = len(values), max(HELD, len(values) * 3 // 2)
+
+    def rest(self) -> Iterator[pa.RecordBatch]:
+        if len(self.common):
+            yield from self._sent()
+
+        def repeated(values: np.ndarray) -> np.ndarray:
+            by = np.argsort(values)
+            same = np.r_[False, values[by][1:] == values[by][:-1], False]  # as the one before
+            return by[same[:-1] | same[1:]] if len(by) else by
+
+        values, nodes, n = self._expanded(repeated)
+        by = np.lexsort((nodes, values))
+        values, nodes, n = values[by], nodes[by], n[by]
+        new = np.r_[True, (values[1:] != values[:-1]) | (nodes[1:] != nodes[:-1])] if len(by) else np.zeros(0, bool)
+        values, nodes, n = values[new], nodes[new], n[new]
+        start = np.flatnonzero(np.r_[True, values[1:] != values[:-1]]) if len(values) else np.zeros(0, int)
+        size = np.diff(np.r_[start, len(values)])
+        df = np.repeat(size, size)
+        keep = df > 1
+        yield from _postings(self.number, values[keep], nodes[keep], n[keep], np.minimum(df[keep], COMMON))
+
+
+def _postings(bucket: int, values, nodes, n, df) -> Iterator[pa.RecordBatch]:
+    h = (values << np.uint64(16) | np.uint64(bucket & 0xFFFF)).view(np.int64)
+    columns, step = (nodes, n, h, df.astype(np.int32)), 100_000
+    for a in range(0, len(h), step):
+        yield pa.RecordBatch.from_arrays([pa.array(c[a : a + step]) for c in columns], ["node", "n", "h", "df"])
 
 
 def _candidate_sets(shared: DataFrame) -> DataFrame:
@@ -215,8 +263,12 @@ def _candidate_sets(shared: DataFrame) -> DataFrame:
 
 
 def _prefixed(some: pa.Table, cut: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Rows of whole documents, from cut[0] up to cut[-1]."""
-    node, n, h, df = (some.column(c).to_numpy() for c in ("node", "n", "h", "df"))
+    """Rows of whole documents, from cut[0] up to cut[-1]; a shingle that came twice counts once."""
+    node, n, h, df = (some.column(c).to_numpy()[: cut[-1]] for c in ("node", "n", "h", "df"))
+    new = np.r_[True, (node[1:] != node[:-1]) | (h[1:] != h[:-1])]
+    if not new.all():
+        node, n, h, df = node[new], n[new], h[new], df[new]
+        cut = np.r_[0, np.cumsum(new)][cut]
     size, n = np.diff(cut), n[cut[:-1]].astype(np.int64)
     prefix = n - -(-n * PERCENT // 100) + 1 - (n - size)
     keep = prefix > 0
@@ -244,6 +296,32 @@ def _filters(a: str, b: str) -> Column:
     return (F.least(n, m) * 100 >= F.greatest(n, m) * PERCENT) & (behind >= _least_overlap(n, m))
 
 
+def _by_bands(lists: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The entries of posting lists as the larger and as the smaller one of a pair, by bands of the smaller one's size.
+
+    With r shingles from its place on, a set of n can only meet, among sets no larger, sizes of 0.8 n to 2.25 r - n;
+    and it can only meet one no smaller if r is 8/9 n at least. So the length and the positional filter hold, up
+    to the width of a band, before entries meet: documents that share much, but too little, are never paired. Entries of the
+    main group of a list meet those of other groups only (``side``).
+    """
+    rest, n = F.col("n") - F.col("place"), F.col("n").cast("double")
+
+    def band(size: Column) -> Column:
+        return F.floor(F.log(size) * F.lit(float(BANDS))).cast("int")
+
+    most = F.least(n, F.floor(rest * F.lit(100 + PERCENT) / F.lit(PERCENT)) - n)
+    low, high = band(F.ceil(n * F.lit(PERCENT) / F.lit(100))), band(F.greatest(most, F.lit(1.0)))
+    entries = lists.select("h", "node", "n", "place", "root", (F.col("root") == F.col("main")).alias("inner"))
+    asking = entries.where(most >= n * F.lit(PERCENT) / F.lit(100)).select(
+        "*", F.explode(F.sequence(low, high)).alias("band"), F.col("inner").cast("int").alias("side")
+    )
+    sides = F.when(F.col("inner"), F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1)))
+    answering = entries.where(rest * F.lit(100 + PERCENT) >= F.lit(2 * PERCENT) * n).select(
+        "*", band(n).alias("band"), F.explode(sides).alias("side")
+    )
+    return asking, answering
+
+
 def _within(x: np.ndarray, dfs: np.ndarray, h: int, df: int) -> int:
     """Place of a shingle in the rarest-first order of a set."""
     low, high = np.searchsorted(dfs, df, "left"), np.searchsorted(dfs, df, "right")
@@ -321,12 +399,12 @@ def similar_pairs(sets: DataFrame) -> DataFrame:
         .where("roots > 1").select(F.col("h").alias("key"), F.col("most.root").alias("main"))
     )
     open_lists = stage(marked.join(most, F.col("h") == F.col("key")).drop("key"), "open-postings")
+    asking, answering = _by_bands(open_lists)
     across = (
-        open_lists.where("root <> main").alias("a").join(open_lists.alias("b"), F.col("a.h") == F.col("b.h"))
+        asking.alias("a").join(answering.alias("b"), ["h", "band", "side"])
         .where(
-            (F.col("a.root") != F.col("b.root"))
-            & ((F.col("b.root") == F.col("b.main")) | (F.col("a.node") < F.col("b.node")))
-            & _filters("a", "b")
+            (F.col("a.root") != F.col("b.root")) & _filters("a", "b")
+            & (F.struct("a.n", "a.node") > F.struct("b.n", "b.node"))
         )
         .select(F.greatest("a.node", "b.node").alias("a"), F.least("a.node", "b.node").alias("b"))
         .distinct()
@@ -348,7 +426,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     measured = stage(_measured(rows, rows.schema["id"].dataType.simpleString()), "shingle-counts")
     total = measured.agg(F.sum("n")).first()[0] or 0
-    buckets = min(max(LEAST_BUCKETS, -(-total // BUCKET_SHINGLES)), 1 << 16)
+    buckets = max(LEAST_BUCKETS, -(-total // BUCKET_SHINGLES))
     shared = _shared_shingles(_dealt_shingles(rows, int(buckets)), int(buckets))
     sets = stage(_candidate_sets(shared), "candidate-sets")
     roots = connected_components(similar_pairs(sets))

@@ -7,6 +7,7 @@ import re
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from cases import ASCII, components, documents, empty, least, pairs, prose, shingles
 from tokenizers import Tokenizer
 
@@ -61,6 +62,95 @@ def test_shingles_of_a_piece_with_few_words(words):
     assert values.tolist() == both[: of[1]].tolist()
 
 
+@pytest.mark.parametrize(("held", "common", "gathered"), [(10**9, 10**9, 1000), (40, 6, 7), (5, 2, 300)])
+def test_common_shingles_are_sent_on_with_one_count(monkeypatch, held, common, gathered):
+    """Every posting of a shared shingle once or more, and one df for each shingle, however little is held."""
+    monkeypatch.setattr(jaccard_join, "HELD", held)
+    monkeypatch.setattr(jaccard_join, "COMMON", common)
+    rng = np.random.default_rng(held % 97)
+    hashes = rng.integers(0, 1 << 63, 40, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    sets = {}
+    for node in range(60):
+        some = rng.choice(40, rng.integers(1, 25), replace=False, p=np.r_[np.full(4, 0.15), np.full(36, 0.4 / 36)])
+        sets[node] = np.sort(hashes[some])
+    sets[60] = np.array([12345], np.uint64)  # stands alone
+    rows, buckets = [], 3
+    nodes = list(sets)
+    for low in range(0, len(nodes), gathered):
+        some = nodes[low : low + gathered]
+        packed = jaccard_join._packed_shingles(
+            np.concatenate([sets[i] for i in some]), np.array([len(sets[i]) for i in some]), np.array(some), buckets
+        )
+        rows += packed.to_pylist()
+    want = {}
+    for node, values in sets.items():
+        for value in values.tolist():
+            want.setdefault(value, set()).add(node)
+    want = {v: n for v, n in want.items() if len(n) > 1}
+    found, dfs, sizes = {}, {}, {}
+    for number in range(buckets):
+        bucket = jaccard_join._Bucket(number)
+        batches = [b for r in rows if r["bucket"] == number for b in bucket.add(r)] + list(bucket.rest())
+        for batch in batches:
+            for r in batch.to_pylist():
+                found.setdefault(r["h"], set()).add(r["node"])
+                dfs.setdefault(r["h"], set()).add(r["df"])
+                sizes[r["node"]] = r["n"]
+    assert sorted(map(sorted, found.values())) == sorted(map(sorted, want.values()))
+    assert all(dfs[h] == {min(len(found[h]), common)} for h in found)
+    assert all(sizes[i] == len(sets[i]) for i in sizes)
+
+
+def _boilerplate(spark, count, shared=176, own=24):
+    """Documents of a common page and some words of their own: alike, but not enough for a link."""
+    page = " ".join(f"p{i}" for i in range(shared + 4))
+    texts = [(d, page + " " + " ".join(f"w{d}x{i}" for i in range(own))) for d in range(count)]
+    return spark.createDataFrame(texts, "doc_id bigint, text string").repartition(4)
+
+
+def test_documents_that_share_too_much_to_be_told_by_words_and_too_little_to_link_never_meet(spark, monkeypatch):
+    made = {}
+    by_bands = jaccard_join._by_bands
+
+    def counted(lists):
+        asking, answering = by_bands(lists)
+        made["lists"] = lists.count()
+        made["pairs"] = asking.join(answering, ["h", "band", "side"]).count()
+        return asking, answering
+
+    monkeypatch.setattr(jaccard_join, "_by_bands", counted)
+    pairs = {}
+    for count in (100, 200, 400):
+        got = jaccard_join.jaccard_components(_boilerplate(spark, count)).collect()
+        assert {r["component_id"] for r in got} == set(range(count))  # Jaccard 0.786: no links
+        pairs[count] = made["pairs"]
+        assert made["lists"] >= 17 * count
+    assert pairs[400] <= 2.2 * max(pairs[200], 400) and pairs[400] <= 8 * 400
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_bands_lose_no_pair_that_passes_the_filters(spark, seed):
+    """All pairs of one list, in all the sizes and places there are, with and without a main group."""
+    rng = random.Random(seed)
+    entries = []
+    for node in range(140):
+        n = rng.choice([1, 2, 3, 5, 9, 10, 11, 40, 50, 100, 101, 125, 1000, 1250])
+        place = rng.randint(0, n - -(-n * 80 // 100))
+        entries.append((1, node, n, place, rng.choice([7, 7, 8, node]), 7))
+    lists = spark.createDataFrame(entries, "h bigint, node bigint, n int, place bigint, root bigint, main bigint")
+    asking, answering = jaccard_join._by_bands(lists)
+    met = asking.alias("a").join(answering.alias("b"), ["h", "band", "side"]).where(
+        (F.col("a.root") != F.col("b.root")) & (F.struct("a.n", "a.node") > F.struct("b.n", "b.node"))
+    )
+    got = {(r[0], r[1]) for r in met.select("a.node", "b.node").collect()}
+    assert len(got) == met.count()
+    for _, a, n, p, root, _ in entries:
+        for _, b, m, q, other, _ in entries:
+            behind, least = min(n - p, m - q), -(-(n + m) * 80 // 180)
+            if (n, a) > (m, b) and root != other and 100 * m >= 80 * n and behind >= least:
+                assert (a, b) in got
+
+
 def test_jaccard_join_of_a_short_text_before_a_long_one(spark):
     long = "some words " * 420_000
     docs = spark.createDataFrame([(1, "two words"), (2, long), (3, "Two  words")], "doc_id bigint, text string")
