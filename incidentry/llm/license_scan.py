@@ -5,10 +5,10 @@ overlap by half, so that any run of m + 1 shingles lies within a window, and any
 run of 2m within two neighbours. Each band is one minimum hash: a window that
 holds 0.4 of the template has a Jaccard similarity of 0.4 / 2.6 or more with it, and
 the two neighbours that hold 0.8 together miss all 48 bands with a probability below
-1e-6. The windows that share a band with a template are verified by the exact
-share of the template's shingles that they contain; where that is too little, so
-are all runs of 2m shingles, from any start, that overlap them. Windows without any shingle
-of a template have no band in common with one, so they are left out beforehand.
+1e-6. Around the windows that share a band with a template, every run of 2m shingles
+that begins with one of the template's is verified by the exact share that it
+contains, so what is found does not depend on where windows begin. Windows
+without any shingle of a template have no band in common with one, so they are left out beforehand.
 """
 
 from __future__ import annotations
@@ -38,9 +38,85 @@ STATEMENTS = {
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
 
+# License texts and the notices that files carry, without titles and names.
+_REDISTRIBUTION = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of "
+    "conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright "
+    "notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided "
+    "with the distribution. "
+)
+_ENDORSEMENT = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+    "products derived from this software without specific prior written permission. "
+)
+_BSD_WARRANTY = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, "
+    "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+    "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+    "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+    "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, "
+    "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE "
+    "OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_FREE_SOFTWARE = (
+    "This program is free software: you can redistribute it and/or modify it under the terms of the {license} as published "
+    "by the Free Software Foundation, either version {version} of the License, or (at your option) any later version. This "
+    "program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty "
+    "of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the {license} for more details. You should have received a "
+    "copy of the {license} along with this program. If not, see <https://www.gnu.org/licenses/>."
+)
+PASSAGES = {
+    "AGPL-3.0-or-later-notice": _FREE_SOFTWARE.format(license="GNU Affero General Public License", version="3"),
+    "Apache-2.0-notice": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except "
+    "in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 "
+    "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "
+    "\"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the "
+    "specific language governing permissions and limitations under the License.",
+    "BSD-2-Clause-text": _REDISTRIBUTION + _BSD_WARRANTY,
+    "BSD-3-Clause-text": _REDISTRIBUTION + _ENDORSEMENT + _BSD_WARRANTY,
+    "CC0-1.0-notice": "To the extent possible under law, the author(s) have dedicated all copyright and related and "
+    "neighboring rights to this software to the public domain worldwide. This software is distributed without any warranty. "
+    "You should have received a copy of the CC0 Public Domain Dedication along with this software. If not, see "
+    "<http://creativecommons.org/publicdomain/zero/1.0/>.",
+    "GPL-2.0-or-later-notice": _FREE_SOFTWARE.format(license="GNU General Public License", version="2"),
+    "GPL-3.0-or-later-notice": _FREE_SOFTWARE.format(license="GNU General Public License", version="3"),
+    "ISC-text": STATEMENTS["ISC"] + " THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH "
+    "REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR "
+    "BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF "
+    "USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN "
+    "CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+    "LGPL-3.0-or-later-notice": _FREE_SOFTWARE.format(license="GNU Lesser General Public License", version="3"),
+    "MIT-text": STATEMENTS["MIT-notice"] + ", including without limitation the rights to use, copy, modify, merge, publish, "
+    "distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to "
+    "do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in "
+    "all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, "
+    "EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE "
+    "AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER "
+    "LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE "
+    "OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    "Unlicense-text": "This is free and unencumbered software released into the public domain. Anyone is free to copy, "
+    "modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, "
+    "for any purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the "
+    "author or authors of this software dedicate any and all copyright interest in the software to the public domain. We "
+    "make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend "
+    "this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software "
+    "under copyright law.",
+    "Zlib-text": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors "
+    "be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this "
+    "software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the "
+    "following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the "
+    "original software. If you use this software in a product, an acknowledgment in the product documentation would be "
+    "appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be "
+    "misrepresented as being the original software. 3. This notice may not be removed or altered from any source "
+    "distribution.",
+}
+KNOWN = STATEMENTS | PASSAGES
+
 
 def statements(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(sorted(STATEMENTS.items()), "license string, text string")
+    """Short statements, notices and license texts."""
+    return spark.createDataFrame(sorted(KNOWN.items()), "license string, text string")
 
 
 def _shingles(df: DataFrame, text: Column) -> DataFrame:
@@ -84,9 +160,10 @@ def scan_licenses(
 
     ``templates`` (license, text) is a short list: its shingles are read into the
     plan. A license is found where any run of twice its shingles holds 80 of 100
-    of its distinct ones. n_shared is the most that a window holds and first_word the number of the first word of the
-    earliest such window; where no window holds enough, they are those of the runs between windows. Templates of fewer than five words are never found,
-    null and empty texts hold nothing. Each row is a document of its own, also
+    of its distinct ones. n_shared is the most that a run holds, and first_word
+    the number of the first word of the earliest run that holds so many and begins with a
+    shingle of the license. Templates of fewer than five words are never found, null and
+    empty texts hold nothing, an empty table of either kind gives no row. Each row is a document of its own, also
     where ids are null or repeated.
     """
     known = _shingles(templates.select("license", "text"), F.coalesce("text", F.lit(""))).select(
@@ -98,15 +175,23 @@ def scan_licenses(
             "id", "'' AS license", "0L AS n_shared", "0L AS n_shingles", "0L AS first_word"
         )
     hashes = sorted({s for row in listed for s in row["template"]})
-    sizes = sorted({row["m"] for row in listed})
+    of_size: dict[int, set] = {}
+    for row in listed:
+        of_size.setdefault(row["m"], set()).update(row["template"])
     numbered = _shingles(
         docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")), F.col("text")
     )
-    hits = F.filter(F.transform("shingles", lambda s, i: F.when(s.isin(hashes), i)), lambda i: i.isNotNull())
+    places = F.filter(F.transform("shingles", lambda s, i: F.when(s.isin(hashes), i)), lambda i: i.isNotNull())
+
+    def own_places(m: int) -> Column:
+        return F.filter("places", lambda i: F.get("shingles", i).isin(sorted(of_size[m])))
+
     windows = (
-        numbered.select("row", "id", "shingles", hits.alias("hits"))
-        .where(F.size("hits") > 0)
-        .withColumn("m", F.explode(F.array(*[F.lit(m) for m in sizes])))
+        numbered.select("row", "id", "shingles", places.alias("places"))
+        .where(F.size("places") > 0)
+        .select("row", "id", "shingles", F.inline(F.array(*[
+            F.struct(F.lit(m).alias("m"), own_places(m).alias("hits")) for m in sorted(of_size)
+        ])))
         .withColumn(
             "window",
             F.explode(
@@ -152,25 +237,19 @@ def scan_licenses(
                 F.array_contains("template", s),
                 F.struct(
                     shared(F.slice("span", i + 1, 2 * F.col("m"))).alias("n_shared"),
-                    (F.col("start") + i).cast("bigint").alias("first_word"),
+                    (-(F.col("start") + i)).cast("bigint").alias("back"),  # the earliest is the largest
                 ),
             ),
         ),
         lambda run: enough(run["n_shared"]),
     )
-    own, between = enough(F.col("n_shared")), F.col("runs")
     return (
-        found.withColumn("n_shared", shared(content))
-        .withColumn("runs", F.when(~own & enough(shared(F.col("span"))), runs))
-        .where(own | (F.size(between) > 0))
+        found.where(enough(shared(F.col("span"))))
+        .withColumn("best", F.array_max(runs))
+        .where("best IS NOT NULL")
         .groupBy("row", "id", "license")
-        .agg(
-            F.coalesce(F.max(F.when(own, F.col("n_shared"))), F.max(F.array_max(between)["n_shared"])).alias("n_shared"),
-            F.max("m").cast("bigint").alias("n_shingles"),
-            F.coalesce(
-                F.min(F.when(own, F.col("window") * F.col("m")).cast("bigint")),
-                F.min(F.array_min(F.transform(between, lambda run: run["first_word"]))),
-            ).alias("first_word"),
+        .agg(F.max("best").alias("best"), F.max("m").cast("bigint").alias("n_shingles"))
+        .select(
+            "id", "license", F.col("best.n_shared").alias("n_shared"), "n_shingles", (-F.col("best.back")).alias("first_word")
         )
-        .drop("row")
     )

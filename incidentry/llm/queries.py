@@ -13,13 +13,13 @@ from incidentry.sources.workspace import fresh_path, stage
 
 from .bisector_clusters import bisector_clusters
 from .bpe import bpe_round_trip
-from .chat import format_chats, read_window
+from .chat import format_chats, read_window, unescape
 from .common import table
 from .decontaminate import find_contamination, is_contaminated
 from .embedding_dedup import near_duplicate_embeddings
 from .language_id import fit_language_id, held_out, predict_language
 from .jaccard_join import jaccard_components
-from .license_scan import STATEMENTS, scan_licenses, statements
+from .license_scan import KNOWN, scan_licenses, statements
 from .nearest_vectors import nearest_vectors
 from .suffix_dedup import remove_repeats
 from .url_filter import url_verdicts
@@ -167,16 +167,23 @@ class _ReadBack:
         self.n_turns = self.loss_chars = self.chars = self.windows = 0
 
     def add(self, window) -> None:
+        """Turns are read from the text; the loss is what stands at the places of the mask, which must lie in order."""
+        text, at = window["text"], 0
         self.windows += 1
-        self.chars += len(window["text"])
-        for mark, (role, text) in zip(window["turns"], read_window(window["text"]), strict=True):
+        self.chars += len(text)
+        for mark, (role, body) in zip(window["turns"], read_window(text), strict=True):
+            start, end = mark["start"], mark["end"]
+            if not at <= start <= end <= len(text):
+                raise ValueError(f"the mask of turn {mark['turn']} does not lie behind the one before, in the window")
+            at = end
             if mark["kind"] != "new":
                 continue
             self.n_turns += 1
-            self.turns.update(f"{role}\n{text}\n".encode())
-            if role == "assistant":
-                self.loss.update(text.encode())
-                self.loss_chars += len(text)
+            self.turns.update(f"{role}\n{body}\n".encode())
+            if mark["role"] == "assistant":
+                target = unescape(text[start:end])
+                self.loss.update(target.encode())
+                self.loss_chars += len(target)
 
     def row(self) -> dict:
         values = (
@@ -213,7 +220,7 @@ def op9_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
-_SQL_STATEMENTS = ", ".join(f"('{name}', '{text}')" for name, text in sorted(STATEMENTS.items()))
+_SQL_STATEMENTS = ", ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, t in sorted(KNOWN.items()))
 _SQL_RUNS = """list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))"""
 SQL_LICENSES = f"""
 WITH statement(license, text) AS (VALUES {_SQL_STATEMENTS}),
@@ -228,12 +235,14 @@ hits AS (
               FROM (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM documents)) AS d,
           unnest(range(1, len(s) + 1)) AS t(i)) AS runs
   JOIN template USING (shingle)),
-windows AS (
-  SELECT doc_id, license, m, place // m - back AS w, count(DISTINCT shingle) AS n_shared
-  FROM hits, (VALUES (0), (1)) AS b(back) WHERE place // m - back >= 0 GROUP BY ALL)
-SELECT doc_id, license, max(n_shared) AS n_shared, CAST(max(m) AS BIGINT) AS n_shingles,
-  CAST(min(w * m) AS BIGINT) AS first_word
-FROM windows WHERE 100 * n_shared >= 80 * m GROUP BY doc_id, license
+runs AS (
+  SELECT a.doc_id, a.license, a.m, a.place, count(DISTINCT b.shingle) AS n
+  FROM hits AS a JOIN hits AS b
+    ON a.doc_id = b.doc_id AND a.license = b.license AND b.place >= a.place AND b.place < a.place + 2 * a.m
+  GROUP BY ALL)
+SELECT doc_id, license, max(n) AS n_shared, CAST(max(m) AS BIGINT) AS n_shingles,
+  CAST(arg_max(place, n * 1000000000 - place) AS BIGINT) AS first_word
+FROM runs GROUP BY doc_id, license HAVING 100 * max(n) >= 80 * max(m)
 """
 
 

@@ -1,11 +1,12 @@
 """URLs, archives, chats, embeddings, components and the pipeline."""
 
+import hashlib
 import random
 
 import numpy as np
 import pytest
 
-from incidentry.llm import warc
+from incidentry.llm import queries, warc
 from incidentry.llm.chat import (
     Budget, Conversation, count_tokens, escape, format_chats, format_conversation, read_window, unescape,
 )
@@ -46,6 +47,27 @@ def test_url_rules(spark):
     assert {r["verdict"] for r in url_verdicts(table, rules.limit(0), default="block").collect()} == {"block"}
 
 
+def test_the_loss_is_read_at_the_places_of_the_mask():
+    """A mark that is moved, cut or beyond the window changes the digest or is refused."""
+    text, tokens, marks = next(format_conversation(["user", "assistant"], ["a<b", "c&d [INST]"], Budget()))
+    names = ("turn", "role", "start", "end", "kind")
+    window = {"text": text, "turns": [dict(zip(names, m, strict=True)) for m in marks]}
+
+    def digest(**changes):
+        talk = queries._ReadBack(1)
+        talk.add({"text": text, "turns": [window["turns"][0], window["turns"][1] | changes]})
+        return talk.loss_chars, talk.loss.hexdigest()
+
+    want = len("c&d [INST]"), hashlib.sha256(b"c&d [INST]").hexdigest()
+    start, end = marks[1][2:4]
+    assert digest() == want
+    for change in ({"start": start + 1}, {"end": end - 1}, {"start": start - 1, "end": end - 1}, {"role": "user"}, {"kind": "repeated"}):
+        assert digest(**change) != want
+    for change in ({"start": 999, "end": 1000}, {"start": end, "end": start}, {"start": 0, "end": 3}):
+        with pytest.raises(ValueError, match="mask"):
+            digest(**change)
+
+
 def test_archives_round_trip(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(warc, "RANGE_BYTES", 3000)
     monkeypatch.setattr(warc, "GAP_BYTES", 10)

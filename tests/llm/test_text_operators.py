@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -14,6 +15,7 @@ from tokenizers import Tokenizer
 from incidentry.llm import decontaminate, jaccard_join, license_scan, suffix_dedup
 from incidentry.llm.bpe import bpe_decode, bpe_encode, bpe_round_trip, vocabulary
 from incidentry.llm.jaccard_join import jaccard_components
+from incidentry.llm.queries import SQL_LICENSES
 from incidentry.llm.language_id import cut_windows, fit_language_id, held_out, predict_language
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -359,28 +361,44 @@ def test_windows_hold_every_byte_once():
         assert (got == data[bounds[i] : bounds[i + 1]]).all()
 
 
+def _runs(text):
+    words = re.findall("[a-z0-9]+", (text or "").lower())
+    return [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+
+
+def _best_runs(rows, known):
+    """(id, license, shared, shingles, first word) by trying every start of every text."""
+    want = []
+    for d, text in rows:
+        s = _runs(text)
+        for name, statement in known.items():
+            t = set(_runs(statement))
+            held = [(len(t & set(s[a : a + 2 * len(t)])), -a) for a in range(len(s)) if s[a] in t]
+            if held and max(held)[0] * 100 >= 80 * len(t):
+                want.append((d, name, max(held)[0], len(t), -max(held)[1]))
+    return sorted(want, key=key)
+
+
+def _sql_of(rows):
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", [list(r) for r in rows])
+    found = con.sql(SQL_LICENSES).to_arrow_table().select(["doc_id", "license", "n_shared", "n_shingles", "first_word"])
+    return sorted(zip(*[c.to_pylist() for c in found.columns], strict=True), key=key)
+
+
 def test_license_scan_equals_exact_containment(spark):
     templates = license_scan.statements(spark)
     notice = license_scan.STATEMENTS["MIT-notice"]
     rows = [
         (1, f"{prose(40, 1)} {notice} {prose(40, 2)}"), (1, "released UNDER the mit -- license"), (2, None), (None, notice),
         (3, notice.replace("free of charge", "at no cost")), (4, " ".join(notice.split(" ")[:12])), (5, ""),
-        (6, prose(5000, 3) + " Licensed under CC BY-SA 4.0."),
+        (6, prose(5000, 3) + " Licensed under CC BY-SA 4.0."), (7, f"{notice} {prose(3, 9)} {notice}"),
+        (8, f"{notice} {prose(500, 8)} {notice}"),
     ]
     docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id bigint, text string, license int")
-    runs = lambda t: (lambda w: [tuple(w[i : i + 5]) for i in range(len(w) - 4)])(
-        re.findall("[a-z0-9]+", (t or "").lower())
-    )
-    want = []
-    for d, text in rows:
-        s = runs(text)
-        for name, statement in license_scan.STATEMENTS.items():
-            t = set(runs(statement))
-            held = [len(t & set(s[a : a + 2 * len(t)])) for a in range(0, max(len(s), 1), len(t))]
-            if max(held) * 100 >= 80 * len(t):
-                want.append((d, name, max(held), len(t)))
     got = license_scan.scan_licenses(docs, templates).collect()
-    assert sorted([tuple(r)[:4] for r in got], key=key) == sorted(want, key=key)
+    assert sorted([tuple(r) for r in got], key=key) == _best_runs(rows, license_scan.KNOWN)
     assert license_scan.scan_licenses(empty(spark), templates).collect() == []
     assert license_scan.scan_licenses(docs, templates.limit(0)).collect() == []
     plan = license_scan.scan_licenses(docs, templates)._jdf.queryExecution().executedPlan().toString()
@@ -388,30 +406,38 @@ def test_license_scan_equals_exact_containment(spark):
 
 
 def test_license_scan_does_not_depend_on_the_place(spark):
-    """Against all runs of twice the shingles, from every start."""
+    """A statement altered in its middle at every place: every start of every text, and the SQL, give the same rows."""
     words = license_scan.STATEMENTS["ISC"].split(" ")
-    runs = lambda t: (lambda w: [tuple(w[i : i + 5]) for i in range(len(w) - 4)])(
-        re.findall("[a-z0-9]+", t.lower())
-    )
-    t = set(runs(" ".join(words)))
     texts = [
         f"{prose(place, 5)} {' '.join(words[:17])} {prose(more, 6)} {' '.join(words[17:])} {prose(70, 7)}"
-        for more in (5, 8, 20, 40) for place in range(len(t))
+        for more in (5, 8, 20, 40) for place in range(31)
     ]
-    want = {}
-    for d, text in enumerate(texts):
-        s = runs(text)
-        held = [len(t & set(s[a : a + 2 * len(t)])) for a in range(len(s))]
-        if max(held) * 100 >= 80 * len(t):
-            want[d] = max(held)
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
-    got = license_scan.scan_licenses(docs, license_scan.statements(spark)).collect()
-    assert {r["id"] for r in got} == set(want) and len(got) == len(want)
-    assert {r["license"] for r in got} == {"ISC"}
-    assert [
-        (tuple(r), want[r["id"]]) for r in got
-        if not 24 <= r["n_shared"] <= want[r["id"]] or r["first_word"] > r["id"] % len(t) + len(t)
-    ] == []
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sorted([tuple(r) for r in license_scan.scan_licenses(docs, license_scan.statements(spark)).collect()], key=key)
+    assert got == _best_runs(rows, license_scan.KNOWN) == _sql_of(rows)
+    assert sum(r[0] // 31 == 1 for r in got) == 31  # with eight words in it, found at all places
+
+
+@pytest.mark.parametrize("name", sorted(license_scan.PASSAGES))
+def test_whole_license_texts_are_known(name):
+    assert 40 <= len(license_scan.PASSAGES[name].split()) <= 400
+
+
+def test_license_texts_are_found_altered_and_cut(spark):
+    """Each text whole, with a word of nine changed, without its first sixth, and cut to half (too little)."""
+    rows = []
+    for text in license_scan.PASSAGES.values():
+        words = text.split(" ")
+        changed = [w if i % 43 else "something" for i, w in enumerate(words)]
+        for some in (words, changed, words[len(words) // 6 :], words[: len(words) // 2]):
+            rows.append((len(rows), f"{prose(len(rows) * 7 % 97, len(rows))} {' '.join(some)} {prose(60, 3)}"))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sorted([tuple(r) for r in license_scan.scan_licenses(docs, license_scan.statements(spark)).collect()], key=key)
+    assert got == _best_runs(rows, license_scan.KNOWN) == _sql_of(rows)
+    found = {r[:2] for r in got}
+    for i, name in enumerate(license_scan.PASSAGES):
+        assert all((4 * i + j, name) in found for j in range(3)) and (4 * i + 3, name) not in found
 
 
 def test_digest_of_texts_is_of_their_bytes():
