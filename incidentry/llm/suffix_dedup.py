@@ -32,7 +32,7 @@ from .common import check_carried, gram_hashes, mixed, of_rows, pieces, released
 LENGTH = 100
 GRAM = 32
 STRIDE = 25  # bytes of a symbol; LENGTH is a multiple
-SHARD_BYTES = 1 << 16
+SHARD_BYTES = 60_000  # so that a shard's suffixes, end marks included, have numbers below 2**16
 PIECE_BYTES = 1 << 20  # text whose anchors are found at once
 MERGED_BYTES = 1 << 19  # contexts merged at once, whole anchors
 HOT_CONTEXTS = 2000
@@ -247,6 +247,24 @@ def _contexts(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(released(run), _CONTEXTS)
 
 
+def stable_order(number: np.ndarray) -> np.ndarray:
+    """Order of numbers below 2**32, equal ones as they stood: two passes over 16 bits, which numpy sorts by radix."""
+    by = np.argsort((number & 0xFFFF).astype(np.uint16), kind="stable")
+    if len(number) and int(number.max()) >> 16:
+        by = by[np.argsort((number[by] >> 16).astype(np.uint16), kind="stable")]
+    return by
+
+
+def numbered(values: np.ndarray) -> np.ndarray:
+    """The place of each value among the distinct ones."""
+    if len(values) and int(values.max()) >> 32:
+        return np.unique(values, return_inverse=True)[1].astype(np.int64)
+    by = stable_order(values)
+    out = np.empty(len(values), np.int64)
+    out[by] = np.cumsum(np.r_[False, np.diff(values[by]) != 0]) if len(by) else by
+    return out
+
+
 class ShardTransform:
     """Suffixes of a shard's contexts in order, and the symbol before each.
 
@@ -264,11 +282,10 @@ class ShardTransform:
         rank = np.unique(whole, return_inverse=True)[1].astype(np.int64)
         step = follows
         for _ in range(int(longest - 1).bit_length()):  # by twice as many symbols a round
-            pair = rank << 32 | rank[step]
-            rank = np.unique(pair, return_inverse=True)[1].astype(np.int64)
+            rank = numbered(rank << 16 | rank[step] if len(rank) < 1 << 16 else rank << 32 | rank[step])
             step = step[step]
         # End marks are ordered by their chain, and so are suffixes that tie to their ends.
-        self.order = np.argsort(rank, kind="stable")
+        self.order = stable_order(rank)
         before = np.zeros(len(whole), np.uint64)
         before[follows[:n]] = symbol
         self.before = before[self.order]
@@ -286,7 +303,8 @@ def merge_transforms(shards: list[ShardTransform]) -> tuple[np.ndarray, np.ndarr
     sizes = np.array([len(s.order) for s in shards])
     marks = np.array([s.marks for s in shards])
     offset = np.cumsum(sizes) - sizes
-    before = np.concatenate([s.before for s in shards])
+    # symbols by number: the end mark stays 0, as it is the least
+    before = np.unique(np.concatenate([[np.uint64(0)], *[s.before for s in shards]]), return_inverse=True)[1][1:]
     of = np.repeat(np.arange(len(shards), dtype=np.int16), sizes)
     total = len(of)
     n_marks = int(marks.sum())
@@ -298,7 +316,7 @@ def merge_transforms(shards: list[ShardTransform]) -> tuple[np.ndarray, np.ndarr
         row[np.argsort(of, kind="stable")] = np.arange(total)  # the next row of its shard
         symbol = before[row]
         moving = np.flatnonzero(symbol != 0)
-        by = moving[np.argsort(symbol[moving], kind="stable")]
+        by = moving[stable_order(symbol[moving])]
         new = np.r_[True, (np.diff(symbol[by]) != 0) | (np.diff(interval[by]) != 0)] if len(by) else np.zeros(0, bool)
         of = np.concatenate([mark_rows, of[by]])
         interval = np.concatenate([np.zeros(n_marks, np.int64), np.cumsum(new)])
@@ -344,11 +362,13 @@ def repeated_strings(contents: list[bytes], ids: np.ndarray, starts: np.ndarray)
     string = (context >= 0) & (place + LENGTH <= lengths[context])
     context, place, interval = context[string], place[string], interval[string]
     at_id, at_start = ids[context], starts[context] + place
-    by = np.lexsort((at_start, at_id, interval))
-    context, place, interval, at_id, at_start = (x[by] for x in (context, place, interval, at_id, at_start))
-    first = np.flatnonzero(np.r_[True, interval[1:] != interval[:-1]]) if len(by) else np.zeros(0, np.int64)
-    size = np.diff(np.r_[first, len(by)])
-    return context, place, np.repeat(at_id[first], size), np.repeat(at_start[first], size)
+    if not len(interval):
+        return context, place, at_id, at_start
+    first = np.flatnonzero(np.r_[True, interval[1:] != interval[:-1]])  # equal strings follow each other
+    size = np.diff(np.r_[first, len(interval)])
+    least_id = np.repeat(np.minimum.reduceat(at_id, first), size)
+    there = np.where(at_id == least_id, at_start, np.iinfo(at_start.dtype).max)
+    return context, place, least_id, np.repeat(np.minimum.reduceat(there, first), size)
 
 
 _EARLIEST = "anchor bigint, key bigint, place int, n int, first_id bigint, first_start int"
@@ -439,7 +459,7 @@ def _earliest_runs(anchor, key, context, place, first_id, first_start, alone, ow
     """Strings of a context that stands in one place only, which is their earliest, are left out."""
     kept = ~(alone[context] & (first_id == own[0][context]) & (first_start == own[1][context] + place))
     context, place, first_id, first_start = (x[kept] for x in (context, place, first_id, first_start))
-    by = np.lexsort((place, context))
+    by = np.argsort(context << 32 | place)
     context, place, first_id, first_start = (x[by] for x in (context, place, first_id, first_start))
     if not len(by):
         return
