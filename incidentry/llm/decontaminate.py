@@ -10,19 +10,22 @@ occurrences, and overlapping ones are merged into removal spans.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_type
+
+from incidentry.sources.workspace import stage
 
 from .common import HashIndex, byte_class, check_carried, of_rows, pieces, released, text_of, word_places, words
 
 WORD_BYTES = byte_class((0x30, 0x39), (0x61, 0x7A), (0x80, 0xFF))
 WINDOW = 13
-BLOCK_BYTES = 16 << 20  # test phrases held at once; more are searched block by block
+BLOCK_BYTES = 16 << 20  # word hashes of test phrases held at once; more are searched block by block
 SAMPLED = 8  # one suffix position in so many is kept
 
 
@@ -114,28 +117,19 @@ class FMIndex:
 
 
 class Phrases:
-    """The distinct test phrases of one block of benchmark rows, as symbols, and the items of each."""
+    """One block of distinct test phrases, given as the hashes of their words, as symbols."""
 
-    def __init__(self, items: list, texts: list[str], window: int):
-        self.items = sorted(set(items), key=lambda i: (i is None, i))
-        number = {item: i for i, item in enumerate(self.items)}
-        data, bounds = text_of(pa.array(texts, pa.string()))
-        hashes, of = words(data, bounds, WORD_BYTES)
+    def __init__(self, phrases: list[bytes]):
+        self.keys = phrases
+        self.lengths = np.array([len(p) // 8 for p in phrases], np.int64)
+        hashes = np.frombuffer(b"".join(phrases), np.uint64)
         known = np.unique(hashes)
         self.index, self.symbols = HashIndex(known), len(known) + 2
-        symbol = np.searchsorted(known, hashes) + 2
-        rows: dict[tuple, set[int]] = {}
-        for item, low, high in zip(items, of, of[1:], strict=False):
-            line = symbol[low:high].tolist()
-            for start in range(max(len(line) - window + 1, min(len(line), 1))):
-                rows.setdefault(tuple(line[start : start + window]), set()).add(number[item])
-        self.lengths = np.array([len(r) for r in rows], np.int64)
-        self.matrix = np.zeros((len(rows), window), np.int64)
-        for line, row in zip(self.matrix, rows, strict=True):
-            line[window - len(row) :] = row
-        members = [sorted(m) for m in rows.values()]
-        self.member_bounds = np.concatenate([[0], np.cumsum([len(m) for m in members], dtype=np.int64)])
-        self.members = np.array([i for m in members for i in m], np.int64)
+        width = int(self.lengths.max(initial=0))
+        self.matrix = np.zeros((len(phrases), width), np.int64)
+        row = np.repeat(np.arange(len(phrases)), self.lengths)
+        place = np.arange(len(hashes)) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
+        self.matrix[row, place + width - self.lengths[row]] = np.searchsorted(known, hashes) + 2
 
     def occurrences(self, hashes: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(phrase, first word) of every occurrence within a row's words."""
@@ -164,21 +158,138 @@ class Phrases:
         return phrase, place[index.locate(rows)]
 
 
-def phrase_blocks(benchmark: DataFrame, window: int, item_col: str, text_col: str) -> list:
-    """The phrases of the benchmark as broadcast blocks of about ``BLOCK_BYTES`` of text each."""
-    spark = benchmark.sparkSession
-    rows = benchmark.select(
-        F.col(item_col).alias("item"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
-    )
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+def item_phrases(benchmark: DataFrame, window: int, item_col: str, text_col: str) -> DataFrame:
+    """(item, phrase): every phrase of the benchmark's rows, as the hashes of its words, with the items that hold it."""
+    rows = benchmark.select(F.col(item_col).alias("item"), F.col(text_col).cast("string").alias("text"))
+    kind = rows.schema["item"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, "text"):
+            hashes, of = words(*text_of(batch.column("text")), WORD_BYTES)
+            count = np.diff(of)
+            size = np.minimum(count, window)
+            number = np.where(count > 0, count - size + 1, 0)
+            row = np.repeat(np.arange(len(count)), number)
+            start = np.arange(len(row)) - np.repeat(np.cumsum(number) - number, number) + of[:-1][row]
+            raw = hashes.tobytes()
+            found = [raw[8 * a : 8 * b] for a, b in zip(start.tolist(), (start + size[row]).tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("item").take(pa.array(row)), pa.array(found, pa.binary())], ["item", "phrase"]
+            )
+
+    return rows.mapInArrow(released(run), f"item {kind}, phrase binary").distinct()
+
+
+def _merged(opens: np.ndarray, closes: np.ndarray) -> np.ndarray:
+    """Spans joined where they overlap or touch: n x 2, in order."""
+    by = np.argsort(opens, kind="stable")
+    opens, reach = opens[by], np.maximum.accumulate(closes[by])
+    first = np.flatnonzero(np.r_[True, opens[1:] > reach[:-1]]) if len(by) else by
+    return np.stack([opens[first], reach[np.r_[first[1:], len(by)] - 1]], 1) if len(by) else np.zeros((0, 2), np.int64)
+
+
+_SPANS = "array<struct<first:int,last:int,start:bigint,end:bigint>>"
+_SPAN = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("start", pa.int64()), ("end", pa.int64())]))
+
+
+def _scanned(keyed: DataFrame, block: Broadcast) -> DataFrame:
+    """(a, b, spans, phrases) of texts that hold phrases of the block: spans of words and bytes, and the phrases."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        phrases = block.value
+        for batch in pieces(batches, "__text"):
+            data, bounds = text_of(batch.column("__text"))
+            hashes, start, end, of = word_places(data, bounds, WORD_BYTES)
+            phrase, first = phrases.occurrences(hashes, of)
+            spans = _merged(first, first + phrases.lengths[phrase])
+            row = of_rows(of)
+            # phrases that follow each other over a document's end are two spans
+            cut = np.searchsorted(of, spans[:, 0], "right")
+            spans = [
+                (a, b) for (low, high), to in zip(spans.tolist(), of[cut].tolist(), strict=True)
+                for a, b in _parts(low, high, to, of)
+            ]
+            pair = np.unique(row[first] * len(phrases.keys) + phrase) if len(first) else first
+            held: dict[int, tuple[list, list]] = {}
+            for a, b in spans:
+                base, own = int(bounds[row[a]]), int(of[row[a]])
+                line = (a - own, b - own, int(start[a]) - base, int(end[b - 1]) - base)
+                held.setdefault(int(row[a]), ([], []))[0].append(dict(zip(("first", "last", "start", "end"), line, strict=True)))
+            for key in pair.tolist():
+                held[key // len(phrases.keys)][1].append(phrases.keys[key % len(phrases.keys)])
+            docs = pa.array(list(held), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("__a").take(docs), batch.column("__b").take(docs),
+                    pa.array([h[0] for h in held.values()], _SPAN), pa.array([h[1] for h in held.values()], pa.list_(pa.binary())),
+                ],
+                ["a", "b", "spans", "phrases"],
+            )
+
+    return keyed.mapInArrow(released(run), f"a bigint, b bigint, spans {_SPANS}, phrases array<binary>")
+
+
+def _parts(low: int, high: int, end: int, of: np.ndarray) -> Iterator[tuple[int, int]]:
+    """A span of words cut at the ends of documents; ``end`` is that of the first one."""
+    while high > end:
+        if end > low:
+            yield low, end
+        low, end = end, int(of[np.searchsorted(of, end, "right")])
+    yield low, high
+
+
+def _hits(keyed: DataFrame, phrases: DataFrame) -> DataFrame:
+    """What all blocks find, one after the other: of the phrases no more than a block is ever held at once."""
+    spark = keyed.sparkSession
+    distinct = stage(phrases.select("phrase").distinct(), "phrases")
+    size = distinct.agg(F.sum(F.octet_length("phrase"))).first()[0] or 0
     count = int(size // BLOCK_BYTES) + 1
-    block = F.pmod(F.xxhash64("item"), F.lit(count))
-    out = []
+    found = []
     for number in range(count):
-        got = rows.where(block == number).collect()
-        phrases = Phrases([r["item"] for r in got], [r["text"] for r in got], window)
-        out.append(spark.sparkContext.broadcast(phrases))
-    return out
+        block = distinct.where(F.pmod(F.xxhash64("phrase"), F.lit(count)) == number).orderBy("phrase").collect()
+        held = spark.sparkContext.broadcast(Phrases([bytes(r["phrase"]) for r in block]))
+        found.append(stage(_scanned(keyed, held), "phrase-hits"))
+        held.destroy()
+    return reduce(DataFrame.union, found)
+
+
+def _united(hits: DataFrame) -> DataFrame:
+    """(a, b, n_hit, spans) of each text, from the spans that blocks and copies of it gave."""
+    lists = hits.groupBy("a", "b").agg(F.flatten(F.collect_set("spans")).alias("spans"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[list] = [[], []]
+            for spans in batch.column("spans").to_pylist():
+                first, last, start, end = (np.array([s[c] for s in spans], np.int64) for c in ("first", "last", "start", "end"))
+                merged = _merged(first, last)
+                of = np.searchsorted(merged[:, 0], first, "right") - 1
+                low, high = np.full(len(merged), np.iinfo(np.int64).max), np.zeros(len(merged), np.int64)
+                np.minimum.at(low, of, start)
+                np.maximum.at(high, of, end)
+                out[0].append(int((merged[:, 1] - merged[:, 0]).sum()))
+                out[1].append([{"start": a, "end": b} for a, b in zip(low.tolist(), high.tolist(), strict=True)])
+            span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a"), batch.column("b"), pa.array(out[0], pa.int64()), pa.array(out[1], span)],
+                ["a", "b", "n_hit", "spans"],
+            )
+
+    return lists.mapInArrow(run, "a bigint, b bigint, n_hit bigint, spans array<struct<start:bigint,end:bigint>>")
+
+
+def _counted(keyed: DataFrame) -> DataFrame:
+    """The rows with their number of words in place of their text."""
+    schema = T.StructType([f for f in keyed.schema if f.name != "__text"]).add("n_words", "long")
+    names = schema.names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, "__text"):
+            _, of = words(*text_of(batch.column("__text")), WORD_BYTES)
+            columns = [batch.column(n) for n in names[:-1]]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(np.diff(of), pa.int64())], names)
+
+    return keyed.mapInArrow(released(run), schema)
 
 
 def find_contamination(
@@ -191,67 +302,32 @@ def find_contamination(
     shorter one; items without words have none. n_hit counts the words inside
     any occurrence, ``spans`` are the merged occurrences as (start, end) bytes
     of the text, ``items`` the distinct item ids that occur, in order, a null id
-    last. Null and empty texts have no words. ``keep`` names columns to carry,
+    last. Null and empty texts have no words, and without documents or test
+    phrases there are no rows or no hits; a text of any length is one shard at least. ``keep`` names columns to carry,
     a ValueError where they clash with these.
-    """
-    check_carried(keep, ("id", "n_words", "n_hit", "spans", "items", "__id", "__text"))
-    blocks = phrase_blocks(benchmark, window, item_col, item_text_col)
-    rows = docs.select(
-        F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"), *keep
-    )
-    kind = rows.schema["__id"].dataType
-    item_kind = benchmark.schema[item_col].dataType
-    span = T.StructType().add("start", "long").add("end", "long")
-    schema = T.StructType().add("id", kind).add("n_words", "long").add("n_hit", "long")
-    schema = schema.add("spans", T.ArrayType(span)).add("items", T.ArrayType(item_kind))
-    for name in keep:
-        schema = schema.add(rows.schema[name])
-    arrow_item = to_arrow_type(item_kind)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "__text"):
-            data, bounds = text_of(batch.column("__text"))
-            hashes, start, end, of = word_places(data, bounds, WORD_BYTES)
-            row = of_rows(of)
-            change = np.zeros(len(hashes) + 1, np.int64)
-            found: list[list] = [[] for _ in range(batch.num_rows)]
-            for block in blocks:
-                phrases = block.value
-                phrase, first = phrases.occurrences(hashes, of)
-                np.add.at(change, first, 1)
-                np.add.at(change, first + phrases.lengths[phrase], -1)
-                pair = np.unique(row[first] * len(phrases.lengths) + phrase) if len(first) else first
-                doc, phrase = (pair // len(phrases.lengths), pair % len(phrases.lengths)) if len(pair) else (pair, pair)
-                items: dict[int, set[int]] = {}
-                for d, p in zip(doc.tolist(), phrase.tolist(), strict=True):
-                    low, high = phrases.member_bounds[p : p + 2]
-                    items.setdefault(d, set()).update(phrases.members[low:high].tolist())
-                for d, members in items.items():
-                    found[d] += [phrases.items[i] for i in members]
-            hit = np.cumsum(change[:-1]) > 0
-            edge = np.zeros(len(hit) + 1, bool)
-            edge[of] = True
-            opens = np.flatnonzero(hit & (edge[:-1] | ~np.r_[False, hit[:-1]])) if len(hit) else np.zeros(0, np.int64)
-            closes = np.flatnonzero(hit & (edge[1:] | ~np.r_[hit[1:], False])) if len(hit) else opens
-            base = bounds[:-1][row[opens]] if len(opens) else opens
-            merged = pa.StructArray.from_arrays(
-                [pa.array(start[opens] - base, pa.int64()), pa.array(end[closes] - base, pa.int64())],
-                ["start", "end"],
-            )
-            sums = np.concatenate([[0], np.cumsum(hit)])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("__id"),
-                    pa.array(np.diff(of), pa.int64()),
-                    pa.array(sums[of[1:]] - sums[of[:-1]], pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(np.searchsorted(opens, of), pa.int32()), merged),
-                    pa.array([sorted(set(f), key=lambda i: (i is None, i)) for f in found], pa.list_(arrow_item)),
-                    *[batch.column(n) for n in keep],
-                ],
-                ["id", "n_words", "n_hit", "spans", "items", *keep],
-            )
-
-    return rows.mapInArrow(released(run), schema)
+    Distinct phrases are found by Spark and searched in blocks of ``BLOCK_BYTES``, a scan of
+    the documents each; what the blocks find is staged and united per
+    distinct text (told by 128 bits of hashes).
+    """
+    check_carried(keep, ("id", "n_words", "n_hit", "spans", "items", "__a", "__b", "__text"))
+    phrases = stage(item_phrases(benchmark, window, item_col, item_text_col), "item-phrases")
+    text = F.col(text_col).cast("string")
+    same = [F.xxhash64(text).alias("__a"), F.xxhash64(F.lit(1), text).alias("__b")]
+    hits = _hits(docs.select(*same, text.alias("__text")), phrases)
+    items = (
+        hits.select("a", "b", F.explode("phrases").alias("phrase")).distinct().join(phrases, "phrase")
+        .groupBy("a", "b").agg(F.array_sort(F.collect_set(F.struct(F.col("item").isNull().alias("last"), "item"))).alias("items"))
+        .select("a", "b", F.transform("items", lambda i: i["item"]).alias("items"))
+    )
+    known = stage(_united(hits).join(items, ["a", "b"]), "contaminated")
+    rows = _counted(docs.select(F.col(id_col).alias("id"), *keep, *same, text.alias("__text")))
+    found = known.withColumnsRenamed({"a": "__a", "b": "__b"})
+    return rows.join(found, ["__a", "__b"], "left").select(
+        "id", "n_words", F.coalesce("n_hit", F.lit(0).cast("bigint")).alias("n_hit"),
+        F.coalesce("spans", F.array().cast("array<struct<start:bigint,end:bigint>>")).alias("spans"),
+        F.coalesce("items", F.array().cast(known.schema["items"].dataType)).alias("items"), *keep,
+    )
 
 
 def is_contaminated(n_hit="n_hit", n_words="n_words"):

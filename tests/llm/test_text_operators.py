@@ -307,6 +307,34 @@ def test_fm_index_searches_and_locates():
         assert sorted(index.locate(np.arange(a, max(a, b))).tolist()) == want
 
 
+def test_one_block_of_phrases_is_alive_at_a_time(spark, monkeypatch):
+    """Every broadcast is destroyed before the next one, and after the last; blocks unite to what one finds."""
+    words = prose(300, 31).split(" ")
+    items = [(i, " ".join(words[i * 11 : i * 11 + 30])) for i in range(24)] + [(100, words[5]), (None, " ".join(words[:13]))]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    texts = [(d, " ".join(words[d * 7 : d * 7 + 90])) for d in range(30)] + [(40, prose(50, 32)), (41, None)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(3)
+    whole = sorted([tuple(r) for r in decontaminate.find_contamination(docs, benchmark).collect()], key=key)
+    live, made = set(), []
+    context = type(spark.sparkContext)
+    broadcast = context.broadcast
+
+    def watched(self, value):
+        assert not live
+        out = broadcast(self, value)
+        live.add(out)
+        made.append(len(value.keys))
+        destroy = out.destroy
+        out.destroy = lambda: (live.discard(out), destroy())
+        return out
+
+    monkeypatch.setattr(context, "broadcast", watched)
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 3000)
+    parts = sorted([tuple(r) for r in decontaminate.find_contamination(docs, benchmark).collect()], key=key)
+    assert len(made) > 5 and not live and max(made) < sum(made) / 3
+    assert parts == whole and sum(r[2] > 0 for r in whole) >= 30
+
+
 def test_bpe_equals_the_tokenizers_library(spark):
     library = Tokenizer.from_file(PATH)
     docs = documents(spark)
