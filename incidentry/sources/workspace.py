@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from weakref import WeakKeyDictionary
 
@@ -65,6 +65,23 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return staged
 
 
+def stage_alone(build: Callable[[], DataFrame], label: str) -> DataFrame:
+    """What ``build`` makes, written down; everything that was staged on the way is deleted then.
+
+    A frame for which nothing was staged is returned as it is.
+    """
+    before = set(_made)
+    df = build()
+    on_the_way = [path for path in _made if path not in before]
+    if not on_the_way:
+        return df
+    out = stage(df, label)
+    for path in on_the_way:
+        delete_folder(df.sparkSession, path)
+        _made.remove(path)
+    return out
+
+
 def discard(staged: DataFrame) -> None:
     """Delete the table that ``stage`` wrote for this frame, which nothing reads again."""
     path = _path_of.pop(staged)

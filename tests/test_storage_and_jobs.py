@@ -30,7 +30,7 @@ from incidentry.plans.clean import clean_incidents, write_by_year
 from incidentry.plans.roadside import roadside_reports
 from incidentry.plans.runner import run
 from incidentry.plans.time import time_reports
-from incidentry.sources.workspace import workspace
+from incidentry.sources.workspace import discard, stage_alone, workspace
 
 SF = "/root/testdata/sf0.001"
 
@@ -110,6 +110,25 @@ def fake_session(**settings):
     return types.SimpleNamespace(conf=conf)
 
 
+def test_what_is_staged_on_the_way_is_removed(spark, tmp_path):
+    folder = spark.conf.get("spark.checkpoint.dir")
+    staged = lambda: set(glob.glob(f"{folder}/incidentry/*"))
+    before = staged()
+
+    def build():
+        first = stage(spark.range(5), "first")
+        second = stage(first.selectExpr("id * 2 AS id"), "second")
+        discard(first)
+        return second.filter("id > 2")
+
+    out = stage_alone(build, "out")
+    assert rows(out) == [(4,), (6,), (8,)]
+    assert len(staged() - before) == 1  # the result alone
+    discard(out)
+    lazy = stage_alone(lambda: spark.range(3), "lazy")
+    assert lazy.count() == 3 and staged() == before
+
+
 def test_workspace():
     shared = fake_session(**{"spark.checkpoint.dir": "s3a://bucket/w/", "spark.master": "yarn"})
     assert workspace(shared) == "s3a://bucket/w"
