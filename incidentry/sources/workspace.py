@@ -65,15 +65,15 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return staged
 
 
-def stage_alone(build: Callable[[], DataFrame], label: str) -> DataFrame:
+def stage_alone(build: Callable[[], DataFrame], label: str, always: bool = False) -> DataFrame:
     """What ``build`` makes, written down; everything that was staged on the way is deleted then.
 
-    A frame for which nothing was staged is returned as it is.
+    A frame for which nothing was staged is returned as it is, unless it shall ``always`` be written.
     """
     before = set(_made)
     df = build()
     on_the_way = [path for path in _made if path not in before]
-    if not on_the_way:
+    if not on_the_way and not always:
         return df
     out = stage(df, label)
     for path in on_the_way:
