@@ -84,15 +84,19 @@ def released(run):
 
     def whole(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from run(batches)
-        _kept.clear()
-        gc.collect()
-        pa.default_memory_pool().release_unused()
-        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # of the GNU library
-            trim(0)
+        _release()  # a function of the module, so that what the driver has kept does not travel with this one
 
     return whole
 
 
+def _release() -> None:
+    _kept.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # of the GNU library
+        trim(0)
+
+
 def powers(count: int, base: int = _BASE) -> np.ndarray:
     """base**0 .. base**(count - 1) modulo 2**64."""
     out = np.empty(count, np.uint64)

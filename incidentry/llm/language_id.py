@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +18,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from incidentry.sources.workspace import stage
+
 from .common import free_name, pieces, released, text_of
 
 WINDOW = 256
@@ -144,30 +147,52 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(rest == 1, F.lit(False))
 
 
+def _least_hashes(docs: DataFrame, sizes: dict, rows: int) -> DataFrame:
+    """Of each language the ``rows`` documents of least hash, and not many more, one row per id.
+
+    Hashes are even, so a language's number of rows tells below which limit about so many lie. Where fewer are
+    found there, as ids repeat or texts have no letter, the limit is raised.
+    """
+    spark, kind = docs.sparkSession, docs.schema["lang"].dataType
+    share = {lang: min(1.0, (rows + 8 * rows**0.5 + 16) / n) for lang, n in sizes.items()}
+    parts, missing = [docs.limit(0).select("lang", "id", "hash", "text")], set(sizes)
+    while missing:
+        limits = [(lang, min(int(share[lang] * (1 << 64)), (1 << 64) - 1) - (1 << 63)) for lang in missing]
+        limits = spark.createDataFrame(limits, T.StructType().add("lang", kind).add("limit", "long"))
+        below = docs.join(F.broadcast(limits), "lang").where("hash <= limit")  # a row per language
+        found = stage(below.groupBy("lang", "id", "hash").agg(F.min("text").alias("text")), "language-sample")
+        counts = {r["lang"]: r["n"] for r in found.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+        few = {lang for lang in missing if share[lang] < 1.0 and counts.get(lang, 0) < rows}
+        share |= {lang: min(1.0, 4 * share[lang]) for lang in few}
+        parts.append(found.where(F.col("lang").isin(list(missing - few))))
+        missing = few
+    return reduce(DataFrame.union, parts)
+
+
 def fit_language_id(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
     rows: int = SAMPLE_ROWS, windows: int = SAMPLE_WINDOWS,
 ) -> ByteNetwork | None:
-    """Train on at most ``rows`` documents of each language, chosen by a hash of the id.
+    """Train on at most ``rows`` documents of each language, those with the least hashes of their ids.
 
     Only documents that are not held out, with a language, an id and a letter in
     the text are learned from, and of each at most ``windows`` pieces of
-    ``WINDOW`` characters, so what the driver gets is bounded. None without such
-    documents.
+    ``WINDOW`` characters, so what the driver gets is bounded. Rows that share language
+    and id count once, by the least of their pieces. None without such documents.
     """
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("id", F.lit(5)), "id", "text")
     step = F.greatest((F.length("text") - WINDOW) / F.lit(max(windows - 1, 1)), F.lit(0.0))
+    labelled = docs.select(
+        F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).alias("lang")
+    ).where(F.col("lang").isNotNull() & F.col("id").isNotNull() & ~held_out("id"))
+    pieces_of = labelled.where(_has_letter("text")).select(
+        "lang", "id", F.xxhash64("id", F.lit(5)).alias("hash"),
+        F.array(*[F.substr("text", (F.lit(1) + step * k).cast("int"), F.lit(WINDOW)) for k in range(windows)])
+        .alias("text"),
+    )
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("hash", "id"))
     chosen = (
-        docs.select(
-            F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).alias("lang")
-        )
-        .where(F.col("lang").isNotNull() & F.col("id").isNotNull() & ~held_out("id") & _has_letter("text"))
-        .select(
-            "lang", "id",
-            F.array(*[F.substr("text", (F.lit(1) + step * k).cast("int"), F.lit(WINDOW)) for k in range(windows)])
-            .alias("text"),
-        )
-        .withColumn("place", F.row_number().over(first))
+        _least_hashes(pieces_of, {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}, rows)
+        .withColumn("place", place)
         .where(F.col("place") <= rows)
         .select("lang", F.explode(F.array_distinct("text")).alias("piece"))
         .orderBy("lang", "piece")

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from incidentry.sources.workspace import fresh_path, stage
+from incidentry.sources.workspace import fresh_path, stage, stage_alone
 
 from .bisector_clusters import bisector_clusters
 from .bpe import bpe_round_trip
@@ -384,21 +384,21 @@ WINDOW near AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY rank
 """
 
 
-QUERIES = {
-    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
-    "op2_benchmark_decontamination": op2_benchmark_decontamination,
-    "op3_url_filters": op3_url_filters,
-    "op4_suffix_array_dedup": op4_suffix_array_dedup,
-    "op5_embedding_near_dedup": op5_embedding_near_dedup,
-    "op6_language_id": op6_language_id,
-    "op7_chat_formatting": op7_chat_formatting,
-    "op8_warc": op8_warc,
-    "op9_license_scans": op9_license_scans,
-    "op10_bpe": op10_bpe,
-    "op11_centroid_clustering": op11_centroid_clustering,
-    "op12_vector_codes": op12_vector_codes,
-    "op13_nearest_vectors": op13_nearest_vectors,
-}
+def _tidy(name: str, query):
+    """The query, with the tables staged on its way removed once its result is written."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return stage_alone(lambda: query(spark, sf_dir), name)
+
+    return run
+
+
+_ALL = [
+    op1_ngram_jaccard_join, op2_benchmark_decontamination, op3_url_filters, op4_suffix_array_dedup,
+    op5_embedding_near_dedup, op6_language_id, op7_chat_formatting, op8_warc, op9_license_scans, op10_bpe,
+    op11_centroid_clustering, op12_vector_codes, op13_nearest_vectors,
+]
+QUERIES = {query.__name__: _tidy(query.__name__, query) for query in _ALL}
 
 ORACLE = {
     "op2_benchmark_decontamination": SQL_DECONTAMINATION,

@@ -26,7 +26,9 @@ from pyspark.sql import functions as F
 from incidentry.sources.workspace import discard, stage
 
 from .common import check_carried, released
-from .vectors import SUMS, add_by_group, exact_squares, floored, list_column, matrices, matrix_of, moved, sums_batch
+from .vectors import (
+    SUMS, add_by_group, exact_squares, floored, matrices, moved, packed_column, sums_batch, unpacked,
+)
 
 BOUNDS = 16  # nearest entries kept at first
 FULL_SHARE = 1 / 16  # of the vectors may need all distances before b grows
@@ -138,19 +140,19 @@ class _Layout(NamedTuple):
         return np.split(matrix, cuts[:-1], axis=1)
 
     def read(self, batch: pa.RecordBatch) -> list[Kept]:
-        parts, total = len(self.sizes), sum(self.sizes)
-        code = matrix_of(batch.column("code"), parts).astype(np.int64)
-        near = self.split(matrix_of(batch.column("near"), total).astype(np.int64), 0)
-        bound = self.split(matrix_of(batch.column("bound"), total + parts), 1)
+        parts = len(self.sizes)
+        code = unpacked(batch.column("code"), np.uint8).astype(np.int64)
+        near = self.split(unpacked(batch.column("near"), np.int16).astype(np.int64), 0)
+        bound = self.split(unpacked(batch.column("bound"), np.float32), 1)
         return [Kept(code[:, p], near[p], bound[p], code[:, p]) for p in range(parts)]
 
 
 def _state_columns(kept: list[Kept]) -> list[pa.Array]:
     return [
-        list_column(np.stack([k.code for k in kept], 1), pa.int16()),
-        list_column(np.concatenate([k.near for k in kept], 1), pa.int16()),
-        list_column(np.concatenate([k.bound for k in kept], 1), pa.float32()),
-        list_column(np.stack([k.need for k in kept], 1), pa.int16()),
+        packed_column(np.stack([k.code for k in kept], 1), np.uint8),
+        packed_column(np.concatenate([k.near for k in kept], 1), np.int16),
+        packed_column(np.concatenate([k.bound for k in kept], 1), np.float32),
+        packed_column(np.stack([k.need for k in kept], 1), np.int16),
     ]
 
 
@@ -192,7 +194,7 @@ def vector_codes(
         coded = spark.createDataFrame([], f"{carried}, code binary, error bigint")
         return Codes(coded, spark.createDataFrame([], "part int, entry int, components array<bigint>"))
 
-    state_kind = f"{carried}, point array<int>, code array<smallint>, near array<smallint>, bound array<float>, need array<smallint>"
+    state_kind = f"{carried}, point binary, code binary, near binary, bound binary, need binary"
     layout = _Layout((min(BOUNDS, books.shape[1]),) * parts)
     state = stage(rows.mapInArrow(_starting(names, books, layout, scale), state_kind), "vector-bounds")
     for done in range(rounds):
@@ -227,7 +229,7 @@ def _starting(names: list[str], books: np.ndarray, layout: _Layout, scale: int):
                 points = floored(matrix, scale)
                 kept = [full_search(q, books[p], layout.sizes[p]) for p, q in enumerate(np.split(points, parts, 1))]
                 some = batch.select(names).take(pa.array(at))
-                columns = [*some.columns, list_column(points, pa.int32()), *_state_columns(kept)]
+                columns = [*some.columns, packed_column(points, np.int32), *_state_columns(kept)]
                 yield pa.RecordBatch.from_arrays(columns, [*names, "point", "code", "near", "bound", "need"])
 
     return released(run)
@@ -238,7 +240,7 @@ def _rows(batches: Iterator[pa.RecordBatch], parts: int, wide: int) -> Iterator[
     for batch in batches:
         for low in range(0, batch.num_rows, step):
             some = batch.slice(low, step)
-            points = matrix_of(some.column("point"), parts * wide).astype(np.int64)
+            points = unpacked(some.column("point"), np.int32).astype(np.int64)
             yield some, np.split(points, parts, 1)
 
 
@@ -266,10 +268,9 @@ def _coding(names: list[str], books: np.ndarray, steps: np.ndarray, layout: _Lay
             for p, k in enumerate(layout.read(some)):
                 codes.append(next_search(points[p], books[p], steps[p], k).code)
                 error += ((points[p] - books[p][codes[-1]]) ** 2).sum(1)
-            data = pa.py_buffer(np.stack(codes, 1).astype(np.uint8).tobytes())
-            code = pa.FixedSizeBinaryArray.from_buffers(pa.binary(parts), some.num_rows, [None, data])
+            code = packed_column(np.stack(codes, 1), np.uint8)
             yield pa.RecordBatch.from_arrays(
-                [*some.select(names).columns, code.cast(pa.binary()), pa.array(error)], [*names, "code", "error"]
+                [*some.select(names).columns, code, pa.array(error)], [*names, "code", "error"]
             )
 
     return released(run)
@@ -287,7 +288,8 @@ def _updated(state: DataFrame, books: np.ndarray, layout: _Layout) -> tuple[np.n
         totals, counts = np.zeros_like(books), np.zeros((parts, count), np.int64)
         needs = np.zeros((parts, most), np.int64)
         for some, points in _rows(batches, parts, wide):
-            code, need = (matrix_of(some.column(c), parts).astype(np.int64) for c in ("code", "need"))
+            code = unpacked(some.column("code"), np.uint8).astype(np.int64)
+            need = unpacked(some.column("need"), np.int16).astype(np.int64)
             for p in range(parts):
                 add_by_group(totals[p], counts[p], code[:, p], points[p])
                 needs[p] += np.bincount(need[:, p], minlength=most)

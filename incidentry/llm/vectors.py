@@ -56,6 +56,25 @@ def matrix_of(column: pa.Array, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), width)
 
 
+def packed_column(matrix: np.ndarray, kind: type) -> pa.Array:
+    """The bytes of each row of the matrix."""
+    matrix = np.ascontiguousarray(matrix, kind)
+    rows = pa.FixedSizeBinaryArray.from_buffers(
+        pa.binary(matrix.shape[1] * matrix.itemsize), len(matrix), [None, pa.py_buffer(matrix)]
+    )
+    return rows.cast(pa.binary())
+
+
+def unpacked(column: pa.Array, kind: type) -> np.ndarray:
+    """The inverse of ``packed_column``."""
+    if not len(column):
+        return np.zeros((0, 0), kind)
+    _, offsets, data = column.cast(pa.binary()).buffers()
+    bounds = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1]
+    raw = np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]]
+    return np.frombuffer(raw.tobytes(), kind).reshape(len(column), -1)
+
+
 def exact_squares(points: np.ndarray, entries: np.ndarray) -> np.ndarray:
     """Squared distances of all points to all entries, in integers.
 

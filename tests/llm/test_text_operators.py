@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from cases import ASCII, components, documents, empty, least, pairs, prose, shingles
 from tokenizers import Tokenizer
 
-from incidentry.llm import decontaminate, jaccard_join, license_scan, suffix_dedup
+from incidentry.llm import decontaminate, jaccard_join, language_id, license_scan, suffix_dedup
 from incidentry.llm.bpe import bpe_decode, bpe_encode, bpe_round_trip, vocabulary
 from incidentry.llm.jaccard_join import jaccard_components
 from incidentry.llm.queries import SQL_LICENSES
@@ -320,6 +320,8 @@ def test_one_block_of_phrases_is_alive_at_a_time(spark, monkeypatch):
     broadcast = context.broadcast
 
     def watched(self, value):
+        if not isinstance(value, decontaminate.Phrases):  # Spark's own
+            return broadcast(self, value)
         assert not live
         out = broadcast(self, value)
         live.add(out)
@@ -380,6 +382,59 @@ def test_language_id_learns_and_covers_whole_texts(spark):
     assert {r["lang_pred"] for r in predict_language(odd, None).collect()} == {"und"}
 
 
+def test_the_network_against_plain_loops():
+    """Probabilities of a small network on short and full windows, filter by filter and place by place."""
+    rng = np.random.default_rng(5)
+    widths, count, languages = language_id.WIDTHS, language_id.FILTERS, ("a", "b", "c")
+    filters = {w: rng.normal(size=(w, 256, count)).astype(np.float32) for w in widths}
+    size = len(widths) * count
+    net = language_id.ByteNetwork(
+        languages, filters, rng.normal(size=size).astype(np.float32), rng.normal(size=(size, 3)).astype(np.float32),
+        rng.normal(size=3).astype(np.float32),
+    )
+    windows = np.zeros((5, language_id.WINDOW), np.uint8)
+    for i, n in enumerate((0, 1, 7, 200, language_id.WINDOW)):
+        windows[i, :n] = rng.integers(0, 256, n)
+    got = net.predictor()(windows)
+    for window, found in zip(windows.tolist(), got, strict=True):
+        pooled = []
+        for w in widths:
+            for f in range(count):
+                sums = [
+                    sum(float(filters[w][k, window[p + k], f]) for k in range(w)) for p in range(language_id.WINDOW - w + 1)
+                ]
+                pooled.append(max(sums))
+        hidden = net._hidden(np.array([pooled], np.float32))[0]
+        score = [sum(float(h) * float(x) for h, x in zip(hidden, net.weights[:, c], strict=True)) + float(net.offset[c]) for c in range(3)]
+        exact = np.exp(np.array(score) - max(score))
+        assert np.allclose(found, exact / exact.sum(), atol=1e-4)
+
+
+def test_the_sample_has_the_least_hashes_of_each_language(spark):
+    """A hot id, rare languages, texts without a letter: the same as sorting all documents."""
+    rng = random.Random(4)
+    data = [(i, f"text {i}", "hot" if i % 3 else "b") for i in range(3000)] + [(7, f"again {i}", "hot") for i in range(2000)]
+    data += [(i, "123", "digits") for i in range(5000, 5400)] + [(i, "a letter", "digits") for i in range(5400, 5460)]
+    data += [(9000, "x", "one"), (None, "x", "one"), (9001, None, "one"), (9002, "y", None)]
+    rng.shuffle(data)
+    docs = spark.createDataFrame(data, "doc_id bigint, text string, lang string").repartition(5)
+    rows = docs.selectExpr("lang", "doc_id AS id", "array(text) AS text", "xxhash64(doc_id, 5) AS hash").where(
+        "lang IS NOT NULL AND id IS NOT NULL AND text[0] RLIKE '[a-z]'"
+    )
+    sizes = {r["lang"]: r["n"] for r in docs.where("lang IS NOT NULL").groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    found = language_id._least_hashes(rows, sizes, 50).collect()
+    want = {}
+    for r in rows.collect():
+        own = want.setdefault(r["lang"], {})
+        own[r["hash"], r["id"]] = min(own.get((r["hash"], r["id"]), r["text"]), r["text"])
+    for lang, ids in want.items():
+        got = {(r["hash"], r["id"]): r["text"] for r in found if r["lang"] == lang}
+        assert len(got) == sum(r["lang"] == lang for r in found)  # an id once
+        least = sorted(ids)[:50]
+        assert sorted(got)[:50] == least and all(got[k] == ids[k] for k in least)
+        assert len(got) <= 400  # bounded, however many rows there are
+
+
 def test_windows_hold_every_byte_once():
     data = np.arange(1, 1000, dtype=np.uint64).astype(np.uint8)
     bounds = np.array([0, 0, 256, 300, 999])
