@@ -290,7 +290,8 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str]
 def bpe_encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row (id, ids array<int>) per document, repeated rows included.
 
-    Null and empty texts have no ids. ``path`` is the vocabulary file's place on
+    Null and empty texts have no ids; a text of any length is encoded whole, and an empty
+    table gives no rows. ``path`` is the vocabulary file's place on
     every executor. Other columns of the input are not read.
     """
     rows, kind = _texts(docs, id_col, text_col)
@@ -298,7 +299,7 @@ def bpe_encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
 
 
 def bpe_decode(encoded: DataFrame, path: str, id_col: str = "id", ids_col: str = "ids") -> DataFrame:
-    """One row (id, ids, text) per row of ids; null ids give an empty text."""
+    """One row (id, ids, text) per row of ids; null ids give an empty text, an empty table no rows."""
     rows = encoded.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids"))
     kind = rows.schema["id"].dataType.simpleString()
     return rows.mapInArrow(released(lambda batches: _decoded(batches, path)), f"id {kind}, ids array<int>, text string")

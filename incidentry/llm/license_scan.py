@@ -163,7 +163,7 @@ def scan_licenses(
     of its distinct ones. n_shared is the most that a run holds, and first_word
     the number of the first word of the earliest run that holds so many and begins with a
     shingle of the license. Templates of fewer than five words are never found, null and
-    empty texts hold nothing, an empty table of either kind gives no row. Each row is a document of its own, also
+    empty texts hold nothing, texts of any length are read whole, an empty table of either kind gives no row. Each row is a document of its own, also
     where ids are null or repeated.
     """
     known = _shingles(templates.select("license", "text"), F.coalesce("text", F.lit(""))).select(

@@ -51,7 +51,8 @@ def url_verdicts(
     path) wins, then the longer host, then the verdict first in the alphabet.
     Without a rule the verdict is ``default`` and the rule null. A null URL, or
     one without ``://``, has an empty host and path and fits no rule. Rules with
-    a null or empty host are left out, a null path is empty.
+    a null or empty host are left out, a null path is empty. URLs of any length are read whole.
+    Without pages there are no rows; without rules every verdict is ``default``.
     """
     known = (
         rules.select(

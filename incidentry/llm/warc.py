@@ -111,7 +111,8 @@ def write_warc(
     is empty, a null URL has no header. Each attempt of a task writes an archive
     of its own name, so the archives of lost attempts are in no index.
     ``folder`` is a URI that every executor can write. The frame writes when it
-    is evaluated: store it before reading it twice.
+    is evaluated: store it before reading it twice. A payload of any length is one
+    record; without rows there are no archives, and the index is empty.
     """
     rows = plan_records(pages, id_col, url_col, payload_col)
     kind = rows.schema["id"].dataType.simpleString()
@@ -181,7 +182,8 @@ def read_warc(index: DataFrame, folder: str, keep_payload: bool = True) -> DataF
     payload_bytes is the full payload's length as the HTTP header has it and
     payload_digest its SHA-1: computed from the payload of a response (which must
     equal the header, else ValueError), from the header of a revisit. Rows of one archive are dealt
-    out by blocks of ``RANGE_BYTES``, so one large archive is read by many tasks.
+    out by blocks of ``RANGE_BYTES``, so one large archive is read by many tasks. An
+    empty index gives no rows.
     """
     kind = index.schema["id"].dataType.simpleString()
     block = F.floor(F.col("offset") / F.lit(RANGE_BYTES))
