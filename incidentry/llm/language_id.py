@@ -221,8 +221,11 @@ def predict_language(
     """
     kept = docs.drop("lang_pred", "score")
     own = free_name(kept, "__text")
-    rows = kept.withColumn(own, F.when(_has_letter(text_col), F.col(text_col).cast("string")))
+    rows = kept.withColumn(own, _has_letter(text_col))  # the text itself goes to Python once
     names = [f.name for f in kept.schema]
+    text = next(f for f in kept.schema if f.name.lower() == text_col.lower())
+    if not isinstance(text.dataType, T.StringType):
+        raise TypeError(f"{text_col} must be text")
     if model is None:
         return kept.withColumns(
             {"lang_pred": F.lit(UNKNOWN), "score": F.when(_has_letter(text_col), 0.0).otherwise(1.0)}
@@ -232,9 +235,11 @@ def predict_language(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predict = model.predictor()
         languages = np.array(model.languages, object)
-        for batch in pieces(batches, own, 1 << 20):
-            data, bounds = text_of(batch.column(own))
+        for batch in pieces(batches, text.name, 1 << 20):
+            data, bounds = text_of(batch.column(text.name))
             windows, row, size = cut_windows(data, bounds)
+            lettered = batch.column(own).to_numpy(zero_copy_only=False).astype(bool)[row]
+            windows, row, size = windows[lettered], row[lettered], size[lettered]
             likely = np.zeros((batch.num_rows, len(languages)))
             np.add.at(likely, row, predict(windows) * size[:, None])
             total = likely.sum(1)
