@@ -30,7 +30,8 @@ WORDS = 5
 PERCENT = 80
 BUCKET_SHINGLES = 2_000_000  # shingles counted together in one task
 LEAST_BUCKETS = 64
-GATHERED = 1 << 20  # shingles of a task that are packed together
+GATHERED = 1 << 19  # shingles of a task that are packed together
+PIECE_BYTES = 1 << 20  # text whose shingles are made at once
 HELD = 6_000_000  # shingles of a bucket held before common ones are sent on
 COMMON = 1 << 18  # texts up to which a shingle is counted; commoner ones are ordered by their hash
 BANDS = 20  # bands of set sizes within a factor of e
@@ -91,7 +92,7 @@ def _measured(rows: DataFrame, kind: str) -> DataFrame:
     """(id, node, n) of each row: a hash of its words, null without any, and the size of its set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", PIECE_BYTES):
             _, bounds, keys = shingle_sets(*text_of(batch.column("text")))
             n = np.diff(bounds)
             node = pa.array(keys[:, 0].view(np.int64), mask=n == 0)
@@ -109,7 +110,7 @@ def _dealt_shingles(rows: DataFrame, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         held: list[tuple] = []
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", PIECE_BYTES):
             values, bounds, keys = shingle_sets(*text_of(batch.column("text")))
             n, nodes = np.diff(bounds), keys[:, 0].view(np.int64)
             fresh = np.zeros(len(n), bool)
