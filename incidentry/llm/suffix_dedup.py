@@ -38,7 +38,7 @@ MERGED_BYTES = 1 << 19  # contexts merged at once, whole anchors
 HOT_CONTEXTS = 2000
 BUCKETS = 64
 BUCKET_BYTES = 64 << 20  # text for each bucket of anchors, which one task holds whole
-GATHERED = 1 << 20  # anchors of a task that are packed together
+GATHERED = 1 << 19  # anchors of a task that are packed together
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)  # of the two hashes of a string
 _FACTOR = 0xA0761D6478BD642F
 _LAST = (1 << 63) - 1
