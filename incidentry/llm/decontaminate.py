@@ -26,6 +26,7 @@ from .common import HashIndex, byte_class, check_carried, of_rows, pieces, relea
 WORD_BYTES = byte_class((0x30, 0x39), (0x61, 0x7A), (0x80, 0xFF))
 WINDOW = 13
 BLOCK_BYTES = 16 << 20  # word hashes of test phrases held at once; more are searched block by block
+SHARD_BYTES = 1 << 20  # text of a shard; a longer one is a shard of its own
 SAMPLED = 8  # one suffix position in so many is kept
 
 
@@ -197,7 +198,7 @@ def _scanned(keyed: DataFrame, block: Broadcast) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         phrases = block.value
-        for batch in pieces(batches, "__text"):
+        for batch in pieces(batches, "__text", SHARD_BYTES):
             data, bounds = text_of(batch.column("__text"))
             hashes, start, end, of = word_places(data, bounds, WORD_BYTES)
             phrase, first = phrases.occurrences(hashes, of)
@@ -284,7 +285,7 @@ def _counted(keyed: DataFrame) -> DataFrame:
     names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "__text"):
+        for batch in pieces(batches, "__text", SHARD_BYTES):
             _, of = words(*text_of(batch.column("__text")), WORD_BYTES)
             columns = [batch.column(n) for n in names[:-1]]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(np.diff(of), pa.int64())], names)
