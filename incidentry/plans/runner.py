@@ -71,7 +71,7 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> None:
     )
     parser.add_argument("--dimension-format", default="csv", help="format of --population and --election")
     parser.add_argument(
-        "--unsorted", action="store_true", help="clean: store without the shuffle that brings a year together"
+        "--unsorted", action="store_true", help="clean: leave a year's small files as they are written"
     )
     parser.add_argument(
         "--class-weights", action="store_true", help="rebalanced: weigh the training rows instead of copying them"

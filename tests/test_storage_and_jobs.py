@@ -1,6 +1,9 @@
 import glob
+import json
 import os
 import re
+import subprocess
+import sys
 import types
 
 import pytest
@@ -24,7 +27,7 @@ from incidentry import (
     stage,
 )
 from incidentry.contract import INCIDENT_SCHEMA, POPULATION_SCHEMA
-from incidentry.plans import time
+from incidentry.plans import clean, time
 from incidentry.plans.address import address_reports
 from incidentry.plans.clean import clean_incidents, write_by_year
 from incidentry.plans.roadside import roadside_reports
@@ -174,6 +177,85 @@ def test_year_folders_hold_few_files(spark, tmp_path):
     assert len(glob.glob(f"{path}/start_year=*/*.parquet")) == len(years)
 
 
+def _three_years(spark):
+    """Six tasks with rows of three years each, and one with a row of none."""
+    return spark.range(0, 6000, 1, 6).selectExpr(
+        "CAST(id AS STRING) AS ID", "timestamp_seconds(1400000000 + id % 3 * 31536000) AS Start_Time"
+    ).unionByName(spark.sql("SELECT 'none' AS ID, CAST(NULL AS TIMESTAMP) AS Start_Time"))
+
+
+_LOGGED = """
+import sys
+from pyspark.sql import SparkSession
+sys.path[:0] = sys.argv[3:]
+from incidentry.plans.clean import write_by_year
+from test_storage_and_jobs import _three_years
+logged = {"enabled": "true", "dir": sys.argv[1], "compress": "false", "rolling.enabled": "false"}
+settings = {f"spark.eventLog.{k}": v for k, v in logged.items()} | {"spark.ui.enabled": "false", "spark.sql.session.timeZone": "UTC"}
+spark = SparkSession.builder.master("local[2]").config(map=settings).getOrCreate()
+for compact in (True, False):
+    write_by_year(_three_years(spark), f"{sys.argv[2]}/{compact}", compact=compact)
+spark.stop()
+"""
+
+
+def test_years_are_stored_without_a_shuffle_or_sort(spark, tmp_path):
+    """Both grow with whole rows: a shuffle carries all 47 columns, and a sort spills them."""
+    (tmp_path / "log").mkdir()
+    here = os.path.dirname(os.path.abspath(__file__))
+    subprocess.run(
+        [sys.executable, "-c", _LOGGED, str(tmp_path / "log"), str(tmp_path), here, os.path.dirname(here)],
+        check=True, timeout=300, stdin=subprocess.DEVNULL,
+    )
+    events = [json.loads(line) for log in (tmp_path / "log").iterdir() for line in log.open()]
+    plans = [e["physicalPlanDescription"] for e in events if e["Event"].endswith("SparkListenerSQLExecutionStart")]
+    assert sum("InsertIntoHadoopFsRelationCommand" in p for p in plans) == 3  # one puts files together
+    assert not [p for p in plans if re.search(r"Exchange|\bSort\b", p)]
+    ended = [e["Task Metrics"] for e in events if e["Event"] == "SparkListenerTaskEnd"]
+    assert sum(m["Shuffle Write Metrics"]["Shuffle Bytes Written"] + m["Memory Bytes Spilled"] for m in ended) == 0
+    for compact, per_year in ((True, 1), (False, 6)):
+        table = spark.read.parquet(f"{tmp_path}/{compact}")
+        assert table.select("ID").distinct().count() == table.count() == 6001
+        assert rows(table.groupBy("start_year").count()) == [(2014, 2000), (2015, 2000), (2016, 2000), (None, 1)]
+        files = [len(glob.glob(f"{tmp_path}/{compact}/start_year=*{y}*/*.parquet")) for y in (2014, 2015, 2016, "HIVE")]
+        assert files == [per_year] * 3 + [1]
+
+
+def test_the_session_keeps_its_settings(spark, tmp_path):
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "3")
+    try:
+        write_by_year(_three_years(spark), str(tmp_path / "good"))
+        assert spark.conf.get(name) == "3"
+        with pytest.raises(PySparkException):
+            write_by_year(_three_years(spark).selectExpr("raise_error(ID) AS ID", "Start_Time"), str(tmp_path / "bad"))
+        assert spark.conf.get(name) == "3"
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_only_years_in_small_files_are_written_again(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(clean, "_SMALL_FILE", 0)
+    path = str(tmp_path / "large")
+    write_by_year(_three_years(spark), path)
+    assert len(glob.glob(f"{path}/start_year=*/*.parquet")) == 19
+    monkeypatch.setattr(clean, "_SMALL_FILE", 8 << 20)
+    monkeypatch.setattr(clean, "_FILE", 8 << 10)  # larger than a task should write: a year takes several
+    path = str(tmp_path / "small")
+    write_by_year(_three_years(spark), path)
+    for year in (2014, 2015, 2016):
+        assert 1 < len(glob.glob(f"{path}/start_year={year}/*.parquet")) < 6
+    assert spark.read.parquet(path).count() == 6001
+
+
+def test_more_years_than_files_kept_open(spark, tmp_path):
+    path = str(tmp_path / "incidents")
+    write_by_year(spark.sql("SELECT id, make_timestamp(1980 + id % 40, 6, 1, 0, 0, 0) AS Start_Time FROM range(0, 400, 1, 3)"), path)
+    assert rows(spark.read.parquet(path).groupBy("start_year").count()) == [(y, 10) for y in range(1980, 2020)]
+    assert len(glob.glob(f"{path}/start_year=*/*.parquet")) == 40
+
+
 @pytest.fixture(scope="module")
 def raw_csv(spark, tmp_path_factory):
     """A raw CSV as downloaded: gaps, quotes, backslashes, 47 columns."""
