@@ -522,10 +522,11 @@ def _written(df: DataFrame, label: str) -> DataFrame:
     return out
 
 
-def _occurrences(rows: DataFrame, keyed: DataFrame, firsts: DataFrame, buckets: int) -> DataFrame:
-    """The contexts of all texts, each text once, under its least id."""
+def _occurrences(keyed: DataFrame, firsts: DataFrame, buckets: int, rows: DataFrame | None = None) -> DataFrame:
+    """The contexts of all texts, each text once, under its least id; ``rows`` are the texts before they were keyed."""
+    texts = (keyed if rows is None else rows).select("text")
     places = (
-        _repeated_anchors(_dealt_anchors(rows.select("text"), buckets), buckets)
+        _repeated_anchors(_dealt_anchors(texts, buckets), buckets)
         .groupBy("node").agg(F.collect_set("place").alias("places"))
     )
     holders = keyed.join(places.join(firsts, "node"), "node").where("id = first")
@@ -588,7 +589,7 @@ def remove_repeats(
     firsts = measured.groupBy("node").agg(F.min("id").alias("first"))
     total = measured.agg(F.sum("n")).first()[0] or 0
     buckets = max(BUCKETS, total // BUCKET_BYTES)
-    runs = repeated_runs(_written(_occurrences(rows, keyed, firsts, int(buckets)), "contexts"))
+    runs = repeated_runs(_written(_occurrences(keyed, firsts, int(buckets), rows), "contexts"))
     spans = runs.groupBy("node").agg(
         F.collect_list(F.struct("start", "n", "first_id", "first_start")).alias("runs")
     )
