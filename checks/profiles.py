@@ -67,7 +67,9 @@ def density_curves(spark, sf):
     """Outlines of violins; the density is given per bandwidth, so that all measures are of one size."""
     lines = table(spark, sf, "lineitem").select(F.col("l_linenumber").alias("severity"), *CURVES)
     curves = density_curve(lines, "severity", CURVES).withColumn("density", F.col("density") * F.col("bandwidth"))
-    return rounded(rounded(as_long(curves, "severity", "point"), 6, "value", "bandwidth"), 9, "density")
+    # twelve digits first, as the SQL's decimals have
+    curves = rounded(rounded(as_long(curves, "severity", "point"), 6, "value", "bandwidth"), 12, "density")
+    return rounded(curves, 9, "density")
 
 
 def distribution_histogram(spark, sf):
