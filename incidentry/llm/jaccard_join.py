@@ -31,7 +31,7 @@ PERCENT = 80
 BUCKET_SHINGLES = 2_000_000  # shingles counted together in one task
 LEAST_BUCKETS = 64
 GATHERED = 1 << 19  # shingles of a task that are packed together
-PIECE_BYTES = 1 << 20  # text whose shingles are made at once
+PIECE_BYTES = 1 << 19  # text whose shingles are made at once
 HELD = 6_000_000  # shingles of a bucket held before common ones are sent on
 COMMON = 1 << 18  # texts up to which a shingle is counted; commoner ones are ordered by their hash
 BANDS = 20  # bands of set sizes within a factor of e

@@ -33,12 +33,12 @@ LENGTH = 100
 GRAM = 32
 STRIDE = 25  # bytes of a symbol; LENGTH is a multiple
 SHARD_BYTES = 60_000  # so that a shard's suffixes, end marks included, have numbers below 2**16
-PIECE_BYTES = 1 << 20  # text whose anchors are found at once
+PIECE_BYTES = 1 << 19  # text whose anchors are found at once
 MERGED_BYTES = 1 << 19  # contexts merged at once, whole anchors
 HOT_CONTEXTS = 2000
 BUCKETS = 64
 BUCKET_BYTES = 64 << 20  # text for each bucket of anchors, which one task holds whole
-GATHERED = 1 << 19  # anchors of a task that are packed together
+GATHERED = 1 << 18  # anchors of a task that are packed together
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)  # of the two hashes of a string
 _FACTOR = 0xA0761D6478BD642F
 _LAST = (1 << 63) - 1
@@ -126,7 +126,12 @@ def _dealt_anchors(rows: DataFrame, buckets: int) -> DataFrame:
 
 
 def _packed_anchors(grams: np.ndarray, place: np.ndarray, node: np.ndarray, buckets: int) -> pa.RecordBatch:
-    """A row for each bucket, a range of the leading 32 bits; the anchors of a text follow each other in it."""
+    """A row for each bucket, a range of the leading 32 bits; the anchors of a text follow each other in it.
+
+    Anchors have the least hashes of their strings, so hashes are mixed once more: as they are, half of all anchors
+    would be in the lowest of 64 buckets.
+    """
+    grams = mixed(grams)
     bucket = (((grams >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int32)
     alike = np.argsort(grams, kind="stable")
     further = alike[2:][grams[alike[2:]] == grams[alike[:-2]]]

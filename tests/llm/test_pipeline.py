@@ -69,6 +69,20 @@ def test_stages(spark, tmp_path):
     assert {r["doc_id"]: r["text"] for r in docs.collect()} == texts
 
 
+def test_stages_hand_small_batches_to_python(spark):
+    """A session's own limit stays."""
+    name, docs = "spark.sql.execution.arrow.maxBytesPerBatch", empty(spark)
+    before = spark.conf.get(name, None)
+    try:
+        for own in (None, "3000000"):
+            spark.conf.unset(name) if own is None else spark.conf.set(name, own)
+            for stage, function in pipeline.STAGES:
+                function(spark, docs, SF)
+                assert int(spark.conf.get(name)) == int(own or pipeline.BATCH_BYTES) <= 8 << 20, stage
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def test_stages_on_odd_rows(spark):
     """Nulls, repeats and clashing columns pass through; without labels every text is rejected."""
     docs = documents(spark)

@@ -238,6 +238,17 @@ def test_a_bucket_holds_two_anchors_of_a_hot_gram(spark):
     assert {tuple(r) for r in got} == want and len(got) == len(want)
 
 
+def test_buckets_of_anchors_are_even(spark):
+    """Selected grams have the least hashes around them; their buckets are alike nevertheless."""
+    docs = spark.createDataFrame([(prose(200, i),) for i in range(120)], "text string").coalesce(1)
+    held: dict[int, int] = {}
+    for part in suffix_dedup._dealt_anchors(docs, 16).collect():
+        if part["bucket"] >= 0:
+            held[part["bucket"]] = held.get(part["bucket"], 0) + len(part["hashes"]) // 6
+    assert len(held) == 16 and sum(held.values()) > 1600
+    assert max(held.values()) < 2 * sum(held.values()) / 16
+
+
 def test_suffix_dedup_of_nothing(spark):
     assert suffix_dedup.remove_repeats(empty(spark)).collect() == []
 
