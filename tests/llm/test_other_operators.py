@@ -10,7 +10,7 @@ from incidentry.llm import queries, warc
 from incidentry.llm.chat import (
     Budget, Conversation, count_tokens, escape, format_chats, format_conversation, read_window, unescape,
 )
-from incidentry.llm.embedding_dedup import near_duplicate_embeddings
+from incidentry.llm.embedding_dedup import compare_blocks, near_duplicate_embeddings
 from incidentry.llm.graph import connected_components
 from incidentry.llm.queries import RULES, op5_embedding_near_dedup, op7_chat_formatting
 from incidentry.llm.url_filter import url_verdicts
@@ -249,6 +249,38 @@ def test_embeddings_equal_all_pairs(spark):
     assert near_duplicate_embeddings(table.limit(0)).collect() == []
 
 
+def fan(n, start=0.0, width=24, plane=0):
+    """Vectors 15 degrees apart: each is linked with its neighbours (0.966), none with the next (0.866)."""
+    at = np.radians(15 * np.arange(n) + start)
+    out = np.zeros((n, width))
+    out[:, 2 * plane], out[:, 2 * plane + 1] = np.cos(at), np.sin(at)
+    return out
+
+
+@pytest.mark.parametrize("side", [[0, 0, 0, 0], [0, 1, 0, 1], [1, 0, 0, 0]])
+def test_a_block_pair_keeps_a_chain_together(side):
+    """a has its least neighbour in x and b in y: the link of a and b counts as well."""
+    nodes = np.array([b"0x", b"2a", b"3b", b"1y"], object)
+    codes, copies = np.zeros((4, 1, 2), np.int64), np.ones(4, np.int64)
+    found = compare_blocks(nodes, fan(4), codes, np.array(side), 0, 0, copies, 0.95)
+    linked = [(i, i + 1) for i in range(3) if not any(side) or side[i] != side[i + 1]]
+    root = list(nodes)
+    for _ in nodes:
+        for i, j in linked:
+            root[i] = root[j] = min(root[i], root[j])
+    times = [sum(i in pair for pair in linked) for i in range(4)]
+    assert sorted(found) == sorted((nodes[i], root[i], times[i]) for i in range(4) if times[i])
+
+
+def test_embeddings_in_chains(spark):
+    """Chains of links, by which the first and the last are one component, equal all pairs."""
+    rows = [(20 * g + k, v.tolist()) for g in range(12) for k, v in enumerate(fan(11, g, plane=g))]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = [tuple(r) for r in near_duplicate_embeddings(table).collect()]
+    assert sorted(got) == sorted((d, n, c, d == c) for d, n, c in brute_links(rows))
+    assert {c for _, _, c, _ in got} == {20 * g for g in range(12)}
+
+
 def test_embeddings_with_negative_zeros(spark):
     rows = [(1, [0.6, -0.0, 0.8]), (2, [0.6, 0.0, 0.8]), (3, [0.6, 0.01, 0.8]), (4, [-0.0, 1.0, -0.0]), (5, [0.0, -0.0])]
     table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
