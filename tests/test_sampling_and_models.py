@@ -246,6 +246,26 @@ def test_model_learns_survives_saving_and_has_the_known_width(crashes, tmp_path,
     assert rows(again) == rows(scored.select("ID", "prediction"))
 
 
+def test_training_rows_are_dealt_out_to_all_cores(spark, crashes, monkeypatch):
+    """Five files, which a scan would read in three tasks: four cores get one each, and the session keeps its settings."""
+    from pyspark.ml import Pipeline
+
+    seen = []
+    fit = Pipeline.fit
+
+    def spy(self, df):
+        seen.append((df.rdd.getNumPartitions(), df.count()))
+        return fit(self, df)
+
+    monkeypatch.setattr(Pipeline, "fit", spy)
+    train, test = split(crashes, 0.8, "ID")
+    names = ("parquet.block.size", "spark.sql.files.maxPartitionBytes")
+    before = [spark.conf.get(name, None) for name in names]
+    train_and_score(train.repartition(5), test, prediction.rebalanced_model(2))
+    assert seen == [(spark.sparkContext.defaultParallelism, train.count())]
+    assert [spark.conf.get(name, None) for name in names] == before
+
+
 def test_reports_of_a_rebalanced_model(crashes):
     model, out = prediction.fit_and_report(
         crashes, prediction.rebalanced_model(5), prediction.REBALANCED, rebalance=True
